@@ -1,0 +1,65 @@
+"""Catalog queries against their DuckDB oracle, the entry smoke check, and plan shapes."""
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+from tests.oracle_compare import compare, duck
+
+NAMES = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF_SMALL)
+
+
+def test_every_query_has_oracle_sql():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, con, name):
+    r = compare(spark, con, SF_SMALL, name, E.queries()[name], E.oracle_sql()[name])
+    assert r["ok"], r
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    assert df.columns == ["p_name", "n"]
+    assert 0 < df.count() <= 10
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_scoring_runs_python(spark):
+    for name in NAMES:
+        plan = plan_of(E.queries()[name](spark, SF_SMALL))
+        python = any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
+                                         "PythonMapInArrow", "FlatMapGroupsInPandas"))
+        assert python == (name in ("score_batch", "shortlist")), name
+
+
+def test_lookup_filter_is_pushed_to_parquet(spark):
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(f"{SF_SMALL}/part.parquet").filter(F.col("p_partkey") == 7)
+    assert "PushedFilters: [IsNotNull(p_partkey), EqualTo(p_partkey,7)]" in plan_of(df)
+
+
+def test_first_row_uses_group_limit(spark):
+    plan = spark.sparkContext  # noqa: F841
+    df = E.queries()["first_row_per_key"](spark, SF_SMALL)
+    assert "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_merge_shuffles_once_per_side(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(E.queries()["merge_inner"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
