@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hearth.functions.text import col_, py_strip, split_parts
+from hearth.functions.text import col_, let, py_strip, split_parts
 
 # Separators of the text form.
 ENTRY_SEP = ";"
@@ -31,15 +31,16 @@ def dict_assign(arr, key="url", value="descr") -> Column:
     First occurrence fixes a key's position, the last occurrence supplies its
     value; positions are renumbered 0..n-1 (``pos``).
     """
-    a = col_(arr)
-    keys = F.array_distinct(F.transform(a, lambda x: x[key]))
+    def build(a):
+        keys = F.array_distinct(F.transform(a, lambda x: x[key]))
 
-    def last_value(k):
-        same = F.filter(a, lambda x: x[key].eqNullSafe(k))
-        return F.get(same, F.size(same) - 1)[value]
+        def last_value(k):
+            return F.get(F.reverse(F.filter(a, lambda x: x[key].eqNullSafe(k))), 0)[value]
 
-    return F.transform(keys, lambda k, i: F.struct(i.alias("pos"), k.alias(key),
-                                                   last_value(k).alias(value)))
+        return F.transform(keys, lambda k, i: F.struct(i.alias("pos"), k.alias(key),
+                                                       last_value(k).alias(value)))
+
+    return let(arr, build)
 
 
 def encode_keys(gallery, key="url") -> Column:

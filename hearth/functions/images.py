@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hearth.functions.text import col_, py_strip
+from hearth.functions.text import col_, let, py_strip
 
 # Thumbnail sizes in image URLs.
 THUMB_SMALL = "120x80"
@@ -36,8 +36,8 @@ def resize_thumb(c, origin: str = THUMB_SMALL, dest: str = THUMB_MEDIUM) -> Colu
 
 
 def b64(content) -> Column:
-    """Plain base64 without line breaks (Spark's base64 wraps at 76 characters)."""
-    return F.regexp_replace(F.base64(col_(content)), "[\r\n]", "")
+    """Plain base64 without line breaks (Spark's base64 wraps lines at 76 characters)."""
+    return F.replace(F.base64(col_(content)), F.lit("\r\n"), F.lit(""))
 
 
 def sniff_type(b64_text) -> Column:
@@ -51,8 +51,8 @@ def sniff_type(b64_text) -> Column:
 
 def data_uri(content) -> Column:
     """Image bytes -> ``data:image/<type>;base64,<data>``; '' when there are no bytes."""
-    t = b64(content)
-    uri = F.concat(F.lit("data:image/"), sniff_type(t), F.lit(";base64,"), t)
+    uri = let(b64(content), lambda t: F.concat(F.lit("data:image/"), sniff_type(t),
+                                                F.lit(";base64,"), t))
     return F.when(col_(content).isNull(), F.lit("")).otherwise(uri)
 
 

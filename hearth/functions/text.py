@@ -25,6 +25,16 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
+
+    A lambda that refers to an outer expression re-evaluates it on every call,
+    and an expression used several times inside another is not shared; binding
+    it through ``aggregate``'s finish function computes it a single time.
+    """
+    return F.aggregate(F.array(F.lit(0)), col_(value), lambda acc, _: acc, body)
+
+
 def py_strip(c) -> Column:
     """``str.strip()``: remove Python whitespace from both ends (set trim, no regex)."""
     return F.btrim(col_(c), F.lit(PY_WHITESPACE))
@@ -105,25 +115,28 @@ def py_float_str(c) -> Column:
     # as many formats run as the shortest form needs
     sci = F.aggregate(
         F.sequence(F.lit(0), F.lit(16)), F.lit(None).cast("string"),
-        lambda acc, p: F.coalesce(acc, F.when(fmt(p).try_cast("double") == x, fmt(p))))
-    neg = F.startswith(sci, F.lit("-"))
-    body = F.regexp_replace(sci, "^-", "")
-    mant = F.regexp_extract(body, r"^([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$", 1)
-    frac = F.regexp_replace(
-        F.regexp_extract(body, r"^([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$", 2), "0+$", "")
-    e = F.regexp_extract(body, r"e([-+][0-9]+)$", 1).cast("int")
-    digits = F.concat(mant, frac)
-    nd = F.length(digits)
-    dec = (F.when(e >= nd - 1, F.concat(digits, F.repeat(F.lit("0"), e - nd + 1), F.lit(".0")))
-           .when(e >= 0, F.concat(digits.substr(F.lit(1), e + 1), F.lit("."),
-                                  digits.substr(e + 2, F.lit(64))))
-           .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)))
-    sci_py = F.concat(
-        mant, F.when(F.length(frac) > 0, F.concat(F.lit("."), frac)).otherwise(F.lit("")),
-        F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(e).cast("string"))
-    txt = F.when((e >= -4) & (e < 16), dec).otherwise(sci_py)
-    signed = F.concat(F.when(neg, F.lit("-")).otherwise(F.lit("")), txt)
+        lambda acc, p: F.coalesce(acc, let(fmt(p), lambda s: F.when(s.try_cast("double") == x, s))))
+    sci_re = r"^(-?)([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$"
+
+    def render(p):
+        digits, e = p["digits"], p["e"]
+        nd = F.length(digits)
+        dec = (F.when(e >= nd - 1, F.concat(digits, F.repeat(F.lit("0"), e - nd + 1), F.lit(".0")))
+               .when(e >= 0, F.concat(digits.substr(F.lit(1), e + 1), F.lit("."),
+                                      digits.substr(e + 2, F.lit(64))))
+               .otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), digits)))
+        sci_py = F.concat(
+            digits.substr(F.lit(1), F.lit(1)),
+            F.when(nd > 1, F.concat(F.lit("."), digits.substr(F.lit(2), F.lit(64)))).otherwise(F.lit("")),
+            F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
+            F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(e).cast("string"))
+        return F.concat(p["sign"], F.when((e >= -4) & (e < 16), dec).otherwise(sci_py))
+
+    signed = let(let(sci, lambda v: F.struct(
+        F.regexp_extract(v, sci_re, 1).alias("sign"),
+        F.concat(F.regexp_extract(v, sci_re, 2),
+                 F.regexp_replace(F.regexp_extract(v, sci_re, 3), "0+$", "")).alias("digits"),
+        F.regexp_extract(v, sci_re, 4).cast("int").alias("e"))), render)
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))

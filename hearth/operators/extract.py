@@ -84,43 +84,61 @@ def first_reason(checks: list[tuple[str, Column]]) -> Column:
 
 
 def parse_cards(cards: DataFrame, district: Column, site: Site = Site()) -> DataFrame:
-    """Card HTML -> listing fields plus ``reject_reason`` (null for a good card)."""
+    """Card HTML -> listing fields plus ``reject_reason`` (null for a good card).
+
+    Two projections: the regular expressions run once per card in the first,
+    and typing and checks read their results in the second (Catalyst keeps the
+    projections apart because each raw field is used several times).
+    """
     c = F.col("card")
-    raw_id = required_match(c, ID_RE)
-    facts_txt = required_match(c, FACTS_RE, strip=True)
-    facts = split_parts(facts_txt, FACTS_SEP)
-    total = strict_double(first_match(c, TOTAL_PRICE_RE))
-    unit = strict_double(first_match(c, UNIT_PRICE_RE))
-    size = strict_double(F.replace(F.get(facts, 1), F.lit(SIZE_UNIT), F.lit("")))
-    house_id = raw_id.try_cast("bigint")
+    raw = cards.select(
+        "*",
+        district.alias("_district"),
+        required_match(c, ID_RE).alias("_id"),
+        split_parts(required_match(c, FACTS_RE, strip=True), FACTS_SEP).alias("_facts"),
+        first_match(c, TITLE_RE).alias("_title"),
+        first_match(c, COMMUNITY_RE).alias("_community"),
+        first_match(c, POSITION_RE).alias("_position"),
+        first_match(c, TAX_RE).alias("_tax"),
+        strict_double(first_match(c, TOTAL_PRICE_RE)).alias("_total"),
+        strict_double(first_match(c, UNIT_PRICE_RE)).alias("_unit"),
+    )
+    facts = F.col("_facts")
+    typed = raw.select(
+        "*",
+        F.col("_id").try_cast("bigint").alias("_house_id"),
+        strict_double(F.replace(F.get(facts, 1), F.lit(SIZE_UNIT), F.lit(""))).alias("_size"))
     reason = first_reason([
-        (MISSING_ID, raw_id.isNull()),
-        (BAD_NUMBER, total.isNull() | unit.isNull()),
-        (MISSING_FACTS, facts_txt.isNull()),
+        (MISSING_ID, F.col("_id").isNull()),
+        (BAD_NUMBER, F.col("_total").isNull() | F.col("_unit").isNull()),
+        (MISSING_FACTS, facts.isNull()),
         (SHORT_FACTS, F.size(facts) < 2),
-        (BAD_NUMBER, size.isNull()),
+        (BAD_NUMBER, F.col("_size").isNull()),
         (SHORT_FACTS, F.size(facts) < len(FACT_COLUMNS)),
-        (BAD_ID, house_id.isNull()),
+        (BAD_ID, F.col("_house_id").isNull()),
     ])
-    return cards.select(
-        "*",
-        house_id.alias("house_id"),
-        title_clean(first_match(c, TITLE_RE)).alias("title"),
-        district.alias("district"),
-        first_match(c, COMMUNITY_RE).alias("community"),
-        first_match(c, POSITION_RE).alias("position"),
-        first_match(c, TAX_RE).alias("tax"),
-        total.alias("total_price"),
-        unit.alias("unit_price"),
-        F.format_string("%s/%s.html", F.lit(site.base), raw_id).alias("link"),
+    out = [
+        *[F.col(c) for c in cards.columns],
+        F.col("_house_id").alias("house_id"),
+        title_clean(F.col("_title")).alias("title"),
+        F.col("_district").alias("district"),
+        F.col("_community").alias("community"),
+        F.col("_position").alias("position"),
+        F.col("_tax").alias("tax"),
+        F.col("_total").alias("total_price"),
+        F.col("_unit").alias("unit_price"),
+        F.format_string("%s/%s.html", F.lit(site.base), F.col("_id")).alias("link"),
         part(facts, 0).alias("house_type"),
-        size.alias("house_size"),
+        F.col("_size").alias("house_size"),
         part(facts, 2).alias("direction"),
         part(facts, 3).alias("fitment"),
         part(facts, 4).alias("level"),
         part(facts, 5).alias("build_type"),
         reason.alias("reject_reason"),
-    )
+    ]
+    # Emitted through a generator: a later filter on reject_reason then stays
+    # above it instead of being pushed down with every extraction copied into it.
+    return typed.select(F.inline(F.array(F.struct(*out))))
 
 
 LISTING_OUT = ["house_id", "title", "district", "community", "position", "tax",

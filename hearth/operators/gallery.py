@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions.codec import decode_pairs, dict_assign, encode_keys, encode_pairs
 from hearth.functions.images import data_uri, resize_thumb, tidy_url
-from hearth.functions.text import col_, first_match, java_pattern
+from hearth.functions.text import col_, java_pattern, let
 
 # Gallery markup and the description that marks a floor plan.
 GALLERY_BLOCK_RE = r'(?s)<ul[^>]*class="smallpic"[^>]*>(.*?)</ul>'
@@ -38,16 +38,18 @@ def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Co
     and the ``src`` of its first ``img``, tidied and resized; a ``li`` without an
     image is skipped; a repeated url keeps its first position and last descr.
     """
-    block = gallery_block(html)
-    items = F.regexp_extract_all(block, F.lit(java_pattern(ITEM_RE)), 0)
-    with_img = F.filter(items, lambda li: li.rlike(java_pattern(ITEM_IMG_RE)))
-    pairs = F.transform(with_img, lambda li: F.struct(
-        resize_thumb(tidy_url(F.regexp_extract(li, java_pattern(ITEM_IMG_RE), 1)),
-                     origin, dest).alias("url"),
-        F.coalesce(F.when(li.rlike(java_pattern(ITEM_DESC_RE)),
-                          F.regexp_extract(li, java_pattern(ITEM_DESC_RE), 1)),
-                   F.lit("")).alias("descr")))
-    return F.when(block.isNotNull(), dict_assign(pairs))
+    img_re, desc_re = java_pattern(ITEM_IMG_RE), java_pattern(ITEM_DESC_RE)
+
+    def from_block(block):
+        items = F.regexp_extract_all(block, F.lit(java_pattern(ITEM_RE)), 0)
+        with_img = F.filter(items, lambda li: li.rlike(img_re))
+        pairs = F.transform(with_img, lambda li: F.struct(
+            resize_thumb(tidy_url(F.regexp_extract(li, img_re, 1)), origin, dest).alias("url"),
+            F.coalesce(F.when(li.rlike(desc_re), F.regexp_extract(li, desc_re, 1)),
+                       F.lit("")).alias("descr")))
+        return F.when(block.isNotNull(), dict_assign(pairs))
+
+    return let(gallery_block(html), from_block)
 
 
 def extract_details(detail_pages: DataFrame, key: str = "house_id", link: str = "link",
@@ -57,9 +59,11 @@ def extract_details(detail_pages: DataFrame, key: str = "house_id", link: str =
     Pages without a gallery list give no row (they are retried on the next run).
     """
     g = gallery_from_html(F.col(html))
-    return (detail_pages.select(F.col(key).alias("house_id"), F.col(link).alias("link"),
-                                g.alias("gallery"))
-            .filter(F.col("gallery").isNotNull()))
+    # explode([g] without nulls) drops pages without a gallery in the same
+    # operator that computes it (a filter on g would be pushed below and
+    # evaluate the extraction twice)
+    return detail_pages.select(F.col(key).alias("house_id"), F.col(link).alias("link"),
+                               F.explode(F.array_compact(F.array(g))).alias("gallery"))
 
 
 def detail_counts(detail_pages: DataFrame, html: str = "html") -> DataFrame:
