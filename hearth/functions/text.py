@@ -100,26 +100,38 @@ def py_float_str(c) -> Column:
     """``str(float)`` as Python prints it: shortest round-trip digits, decimal
     notation for 1e-4 <= |x| < 1e16, otherwise 'd.ddde+XX'.
 
-    JDK 17's Double.toString is not always shortest (2e23 prints as
-    1.9999999999999998E23), so the digits come from the smallest ``%.{p}e``
-    precision that parses back to the same double.  Java rounds that text from
-    its own 17-digit form, so a value needing 16-17 significant digits can end
-    one unit off Python in its last digit (both forms parse to the same double).
+    Common case, compiled: Java's Double.toString text without an exponent
+    (1e-3 <= |x| < 1e7) and with at most 15 digits is Python's text once
+    trailing fraction zeros are trimmed - a decimal that short maps to one
+    double only, so it is the shortest form.  Other values take the general
+    path: the smallest ``%.{p}e`` precision that parses back to the same double
+    (JDK 17's Double.toString is not always shortest: 2e23 prints as
+    1.9999999999999998E23).  Java rounds that text from its own 17-digit form,
+    so a value needing 16-17 significant digits can end one unit off Python in
+    its last digit (both forms parse to the same double).
     """
     x = col_(c).cast("double")
+    js = x.cast("string")
+    plain = ~F.contains(js, F.lit("E")) & (F.length(F.translate(js, "-.", "")) <= 15)
+    plain_text = F.regexp_replace(js, r"(\.[0-9]*[1-9])0+$", "$1")
 
     def fmt(p):
         return F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), x)
 
-    # first precision whose text parses back to x; coalesce stops early, so only
-    # as many formats run as the shortest form needs
-    sci = F.aggregate(
-        F.sequence(F.lit(0), F.lit(16)), F.lit(None).cast("string"),
-        lambda acc, p: F.coalesce(acc, let(fmt(p), lambda s: F.when(s.try_cast("double") == x, s))))
-    sci_re = r"^(-?)([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$"
+    def general(_):
+        # shortest %.{p}e text that parses back to x; coalesce stops early
+        sci = F.aggregate(
+            F.sequence(F.lit(0), F.lit(16)), F.lit(None).cast("string"),
+            lambda acc, p: F.coalesce(acc, let(fmt(p), lambda s: F.when(s.try_cast("double") == x, s))))
+        sci_re = r"^-?([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$"
+        parts = let(sci, lambda v: F.struct(
+            F.concat(F.regexp_extract(v, sci_re, 1),
+                     F.regexp_replace(F.regexp_extract(v, sci_re, 2), "0+$", "")).alias("d"),
+            F.regexp_extract(v, sci_re, 3).cast("int").alias("e")))
+        return let(parts, render)
 
     def render(p):
-        digits, e = p["digits"], p["e"]
+        digits, e = p["d"], p["e"]
         nd = F.length(digits)
         dec = (F.when(e >= nd - 1, F.concat(digits, F.repeat(F.lit("0"), e - nd + 1), F.lit(".0")))
                .when(e >= 0, F.concat(digits.substr(F.lit(1), e + 1), F.lit("."),
@@ -130,13 +142,10 @@ def py_float_str(c) -> Column:
             F.when(nd > 1, F.concat(F.lit("."), digits.substr(F.lit(2), F.lit(64)))).otherwise(F.lit("")),
             F.lit("e"), F.when(e < 0, F.lit("-")).otherwise(F.lit("+")),
             F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(e).cast("string"))
-        return F.concat(p["sign"], F.when((e >= -4) & (e < 16), dec).otherwise(sci_py))
+        return F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")),
+                        F.when((e >= -4) & (e < 16), dec).otherwise(sci_py))
 
-    signed = let(let(sci, lambda v: F.struct(
-        F.regexp_extract(v, sci_re, 1).alias("sign"),
-        F.concat(F.regexp_extract(v, sci_re, 2),
-                 F.regexp_replace(F.regexp_extract(v, sci_re, 3), "0+$", "")).alias("digits"),
-        F.regexp_extract(v, sci_re, 4).cast("int").alias("e"))), render)
+    signed = F.when(plain, plain_text).otherwise(let(F.lit(0), general))
     return (F.when(x.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(x), F.lit("nan"))
             .when(x == float("inf"), F.lit("inf"))

@@ -151,6 +151,27 @@ def listing_cards(final: DataFrame, key: str = "house_id", order: str = "seq") -
     return out
 
 
+def listing_views(requests: DataFrame, final: DataFrame, key: str = "house_id",
+                  preview: tuple[str, str] | None = ("450x300", "210x140")) -> DataFrame:
+    """Per requested listing: its text, plan image URLs and room image URLs.
+
+    The batch form of looking up one listing for display; URLs are rewritten
+    to the preview size when ``preview`` is given.
+    """
+    from hearth.functions.images import resize_thumb
+    from hearth.operators.gallery import kind, no_images
+
+    cards = listing_cards(final.join(requests.select(key), key, "left_semi"), key)
+
+    def urls(plans: bool):
+        u = F.transform(kind("gallery", plans), lambda x: x["url"])
+        if preview:
+            u = F.transform(u, lambda x: resize_thumb(x, *preview))
+        return no_images(u)
+
+    return cards.select(key, "info", urls(True).alias("plan_urls"), urls(False).alias("room_urls"))
+
+
 def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
                   images: DataFrame | None = None, key: str = "house_id") -> DataFrame:
     """requests(house_id, wish_id) -> prompts(house_id, wish_id, messages).
@@ -160,8 +181,8 @@ def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
     """
     from hearth.operators.gallery import attach_images, no_images
 
-    cards = listing_cards(final, key)
-    asked = cards.join(requests.select(key).distinct(), key, "left_semi")
+    # render only the listings asked for
+    asked = listing_cards(final.join(requests.select(key), key, "left_semi"), key)
     rows = (requests.select(key, "wish_id")
             .join(wishes.select("wish_id", "user_input"), "wish_id", "left")
             .join(asked, key, "left"))

@@ -443,11 +443,12 @@ def render_text(spark, sf):
 
 
 def lookup(spark, sf):
-    lst = part_listings(spark, sf)
     asked = (load(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
              .select(F.col("l_partkey").alias("house_id")))
-    hit = lst.join(asked, "house_id", "left_semi")
-    return hit.select(F.col("house_id").alias("p_partkey"), prompt.base_info(hit).alias("info"))
+    views = prompt.listing_views(asked, _part_final(spark, sf))
+    return views.select(F.col("house_id").alias("p_partkey"), "info",
+                        F.array_join("plan_urls", ";").alias("plan_urls"),
+                        F.array_join("room_urls", ";").alias("room_urls"))
 
 
 def first_row_per_key(spark, sf):

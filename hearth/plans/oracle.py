@@ -383,8 +383,10 @@ FROM j JOIN customer ON house_id = c_custkey GROUP BY c_custkey, c_name""",
     "render_text": f"SELECT p_partkey, {_part_info()} AS info FROM part",
 
     "lookup": f"""
-SELECT p_partkey, {_part_info()} AS info FROM part
-WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')""",
+SELECT p_partkey, {_part_info()} AS info,
+       CASE WHEN CAST(p_size AS DOUBLE) % 3 = 0 THEN 'u' || CAST(p_partkey AS VARCHAR) ELSE '' END AS plan_urls,
+       '' AS room_urls
+FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')""",
 
     "first_row_per_key": """
 SELECT conv_id, turn, role, text FROM conversations

@@ -41,13 +41,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and streaming state.
 
-    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise (tests,
-    local runs) sets one under a fresh scratch folder and returns it.
+    Uses ``spark.checkpoint.dir`` when the cluster sets it; otherwise, in local
+    mode only (tests, local runs), a fresh scratch folder.  On a cluster a
+    machine-local folder would be lost with its executor, so it is an error.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="hearth-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
