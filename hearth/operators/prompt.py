@@ -135,17 +135,21 @@ def requests_for_wish(listings: DataFrame, wish_id: int, key: str = "house_id")
 
 
 def listing_cards(final: DataFrame, key: str = "house_id", order: str = "seq") -> DataFrame:
-    """Per listing: text of its first row and the first non-empty gallery.
+    """Per listing: text of its first row and its first non-empty gallery.
 
-    One aggregation (partial before the shuffle): ``min_by`` skips rows whose
-    ordering value is null, which is how rows without a gallery are passed over.
+    One aggregation, partial before the shuffle; ``min_by`` skips rows whose
+    ordering value is null, which is how rows without a gallery are passed
+    over.  The text is rendered after the aggregation, once per listing.
     """
     has_gallery = "gallery" in final.columns
-    aggs = [F.min_by(base_info(final), F.col(order)).alias("info")]
+    fields = [c for c, _ in FIELD_LABELS if c in final.columns]
+    aggs = [F.min_by(F.struct(*fields), F.col(order)).alias("_first")]
     if has_gallery:
         g_order = F.when(F.size("gallery") > 0, F.col(order))
         aggs.append(F.min_by(F.col("gallery"), g_order).alias("gallery"))
-    out = final.groupBy(key).agg(*aggs)
+    first = final.groupBy(key).agg(*aggs).select(key, "_first.*", *(["gallery"] if has_gallery else []))
+    out = first.select(key, base_info(first).alias("info"),
+                       *(["gallery"] if has_gallery else []))
     if not has_gallery:
         out = out.withColumn("gallery", F.lit(None).cast("array<struct<pos:int,url:string,descr:string>>"))
     return out
@@ -161,7 +165,7 @@ def listing_views(requests: DataFrame, final: DataFrame, key: str = "house_id",
     from hearth.functions.images import resize_thumb
     from hearth.operators.gallery import kind, no_images
 
-    cards = listing_cards(final.join(requests.select(key), key, "left_semi"), key)
+    cards = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
 
     def urls(plans: bool):
         u = F.transform(kind("gallery", plans), lambda x: x["url"])
@@ -182,7 +186,7 @@ def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
     from hearth.operators.gallery import attach_images, no_images
 
     # render only the listings asked for
-    asked = listing_cards(final.join(requests.select(key), key, "left_semi"), key)
+    asked = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
     rows = (requests.select(key, "wish_id")
             .join(wishes.select("wish_id", "user_input"), "wish_id", "left")
             .join(asked, key, "left"))

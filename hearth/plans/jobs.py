@@ -55,7 +55,10 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
                  .join(dims, "district_en", "inner").drop("district_en"))
     if debug:
         pages = pages.filter(F.col("url").rlike(r"/pg1/?$"))
-    parsed = _with_dt(extract.extract_listings(pages, site=site), dt).persist(StorageLevel.DISK_ONLY)
+    parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
+    # kept rows do not need their card HTML any more: persist it for rejects only
+    parsed = parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(), F.col("card")))
+    parsed = parsed.persist(StorageLevel.DISK_ONLY)
     try:
         files.write_stage(extract.kept(parsed), root, "listings")
         files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
@@ -103,7 +106,7 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
         todo = enrich.pending(todo, done)
     if debug_num > 0:
         todo = todo.orderBy("seq").limit(debug_num)
-    pages = detail_pages.join(todo.select("house_id").distinct(), "house_id", "left_semi")
+    pages = detail_pages.join(todo.select("house_id"), "house_id", "left_semi")
     pages = pages.persist(StorageLevel.DISK_ONLY)
     try:
         new = _with_dt(gallery.extract_details(pages), dt)

@@ -20,8 +20,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # partition values like dt=20250508 stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # prompts with images are wide rows: keep Arrow batches small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # prompts with up to 16 images are wide rows (MBs): keep Arrow batches small
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "32",
     "spark.ui.enabled": "false",
 }
 
