@@ -88,12 +88,18 @@ def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return renamed.select(*cols)
 
 
-def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV export with a header; quotes are doubled (``escape='"'``), not backslashed."""
+def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> str:
+    """CSV export with a header; quotes are doubled (``escape='"'``), not backslashed.
+
+    ``bom`` starts each file's header with a UTF-8 byte order mark, so that
+    spreadsheet programs read the text as UTF-8; readers here strip it.  Nested
+    columns are written as JSON text.
+    """
     flat = df.select(*[
-        F.to_json(F.col(f"`{f.name}`")).alias(f.name)
-        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`")
-        for f in df.schema.fields])
+        (F.to_json(F.col(f"`{f.name}`"))
+         if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`"))
+        .alias(("\ufeff" if bom and i == 0 else "") + f.name)
+        for i, f in enumerate(df.schema.fields)])
     (flat.write.mode(mode).option("header", True).option("escape", '"')
      .option("encoding", "UTF-8").csv(path))
     return path

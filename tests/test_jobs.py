@@ -118,3 +118,56 @@ def test_streaming_landing(spark, scratch):
     assert files.read_stage(spark, root, "details", dt=DT).count() == 1
     assert files.read_stage(spark, root, "details", dt=DT).select(F.col("gallery")[0]["url"]).first()[0] \
         == "http://i/a.450x300.jpg"
+
+
+def test_csv_export_starts_with_bom(spark, scratch):
+    out = os.path.join(scratch, "bom")
+    df = spark.createDataFrame([(1, "南北")], "house_id bigint, title string")
+    files.write_csv_table(df.coalesce(1), out)
+    part = [f for f in os.listdir(out) if f.startswith("part-")][0]
+    with open(os.path.join(out, part), "rb") as fh:
+        assert fh.read().startswith("\ufeffhouse_id,title\n".encode("utf-8"))
+    back = files.read_csv_table(spark, out, schema.LISTINGS).first()
+    assert (back.house_id, back.title) == (1, "南北")
+
+
+def test_dated_snapshots_replace_only_their_day(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    a = spark.createDataFrame([(1, "20250101"), (2, "20250102")], "house_id bigint, dt string")
+    files.write_stage(a, root, "listings")
+    files.write_stage(spark.createDataFrame([(3, "20250102")], "house_id bigint, dt string"), root, "listings")
+    got = sorted((r.house_id, r.dt) for r in files.read_stage(spark, root, "listings").collect())
+    assert got == [(1, "20250101"), (3, "20250102")]
+    assert files.snapshot_date(__import__("datetime").date(2025, 5, 8)) == "20250508"
+
+
+def test_read_images(spark, scratch):
+    land = os.path.join(scratch, "imgs", "p")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.450x300.jpg"), "wb") as fh:
+        fh.write(bytes.fromhex("FFD8FF00"))
+    df = files.read_images(spark, os.path.join(scratch, "imgs"), url_root="http://i")
+    r = df.first()
+    assert r.url == "http://i/p/a.450x300.jpg" and bytes(r.content) == bytes.fromhex("FFD8FF00")
+
+
+def test_debug_caps(spark, scratch):
+    from hearth.operators import enrich, preview
+    root = os.path.join(scratch, "stages")
+    m = {r.name: r.value for r in jobs.collect(spark, list_pages(spark), root, DT, debug=True).collect()}
+    assert m == {"total_num": 3, "err_num": 1}       # first page of each district only
+    cands = spark.createDataFrame([(5, 50), (4, 40), (6, 60)], "house_id bigint, seq bigint")
+    done = spark.createDataFrame([(4,)], "house_id bigint")
+    assert [r.house_id for r in enrich.resume_batch(cands, done, limit=1).collect()] == [5]
+    assert [r.house_id for r in preview.first_n(cands, 2).collect()] == [4, 5]
+
+
+def test_listing_views(spark):
+    from hearth.operators import prompt
+    final = spark.createDataFrame(
+        [(7, 2, "t2", []), (7, 1, "t1", [(0, "a.450x300.jpg", "户型图"), (1, "b.450x300.jpg", "客厅")])],
+        "house_id bigint, seq bigint, title string, gallery array<struct<pos:int,url:string,descr:string>>")
+    req = spark.createDataFrame([(7,), (7,), (8,)], "house_id bigint")
+    rows = prompt.listing_views(req, final).collect()
+    assert len(rows) == 1 and rows[0].info.startswith("标题: t1，")
+    assert rows[0].plan_urls == ["a.210x140.jpg"] and rows[0].room_urls == ["b.210x140.jpg"]
