@@ -20,8 +20,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # partition values like dt=20250508 stay strings
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # prompts with up to 16 images are wide rows (MBs): keep Arrow batches small
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "32",
+    # prompts with up to 16 images are wide rows (MBs): cap Arrow batches to the
+    # model client by bytes as well as by rows
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 
