@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from hearth.functions.text import col_, java_pattern
 from hearth.operators.enrich import pending
 from hearth.operators.prompt import first_per_key, messages_json
+from hearth.session import ship_package
 
 # How a reply states its score, and the valid range.
 SCORE_RE = r"满意分\s*[:：]\s*([0-9]+)"
@@ -74,6 +75,7 @@ def reply_batch(prompts: DataFrame, factory: ClientFactory, answered: DataFrame
     ``concurrency``: number of tasks calling the model (a round-robin
     repartition); ``in_flight``: calls per task at once.
     """
+    ship_package(prompts.sparkSession)
     todo = prompts
     if answered is not None:
         todo = todo.join(answered.select("house_id", "wish_id"), ["house_id", "wish_id"], "left_anti")

@@ -8,7 +8,9 @@ names in ``spark.checkpoint.dir`` (only tests fall back to a scratch dir).
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,29 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hearth`` importable in Python workers (once per application).
+
+    Jobs that run Python on executors (the model call) pickle functions of
+    this package by reference, so the workers must import it; the package is
+    zipped and added with ``addPyFile``, which copies it to every executor.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg)
+    path = os.path.join(tempfile.mkdtemp(prefix="hearth-pkg-"), "hearth.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(root, n)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

@@ -63,3 +63,18 @@ def test_merge_shuffles_once_per_side(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_scoring_runs_outside_the_repo_folder(scratch):
+    """Python workers import the package shipped with addPyFile, whatever the cwd."""
+    import subprocess
+    import sys
+    from tests.conftest import ROOT
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from hearth.session import local_session\n"
+            "import __spark_entry__ as E\n"
+            "s = local_session(2, 4)\n"
+            "print('rows', E.queries()['score_batch'](s, %r).count())\n") % (ROOT, SF_SMALL)
+    out = subprocess.run([sys.executable, "-c", code], cwd=scratch, capture_output=True,
+                         text=True, timeout=600)
+    assert "rows 200" in out.stdout, out.stderr[-2000:]
