@@ -171,3 +171,27 @@ def test_listing_views(spark):
     rows = prompt.listing_views(req, final).collect()
     assert len(rows) == 1 and rows[0].info.startswith("标题: t1，")
     assert rows[0].plan_urls == ["a.210x140.jpg"] and rows[0].room_urls == ["b.210x140.jpg"]
+
+
+def test_cli_steps(spark, scratch, capsys):
+    from hearth import cli
+    pages = os.path.join(scratch, "pages")
+    details = os.path.join(scratch, "details")
+    list_pages(spark).write.parquet(pages)
+    detail_pages(spark).write.parquet(details)
+    req, wishes = os.path.join(scratch, "req"), os.path.join(scratch, "wishes")
+    spark.createDataFrame([(11, 1)], schema.REQUESTS).write.parquet(req)
+    spark.createDataFrame([(1, "两居")], schema.WISHES).write.parquet(wishes)
+    root = os.path.join(scratch, "stages")
+    base = ["--root", root, "--dt", DT]
+    assert cli.main(base + ["collect", "--pages", pages, "--city_name", "hd"]) == 0
+    for step in (["screen"], ["details", "--detail_pages", details], ["merge"],
+                 ["prompts", "--requests", req, "--wishes", wishes], ["score"], ["shortlist"]):
+        assert cli.main(base + step) == 0
+    assert files.read_stage(spark, root, "replies", dt=DT).count() == 1
+    capsys.readouterr()
+    cli.main(base + ["ask", "--house_id", "11", "--user_input", " 两居 "])
+    assert "满意分: 127分" in capsys.readouterr().out
+    out = os.path.join(scratch, "final_csv")
+    cli.main(base + ["export", "--stage", "final", "--out", out])
+    assert any(f.startswith("part-") for f in os.listdir(out))
