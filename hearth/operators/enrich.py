@@ -8,7 +8,6 @@ without an id is rejected at extraction), so plain equi-joins are exact.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 
 def merge_inner(listings: DataFrame, details: DataFrame, key: str = "house_id",
