@@ -17,11 +17,23 @@ from hearth.functions.images import data_uri, resize_thumb, tidy_url
 from hearth.functions.text import col_, java_pattern, let
 
 # Gallery markup and the description that marks a floor plan.
-GALLERY_BLOCK_RE = r'(?s)<ul[^>]*class="smallpic"[^>]*>(.*?)</ul>'
+GALLERY_BLOCK_RE = r'(?s)<ul\b[^>]*\bclass="(?:[^"]*\s)?smallpic(?:\s[^"]*)?"[^>]*>(.*?)</ul>'
 ITEM_RE = r"(?s)<li\b[^>]*>.*?</li>"
 ITEM_DESC_RE = r'^<li\b[^>]*\bdata-desc="([^"]*)"'
-ITEM_IMG_RE = r'(?s)<img\b[^>]*\bsrc="([^"]*)"'
+IMG_TAG_RE = r"(?s)<img\b[^>]*>"
+SRC_RE = r'\bsrc="([^"]*)"'
 PLAN_DESC = "户型图"
+# Character references decoded in attribute values (&amp; last).
+HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
+                 ("&amp;", "&")]
+
+
+def unescape_attr(c) -> Column:
+    """Attribute text as an HTML parser returns it, for the common references."""
+    out = col_(c)
+    for ref, ch in HTML_ENTITIES:
+        out = F.replace(out, F.lit(ref), F.lit(ch))
+    return out
 MAX_PER_KIND = 8
 
 
@@ -35,17 +47,23 @@ def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Co
     """Gallery array from a detail page (null when there is no gallery list).
 
     Each ``li`` gives (url, descr): the ``data-desc`` attribute ('' when absent)
-    and the ``src`` of its first ``img``, tidied and resized; a ``li`` without an
-    image is skipped; a repeated url keeps its first position and last descr.
+    and the ``src`` of its first ``img``, tidied and resized; a ``li`` whose
+    first ``img`` is missing or has no ``src`` is skipped; a repeated url keeps
+    its first position and last descr.  Attribute values are unescaped.
     """
-    img_re, desc_re = java_pattern(ITEM_IMG_RE), java_pattern(ITEM_DESC_RE)
+    img_re, src_re = java_pattern(IMG_TAG_RE), java_pattern(SRC_RE)
+    desc_re = java_pattern(ITEM_DESC_RE)
 
     def from_block(block):
         items = F.regexp_extract_all(block, F.lit(java_pattern(ITEM_RE)), 0)
-        with_img = F.filter(items, lambda li: li.rlike(img_re))
-        pairs = F.transform(with_img, lambda li: F.struct(
-            resize_thumb(tidy_url(F.regexp_extract(li, img_re, 1)), origin, dest).alias("url"),
-            F.coalesce(F.when(li.rlike(desc_re), F.regexp_extract(li, desc_re, 1)),
+        imgs = F.transform(items, lambda li: F.struct(
+            li.alias("li"), F.regexp_extract(li, img_re, 0).alias("img")))
+        with_src = F.filter(imgs, lambda x: x["img"].rlike(src_re))
+        pairs = F.transform(with_src, lambda x: F.struct(
+            resize_thumb(tidy_url(unescape_attr(F.regexp_extract(x["img"], src_re, 1))),
+                         origin, dest).alias("url"),
+            F.coalesce(F.when(x["li"].rlike(desc_re),
+                              unescape_attr(F.regexp_extract(x["li"], desc_re, 1))),
                        F.lit("")).alias("descr")))
         return F.when(block.isNotNull(), dict_assign(pairs))
 

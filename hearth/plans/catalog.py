@@ -386,12 +386,13 @@ def gallery_extract(spark, sf):
         F.lit('<li data-desc="户型图" data-index="0"><img src=" `'), base, F.lit('/plan.120x80.jpg` " alt=""></li>'),
         F.lit('<li data-desc="客厅"><img class="x" src="'), base, F.lit('/a.120x80.jpg"></li>'),
         F.lit('<li data-desc="卧室"><span>no image</span></li>'),
-        F.lit('<li><img src="'), base, F.lit('/b.120x80.jpg"></li>'),
+        F.lit('<li data-desc="书房"><img class="lazy"><img src="'), base, F.lit('/c.120x80.jpg"></li>'),
+        F.lit('<li><img src="'), base, F.lit('/b.120x80.jpg?v=1&amp;s=2"></li>'),
         F.when(F.col("p_size") % 3 == 0,
                F.concat(F.lit('<li data-desc="'), F.col("p_type"), F.lit('"><img src="'), base,
                         F.lit('/a.120x80.jpg"></li>'))).otherwise(F.lit("")))
     block = F.when(F.col("p_size") % 10 == 0, F.lit("")).otherwise(
-        F.concat(F.lit('<ul class="smallpic">'), items, F.lit("</ul>")))
+        F.concat(F.lit('<ul class="thumbs smallpic">'), items, F.lit("</ul>")))
     html = F.concat(F.lit('<html><body><div class="thumbnail">'), block, F.lit("</div></body></html>"))
     pages = part.select(F.col("p_partkey").alias("house_id"),
                         F.concat(F.lit("https://h.example/ershoufang/"), k, F.lit(".html")).alias("link"),

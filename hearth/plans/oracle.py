@@ -61,6 +61,12 @@ def data_uri(content: str) -> str:
     return f"(CASE WHEN {content} IS NULL THEN '' ELSE 'data:image/' || {sniff(b)} || ';base64,' || {b} END)"
 
 
+def unescape(e: str) -> str:
+    for ref, ch in G.HTML_ENTITIES:
+        e = f"replace({e}, {q(ref)}, {q(ch)})"
+    return e
+
+
 UNIT = "(CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END)"
 BASE = q(C.SITE.base)
 
@@ -171,10 +177,11 @@ def _gallery_html_sql() -> str:
     items = (f"'<li data-desc=\"户型图\" data-index=\"0\"><img src=\" `' || {base} || '/plan.120x80.jpg` \" alt=\"\"></li>' || "
              f"'<li data-desc=\"客厅\"><img class=\"x\" src=\"' || {base} || '/a.120x80.jpg\"></li>' || "
              f"'<li data-desc=\"卧室\"><span>no image</span></li>' || "
-             f"'<li><img src=\"' || {base} || '/b.120x80.jpg\"></li>' || "
+             f"'<li data-desc=\"书房\"><img class=\"lazy\"><img src=\"' || {base} || '/c.120x80.jpg\"></li>' || "
+             f"'<li><img src=\"' || {base} || '/b.120x80.jpg?v=1&amp;s=2\"></li>' || "
              f"(CASE WHEN p_size % 3 = 0 THEN '<li data-desc=\"' || p_type || '\"><img src=\"' || {base} || "
              f"'/a.120x80.jpg\"></li>' ELSE '' END)")
-    block = f"(CASE WHEN p_size % 10 = 0 THEN '' ELSE '<ul class=\"smallpic\">' || {items} || '</ul>' END)"
+    block = f"(CASE WHEN p_size % 10 = 0 THEN '' ELSE '<ul class=\"thumbs smallpic\">' || {items} || '</ul>' END)"
     return f"'<html><body><div class=\"thumbnail\">' || {block} || '</div></body></html>'"
 
 
@@ -352,11 +359,13 @@ WITH p AS (SELECT p_partkey AS house_id, {_gallery_html_sql()} AS html FROM part
 b AS (SELECT house_id, regexp_extract(html, {q(G.GALLERY_BLOCK_RE)}, 1) AS block FROM p
       WHERE regexp_matches(html, {q(G.GALLERY_BLOCK_RE)})),
 it AS (SELECT house_id, regexp_extract_all(block, {q(G.ITEM_RE)}) AS items FROM b),
-e AS (SELECT house_id, i AS ord, items[i] AS li FROM it, range(1, len(items) + 1) q(i)),
+e AS (SELECT house_id, i AS ord, items[i] AS li, regexp_extract(items[i], {q(G.IMG_TAG_RE)}, 0) AS img
+      FROM it, range(1, len(items) + 1) q(i)),
 w AS (SELECT house_id, ord,
-        replace(trim({strip(f"regexp_extract(li, {q(G.ITEM_IMG_RE)}, 1)")}, '`'), '120x80', '450x300') AS url,
-        CASE WHEN regexp_matches(li, {q(G.ITEM_DESC_RE)}) THEN regexp_extract(li, {q(G.ITEM_DESC_RE)}, 1) ELSE '' END AS descr
-      FROM e WHERE regexp_matches(li, {q(G.ITEM_IMG_RE)})),
+        replace(trim({strip(unescape(f"regexp_extract(img, {q(G.SRC_RE)}, 1)"))}, '`'), '120x80', '450x300') AS url,
+        CASE WHEN regexp_matches(li, {q(G.ITEM_DESC_RE)})
+             THEN {unescape(f"regexp_extract(li, {q(G.ITEM_DESC_RE)}, 1)")} ELSE '' END AS descr
+      FROM e WHERE regexp_matches(img, {q(G.SRC_RE)})),
 d AS (SELECT house_id, url, min(ord) AS first_ord, arg_max(descr, ord) AS descr FROM w GROUP BY house_id, url)
 SELECT house_id, CAST(row_number() OVER (PARTITION BY house_id ORDER BY first_ord) - 1 AS INTEGER) AS pos, url, descr
 FROM d""",

@@ -203,3 +203,12 @@ def test_stage_metrics(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "x int")
     m = {r.name: r.value for r in metrics.stage_metrics(df, "s", {"total": None, "big": F.col("x") > 1}).collect()}
     assert m == {"total": 3, "big": 2}
+
+
+def test_gallery_follows_html_parser_semantics(spark):
+    html = ('<ul class="a smallpic b">'
+            '<li data-desc="A&amp;B"><img class="lazy"><img src="http://i/x.jpg"></li>'  # first img has no src
+            '<li data-desc="户型图"><img src="http://i/y.jpg?a=1&amp;b=2"></li></ul>')
+    df = spark.createDataFrame([(1, "l", html)], "house_id bigint, link string, html string")
+    g = gallery.extract_details(df).first().gallery
+    assert [(e.url, e.descr) for e in g] == [("http://i/y.jpg?a=1&b=2", "户型图")]
