@@ -18,7 +18,7 @@ from hearth.functions.text import (
 )
 
 # Markup patterns of a listing page (regular expressions).
-CARD_MARKER = r'<div class="info clear"[^>]*>'
+CARD_MARKER = r'<[a-zA-Z][a-zA-Z0-9]*\s(?:[^>]*\s)?class="info clear"[^>]*>'
 CARD_END = "</li>"
 ID_RE = r'data-housecode="(.*?)"'
 TITLE_RE = r'target="_blank">(.*?)</a><!--'

@@ -212,3 +212,11 @@ def test_gallery_follows_html_parser_semantics(spark):
     df = spark.createDataFrame([(1, "l", html)], "house_id bigint, link string, html string")
     g = gallery.extract_details(df).first().gallery
     assert [(e.url, e.descr) for e in g] == [("http://i/y.jpg?a=1&b=2", "户型图")]
+
+
+def test_card_marker_any_tag_any_attribute_order(spark):
+    c = fx.card(house_id="5")
+    html = fx.page(c.replace('<div class="info clear">', '<section data-x="1" class="info clear">'),
+                   c.replace('<div class="info clear">', '<div class="clear info">'))
+    got = [r.house_id for r in extract.kept(extract.extract_listings(pages_df(spark, html))).collect()]
+    assert got == [5]
