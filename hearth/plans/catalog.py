@@ -309,10 +309,11 @@ def gallery_encode(spark, sf):
     first8 = top_per_key(orders, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")], 8)
     ent = _ordered_entries(first8, "o_custkey", ["o_orderdate", "o_orderkey"],
                            F.col("o_orderpriority"), F.col("o_orderkey").cast("string"))
-    g = codec.dict_assign(F.col("entries"))
-    return ent.select("o_custkey", codec.encode_keys(g).alias("urls"),
-                      codec.encode_pairs(g).alias("url_dict"),
-                      F.size(g).cast("bigint").alias("n"))
+    # the gallery is used three times: build it in its own projection
+    gal = ent.select("o_custkey", codec.dict_assign(F.col("entries")).alias("g"))
+    return gal.select("o_custkey", codec.encode_keys("g").alias("urls"),
+                      codec.encode_pairs("g").alias("url_dict"),
+                      F.size("g").cast("bigint").alias("n"))
 
 
 def _event_texts(spark, sf) -> DataFrame:
@@ -341,14 +342,14 @@ def image_kind_split(spark, sf):
                            F.col("event_id").cast("string"), F.col("event_type"))
     g = F.transform("entries", lambda x, i: F.struct(i.alias("pos"), x["url"].alias("url"),
                                                      x["descr"].alias("descr")))
-    plans = gallery.kind(g, True, plan_desc="purchase")
-    rooms = gallery.kind(g, False, plan_desc="purchase")
-    first = lambda a: F.coalesce(F.get(a, 0)["url"], F.lit(""))
-    return ent.select(
+    kinds = ent.select("user_id", gallery.kind(g, True, plan_desc="purchase").alias("plans"),
+                       gallery.kind(g, False, plan_desc="purchase").alias("rooms"))
+    first = lambda a: F.coalesce(F.get(F.col(a), 0)["url"], F.lit(""))
+    return kinds.select(
         "user_id",
-        F.array_join(F.transform(plans, lambda x: x["url"]), ";").alias("plan_urls"),
-        F.array_join(F.transform(rooms, lambda x: x["url"]), ";").alias("room_urls"),
-        F.concat(F.lit("户型图: "), first(plans), F.lit("; 房屋图片: "), first(rooms)).alias("preview"))
+        F.array_join(F.transform("plans", lambda x: x["url"]), ";").alias("plan_urls"),
+        F.array_join(F.transform("rooms", lambda x: x["url"]), ";").alias("room_urls"),
+        F.concat(F.lit("户型图: "), first("plans"), F.lit("; 房屋图片: "), first("rooms")).alias("preview"))
 
 
 def thumb_rewrite(spark, sf):
