@@ -78,3 +78,14 @@ def test_scoring_runs_outside_the_repo_folder(scratch):
     out = subprocess.run([sys.executable, "-c", code], cwd=scratch, capture_output=True,
                          text=True, timeout=600)
     assert "rows 200" in out.stdout, out.stderr[-2000:]
+
+
+def test_extraction_is_one_narrow_stage(spark):
+    """pages -> listings and detail pages -> galleries run without a shuffle."""
+    from hearth.operators import extract, gallery
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    parsed = extract.kept(extract.extract_listings(pages.withColumn("district", pages["url"])))
+    details = gallery.extract_details(pages.select(pages["page_id"].alias("house_id"),
+                                                   pages["url"].alias("link"), "html"))
+    for df in (parsed, details):
+        assert "Exchange" not in plan_of(df)

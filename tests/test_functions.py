@@ -143,3 +143,13 @@ def test_data_uri_has_no_line_breaks(spark):
     uri = one(spark, images.data_uri(F.unhex(F.col("s"))), "FFD8FF" + "00" * 200)
     assert uri.startswith("data:image/jpeg;base64,/9j/") and "\n" not in uri and "\r" not in uri
     assert one(spark, images.data_uri(F.col("b")), None, "b binary") == ""
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(max_size=12),
+                          st.integers(0, 10**6).map(lambda n: f"满意分: {n}分。"),
+                          st.integers(0, 999).map(lambda n: f"x 满意分：{n}")), min_size=1, max_size=20))
+def test_score_is_null_or_in_range(spark, replies):
+    from hearth.operators import score
+    got = many(spark, score.parse_score("s"), replies)
+    assert all(v is None or 0 <= v <= 100 for v in got)
