@@ -68,10 +68,15 @@ def ship_package(spark: SparkSession) -> None:
 
     Jobs that run Python on executors (the model call) pickle functions of
     this package by reference, so the workers must import it; the package is
-    zipped and added with ``addPyFile``, which copies it to every executor.
+    zipped and added with ``addPyFile`` (``addArtifacts`` under Spark Connect),
+    which copies it to every executor.
     """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc, app = None, f"connect-{spark.session_id if hasattr(spark, 'session_id') else id(spark)}"
+    if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     base = os.path.dirname(pkg)
@@ -82,5 +87,8 @@ def ship_package(spark: SparkSession) -> None:
                 if n.endswith(".py"):
                     full = os.path.join(root, n)
                     z.write(full, os.path.relpath(full, base))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
+    if sc is not None:
+        sc.addPyFile(path)
+    else:
+        spark.addArtifacts(path, pyfile=True)
+    _SHIPPED.add(app)
