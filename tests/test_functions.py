@@ -153,3 +153,10 @@ def test_score_is_null_or_in_range(spark, replies):
     from hearth.operators import score
     got = many(spark, score.parse_score("s"), replies)
     assert all(v is None or 0 <= v <= 100 for v in got)
+
+
+def test_data_uri_roundtrip(spark):
+    raw = bytes.fromhex("89504E470D0A1A0A") + bytes(range(256)) * 3
+    df = spark.createDataFrame([(raw,)], "b binary")
+    back = df.select(images.data_uri_bytes(images.data_uri("b")).alias("o")).first().o
+    assert bytes(back) == raw
