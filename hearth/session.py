@@ -30,6 +30,28 @@ SESSION_DEFAULTS = {
 }
 
 
+def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
+    """Settings for large runs (e.g. 1000 executors over ~100 TB of pages).
+
+    Shuffles start with ~3 partitions per core and AQE coalesces them to
+    ~256 MB each, preferring that size over parallelism; a partition five times
+    the median (and over 512 MB) counts as skewed and is split.  Input splits
+    stay at 256 MB: pages are large strings, and a split that size keeps a task's
+    parsed cards within executor memory.
+    """
+    cores = executors * cores_per_executor
+    return {
+        **{k: v for k, v in SESSION_DEFAULTS.items() if k != "spark.ui.enabled"},
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "hearth", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
