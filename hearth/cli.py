@@ -73,10 +73,14 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--user_input", default="")
     a.add_argument("--client", default="offline")
 
-    e = sub.add_parser("export", help="write a stage as CSV")
+    e = sub.add_parser("export", help="write a stage as CSV (galleries as urls / url_dict text)")
     e.add_argument("--stage", required=True, choices=files.STAGES)
     e.add_argument("--out", required=True)
 
+    im = sub.add_parser("import", help="load a stage from CSV files of an earlier run")
+    im.add_argument("--stage", required=True, choices=("listings", "screened", "details", "final"))
+    im.add_argument("--csv", required=True)
+
     args = p.parse_args(argv)
     spark = _session()
     root, dt = args.root, args.dt
@@ -117,9 +121,43 @@ def main(argv: list[str] | None = None) -> int:
         for r in score.reply_batch(prompts, _factory(args.client)).collect():
             print(r.reply)
     elif args.step == "export":
-        files.write_csv_table(files.read_stage(spark, root, args.stage, dt=dt), args.out)
+        df = files.read_stage(spark, root, args.stage, dt=dt)
+        if "gallery" in df.columns:
+            df = gallery_as_text(df)
+        files.write_csv_table(df.drop("dt"), args.out)
+    elif args.step == "import":
+        files.write_stage(import_csv(spark, args.stage, args.csv).withColumn("dt", F.lit(dt)),
+                          root, args.stage)
     return 0
 
 
+def gallery_as_text(df):
+    """Replace ``gallery`` by its text form: ``urls`` ('u1;u2') and ``url_dict`` ('u1##d1;...')."""
+    from hearth.functions.codec import encode_keys, encode_pairs
+    return (df.withColumn("urls", encode_keys("gallery"))
+            .withColumn("url_dict", encode_pairs("gallery")).drop("gallery"))
+
+
+def import_csv(spark: SparkSession, stage: str, path: str):
+    """An earlier run's CSV file as a stage table.
+
+    Legacy column names are mapped, the index column dropped, text galleries
+    decoded; ``seq`` keeps the file's row order (ids grow with file split and row).
+    """
+    from hearth.functions.codec import decode_pairs
+    base = schema.LISTINGS if stage == "listings" else schema.SCREENED
+    if stage == "details":
+        df = files.read_csv_table(spark, path, schema.DETAILS_TEXT)
+        return df.select("house_id", "link", decode_pairs(F.col("url_dict")).alias("gallery"))
+    fields = [f for f in base.fields if f.name not in ("seq", "dt")]
+    if stage == "final":
+        fields = fields + [schema.T.StructField("url_dict", schema.T.StringType())]
+    df = files.read_csv_table(spark, path, schema.T.StructType(fields))
+    df = df.withColumn("seq", F.monotonically_increasing_id())
+    if stage == "final":
+        df = df.withColumn("gallery", decode_pairs(F.col("url_dict"))).drop("url_dict")
+    return df
+
+
 if __name__ == "__main__":
     sys.exit(main())

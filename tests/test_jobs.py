@@ -195,3 +195,31 @@ def test_cli_steps(spark, scratch, capsys):
     out = os.path.join(scratch, "final_csv")
     cli.main(base + ["export", "--stage", "final", "--out", out])
     assert any(f.startswith("part-") for f in os.listdir(out))
+
+
+def test_cli_import_and_export_text_galleries(spark, scratch):
+    from hearth import cli
+    root = os.path.join(scratch, "stages")
+    det_csv = os.path.join(scratch, "dt_20250508_cut_details.csv")
+    with open(det_csv, "w", encoding="utf-8") as fh:
+        fh.write("house_id,link,urls,url_dict\n")
+        fh.write("11,l11,u1;u2,u1##户型图;u2##客厅\n")
+        fh.write("14,l14,,\n")
+    lst_csv = os.path.join(scratch, "dt_20250508_cut.csv")
+    with open(lst_csv, "w", encoding="utf-8-sig") as fh:
+        fh.write(",house_id,title,total_price,unit_price,hourse_type,hourse_size,level,"
+                 "is_high_level,is_unit_price_high,is_total_price_high\n")
+        fh.write("0,11,a,98.0,11000.0,2室1厅,89.5,低楼层,0,0,0\n")
+        fh.write("1,14,b,80.0,9500.0,1室1厅,45.0,中楼层,0,0,0\n")
+    base = ["--root", root, "--dt", DT]
+    cli.main(base + ["import", "--stage", "details", "--csv", det_csv])
+    cli.main(base + ["import", "--stage", "screened", "--csv", lst_csv])
+    det = {r.house_id: r.gallery for r in files.read_stage(spark, root, "details", dt=DT).collect()}
+    assert [(e.url, e.descr) for e in det[11]] == [("u1", "户型图"), ("u2", "客厅")] and det[14] == []
+    scr = files.read_stage(spark, root, "screened", dt=DT).orderBy("seq").collect()
+    assert [r.house_type for r in scr] == ["2室1厅", "1室1厅"]
+    cli.main(base + ["merge"])
+    out = os.path.join(scratch, "final_csv")
+    cli.main(base + ["export", "--stage", "final", "--out", out])
+    back = spark.read.option("header", True).csv(out).orderBy("house_id").collect()
+    assert back[0]["url_dict"] == "u1##户型图;u2##客厅" and back[1]["url_dict"] is None
