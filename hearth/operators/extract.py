@@ -150,15 +150,14 @@ def extract_listings(pages: DataFrame, district: Column | None = None,
                      card_end: str | None = CARD_END) -> DataFrame:
     """pages(page_id, url, html[, district]) -> parsed cards with ``reject_reason``.
 
-    Split the result with ``kept`` / ``rejected``; write it once (partitioned by
-    outcome) when both halves are needed, so the pages are parsed a single time.
+    Split the result with ``kept`` / ``rejected``; persist it (or write it) first
+    when both halves are needed, so the pages are parsed a single time.
     """
     if district is None:
         district = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
-    keep = [c for c in ("page_id", "url", "district_in", "dt") if c in pages.columns]
-    src = pages.withColumn("district_in", district) if "district_in" not in pages.columns else pages
-    keep = list(dict.fromkeys(keep + ["district_in"]))
-    cards = explode_cards(src, marker=marker, card_end=card_end, keep=keep)
+    keep = [c for c in ("page_id", "url", "dt") if c in pages.columns] + ["district_in"]
+    cards = explode_cards(pages.withColumn("district_in", district), marker=marker,
+                          card_end=card_end, keep=keep)
     parsed = parse_cards(cards, F.col("district_in"), site)
     return (parsed.withColumn("seq", F.col("page_id") * SEQ_STRIDE + F.col("pos"))
             .drop("district_in"))
