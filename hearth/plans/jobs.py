@@ -15,12 +15,12 @@ for the same day replaces only that day's partition.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators import enrich, extract, gallery, metrics, prompt, score, screen
 from hearth.schema import FLAG_COLUMNS
+from hearth.session import checkpoint_root
 from hearth.sources import files, regions
 
 
@@ -28,6 +28,16 @@ def _with_dt(df: DataFrame, dt: str) -> DataFrame:
     return df.withColumn("dt", F.lit(dt))
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+
+    Used where one computation feeds several writes: it runs once, and a lost
+    executor costs no recomputation of the pages behind it.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _record(m: DataFrame, root: str, dt: str) -> None:
     """Append counters to the ``metrics`` stage (computed now, while inputs exist)."""
     files.append_stage(_with_dt(m, dt), root, "metrics")
@@ -56,17 +66,13 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     if debug:
         pages = pages.filter(F.col("url").rlike(r"/pg1/?$"))
     parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
-    # kept rows do not need their card HTML any more: persist it for rejects only
-    parsed = parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(), F.col("card")))
-    parsed = parsed.persist(StorageLevel.DISK_ONLY)
-    try:
-        files.write_stage(extract.kept(parsed), root, "listings")
-        files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
-        _record(metrics.stage_metrics(parsed, "collect", {
-            "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
-        return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
-    finally:
-        parsed.unpersist()
+    # kept rows do not need their card HTML any more: keep it for rejects only
+    parsed = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(), F.col("card"))))
+    files.write_stage(extract.kept(parsed), root, "listings")
+    files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
+    _record(metrics.stage_metrics(parsed, "collect", {
+        "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
+    return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
 
 
 def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10):
@@ -107,19 +113,18 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
     if debug_num > 0:
         todo = todo.orderBy("seq").limit(debug_num)
     pages = detail_pages.join(todo.select("house_id"), "house_id", "left_semi")
-    pages = pages.persist(StorageLevel.DISK_ONLY)
-    try:
-        new = _with_dt(gallery.extract_details(pages), dt)
-        files.append_stage(new, root, "details")
-        _record(metrics.stage_metrics(
-            pages.select(gallery.gallery_block(F.col("html")).isNotNull().alias("found"),
-                         F.col("html").isNull().alias("failed")),
-            "details", {"pages": None, "found": F.col("found"),
-                        "missing": ~F.col("found") & ~F.col("failed"),
-                        "failed": F.col("failed")}), root, dt)
-        return read_metrics(spark, root, dt).filter(F.col("stage") == "details")
-    finally:
-        pages.unpersist()
+    # one row per page without its HTML: the gallery (null when the page has
+    # no gallery list) and whether the page text is missing
+    per_page = _cut(pages.select("house_id", "link",
+                                 gallery.gallery_from_html(F.col("html")).alias("gallery"),
+                                 F.col("html").isNull().alias("failed")))
+    new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
+    files.append_stage(_with_dt(new, dt), root, "details")
+    found = F.col("gallery").isNotNull()
+    _record(metrics.stage_metrics(per_page, "details", {
+        "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
+        "failed": F.col("failed")}), root, dt)
+    return read_metrics(spark, root, dt).filter(F.col("stage") == "details")
 
 
 def merge_stage(spark: SparkSession, root: str, dt: str) -> None:
