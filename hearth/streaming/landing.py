@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hearth.operators import enrich, gallery
+from hearth.operators import enrich, gallery, metrics
 from hearth.session import checkpoint_root
 from hearth.sources import files
 
@@ -24,13 +24,25 @@ DETAIL_PAGES_SCHEMA = "house_id bigint, link string, html string"
 def _append_new(root: str, dt: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = gallery.extract_details(batch)
+        # one slim row per page (gallery or null), used for the rows and the counters
+        per_page = batch.select("house_id", "link",
+                                gallery.gallery_from_html(F.col("html")).alias("gallery"),
+                                F.col("html").isNull().alias("failed")).persist()
         try:
-            done = files.read_stage(spark, root, "details", dt=dt).select("house_id")
-            new = enrich.pending(new, done)
-        except Exception:  # no details stored yet
-            pass
-        files.append_stage(new.withColumn("dt", F.lit(dt)), root, "details")
+            new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
+            try:
+                done = files.read_stage(spark, root, "details", dt=dt).select("house_id")
+                new = enrich.pending(new, done)
+            except Exception:  # no details stored yet
+                pass
+            files.append_stage(new.withColumn("dt", F.lit(dt)), root, "details")
+            found = F.col("gallery").isNotNull()
+            m = metrics.stage_metrics(per_page, f"landing/{batch_id}", {
+                "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
+                "failed": F.col("failed")})
+            files.append_stage(m.withColumn("dt", F.lit(dt)), root, "metrics")
+        finally:
+            per_page.unpersist()
     return run
 
 

@@ -118,6 +118,9 @@ def test_streaming_landing(spark, scratch):
     assert files.read_stage(spark, root, "details", dt=DT).count() == 1
     assert files.read_stage(spark, root, "details", dt=DT).select(F.col("gallery")[0]["url"]).first()[0] \
         == "http://i/a.450x300.jpg"
+    m = files.read_stage(spark, root, "metrics", dt=DT).filter(F.col("stage") == "landing/0")
+    assert {(r.name, r.value) for r in m.collect()} == {
+        ("pages", 2), ("found", 1), ("missing", 1), ("failed", 0)}
 
 
 def test_csv_export_starts_with_bom(spark, scratch):
