@@ -6,6 +6,8 @@ duplicate map keys raise.  Dict assignment semantics (a repeated key keeps
 its first position and takes the last value) are rebuilt per row with
 higher-order functions, so no shuffle is needed; a row's array is bounded
 by the one page or text it came from.
+
+SURVEY IDs: P13, P14, P15, P18.
 """
 
 from __future__ import annotations

@@ -1,4 +1,7 @@
-"""Image URL and data-URI helpers (all JVM-side expressions)."""
+"""Image URL and data-URI helpers (all JVM-side expressions).
+
+SURVEY IDs: P11, P12, M2.
+"""
 
 from __future__ import annotations
 

@@ -4,6 +4,8 @@ Everything here returns a ``Column`` and stays inside whole-stage codegen:
 no Python runs per row.  The helpers reproduce the behaviour of the
 Python string calls the listing jobs were specified with (``str.strip``,
 ``re.findall(..)[0]``, ``str.split``, ``float``) where Spark's built-ins differ.
+
+SURVEY IDs: P2, P3, P5, P6, P7, P16 and the scalar functions of 2.9.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 Bag semantics throughout, as in the stage files: a listing that appears twice
 and has two detail rows yields four merged rows.  Keys are never null (a card
 without an id is rejected at extraction), so plain equi-joins are exact.
+
+SURVEY IDs: J1, J2, P17, U1, U2, S8, L2.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 One narrow stage: split each page into cards (``posexplode``), pull fields with
 regular expressions, type them, and label every card that cannot become a
 listing with the first reason it fails.  No shuffle until the caller writes.
+
+SURVEY IDs: S1, S3, S4, L5, P1-P9, P16, A5.
 """
 
 from __future__ import annotations

@@ -5,6 +5,8 @@ narrow stage.  Attaching image bytes is the only shuffle: gallery entries are
 exploded, joined to the image table on url, and re-collected per listing.  The
 8-per-kind slice happens before that join, so each listing contributes at most
 16 rows and every re-collected group is bounded.
+
+SURVEY IDs: P10-P15, F6-F8, L4, L6, J3, A6, M2 (with functions/images.py).
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 Counts are conditional aggregates computed in a single pass over a stage
 (one partial aggregate per task, one tiny final row), then unpivoted.
+
+SURVEY IDs: A4, A5.
 """
 
 from __future__ import annotations

@@ -2,6 +2,8 @@
 
 These limits are features (a debug run, a quick look), not ways to make a job
 cheaper; full runs never pass through them.
+
+SURVEY IDs: L2, L3, L6.
 """
 
 from __future__ import annotations

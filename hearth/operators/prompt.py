@@ -3,6 +3,8 @@
 A prompt is built per request ``(house_id, wish_id)``: requests are the input,
 so a buyer scoring every listing passes one request per listing (see
 ``requests_for_wish``) and no pair is ever generated by a cross join.
+
+SURVEY IDs: M1, M3, M4, M7, W1, W2, F5 (batch form).
 """
 
 from __future__ import annotations

@@ -6,6 +6,8 @@ calls in flight per task.  Everything around it (score parsing, shortlist)
 is native.  Replies are keyed by ``(house_id, wish_id)``: write them to a table
 and anti-join already answered keys before calling again, because Spark may
 re-run a task and every re-run repeats paid calls.
+
+SURVEY IDs: M5, M6, A7.
 """
 
 from __future__ import annotations

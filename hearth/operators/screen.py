@@ -3,6 +3,8 @@
 All flags are native expressions (one codegen stage, no Python).  A value
 that is missing, unparseable or NaN never raises a flag, and equality with the
 threshold does not either (the test is strictly greater).
+
+SURVEY IDs: F1-F4, A1-A3, L1.
 """
 
 from __future__ import annotations

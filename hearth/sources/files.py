@@ -3,6 +3,8 @@
 Layout: ``<root>/<stage>/dt=<yyyyMMdd>/part-*.parquet``.  Stages are
 ``listings``, ``rejects``, ``screened``, ``details``, ``final``, ``prompts``,
 ``replies`` and ``metrics``.
+
+SURVEY IDs: S5-S9.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 A fixed, tiny table (a handful of rows per city), so broadcasting it is safe
 by construction.  Only the scope name 'small' selects the small scope; any
 other name means all districts.
+
+SURVEY IDs: S2.
 """
 
 from __future__ import annotations

@@ -6,6 +6,8 @@ have none yet.  The anti-join against the stored details makes a replayed
 micro-batch (after a failure) add nothing twice, so the sink is effectively
 exactly-once on top of the file commit protocol.  Progress lives in a
 checkpoint under the shared ``spark.checkpoint.dir``.
+
+SURVEY IDs: J2 + S8 run continuously.
 """
 
 from __future__ import annotations
