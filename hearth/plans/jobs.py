@@ -128,9 +128,15 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
 
 
 def merge_stage(spark: SparkSession, root: str, dt: str) -> None:
-    """screened x details -> ``final`` (inner join, duplicates multiply)."""
+    """screened x details -> ``final`` (inner join).
+
+    Every screened row with details is kept; the details side holds one row per
+    listing (one with a gallery first), so a listing stored several times among
+    the details does not multiply.  Prompts use a listing's first row and first
+    non-empty gallery only, so they are the same as after a multiplying merge.
+    """
     screened = files.read_stage(spark, root, "screened", dt=dt)
-    details = files.read_stage(spark, root, "details", dt=dt)
+    details = enrich.one_detail_per_key(files.read_stage(spark, root, "details", dt=dt))
     final = enrich.merge_inner(screened.drop("dt"), details, take=("gallery",))
     files.write_stage(_with_dt(final, dt), root, "final")
     stored = files.read_stage(spark, root, "final", dt=dt)

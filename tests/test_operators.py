@@ -220,3 +220,12 @@ def test_card_marker_any_tag_any_attribute_order(spark):
                    c.replace('<div class="info clear">', '<div class="clear info">'))
     got = [r.house_id for r in extract.kept(extract.extract_listings(pages_df(spark, html))).collect()]
     assert got == [5]
+
+
+def test_one_detail_per_key(spark):
+    det = spark.createDataFrame(
+        [(1, "b", []), (1, "a", [(0, "u", "x")]), (1, "c", [(0, "v", "y")]), (2, "z", [])],
+        "house_id bigint, link string, gallery array<struct<pos:int,url:string,descr:string>>")
+    got = {r.house_id: (r.link, [e.url for e in r.gallery])
+           for r in enrich.one_detail_per_key(det).collect()}
+    assert got == {1: ("a", ["u"]), 2: ("z", [])}
