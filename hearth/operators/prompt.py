@@ -189,8 +189,10 @@ def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
 
     # render only the listings asked for
     asked = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
+    # one wish per id, so a repeated wish id cannot multiply the prompts
+    one_wish = wishes.groupBy("wish_id").agg(F.min("user_input").alias("user_input"))
     rows = (requests.select(key, "wish_id")
-            .join(wishes.select("wish_id", "user_input"), "wish_id", "left")
+            .join(one_wish, "wish_id", "left")
             .join(asked, key, "left"))
     if images is not None:
         rows = rows.join(attach_images(asked.filter(F.col("gallery").isNotNull()), images, key),
