@@ -31,16 +31,32 @@ def dict_assign(arr, key="url", value="descr") -> Column:
     """Ordered-dict semantics over an array of (key, value) structs.
 
     First occurrence fixes a key's position, the last occurrence supplies its
-    value; positions are renumbered 0..n-1 (``pos``).
+    value; positions are renumbered 0..n-1 (``pos``).  O(n log n) per row: the
+    entries are sorted by (key, position), each key's first and last entries
+    are found by comparing neighbours, and the keys are put back in order of
+    first position.
     """
-    def build(a):
-        keys = F.array_distinct(F.transform(a, lambda x: x[key]))
-
-        def last_value(k):
-            return F.get(F.reverse(F.filter(a, lambda x: x[key].eqNullSafe(k))), 0)[value]
+    def by_key(sorted_):
+        n = F.size(sorted_)
+
+        def edge(x, j, step):
+            other = F.get(sorted_, j + step)["k"]
+            end = (j == 0) if step < 0 else (j == n - 1)
+            return end | ~other.eqNullSafe(x["k"])
+
+        firsts = F.filter(F.transform(sorted_, lambda x, j: F.when(edge(x, j, -1), x)),
+                          lambda x: x.isNotNull())
+        lasts = F.filter(F.transform(sorted_, lambda x, j: F.when(edge(x, j, 1), x)),
+                         lambda x: x.isNotNull())
+        merged = F.zip_with(firsts, lasts, lambda f, last: F.struct(
+            f["i"].alias("i"), f["k"].alias("k"), last["v"].alias("v")))
+        return F.transform(F.array_sort(merged), lambda x, pos: F.struct(
+            pos.alias("pos"), x["k"].alias(key), x["v"].alias(value)))
 
-        return F.transform(keys, lambda k, i: F.struct(i.alias("pos"), k.alias(key),
-                                                       last_value(k).alias(value)))
+    def build(a):
+        indexed = F.transform(a, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"),
+                                                       x[value].alias("v")))
+        return let(F.array_sort(indexed), by_key)
 
     return let(arr, build)
 

@@ -160,3 +160,16 @@ def test_data_uri_roundtrip(spark):
     df = spark.createDataFrame([(raw,)], "b binary")
     back = df.select(images.data_uri_bytes(images.data_uri("b")).alias("o")).first().o
     assert bytes(back) == raw
+
+
+def test_decode_large_text_is_python_dict(spark):
+    import random
+    rnd = random.Random(5)
+    pairs = [(f"k{rnd.randrange(900)}", f"v{i}") for i in range(4000)]
+    expected = {}
+    for k, v in pairs:
+        expected[k] = v
+    text_value = ";".join(f"{k}##{v}" for k, v in pairs)
+    g = one(spark, codec.decode_pairs("s"), text_value)
+    assert [(e.url, e.descr) for e in g] == list(expected.items())
+    assert [e.pos for e in g] == list(range(len(expected)))
