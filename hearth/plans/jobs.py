@@ -15,6 +15,8 @@ for the same day replaces only that day's partition.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,13 +31,30 @@ def _with_dt(df: DataFrame, dt: str) -> DataFrame:
 
 
 def _cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    Used where one computation feeds several writes: it runs once, and a lost
-    executor costs no recomputation of the pages behind it.
+    Used where one computation feeds several writes: it runs once, lineage is
+    cut (a lost executor costs no recomputation of the pages behind it), and a
+    columnar, compressed table is cheaper to write and re-read than a row
+    checkpoint.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _drop_cut(df: DataFrame) -> None:
+    """Remove the table behind a ``_cut`` frame once its writes are done (best effort)."""
+    try:
+        spark = df.sparkSession
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in df.inputFiles()[:1]:
+            table = jvm.org.apache.hadoop.fs.Path(p).getParent()
+            table.getFileSystem(conf).delete(table, True)
+    except Exception:  # e.g. no JVM access from a Connect client: the folder stays
+        pass
 
 
 def _record(m: DataFrame, root: str, dt: str) -> None:
@@ -68,10 +87,13 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
     # kept rows do not need their card HTML any more: keep it for rejects only
     parsed = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(), F.col("card"))))
-    files.write_stage(extract.kept(parsed), root, "listings")
-    files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
-    _record(metrics.stage_metrics(parsed, "collect", {
-        "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
+    try:
+        files.write_stage(extract.kept(parsed), root, "listings")
+        files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
+        _record(metrics.stage_metrics(parsed, "collect", {
+            "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
+    finally:
+        _drop_cut(parsed)
     return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
 
 
@@ -118,12 +140,15 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
     per_page = _cut(pages.select("house_id", "link",
                                  gallery.gallery_from_html(F.col("html")).alias("gallery"),
                                  F.col("html").isNull().alias("failed")))
-    new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
-    files.append_stage(_with_dt(new, dt), root, "details")
-    found = F.col("gallery").isNotNull()
-    _record(metrics.stage_metrics(per_page, "details", {
-        "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
-        "failed": F.col("failed")}), root, dt)
+    try:
+        new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
+        files.append_stage(_with_dt(new, dt), root, "details")
+        found = F.col("gallery").isNotNull()
+        _record(metrics.stage_metrics(per_page, "details", {
+            "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
+            "failed": F.col("failed")}), root, dt)
+    finally:
+        _drop_cut(per_page)
     return read_metrics(spark, root, dt).filter(F.col("stage") == "details")
 
 

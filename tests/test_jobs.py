@@ -226,3 +226,11 @@ def test_cli_import_and_export_text_galleries(spark, scratch):
     cli.main(base + ["export", "--stage", "final", "--out", out])
     back = spark.read.option("header", True).csv(out).orderBy("house_id").collect()
     assert back[0]["url_dict"] == "u1##户型图;u2##客厅" and back[1]["url_dict"] is None
+
+
+def test_intermediate_tables_are_removed(spark, scratch):
+    from hearth.session import checkpoint_root
+    root = os.path.join(scratch, "stages")
+    jobs.collect(spark, list_pages(spark), root, DT)
+    tables = os.path.join(checkpoint_root(spark).replace("file:", ""), "tables")
+    assert not os.path.isdir(tables) or os.listdir(tables) == []
