@@ -49,11 +49,17 @@ def write_stage(df: DataFrame, root: str, stage: str, mode: str = "overwrite",
 
 def read_stage(spark: SparkSession, root: str, stage: str, schema: T.StructType | None = None,
                dt: str | None = None) -> DataFrame:
-    """Read a stage table; ``dt`` prunes to one snapshot (partition pruning)."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    df = r.parquet(stage_path(root, stage))
+    """Read a stage table; ``dt`` prunes to one snapshot (partition pruning).
+
+    ``dt`` is read as text whatever the session's partition type inference says
+    (inferred, 20250508 would come back as a number).
+    """
+    path = stage_path(root, stage)
+    if schema is None:
+        schema = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name == "dt" else f
+                           for f in schema.fields])
+    df = spark.read.schema(schema).parquet(path)
     return df.filter(F.col("dt") == dt) if dt is not None else df
 
 

@@ -234,3 +234,15 @@ def test_intermediate_tables_are_removed(spark, scratch):
     jobs.collect(spark, list_pages(spark), root, DT)
     tables = os.path.join(checkpoint_root(spark).replace("file:", ""), "tables")
     assert not os.path.isdir(tables) or os.listdir(tables) == []
+
+
+def test_dt_stays_text_with_type_inference_on(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    files.write_stage(spark.createDataFrame([(1, DT)], "house_id bigint, dt string"), root, "listings")
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    spark.conf.set(key, "true")
+    try:
+        df = files.read_stage(spark, root, "listings", dt=DT)
+        assert dict(df.dtypes)["dt"] == "string" and df.count() == 1
+    finally:
+        spark.conf.set(key, "false")
