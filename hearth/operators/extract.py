@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.session import spread
 from hearth.functions.text import (
     col_, first_match, part, py_strip, required_match, split_parts, strict_double,
     title_clean,
@@ -158,8 +159,9 @@ def extract_listings(pages: DataFrame, district: Column | None = None,
     if district is None:
         district = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
     keep = [c for c in ("page_id", "url", "dt") if c in pages.columns] + ["district_in"]
-    cards = explode_cards(pages.withColumn("district_in", district), marker=marker,
-                          card_end=card_end, keep=keep)
+    src = spread(pages.select(*[c for c in keep if c != "district_in"], "html",
+                              district.alias("district_in")))
+    cards = explode_cards(src, marker=marker, card_end=card_end, keep=keep)
     parsed = parse_cards(cards, F.col("district_in"), site)
     return (parsed.withColumn("seq", F.col("page_id") * SEQ_STRIDE + F.col("pos"))
             .drop("district_in"))

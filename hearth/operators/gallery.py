@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from hearth.functions.codec import decode_pairs, dict_assign, encode_keys, encode_pairs
 from hearth.functions.images import data_uri, resize_thumb, tidy_url
 from hearth.functions.text import col_, java_pattern, let
+from hearth.session import spread
 
 # Gallery markup and the description that marks a floor plan.
 GALLERY_BLOCK_RE = r'(?s)<ul\b[^>]*\bclass="(?:[^"]*\s)?smallpic(?:\s[^"]*)?"[^>]*>(.*?)</ul>'
@@ -79,6 +80,7 @@ def extract_details(detail_pages: DataFrame, key: str = "house_id", link: str =
     Pages without a gallery list give no row (they are retried on the next run).
     """
     g = gallery_from_html(F.col(html))
+    detail_pages = spread(detail_pages.select(key, link, html))
     # explode([g] without nulls) drops pages without a gallery in the same
     # operator that computes it (a filter on g would be pushed below and
     # evaluate the extraction twice)

