@@ -30,7 +30,7 @@ def _with_dt(df: DataFrame, dt: str) -> DataFrame:
     return df.withColumn("dt", F.lit(dt))
 
 
-def _cut(df: DataFrame) -> DataFrame:
+def _cut(df: DataFrame) -> tuple[DataFrame, str]:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     Used where one computation feeds several writes: it runs once, lineage is
@@ -41,18 +41,16 @@ def _cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
-def _drop_cut(df: DataFrame) -> None:
-    """Remove the table behind a ``_cut`` frame once its writes are done (best effort)."""
+def _drop_cut(spark: SparkSession, path: str) -> None:
+    """Remove a ``_cut`` table once its writes are done (best effort)."""
     try:
-        spark = df.sparkSession
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for p in df.inputFiles()[:1]:
-            table = jvm.org.apache.hadoop.fs.Path(p).getParent()
-            table.getFileSystem(conf).delete(table, True)
+        table = jvm.org.apache.hadoop.fs.Path(path)
+        table.getFileSystem(conf).delete(table, True)
     except Exception:  # e.g. no JVM access from a Connect client: the folder stays
         pass
 
@@ -86,14 +84,15 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
         pages = pages.filter(F.col("url").rlike(r"/pg1/?$"))
     parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
     # kept rows do not need their card HTML any more: keep it for rejects only
-    parsed = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(), F.col("card"))))
+    parsed, cut = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(),
+                                                        F.col("card"))))
     try:
         files.write_stage(extract.kept(parsed), root, "listings")
         files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
         _record(metrics.stage_metrics(parsed, "collect", {
             "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
     finally:
-        _drop_cut(parsed)
+        _drop_cut(spark, cut)
     return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
 
 
@@ -137,7 +136,7 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
     pages = detail_pages.join(todo.select("house_id"), "house_id", "left_semi")
     # one row per page without its HTML: the gallery (null when the page has
     # no gallery list) and whether the page text is missing
-    per_page = _cut(pages.select("house_id", "link",
+    per_page, cut = _cut(pages.select("house_id", "link",
                                  gallery.gallery_from_html(F.col("html")).alias("gallery"),
                                  F.col("html").isNull().alias("failed")))
     try:
@@ -148,7 +147,7 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
             "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
             "failed": F.col("failed")}), root, dt)
     finally:
-        _drop_cut(per_page)
+        _drop_cut(spark, cut)
     return read_metrics(spark, root, dt).filter(F.col("stage") == "details")
 
 
