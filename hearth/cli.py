@@ -72,6 +72,8 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--house_id", type=int, required=True)
     a.add_argument("--user_input", default="")
     a.add_argument("--client", default="offline")
+    a.add_argument("--images", default=None, help="folder of landed image files")
+    a.add_argument("--image_url_root", default=None)
 
     e = sub.add_parser("export", help="write a stage as CSV (galleries as urls / url_dict text)")
     e.add_argument("--stage", required=True, choices=files.STAGES)
@@ -117,7 +119,8 @@ def main(argv: list[str] | None = None) -> int:
         wish = spark.createDataFrame([(0, args.user_input)], schema.WISHES)
         final = files.read_stage(spark, root, "final", dt=dt)
         from hearth.operators import prompt
-        prompts = prompt.build_prompts(req, wish, final)
+        imgs = files.read_images(spark, args.images, args.image_url_root) if args.images else None
+        prompts = prompt.build_prompts(req, wish, final, imgs)
         for r in score.reply_batch(prompts, _factory(args.client)).collect():
             print(r.reply)
     elif args.step == "export":
