@@ -191,7 +191,8 @@ def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
     asked = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
     # one wish per id, so a repeated wish id cannot multiply the prompts
     one_wish = wishes.groupBy("wish_id").agg(F.min("user_input").alias("user_input"))
-    rows = (requests.select(key, "wish_id")
+    # a request asked twice is answered once (each prompt is a paid call)
+    rows = (requests.select(key, "wish_id").distinct()
             .join(one_wish, "wish_id", "left")
             .join(asked, key, "left"))
     if images is not None:

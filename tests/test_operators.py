@@ -162,10 +162,12 @@ def test_prompt_messages(spark):
         [(7, 1, "t", [(0, "u1", "户型图")]), (8, 2, "s", [])],
         "house_id bigint, seq bigint, title string, gallery array<struct<pos:int,url:string,descr:string>>")
     wishes = spark.createDataFrame([(1, "  南北通透  "), (2, "   ")], "wish_id bigint, user_input string")
-    req = spark.createDataFrame([(7, 1), (8, 2), (9, 1)], "house_id bigint, wish_id bigint")
+    req = spark.createDataFrame([(7, 1), (8, 2), (9, 1), (7, 1)], "house_id bigint, wish_id bigint")
     imgs = spark.createDataFrame([("u1", bytes.fromhex("FFD8FF"))], "url string, content binary")
     pr = prompt.build_prompts(req, wishes, final, imgs)
-    got = {(r.house_id): r.m for r in pr.select("house_id", prompt.messages_json("messages").alias("m")).collect()}
+    rows = pr.select("house_id", prompt.messages_json("messages").alias("m")).collect()
+    assert len(rows) == 3
+    got = {r.house_id: r.m for r in rows}
     import json
     m7 = json.loads(got[7])
     assert m7[0]["role"] == "system" and m7[0]["content"][0]["text"] == prompt.SYSTEM_PROMPT
