@@ -149,10 +149,13 @@ def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
     wanted = (per_kind.select(key, F.explode("wanted").alias("w"))
               .select(key, "w.kind", "w.pos", "w.url")
               .filter(F.col("url") != ""))
-    uris = images.select("url", data_uri(F.col("content")).alias("uri")).filter(F.col("uri") != "")
+    # encode after the join: images nobody wants are never encoded, and the work
+    # is proportional to the output, which carries the encoded text anyway
+    got = (wanted.join(images.select("url", "content"), "url", "inner")
+           .select(key, "kind", "pos", data_uri(F.col("content")).alias("uri"))
+           .filter(F.col("uri") != ""))
     imgs = F.array_sort(F.collect_list(F.struct("kind", "pos", "uri")))
-    return (wanted.join(uris, "url", "inner")
-            .groupBy(key)
+    return (got.groupBy(key)
             .agg(imgs.alias("imgs"))
             .select(key,
                     F.transform(F.filter("imgs", lambda x: x["kind"] == 0),
