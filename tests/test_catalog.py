@@ -91,3 +91,14 @@ def test_extraction_is_one_narrow_stage(spark):
     for df in (parsed, details):
         plan = plan_of(df)
         assert "Exchange hashpartitioning" not in plan and plan.count("Exchange") <= 1
+
+
+def test_spread_only_when_too_few_splits(spark):
+    from hearth.session import cluster_conf, spread
+    one = spark.range(100).coalesce(1)
+    many = spark.range(100).repartition(16)
+    assert spread(one, 8).rdd.getNumPartitions() == 8
+    assert spread(many, 8) is many
+    conf = cluster_conf(1000, 4)
+    assert conf["spark.sql.shuffle.partitions"] == "12000"
+    assert conf["spark.sql.adaptive.enabled"] == "true" and "spark.ui.enabled" not in conf
