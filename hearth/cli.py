@@ -93,8 +93,7 @@ def main(argv: list[str] | None = None) -> int:
         jobs.collect(spark, pages, root, dt, args.city_name, args.area_name, site,
                      debug=bool(args.debug)).show(truncate=False)
     elif args.step == "screen":
-        for t in jobs.screen_stage(spark, root, dt):
-            t.show(truncate=False)
+        jobs.screen_stage(spark, root, dt).orderBy("profile", "rank").show(100, truncate=False)
     elif args.step == "details":
         jobs.details_stage(spark, root, dt, spark.read.parquet(args.detail_pages),
                            args.debug_num).show(truncate=False)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.functions.text import col_, strict_double
+from hearth.functions.text import col_, py_float_str, strict_double
 from hearth.schema import FLAG_COLUMNS
 
 # Screening thresholds and the high-floor marker.
@@ -89,3 +89,36 @@ def value_counts(df: DataFrame, key: str, where: Column | None = None,
            .agg(F.count(F.lit(1)).alias(count_name))
            .orderBy(F.col(count_name).desc(), F.col(key).asc()))
     return out.limit(top) if top is not None else out
+
+
+def profiles(flagged: DataFrame, specs: dict[str, tuple[str, str]],
+             top: dict[str, int] | None = None) -> DataFrame:
+    """Several frequency tables in one pass: ``profile, value, n, rank``.
+
+    ``specs`` maps a profile name to (flag column, key column): rows with the
+    flag at 1 are counted by key.  Each row emits one (profile, value) pair per
+    raised flag, so all tables come from one scan and one partially aggregated
+    group-by.  Values are text (numbers as Python prints them); ``rank`` orders
+    a table by count, then value, and ``top`` keeps the first ranks of a profile.
+    """
+    def text(c: str):
+        dt = flagged.schema[c].dataType
+        return py_float_str(c) if isinstance(dt, (T.DoubleType, T.FloatType)) else F.col(c).cast("string")
+
+    pairs = F.array(*[
+        F.when(F.col(flag) == 1, F.struct(F.lit(name).alias("profile"), text(key).alias("value")))
+        for name, (flag, key) in specs.items()])
+    counts = (flagged.select(F.explode(pairs).alias("p"))
+              .filter(F.col("p").isNotNull() & F.col("p.value").isNotNull())
+              .groupBy("p.profile", "p.value").agg(F.count(F.lit(1)).alias("n")))
+    from pyspark.sql import Window
+    w = Window.partitionBy("profile").orderBy(F.col("n").desc(), F.col("value").asc())
+    ranked = counts.withColumn("rank", F.row_number().over(w))
+    if top:
+        keep = None
+        for name, k in top.items():
+            cond = (F.col("profile") == name) & (F.col("rank") <= k)
+            keep = cond if keep is None else keep | cond
+        others = ~F.col("profile").isin(list(top))
+        ranked = ranked.filter(keep | others)
+    return ranked

@@ -1,7 +1,7 @@
 """End-to-end jobs over stage tables.
 
 collect   landed list pages -> listings + rejects (+ metrics)
-screen    listings -> screened (+ frequency tables of what was flagged)
+screen    listings -> screened + profiles (frequency tables of what was flagged)
 details   landed detail pages of screened listings not yet done -> details (append)
 merge     screened x details -> final
 prompts   requests x wishes x final (+ images) -> prompts
@@ -96,11 +96,18 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
 
 
-def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10):
-    """listings -> ``screened`` (rows with all three flags 0, flags kept as columns).
+# The screening notebook's frequency tables: profile -> (flag, key column).
+SCREEN_PROFILES = {
+    "level": (FLAG_COLUMNS[0], "level"),
+    "unit_price": (FLAG_COLUMNS[1], "unit_price"),
+    "total_price": (FLAG_COLUMNS[2], "total_price"),
+}
 
-    Returns (level top-k, unit-price counts, total-price counts) of the flagged
-    rows, as the screening notebook printed them; before/after counts go to
+
+def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10) -> DataFrame:
+    """listings -> ``screened`` (rows with all three flags 0, flags kept as columns)
+    and ``profiles`` (frequencies of the flagged rows: top ``top`` levels, all
+    unit and total prices).  Returns the profiles; before/after counts go to
     ``metrics``.
     """
     listings = files.read_stage(spark, root, "listings", dt=dt)
@@ -108,10 +115,9 @@ def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10):
     files.write_stage(screen.keep_unflagged(flagged), root, "screened")
     stored = files.read_stage(spark, root, "screened", dt=dt)
     _record(metrics.before_after(listings, stored, "screen"), root, dt)
-    freq_level = screen.value_counts(flagged, "level", where=F.col(FLAG_COLUMNS[0]) == 1, top=top)
-    freq_unit = screen.value_counts(flagged, "unit_price", where=F.col(FLAG_COLUMNS[1]) == 1)
-    freq_total = screen.value_counts(flagged, "total_price", where=F.col(FLAG_COLUMNS[2]) == 1)
-    return freq_level, freq_unit, freq_total
+    prof = screen.profiles(flagged, SCREEN_PROFILES, top={"level": top})
+    files.write_stage(_with_dt(prof, dt), root, "profiles")
+    return files.read_stage(spark, root, "profiles", dt=dt)
 
 
 def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFrame,

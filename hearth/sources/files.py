@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from hearth.schema import IMAGES, INDEX_COLUMNS, LEGACY_NAMES, PAGES
 
-STAGES = ("listings", "rejects", "screened", "details", "final", "prompts", "replies", "metrics")
+STAGES = ("listings", "rejects", "screened", "profiles", "details", "final", "prompts",
+          "replies", "metrics")
 
 
 def snapshot_date(day: _dt.date | None = None) -> str:

@@ -45,9 +45,8 @@ def test_jobs_end_to_end(spark, scratch):
     assert sorted(r.house_id for r in listings.collect()) == [11, 11, 13, 14]
     assert {r.district for r in listings.collect()} == {"丛台区"}
 
-    freq_level, freq_unit, freq_total = jobs.screen_stage(spark, root, DT)
-    assert [(r.level, r.n) for r in freq_level.collect()] == [("高楼层(共18层)", 1)]
-    assert [(r.total_price, r.n) for r in freq_total.collect()] == [(150.0, 1)]
+    prof = {(r.profile, r.value, r.n, r.rank) for r in jobs.screen_stage(spark, root, DT).collect()}
+    assert prof == {("level", "高楼层(共18层)", 1, 1), ("total_price", "150.0", 1, 1)}
     screened = files.read_stage(spark, root, "screened", dt=DT)
     assert sorted(r.house_id for r in screened.collect()) == [11, 14]
 

@@ -231,3 +231,12 @@ def test_one_detail_per_key(spark):
     got = {r.house_id: (r.link, [e.url for e in r.gallery])
            for r in enrich.one_detail_per_key(det).collect()}
     assert got == {1: ("a", ["u"]), 2: ("z", [])}
+
+
+def test_profiles_one_pass(spark):
+    df = spark.createDataFrame(
+        [("高", 1, 13000.0, 1), ("高", 1, 13000.0, 0), ("中高", 1, 12500.5, 1), ("低", 0, 9000.0, 0)],
+        "level string, f1 int, unit double, f2 int")
+    out = screen.profiles(df, {"level": ("f1", "level"), "unit": ("f2", "unit")}, top={"level": 1})
+    got = sorted((r.profile, r.value, r.n, r.rank) for r in out.collect())
+    assert got == [("level", "高", 2, 1), ("unit", "12500.5", 1, 1), ("unit", "13000.0", 1, 2)]
