@@ -153,8 +153,9 @@ def extract_listings(pages: DataFrame, district: Column | None = None,
                      card_end: str | None = CARD_END) -> DataFrame:
     """pages(page_id, url, html[, district]) -> parsed cards with ``reject_reason``.
 
-    Split the result with ``kept`` / ``rejected``; persist it (or write it) first
-    when both halves are needed, so the pages are parsed a single time.
+    Split the result with ``kept`` / ``rejected``.  When both halves are
+    needed, write it once first (as the collect job does), so the pages are
+    parsed a single time.
     """
     if district is None:
         district = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
