@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--site_root", default=extract.Site().root)
     c.add_argument("--debug", type=int, default=0, help="1: first page of each district only")
 
-    sub.add_parser("screen", help="listings -> screened, with frequency tables")
+    sub.add_parser("screen", help="listings -> screened and profiles (frequency tables)")
 
     d = sub.add_parser("details", help="landed detail pages -> details (resumable)")
     d.add_argument("--detail_pages", required=True, help="parquet of (house_id, link, html)")
