@@ -18,6 +18,8 @@ PY_WHITESPACE = "\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2
 
 # Python's float() grammar for finite numbers (digits may be grouped by '_').
 # 'nan' and 'inf' are not accepted: a listing priced NaN is of no use.
+# Full-width digits count as digits, as in Python (other scripts' digits do not).
+FULLWIDTH_DIGITS = "".join(chr(0xFF10 + i) for i in range(10))
 _DIGITS = r"[0-9](?:_?[0-9])*"
 PY_FLOAT_RE = (rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
                rf"(?:[eE][+-]?{_DIGITS})?$")
@@ -83,7 +85,7 @@ def strict_double(c) -> Column:
     Spark's own cast is looser ('1d' parses) and stricter ('1_000' fails), so the
     text is validated against Python's grammar first.
     """
-    s = py_strip(c)
+    s = F.translate(py_strip(c), FULLWIDTH_DIGITS, "0123456789")
     return F.when(s.rlike(PY_FLOAT_RE), F.regexp_replace(s, "_", "").try_cast("double"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hearth.session import spread
 from hearth.functions.text import (
-    col_, first_match, part, py_strip, required_match, split_parts, strict_double,
+    FULLWIDTH_DIGITS, col_, first_match, part, py_strip, required_match, split_parts, strict_double,
     title_clean,
 )
 
@@ -195,7 +195,7 @@ def result_count(html) -> Column:
 
 def strict_int(c) -> Column:
     """``int(s)``: optional sign, digits (with '_' between), blanks around; else null."""
-    s = py_strip(c)
+    s = F.translate(py_strip(c), FULLWIDTH_DIGITS, "0123456789")
     return F.when(s.rlike(r"^[+-]?[0-9](?:_?[0-9])*$"),
                   F.regexp_replace(s, "_", "").try_cast("bigint"))
 

@@ -9,7 +9,7 @@ strict float parsing) as SQL.
 from __future__ import annotations
 
 from hearth.functions.images import SNIFF_PREFIXES
-from hearth.functions.text import PY_FLOAT_RE, PY_WHITESPACE
+from hearth.functions.text import FULLWIDTH_DIGITS, PY_FLOAT_RE, PY_WHITESPACE
 from hearth.operators import extract as X
 from hearth.operators import gallery as G
 from hearth.operators import prompt as P
@@ -37,12 +37,12 @@ def required(e: str, p: str, do_strip: bool = False) -> str:
 
 
 def strict_double(e: str) -> str:
-    s = strip(e)
+    s = f"translate({strip(e)}, {q(FULLWIDTH_DIGITS)}, '0123456789')"
     return f"(CASE WHEN regexp_matches({s}, {q(PY_FLOAT_RE)}) THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
 
 
 def strict_int(e: str) -> str:
-    s = strip(e)
+    s = f"translate({strip(e)}, {q(FULLWIDTH_DIGITS)}, '0123456789')"
     return (f"(CASE WHEN regexp_matches({s}, '^[+-]?[0-9](?:_?[0-9])*$') "
             f"THEN TRY_CAST(replace({s}, '_', '') AS BIGINT) END)")
 

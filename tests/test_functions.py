@@ -47,7 +47,7 @@ def test_first_match_dot_stops_only_at_newline(spark):
 
 def test_strict_double_follows_python_float(spark):
     samples = ["89.5", " 12 ", "1_000", "1e3", ".5", "5.", "-", "暂无", "1d", "nan", "inf", "", None,
-               "+3", "1__0", "_1", "0x10"]
+               "+3", "1__0", "_1", "0x10", "８９.５", "１_０００"]
 
     def py(s):
         if s is None:

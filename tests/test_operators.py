@@ -62,8 +62,10 @@ def test_page_frontier(spark, n, pages):
 
 
 def test_result_count(spark):
-    df = spark.createDataFrame([(fx.count_page(1234),), ("no count",)], "h string")
-    assert [r.n for r in df.select(extract.result_count(F.col("h")).alias("n")).collect()] == [1234, None]
+    df = spark.createDataFrame([(fx.count_page(1234),), ("no count",), (fx.count_page("１_２３４"),)],
+                               "h string")
+    got = [r.n for r in df.select(extract.result_count(F.col("h")).alias("n")).collect()]
+    assert got == [1234, None, int("１_２３４")]
 
 
 def test_screen_flags(spark):
