@@ -22,15 +22,32 @@ from hearth.session import spread
 # Gallery markup and the description that marks a floor plan.
 GALLERY_BLOCK_RE = r'(?s)<ul\b[^>]*\bclass="(?:[^"]*\s)?smallpic(?:\s[^"]*)?"[^>]*>(.*?)</ul>'
 ITEM_RE = r"(?s)<li\b[^>]*>.*?</li>"
-ITEM_DESC_RE = r'^<li\b[^>]*\bdata-desc="([^"]*)"'
+ITEM_OPEN_RE = r"^<li\b[^>]*>"
 IMG_TAG_RE = r"(?s)<img\b[^>]*>"
-SRC_RE = r'\bsrc="([^"]*)"'
+
+
+def attr_re(name: str) -> str:
+    """Attribute ``name`` in a tag (name after a blank, any case), its value
+    double-quoted, single-quoted or bare: three groups, one of them set."""
+    dq, sq, bare = '"([^"]*)"', "'([^']*)'", "([^\\s\"'=<>`]+)"
+    return "\\s(?i:" + name + ")\\s*=\\s*(?:" + dq + "|" + sq + "|" + bare + ")"
+
+
+SRC_RE = attr_re("src")
+DESC_RE = attr_re("data-desc")
 PLAN_DESC = "户型图"
 # Character references decoded in attribute values (&amp; last).
 HTML_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
                  ("&amp;", "&")]
 
 
+def attr_value(tag, pattern: str) -> Column:
+    """The attribute's value, unescaped (null when the tag lacks it)."""
+    p = java_pattern(pattern)
+    t = col_(tag)
+    return F.when(t.rlike(p), unescape_attr(F.concat(*[F.regexp_extract(t, p, g) for g in (1, 2, 3)])))
+
+
 def unescape_attr(c) -> Column:
     """Attribute text as an HTML parser returns it, for the common references."""
     out = col_(c)
@@ -54,20 +71,17 @@ def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Co
     first ``img`` is missing or has no ``src`` is skipped; a repeated url keeps
     its first position and last descr.  Attribute values are unescaped.
     """
-    img_re, src_re = java_pattern(IMG_TAG_RE), java_pattern(SRC_RE)
-    desc_re = java_pattern(ITEM_DESC_RE)
+    img_re, open_re = java_pattern(IMG_TAG_RE), java_pattern(ITEM_OPEN_RE)
 
     def from_block(block):
         items = F.regexp_extract_all(block, F.lit(java_pattern(ITEM_RE)), 0)
-        imgs = F.transform(items, lambda li: F.struct(
-            li.alias("li"), F.regexp_extract(li, img_re, 0).alias("img")))
-        with_src = F.filter(imgs, lambda x: x["img"].rlike(src_re))
+        found = F.transform(items, lambda li: F.struct(
+            F.regexp_extract(li, open_re, 0).alias("open"),
+            attr_value(F.regexp_extract(li, img_re, 0), SRC_RE).alias("src")))
+        with_src = F.filter(found, lambda x: x["src"].isNotNull())
         pairs = F.transform(with_src, lambda x: F.struct(
-            resize_thumb(tidy_url(unescape_attr(F.regexp_extract(x["img"], src_re, 1))),
-                         origin, dest).alias("url"),
-            F.coalesce(F.when(x["li"].rlike(desc_re),
-                              unescape_attr(F.regexp_extract(x["li"], desc_re, 1))),
-                       F.lit("")).alias("descr")))
+            resize_thumb(tidy_url(x["src"]), origin, dest).alias("url"),
+            F.coalesce(attr_value(x["open"], DESC_RE), F.lit("")).alias("descr")))
         return F.when(block.isNotNull(), dict_assign(pairs))
 
     return let(gallery_block(html), from_block)

@@ -386,7 +386,7 @@ def gallery_extract(spark, sf):
     base = F.concat(F.lit("https://img.example/"), k)
     items = F.concat(
         F.lit('<li data-desc="户型图" data-index="0"><img src=" `'), base, F.lit('/plan.120x80.jpg` " alt=""></li>'),
-        F.lit('<li data-desc="客厅"><img class="x" src="'), base, F.lit('/a.120x80.jpg"></li>'),
+        F.lit("<li data-desc='客厅'><img data-src=\"lazy.gif\" SRC='"), base, F.lit("/a.120x80.jpg'></li>"),
         F.lit('<li data-desc="卧室"><span>no image</span></li>'),
         F.lit('<li data-desc="书房"><img class="lazy"><img src="'), base, F.lit('/c.120x80.jpg"></li>'),
         F.lit('<li><img src="'), base, F.lit('/b.120x80.jpg?v=1&amp;s=2"></li>'),

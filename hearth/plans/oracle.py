@@ -61,6 +61,11 @@ def data_uri(content: str) -> str:
     return f"(CASE WHEN {content} IS NULL THEN '' ELSE 'data:image/' || {sniff(b)} || ';base64,' || {b} END)"
 
 
+def attr(tag: str, pattern: str) -> str:
+    value = " || ".join(f"regexp_extract({tag}, {q(pattern)}, {g})" for g in (1, 2, 3))
+    return f"(CASE WHEN regexp_matches({tag}, {q(pattern)}) THEN {unescape('(' + value + ')')} END)"
+
+
 def unescape(e: str) -> str:
     for ref, ch in G.HTML_ENTITIES:
         e = f"replace({e}, {q(ref)}, {q(ch)})"
@@ -175,7 +180,7 @@ def _gallery_html_sql() -> str:
     k = "CAST(p_partkey AS VARCHAR)"
     base = f"'https://img.example/' || {k}"
     items = (f"'<li data-desc=\"户型图\" data-index=\"0\"><img src=\" `' || {base} || '/plan.120x80.jpg` \" alt=\"\"></li>' || "
-             f"'<li data-desc=\"客厅\"><img class=\"x\" src=\"' || {base} || '/a.120x80.jpg\"></li>' || "
+             f"'<li data-desc=''客厅''><img data-src=\"lazy.gif\" SRC=''' || {base} || '/a.120x80.jpg''></li>' || "
              f"'<li data-desc=\"卧室\"><span>no image</span></li>' || "
              f"'<li data-desc=\"书房\"><img class=\"lazy\"><img src=\"' || {base} || '/c.120x80.jpg\"></li>' || "
              f"'<li><img src=\"' || {base} || '/b.120x80.jpg?v=1&amp;s=2\"></li>' || "
@@ -359,13 +364,13 @@ WITH p AS (SELECT p_partkey AS house_id, {_gallery_html_sql()} AS html FROM part
 b AS (SELECT house_id, regexp_extract(html, {q(G.GALLERY_BLOCK_RE)}, 1) AS block FROM p
       WHERE regexp_matches(html, {q(G.GALLERY_BLOCK_RE)})),
 it AS (SELECT house_id, regexp_extract_all(block, {q(G.ITEM_RE)}) AS items FROM b),
-e AS (SELECT house_id, i AS ord, items[i] AS li, regexp_extract(items[i], {q(G.IMG_TAG_RE)}, 0) AS img
+e AS (SELECT house_id, i AS ord, regexp_extract(items[i], {q(G.ITEM_OPEN_RE)}, 0) AS li_open,
+             {attr('regexp_extract(items[i], ' + q(G.IMG_TAG_RE) + ', 0)', G.SRC_RE)} AS src
       FROM it, range(1, len(items) + 1) q(i)),
 w AS (SELECT house_id, ord,
-        replace(trim({strip(unescape(f"regexp_extract(img, {q(G.SRC_RE)}, 1)"))}, '`'), '120x80', '450x300') AS url,
-        CASE WHEN regexp_matches(li, {q(G.ITEM_DESC_RE)})
-             THEN {unescape(f"regexp_extract(li, {q(G.ITEM_DESC_RE)}, 1)")} ELSE '' END AS descr
-      FROM e WHERE regexp_matches(img, {q(G.SRC_RE)})),
+        replace(trim({strip('src')}, '`'), '120x80', '450x300') AS url,
+        coalesce({attr('li_open', G.DESC_RE)}, '') AS descr
+      FROM e WHERE src IS NOT NULL),
 d AS (SELECT house_id, url, min(ord) AS first_ord, arg_max(descr, ord) AS descr FROM w GROUP BY house_id, url)
 SELECT house_id, CAST(row_number() OVER (PARTITION BY house_id ORDER BY first_ord) - 1 AS INTEGER) AS pos, url, descr
 FROM d""",

@@ -242,3 +242,12 @@ def test_profiles_one_pass(spark):
     out = screen.profiles(df, {"level": ("f1", "level"), "unit": ("f2", "unit")}, top={"level": 1})
     got = sorted((r.profile, r.value, r.n, r.rank) for r in out.collect())
     assert got == [("level", "高", 2, 1), ("unit", "12500.5", 1, 1), ("unit", "13000.0", 1, 2)]
+
+
+def test_gallery_attribute_forms(spark):
+    html = ('<ul class="smallpic">'
+            "<li data-desc='卧室'><img data-src=\"lazy.gif\" SRC='http://i/a.jpg'></li>"
+            '<li DATA-DESC=厨房><img src=http://i/b.jpg alt=x></li></ul>')
+    df = spark.createDataFrame([(1, "l", html)], "house_id bigint, link string, html string")
+    g = gallery.extract_details(df).first().gallery
+    assert [(e.url, e.descr) for e in g] == [("http://i/a.jpg", "卧室"), ("http://i/b.jpg", "厨房")]
