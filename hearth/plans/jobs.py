@@ -15,6 +15,7 @@ for the same day replaces only that day's partition.
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,20 @@ def _drop_cut(spark: SparkSession, path: str) -> None:
         pass
 
 
-def _record(m: DataFrame, root: str, dt: str) -> None:
+def new_run_id() -> str:
+    """Tells the counters of one job run from those of a re-run on the same day."""
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+
+
+def _record(m: DataFrame, root: str, dt: str, run: str | None = None) -> str:
     """Append counters to the ``metrics`` stage (computed now, while inputs exist)."""
-    files.append_stage(_with_dt(m, dt), root, "metrics")
+    run = run or new_run_id()
+    files.append_stage(_with_dt(m.withColumn("run", F.lit(run)), dt), root, "metrics")
+    return run
+
+
+def _run_metrics(spark: SparkSession, root: str, dt: str, run: str) -> DataFrame:
+    return read_metrics(spark, root, dt).filter(F.col("run") == run)
 
 
 def read_metrics(spark: SparkSession, root: str, dt: str) -> DataFrame:
@@ -89,11 +101,11 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     try:
         files.write_stage(extract.kept(parsed), root, "listings")
         files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
-        _record(metrics.stage_metrics(parsed, "collect", {
+        run = _record(metrics.stage_metrics(parsed, "collect", {
             "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
     finally:
         _drop_cut(spark, cut)
-    return read_metrics(spark, root, dt).filter(F.col("stage") == "collect")
+    return _run_metrics(spark, root, dt, run)
 
 
 # The screening notebook's frequency tables: profile -> (flag, key column).
@@ -149,12 +161,12 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
         new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
         files.append_stage(_with_dt(new, dt), root, "details")
         found = F.col("gallery").isNotNull()
-        _record(metrics.stage_metrics(per_page, "details", {
+        run = _record(metrics.stage_metrics(per_page, "details", {
             "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
             "failed": F.col("failed")}), root, dt)
     finally:
         _drop_cut(spark, cut)
-    return read_metrics(spark, root, dt).filter(F.col("stage") == "details")
+    return _run_metrics(spark, root, dt, run)
 
 
 def merge_stage(spark: SparkSession, root: str, dt: str) -> None:

@@ -51,7 +51,7 @@ REPLIES = T.StructType([_f("house_id", L), _f("wish_id", L), _f("reply", S), _f(
 
 PAGES = T.StructType([_f("page_id", L), _f("url", S), _f("html", S)])
 REJECTS = T.StructType([_f("page_id", L), _f("pos", I), _f("card", S), _f("reject_reason", S)])
-METRICS = T.StructType([_f("stage", S), _f("name", S), _f("value", L)])
+METRICS = T.StructType([_f("stage", S), _f("name", S), _f("value", L), _f("run", S)])
 
 # Column names written by older stage files -> canonical names.
 LEGACY_NAMES = {

@@ -42,7 +42,8 @@ def _append_new(root: str, dt: str):
             m = metrics.stage_metrics(per_page, f"landing/{batch_id}", {
                 "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
                 "failed": F.col("failed")})
-            files.append_stage(m.withColumn("dt", F.lit(dt)), root, "metrics")
+            files.append_stage(m.withColumn("run", F.lit(f"landing-{batch_id}"))
+                               .withColumn("dt", F.lit(dt)), root, "metrics")
         finally:
             per_page.unpersist()
     return run

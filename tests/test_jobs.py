@@ -245,3 +245,15 @@ def test_dt_stays_text_with_type_inference_on(spark, scratch):
         assert dict(df.dtypes)["dt"] == "string" and df.count() == 1
     finally:
         spark.conf.set(key, "false")
+
+
+def test_rerun_counters_are_told_apart(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    jobs.collect(spark, list_pages(spark), root, DT)
+    jobs.screen_stage(spark, root, DT)
+    first = {(r.name, r.value) for r in jobs.details_stage(spark, root, DT, detail_pages(spark)).collect()}
+    again = {(r.name, r.value) for r in jobs.details_stage(spark, root, DT, detail_pages(spark)).collect()}
+    assert first == {("pages", 2), ("found", 1), ("missing", 1), ("failed", 0)}
+    assert again == {("pages", 1), ("found", 0), ("missing", 1), ("failed", 0)}
+    runs = {r.run for r in jobs.read_metrics(spark, root, DT).filter("stage = 'details'").collect()}
+    assert len(runs) == 2
