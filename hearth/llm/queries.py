@@ -6,16 +6,39 @@ Each query is ``(spark, sf_dir) -> DataFrame`` over the whole intended table.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hearth.llm import minhash
+from hearth.llm import decontam, linededup, minhash, mixing, toxicity
 from hearth.llm.common import load
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (mixing.mix(load(spark, sf_dir, "documents"))
+            .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    held = F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False))
+    return (toxicity.score(docs, toxicity.fit(docs, labels))
+            .select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", "predicted", F.size("spans").alias("n_spans")))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).alias("n_lines"))
+    return linededup.dedup_lines(docs).select("doc_id", "n_lines", F.col("__gone").alias("n_removed"),
+                                              F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that leak a benchmark item, with the item and how much of it is covered."""
+    return (decontam.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+            .select(F.col("id").alias("doc_id"), "item_id", "item_words", "covered", "coverage"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (minhash.near_duplicates(load(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {
-    "op10_minhash_near_dedup": op10_minhash_near_dedup,
-}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op8_decontaminate, op10_minhash_near_dedup)}

@@ -1,3 +1,72 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express.
 
-SQL: dict[str, str] = {}
+Without: op3 and op4 (trained models), op6 (archives written and read back), op7 (peeled
+sketches), op8 (greedy tiling), op9 (byte-pair merging), op10 (all pairs of whole sets take
+SQL far too long on the whole table).  Those are held against brute force in ``tests/llm``.
+"""
+
+from __future__ import annotations
+
+from hearth.llm.linededup import EDIT_WORDS, MIN_WORDS
+
+_SPACES = r"[\x20\x09-\x0D]+"
+
+OP2 = r"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, coalesce(length(text), 0) AS n,
+         (('0x' || substr(md5('mix' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0 AS u
+  FROM documents),
+k AS (SELECT *, -ln(u) / CASE WHEN n >= size * 4 AND n <= size * 11 THEN 1.0::DOUBLE ELSE 0.25::DOUBLE END AS key FROM d),
+s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS w
+  FROM k GROUP BY source),
+c AS (SELECT *, source_size * 2.0::DOUBLE AS most FROM s),
+r AS (
+  SELECT *, coalesce(sum(most) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+         sum(w) OVER (ORDER BY most / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS above,
+         sum(source_size) OVER ()::DOUBLE AS total
+  FROM c),
+v AS (SELECT *, (total * 1.5::DOUBLE - below) / above AS level FROM r),
+t AS (
+  SELECT source, source_size,
+         least(most, coalesce((SELECT level FROM v x WHERE x.level * x.w <= x.most ORDER BY x.most / x.w, x.level LIMIT 1) * w, most)) AS target
+  FROM v),
+e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM t),
+a AS (
+  SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.target - e.epochs * e.source_size AS rest,
+         sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key, k.doc_id ROWS UNBOUNDED PRECEDING) AS after
+  FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (epochs + CASE WHEN after - size / 2.0::DOUBLE < rest THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM a
+"""
+
+OP5 = rf"""
+WITH p AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (
+  SELECT doc_id, i AS pos, ls[i] AS line, list_filter(regexp_split_to_array(ls[i], '{_SPACES}'), lambda x: x <> '') AS words
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM p)),
+w AS (SELECT doc_id, pos, len(words) AS n, array_to_string(words, ' ') AS full_line, words FROM l WHERE len(words) >= {MIN_WORDS}),
+u AS (
+  SELECT full_line, any_value(words) AS words, any_value(n) AS n, min({{'d': doc_id, 'p': pos}}) AS first
+  FROM w GROUP BY full_line),
+x AS (
+  SELECT full_line, first, cut, array_to_string(list_concat(words[1:cut - 1], words[cut + 1:]), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, n + 1)) AS cut FROM u WHERE n >= {EDIT_WORDS})),
+swapped AS (
+  SELECT full_line FROM (SELECT full_line, first, min(first) OVER (PARTITION BY rest, cut) AS least FROM x) WHERE least < first),
+longer AS (SELECT x.full_line FROM x JOIN u ON x.rest = u.full_line WHERE u.n >= {EDIT_WORDS} AND u.first < x.first),
+shorter AS (SELECT u.full_line FROM x JOIN u ON x.rest = u.full_line WHERE u.n >= {EDIT_WORDS} AND x.first < u.first),
+near AS (SELECT full_line FROM swapped UNION SELECT full_line FROM longer UNION SELECT full_line FROM shorter),
+gone AS (
+  SELECT w.doc_id, w.pos FROM w JOIN u USING (full_line)
+  WHERE u.first <> {{'d': w.doc_id, 'p': w.pos}} OR w.full_line IN (SELECT full_line FROM near)),
+kept AS (
+  SELECT l.doc_id, count(*)::INTEGER AS n_lines, count(g.pos)::INTEGER AS n_removed,
+         coalesce(string_agg(CASE WHEN g.pos IS NULL THEN l.line END, chr(10) ORDER BY l.pos), '') AS body
+  FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id)
+SELECT doc_id, n_lines, n_removed, sha256(body) AS kept_sha256 FROM kept
+"""
+
+SQL: dict[str, str] = {"op2_mix_sources": OP2, "op5_line_dedup": OP5}
