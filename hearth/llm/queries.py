@@ -8,10 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import decontam, linededup, minhash, mixing, toxicity
+from hearth.llm import bpe, decontam, linededup, minhash, mixing, toxicity
 from hearth.llm.common import load
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies on the driver; tasks get its contents by broadcast."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(load(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
@@ -36,9 +42,14 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("id").alias("doc_id"), "item_id", "item_words", "covered", "coverage"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.token_counts(load(spark, sf_dir, "documents"), bpe.read_model(open(tokenizer_path("piece_bpe_32k.model"), "rb").read()))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (minhash.near_duplicates(load(spark, sf_dir, "documents"))
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op8_decontaminate, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op8_decontaminate, op9_token_counts, op10_minhash_near_dedup)}
