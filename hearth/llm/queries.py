@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, linededup, minhash, mixing, toxicity, warc
+from hearth.llm import bpe, decontam, iblt, linededup, minhash, mixing, toxicity, warc
 from hearth.llm.common import load
 
 
@@ -41,6 +41,12 @@ def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op7_iblt_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (iblt.compare_edits(load(spark, sf_dir, "documents"))
+            .select(F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    "fingerprint", "edited_fingerprint", "near_edited", "near_next"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that leak a benchmark item, with the item and how much of it is covered."""
     return (decontam.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -57,5 +63,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op6_warc_round_trip,
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
                                  op8_decontaminate, op9_token_counts, op10_minhash_near_dedup)}
