@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, iblt, linededup, minhash, mixing, toxicity, warc
+from hearth.llm import bpe, decontam, iblt, licenses, linededup, minhash, mixing, toxicity, warc
 from hearth.llm.common import load
 
 
@@ -18,6 +18,23 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def document_paths(docs: DataFrame) -> DataFrame:
+    """``documents`` as files of a tree: source / language / hundred of ids; every tenth is a licence file,
+    and those of the hundreds lie higher up."""
+    d, hundred = F.col("doc_id"), F.floor(F.col("doc_id") / 100).cast("string")
+    name = F.when(d % 10 == 0, F.concat(F.lit("LICENSE."), d.cast("string"))).otherwise(F.concat(d.cast("string"), F.lit(".txt")))
+    top = F.concat(F.lit("/"), F.col("source"))
+    path = (F.when(d % 1000 == 0, F.concat_ws("/", top, name)).when(d % 100 == 0, F.concat_ws("/", top, F.col("lang"), name))
+            .otherwise(F.concat_ws("/", top, F.col("lang"), hundred, name)))
+    return docs.select(path.alias("path"), "text")
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc_id = F.regexp_extract("path", r"([0-9]+)(\.txt)?$", 1).cast("long")
+    return (licenses.scan(document_paths(load(spark, sf_dir, "documents")))
+            .select(doc_id.alias("doc_id"), F.col("own").alias("own_license"), "score", "license", F.col("source").alias("inherited_from")))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(load(spark, sf_dir, "documents"))
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
@@ -63,5 +80,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
                                  op8_decontaminate, op9_token_counts, op10_minhash_near_dedup)}

@@ -1,0 +1,87 @@
+"""Licence scans against plain TF-IDF and plain inheritance."""
+
+import math
+import re
+from collections import Counter
+
+from hearth.llm import licenses
+from hearth.llm.queries import document_paths
+from tests.conftest import SF_SMALL
+
+
+def terms(t):
+    return [x for x in re.split("[^a-z0-9]+", t.lower()) if x]
+
+
+def plain(files):
+    """[(path, text)] -> sorted [(path, own, score, license, source)]."""
+    vocabulary = {w for _, t in licenses.TEMPLATES for w in terms(t)}
+    df, n = Counter(w for _, t in files for w in set(terms(t or "")) & vocabulary), len(files)
+
+    def vec(t):
+        v = {w: c * (math.log((n + 1) / (df[w] + 1)) + 1 if w in vocabulary else math.log(n + 1) + 1) for w, c in Counter(terms(t)).items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / size for w, x in v.items()}
+    goal = [(name, vec(t)) for name, t in licenses.TEMPLATES]
+    own = []
+    for _, t in files:
+        best = None
+        for line in (t or "").split("\n"):
+            if any(s in line.lower() for s in licenses.STEMS):
+                v = vec(line)
+                b = min((-round(sum(x * v.get(w, 0) for w, x in g.items()), 6), name) for name, g in goal)
+                if -b[0] >= licenses.THRESHOLD:
+                    best = min(best or b, b)
+        own.append(best)
+    dirs = {}
+    for (p, _), b in zip(files, own):
+        if p is not None and b and re.match(licenses.FILE_NAMES, p.rsplit("/", 1)[-1]):
+            d = p.rsplit("/", 1)[0] if "/" in p else ""
+            dirs[d] = min(dirs.get(d, b), b)
+    out = []
+    for (p, _), b in zip(files, own):
+        given = where = None
+        if p is not None:
+            d = p.rsplit("/", 1)[0] if "/" in p else ""
+            while True:
+                if d in dirs:
+                    given, where = dirs[d][1], d
+                    break
+                if not d:
+                    break
+                d = d.rsplit("/", 1)[0] if "/" in d else ""
+        out.append((p, b and b[1], b and -b[0], b[1] if b else given, None if b else where))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.path, r.own, r.score, r.license, r.source) for r in df.collect()), key=str)
+
+
+MIT = "Released under the MIT License."
+
+
+def test_edges(spark):
+    files = [("/a/LICENSE", MIT), ("/a/b/c/x.py", "code"), ("/a/b/COPYING", "prose\nLicensed under CC BY-NC 4.0."), ("/a/b/y.py", "Licensed under the Apache License, Version 2.0.\nx"),
+             ("/z/y.py", None), ("/z/e.py", ""), (None, MIT), (None, "x"), ("top.txt", "no licence word near"), ("/a/License.md", "This work is licensed under the GNU General Public License, version 3."),
+             ("/a/LICENSE", MIT), ("/ab/x.py", "not under /a"), ("/q/LICENSE", "all our prose about a licensed thing and many other words"), ("/q/x", "MIT"),
+             ("/long/x", ("word " * 5000 + "\n") * 5 + "Released under the mit license"), ("/a/LICENSE", "other text")]
+    df = spark.createDataFrame([(*f, "clash", 1) for f in files], "path string, text string, license string, dir int").repartition(3)
+    assert got(licenses.scan(df)) == plain(files)
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
+def test_root_license_reaches_all(spark):
+    files = [("LICENSE", MIT), ("a/b/c.txt", "x"), ("d.txt", "y")]
+    df = spark.createDataFrame(files, "path string, text string")
+    assert got(licenses.scan(df)) == plain(files) and {x[3] for x in plain(files)} == {"MIT"}
+
+
+def test_documents(spark):
+    docs = document_paths(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    assert got(licenses.scan(docs)) == plain([(r.path, r.text) for r in docs.collect()])
+
+
+def test_templates_name_themselves(spark):
+    df = spark.createDataFrame([(f"/{i}/x", t) for i, (_, t) in enumerate(licenses.TEMPLATES)], "path string, text string")
+    assert {r.path: r.own for r in licenses.scan(df).collect()} == {f"/{i}/x": n for i, (n, _) in enumerate(licenses.TEMPLATES)}
