@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, iblt, licenses, linededup, minhash, mixing, toxicity, warc
+from hearth.llm import bpe, decontam, iblt, langid, licenses, linededup, minhash, mixing, toxicity, warc
 from hearth.llm.common import load
 
 
@@ -40,6 +40,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (langid.identify(load(spark, sf_dir, "pages"), langid.fit(load(spark, sf_dir, "documents")))
+            .select(F.col("id").alias("page_id"), "lang", "probability", "text_lang", "declared", "host"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     held = F.coalesce(F.crc32(F.col("id").cast("string")) % 5 == 0, F.lit(False))
@@ -80,5 +85,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op3_language_id, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
                                  op8_decontaminate, op9_token_counts, op10_minhash_near_dedup)}
