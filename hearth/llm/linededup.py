@@ -5,7 +5,7 @@ is equal to it, or differs from it by at most one inserted, deleted or
 replaced word.  "Earlier" goes by document id, then by position.
 
 Near matches come from hashed variants: a line and each of its one-word deletions.
-Two lines that share the deletion at the same place differ by a replaced word; a
+Two lines that share a deletion at the same place differ by a replaced word; a
 line that equals a deletion of another differs by an inserted word.  Each
 group of equal variants is reduced to its earliest line by grouped minima,
 so a variant of very many lines makes no pairs.  Before variants are made, the
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import SPACES, WORD, cut, row_key, text_or_empty
+from hearth.llm.common import SPACES, WORD, cut, row_key, spread, text_or_empty
 
 #: Lines of fewer words are never removed: bare headings, bullets, blank lines.
 MIN_WORDS = 5
@@ -30,21 +30,25 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(line, SPACES), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
-    """One row per line of at least ``least`` words: where it stands, its words, its hash."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(text_col).alias("row"),
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per line: where it stands and its text."""
+    return docs.select(F.col(id_col).cast("long").alias("id"), row_key(text_col).alias("row"),
                        F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("pos", "line"))
-    rows = rows.select("id", "row", "pos", words_of(F.col("line")).alias("words")).withColumn("n", F.size("words"))
-    return rows.filter(F.col("n") >= least).select("*", F.xxhash64("words").alias("h1"),
-                                                   F.xxhash64(F.lit("second"), "words").alias("h2"))
 
 
-def _halves(words: Column, n: Column) -> Column:
-    """Hashes of the starts and ends that a line one word apart must share one of."""
-    short, long = F.floor(n / 2).cast("int"), F.ceil(n / 2).cast("int")
-    start = [F.xxhash64(F.lit("start"), k, F.slice(words, F.lit(1), k)) for k in (short, long)]
-    end = [F.xxhash64(F.lit("end"), k, F.slice(words, n - k + 1, k)) for k in (short, long)]
-    return F.when(short == long, F.array(start[0], end[0])).otherwise(F.array(*start, *end))
+def _hashed(lines: DataFrame, least: int, edit_words: int) -> DataFrame:
+    """Lines of at least ``least`` words with 128 bits that stand for the line, made of
+    its halves' hashes, and the keys of which lines one word apart share one: hashes of a start and an end of half the words,
+    rounded down and up."""
+    words = lines.select("id", "row", "pos", words_of(F.col("line")).alias("words")).withColumn("n", F.size("words"))
+    words = words.filter(F.col("n") >= least)
+    short, long = F.floor(F.col("n") / 2).cast("int"), F.ceil(F.col("n") / 2).cast("int")
+    parts = words.select("id", "row", "pos", "n", F.xxhash64(short, F.slice("words", F.lit(1), short)).alias("s0"),
+                         F.xxhash64(long, F.slice("words", F.lit(1), long)).alias("s1"),
+                         F.xxhash64(F.lit("end"), short, F.slice("words", long + 1, short)).alias("e0"),
+                         F.xxhash64(F.lit("end"), long, F.slice("words", short + 1, long)).alias("e1"))
+    keys = F.when(F.col("n") < edit_words, None).when(F.col("n") % 2 == 0, F.array("s0", "e0")).otherwise(F.array("s0", "e0", "s1", "e1"))
+    return parts.select("id", "row", "pos", F.xxhash64("s0", "e1", "n").alias("h1"), F.xxhash64("e1", "s0", "n").alias("h2"), keys.alias("halves"))
 
 
 def _order() -> Column:
@@ -52,36 +56,60 @@ def _order() -> Column:
     return F.struct(F.col("id").isNull().alias("z"), "id", "row", "pos")
 
 
-def _near(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str, edit_words: int) -> DataFrame:
+#: Rows of a slim table that may be broadcast once counted (about 30 MB); larger ones are shuffled.
+BROADCAST_ROWS = 300_000
+
+
+def _words_again(docs: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The words of the lines in ``first``, read again from the texts; lines are matched by where they stand."""
+    at = first.select(F.col("first.id").alias("i"), F.col("first.row").alias("r"), F.col("first.pos").alias("p"), "h1", "h2", "first")
+    own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
+    if first.count() <= BROADCAST_ROWS:
+        at = F.broadcast(at)
+    else:  # only the texts that hold such a line are taken apart
+        hold = at.select("i", "r").distinct()
+        own = own.join(hold, own["doc"].cast("long").eqNullSafe(hold["i"]) & (row_key("body") == hold["r"]), "left_semi")
+    line = _lines(own, "doc", "body")
+    found = line.join(at, line["id"].eqNullSafe(at["i"]) & (line["row"] == at["r"]) & (line["pos"] == at["p"]))
+    return found.select("h1", "h2", "first", words_of(F.col("line")).alias("words")).dropDuplicates(["h1", "h2"])
+
+
+def _variants(cand: DataFrame) -> DataFrame:
+    """``(v, whole, node)``: hashed variants.  A variant is what stands before and after a place.
+
+    Leaving out word i leaves the words before it and those after it; a whole line is
+    the same pair at each of its places.  Both come from running hashes from the
+    start and from the end, so a line costs as much as it has words.
+    """
+    def running(words: Column, seed: str) -> Column:
+        return F.aggregate(words, F.array(F.xxhash64(F.lit(seed))),
+                           lambda acc, w: F.concat(acc, F.array(F.xxhash64(F.element_at(acc, -1), w))))
+    c = cand.select("node", F.size("words").alias("n"), running(F.col("words"), "start").alias("p"),
+                    F.reverse(running(F.reverse("words"), "end")).alias("s"))  # p[i]: the first i words; s[i]: all from i on
+    out = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i + 1)).alias("v"), F.lit(False).alias("whole")))
+    whole = F.transform(F.sequence(F.lit(0), F.col("n")), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i)).alias("v"), F.lit(True).alias("whole")))
+    return c.select("node", F.explode(F.concat(out, whole)).alias("x")).select("x.v", "x.whole", "node")
+
+
+def _near(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The lines ``(h1, h2)`` that are one word away from an earlier line."""
-    half = lines.filter(F.col("n") >= edit_words).select("h1", F.explode("halves").alias("half"))
+    half = lines.filter("halves is not null").select("h1", F.explode("halves").alias("half"))
     shared = half.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b")
     maybe = half.join(shared.select("half"), "half", "left_semi").select("h1").distinct()
     first = cut(firsts.join(maybe, "h1", "left_semi").select("h1", "h2", "first"))
-    # the words of the candidates' first occurrence, read again
-    hold = cut(first.select(F.col("first.id").alias("i"), F.col("first.row").alias("r")).distinct())
-    again = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"), row_key(text_col).alias("key"))
-    again = again.join(hold, again["doc"].cast("long").eqNullSafe(hold["i"]) & (F.col("key") == F.col("r")), "left_semi")
-    at = _lines(again, "doc", "body", edit_words).withColumn("o", _order())
-    line = first.withColumnsRenamed({"h1": "g1", "h2": "g2"})
-    cand = cut(at.join(line, (at["h1"] == F.col("g1")) & (at["h2"] == F.col("g2")) & (at["o"] == F.col("first")))
-               .select("h1", "h2", "o", "words", "n").dropDuplicates(["h1", "h2"]))
-    less = F.concat(F.slice("words", F.lit(1), F.col("cut") - 1), F.slice("words", F.col("cut") + 1, F.col("n")))
-    variant = (cand.select("h1", "h2", "o", "words", "n", F.explode(F.sequence(F.lit(0), "n")).alias("cut"))
-               .withColumn("v", F.when(F.col("cut") == 0, F.col("words")).otherwise(less))
-               .select("h1", "h2", "o", "cut", F.xxhash64("v").alias("v1"), F.xxhash64(F.lit("second"), "v").alias("v2")))
-    place = variant.groupBy("v1", "v2", "cut").agg(F.min(F.struct("o", "h1", "h2")).alias("least"))
-    whole = place.groupBy("v1", "v2").agg(F.min(F.when(F.col("cut") == 0, F.col("least"))).alias("full"),
-                                          F.min(F.when(F.col("cut") > 0, F.col("least"))).alias("part"))
-    best = (place.join(whole, ["v1", "v2"])
-            .select("v1", "v2", "cut", F.when(F.col("cut") == 0, F.col("part"))
-                    .otherwise(F.least("least", "full")).alias("to")))
-    pair = (variant.join(best, ["v1", "v2", "cut"]).filter("to.o < o")
-            .select("h1", "h2", "cut", F.col("to.h1").alias("t1"), F.col("to.h2").alias("t2")).distinct())
+    # numbered in their order, so that the least number is the earliest line
+    cand = cut(_words_again(docs, first, id_col, text_col).orderBy("first").withColumn("node", F.monotonically_increasing_id()))
+    variant = _variants(spread(cand.select("node", "words")))
+    part, full = F.when(~F.col("whole"), F.col("node")), F.when(F.col("whole"), F.col("node"))
+    group = (variant.groupBy("v").agg(F.min(part).alias("part"), F.max(part).alias("last"), F.min(full).alias("full"))
+             .filter("part < last or full is not null and part is not null"))
+    # a line left without a word is near to lines left without the same place, and to a line that equals the rest
+    to = F.when(F.col("whole"), F.col("part")).otherwise(F.least("part", "full"))
+    pair = variant.join(group, "v").withColumn("to", to).filter("to < node").groupBy("node").agg(F.collect_set("to").alias("to"))
     # confirm the edit distance on the words themselves
-    x, y = cand.select("h1", "h2", "words", "n"), cand.select(F.col("h1").alias("t1"), F.col("h2").alias("t2"),
-                                                              F.col("words").alias("other"), F.col("n").alias("m"))
-    both = pair.join(x, ["h1", "h2"]).join(y, ["t1", "t2"])
+    pair = pair.select("node", F.explode("to").alias("to"))
+    other = cand.select(F.col("node").alias("to"), F.col("words").alias("other"))
+    both = pair.join(cand, "node").join(other, "to")
     return both.filter(one_word_apart("words", "other")).select("h1", "h2").distinct()
 
 
@@ -102,11 +130,9 @@ def one_word_apart(a: str, b: str) -> Column:
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     min_words: int = MIN_WORDS, edit_words: int = EDIT_WORDS) -> DataFrame:
     """``(id, row, gone)``: for each text with duplicate lines, the positions (from 0) of those lines."""
-    found = _lines(docs, id_col, text_col, min_words)
-    lines = cut(found.select("id", "row", "pos", "h1", "h2", "n",
-                             F.when(F.col("n") >= edit_words, _halves(F.col("words"), F.col("n"))).alias("halves")))
+    lines = cut(_hashed(_lines(docs, id_col, text_col), min_words, edit_words))
     firsts = lines.groupBy("h1", "h2").agg(F.min(_order()).alias("first"), F.count(F.lit(1)).alias("c"))
-    near = cut(_near(lines, firsts, docs, id_col, text_col, edit_words)).withColumn("near", F.lit(True))
+    near = cut(_near(lines, firsts, docs, id_col, text_col)).withColumn("near", F.lit(True))
     again = (firsts.join(near, ["h1", "h2"], "left").filter("c > 1 or near")
              .select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near")))
     gone = lines.select("id", "row", "pos", "h1", "h2").join(again, ["h1", "h2"]).filter(F.col("near") | (_order() != F.col("first")))
