@@ -1,7 +1,8 @@
 """Text column helpers with Python string semantics, built from Spark functions.
 
-Everything here returns a ``Column`` and stays inside whole-stage codegen:
-no Python runs per row.  The helpers reproduce the behaviour of the
+Everything here returns a ``Column``: no Python runs per row.  Plain expressions
+compile into whole-stage codegen; those built on ``let`` or other array functions are
+evaluated row by row on the JVM.  The helpers reproduce the behaviour of the
 Python string calls the listing jobs were specified with (``str.strip``,
 ``re.findall(..)[0]``, ``str.split``, ``float``) where Spark's built-ins differ.
 
@@ -56,22 +57,22 @@ def java_pattern(pattern: str) -> str:
 def first_match(c, pattern: str, default: str | None = "-", group: int = 1) -> Column:
     """``re.findall(pattern, s)[0].strip()``, or ``default`` when nothing matches.
 
-    ``regexp_extract`` returns '' both for no match and for an empty match, so the
-    presence test is a separate ``rlike``.
+    The text is searched once: ``regexp_substr`` gives the match or null, and the
+    group is taken from that short match.  (Patterns must not match the empty text.)
     """
+    hit = py_strip(_one_match(c, pattern, group))
+    return F.coalesce(hit, F.lit(default)) if default is not None else hit
+
+
+def _one_match(c, pattern: str, group: int) -> Column:
     p = java_pattern(pattern)
-    s = col_(c)
-    hit = py_strip(F.regexp_extract(s, p, group))
-    out = F.when(s.rlike(p), hit)
-    return out.otherwise(F.lit(default)) if default is not None else out
+    return F.regexp_extract(F.regexp_substr(col_(c), F.lit(p)), p, group)
 
 
 def required_match(c, pattern: str, group: int = 1, strip: bool = False) -> Column:
     """``re.findall(pattern, s)[0]``: null when absent, so the row can be rejected."""
-    p = java_pattern(pattern)
-    s = col_(c)
-    hit = F.regexp_extract(s, p, group)
-    return F.when(s.rlike(p), py_strip(hit) if strip else hit)
+    hit = _one_match(c, pattern, group)
+    return py_strip(hit) if strip else hit
 
 
 def title_clean(c) -> Column:

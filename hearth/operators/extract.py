@@ -15,14 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.session import spread
+from hearth.functions.html import element_text
 from hearth.functions.text import (
     FULLWIDTH_DIGITS, col_, first_match, part, py_strip, required_match, split_parts, strict_double,
     title_clean,
 )
 
 # Markup patterns of a listing page (regular expressions).
-CARD_MARKER = r'<[a-zA-Z][a-zA-Z0-9]*\s(?:[^>]*\s)?class="info clear"[^>]*>'
-CARD_END = "</li>"
+CARD_MARKER = r"""<[a-zA-Z][a-zA-Z0-9]*\s(?:[^>]*\s)?class\s*=\s*(?:"info clear"|'info clear')[^>]*>"""
+CARD_TAG = r"^<([a-zA-Z][a-zA-Z0-9]*)"
 ID_RE = r'data-housecode="(.*?)"'
 TITLE_RE = r'target="_blank">(.*?)</a><!--'
 COMMUNITY_RE = r'xiaoqu.*?target="_blank">(.*?)</a>'
@@ -34,7 +35,7 @@ FACTS_RE = r'class="houseIcon"></span>(.*?)</div>'
 FACTS_SEP = "|"
 SIZE_UNIT = "平米"
 RESULT_COUNT_RE = r"共找到<span> (.*?) </span>套.*二手房"
-DISTRICT_IN_URL_RE = r"/([^/]+)/pg[0-9]+/?$"
+DISTRICT_IN_URL_RE = r"/([^/]+?)(?:/pg[0-9]+)?/?$"
 
 # Paging of a district's result list.
 LISTINGS_PER_PAGE = 30
@@ -62,19 +63,21 @@ class Site:
 
 
 def explode_cards(pages: DataFrame, html: str = "html", marker: str = CARD_MARKER,
-                  card_end: str | None = CARD_END, keep=("page_id",)) -> DataFrame:
-    """One row per card: text after each ``marker`` up to the next one.
+                  card_end: str | None = None, keep=("page_id",)) -> DataFrame:
+    """One row per card: the inside of each element whose opening tag is ``marker``.
 
-    A regex cannot find the close of nested divs, so a page is split on the
-    opening marker; ``card_end`` (literal) cuts a card at the end of its own
-    list item.  ``pos`` is the card's 0-based position on the page.
+    A page is split before each opening tag; a card ends where its own element closes
+    (tags of its name are counted), so lists and blocks may nest in it.
+    ``card_end`` instead cuts at the first such text.  ``pos`` is the card's 0-based
+    position on the page.
     """
-    arr = F.split(F.col(html), marker, -1)
-    cards = pages.select(*keep, F.posexplode(F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0))))
-                         .alias("pos", "card"))
+    arr = F.split(F.col(html), f"(?={marker})", -1)
+    has = F.filter(arr, lambda x: x.rlike("^" + marker))
+    cards = pages.select(*keep, F.posexplode(has).alias("pos", "_card"))
+    rest = F.regexp_replace("_card", "^" + marker, "")
     if card_end:
-        cards = cards.withColumn("card", F.substring_index("card", card_end, 1))
-    return cards
+        return cards.select(*keep, "pos", F.substring_index(rest, card_end, 1).alias("card"))
+    return cards.select(*keep, "pos", element_text(rest, F.regexp_extract("_card", CARD_TAG, 1)).alias("card"))
 
 
 def first_reason(checks: list[tuple[str, Column]]) -> Column:
@@ -150,9 +153,11 @@ LISTING_OUT = ["house_id", "title", "district", "community", "position", "tax",
 
 def extract_listings(pages: DataFrame, district: Column | None = None,
                      site: Site = Site(), marker: str = CARD_MARKER,
-                     card_end: str | None = CARD_END) -> DataFrame:
+                     card_end: str | None = None, tasks: int | None = None) -> DataFrame:
     """pages(page_id, url, html[, district]) -> parsed cards with ``reject_reason``.
 
+    ``tasks`` deals the pages over so many tasks when the input has too few splits.
+
     Split the result with ``kept`` / ``rejected``.  When both halves are
     needed, write it once first (as the collect job does), so the pages are
     parsed a single time.
@@ -161,7 +166,7 @@ def extract_listings(pages: DataFrame, district: Column | None = None,
         district = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
     keep = [c for c in ("page_id", "url", "dt") if c in pages.columns] + ["district_in"]
     src = spread(pages.select(*[c for c in keep if c != "district_in"], "html",
-                              district.alias("district_in")))
+                              district.alias("district_in")), tasks)
     cards = explode_cards(src, marker=marker, card_end=card_end, keep=keep)
     parsed = parse_cards(cards, F.col("district_in"), site)
     return (parsed.withColumn("seq", F.col("page_id") * SEQ_STRIDE + F.col("pos"))
@@ -200,26 +205,39 @@ def strict_int(c) -> Column:
                   F.regexp_replace(s, "_", "").try_cast("bigint"))
 
 
-def page_count(n) -> Column:
-    """``ceil(min(cap, n) / per_page)``; 0 for n <= 0 or null."""
-    capped = F.least(col_(n), F.lit(LISTING_CAP))
+def page_count(n, cap: int | None = LISTING_CAP) -> Column:
+    """``ceil(min(cap, n) / per_page)``; 0 for n <= 0 or null.  No cap: all pages."""
+    capped = col_(n) if cap is None else F.least(col_(n), F.lit(cap))
     return F.when(capped > 0, F.ceil(capped / F.lit(float(LISTINGS_PER_PAGE)))).otherwise(
         F.lit(0)).cast("int")
 
 
 def page_frontier(counts: DataFrame, n: str = "house_num", slug: str = "district_en",
-                  url_template: str | None = None, site: Site = Site()) -> DataFrame:
+                  url_template: str | None = None, site: Site = Site(), cap: int | None = LISTING_CAP) -> DataFrame:
     """One row per page to fetch: ``page`` 1..pages and its URL.
 
-    ``sequence(1, 0)`` would count down, so districts without listings get no
-    rows through an explicit empty array.
+    The site shows ``cap`` listings of a district at most; ``beyond_cap`` says how many
+    more it announces.  ``sequence(1, 0)`` would count down, so districts without
+    listings get no rows through an explicit empty array.
     """
-    pages = page_count(F.col(n))
+    pages = page_count(F.col(n), cap)
     seq = F.when(pages > 0, F.sequence(F.lit(1), pages)).otherwise(F.array().cast("array<int>"))
     tmpl = url_template or (site.base + "/%s/pg%d/")
-    return (counts.withColumn("page", F.explode(seq))
+    beyond = F.lit(0) if cap is None else F.greatest(F.col(n) - cap, F.lit(0))
+    return (counts.withColumn("beyond_cap", beyond.cast("bigint")).withColumn("page", F.explode(seq))
             .withColumn("url", F.format_string(tmpl, F.col(slug), F.col("page"))))
 
 
+def frontier_status(frontier: DataFrame, landed: DataFrame, url: str = "url") -> DataFrame:
+    """The frontier with ``landed``: whether a page of that address has landed.
+
+    Addresses are compared without a closing slash; landed copies count once.
+    """
+    plain = lambda c: F.regexp_replace(c, "/+$", "")
+    there = landed.select(plain(F.col(url)).alias("_at")).distinct().withColumn("_hit", F.lit(True))
+    return (frontier.withColumn("_at", plain(F.col("url"))).join(there, "_at", "left")
+            .withColumn("landed", F.coalesce("_hit", F.lit(False))).drop("_at", "_hit"))
+
+
 def district_from_url(url) -> Column:
     return required_match(url, DISTRICT_IN_URL_RE)

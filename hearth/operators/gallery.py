@@ -15,15 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.codec import decode_pairs, dict_assign, encode_keys, encode_pairs
+from hearth.functions.html import element_text, elements
 from hearth.functions.images import data_uri, resize_thumb, tidy_url
 from hearth.functions.text import col_, java_pattern, let
 from hearth.session import spread
 
 # Gallery markup and the description that marks a floor plan.
-GALLERY_BLOCK_RE = r'(?s)<ul\b[^>]*\bclass="(?:[^"]*\s)?smallpic(?:\s[^"]*)?"[^>]*>(.*?)</ul>'
-ITEM_RE = r"(?s)<li\b[^>]*>.*?</li>"
-ITEM_OPEN_RE = r"^<li\b[^>]*>"
-IMG_TAG_RE = r"(?s)<img\b[^>]*>"
+_CLASS = r"""class\s*=\s*(?:"(?:[^"]*\s)?smallpic(?:\s[^"]*)?"|'(?:[^']*\s)?smallpic(?:\s[^']*)?'|smallpic(?=[\s>]))"""
+GALLERY_OPEN_RE = rf"(?is)<ul\b[^>]*\s{_CLASS}[^>]*>"
+IMG_TAG_RE = r"""(?is)<img\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
 
 
 def attr_re(name: str) -> str:
@@ -55,29 +55,32 @@ def unescape_attr(c) -> Column:
         out = F.replace(out, F.lit(ref), F.lit(ch))
     return out
 MAX_PER_KIND = 8
+#: Join keys that one image url is spread over.
+SHARES = 64
 
 
 def gallery_block(html) -> Column:
-    """Inner HTML of the first gallery list; null when the page has none."""
-    p = java_pattern(GALLERY_BLOCK_RE)
-    return F.when(col_(html).rlike(p), F.regexp_extract(col_(html), p, 1))
+    """Inner HTML of the first gallery list; null when the page has none.
+
+    The list ends where its own ``ul`` closes, so lists may nest in it.
+    """
+    after = F.get(F.split(col_(html), java_pattern(GALLERY_OPEN_RE), 2), 1)
+    return F.when(after.isNotNull(), element_text(after, "ul"))
 
 
 def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Column:
     """Gallery array from a detail page (null when there is no gallery list).
 
-    Each ``li`` gives (url, descr): the ``data-desc`` attribute ('' when absent)
-    and the ``src`` of its first ``img``, tidied and resized; a ``li`` whose
-    first ``img`` is missing or has no ``src`` is skipped; a repeated url keeps
-    its first position and last descr.  Attribute values are unescaped.
+    Each ``li``, nested ones too, gives (url, descr): its ``data-desc`` attribute
+    ('' when absent) and the ``src`` of the first ``img`` anywhere in it, tidied
+    and resized; a ``li`` whose first ``img`` is missing or has no ``src`` is skipped; a
+    repeated url keeps its first position and last descr.  Attribute values are unescaped.
     """
-    img_re, open_re = java_pattern(IMG_TAG_RE), java_pattern(ITEM_OPEN_RE)
+    img_re = java_pattern(IMG_TAG_RE)
 
     def from_block(block):
-        items = F.regexp_extract_all(block, F.lit(java_pattern(ITEM_RE)), 0)
-        found = F.transform(items, lambda li: F.struct(
-            F.regexp_extract(li, open_re, 0).alias("open"),
-            attr_value(F.regexp_extract(li, img_re, 0), SRC_RE).alias("src")))
+        found = F.transform(elements(block, "li"), lambda x: F.struct(
+            x["open"].alias("open"), attr_value(F.regexp_extract(x["inside"], img_re, 0), SRC_RE).alias("src")))
         with_src = F.filter(found, lambda x: x["src"].isNotNull())
         pairs = F.transform(with_src, lambda x: F.struct(
             resize_thumb(tidy_url(x["src"]), origin, dest).alias("url"),
@@ -88,13 +91,14 @@ def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Co
 
 
 def extract_details(detail_pages: DataFrame, key: str = "house_id", link: str = "link",
-                    html: str = "html") -> DataFrame:
+                    html: str = "html", tasks: int | None = None) -> DataFrame:
     """detail pages (house_id, link, html) -> details (house_id, link, gallery).
 
     Pages without a gallery list give no row (they are retried on the next run).
+    ``tasks`` deals the pages over so many tasks when the input has too few splits.
     """
     g = gallery_from_html(F.col(html))
-    detail_pages = spread(detail_pages.select(key, link, html))
+    detail_pages = spread(detail_pages.select(key, link, html), tasks)
     # explode([g] without nulls) drops pages without a gallery in the same
     # operator that computes it (a filter on g would be pushed below and
     # evaluate the extraction twice)
@@ -140,18 +144,23 @@ def preview(gallery) -> Column:
 
 
 def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
-                  max_num: int = MAX_PER_KIND) -> DataFrame:
+                  max_num: int = MAX_PER_KIND, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per listing, plan and room images as data URIs, in gallery order.
 
     ``images(url, content)``: entries with an empty url or no image bytes are
-    dropped.  Output: key, plan_uris ARRAY<STRING>, room_uris ARRAY<STRING>.
-    Only keys with at least one image get a row; left-join the result and use
-    ``no_images`` for the rest.  Each key contributes at most 2 x ``max_num`` rows,
-    so the re-collect per key is bounded; a url shared by many listings is a hot
-    join key that AQE's skew-join splits.
+    dropped, and a url landed several times counts once (its least bytes).
+    Output: key, plan_uris ARRAY<STRING>, room_uris ARRAY<STRING>.  Only keys with at
+    least one image get a row.  With ``carry`` every key gets one (``details`` then has
+    one row per key) and brings those columns along, so that ``details`` is worked out
+    only once.  Each key contributes at most 2 x ``max_num`` rows, so the re-collect
+    per key is bounded.
+
+    A url that very many listings share (a placeholder) is spread over ``SHARES`` join
+    keys: the image is handed out once per share in use, and the listings of a share meet it
+    there.  Bytes travel as they are and are encoded once, after the collect.
     """
     per_kind = details.select(
-        key,
+        key, *carry,
         F.concat(
             F.transform(kind("gallery", True, max_num),
                         lambda x: F.struct(F.lit(0).alias("kind"), x["pos"].alias("pos"),
@@ -160,22 +169,19 @@ def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
                         lambda x: F.struct(F.lit(1).alias("kind"), x["pos"].alias("pos"),
                                            x["url"].alias("url"))),
         ).alias("wanted"))
-    wanted = (per_kind.select(key, F.explode("wanted").alias("w"))
-              .select(key, "w.kind", "w.pos", "w.url")
-              .filter(F.col("url") != ""))
-    # encode after the join: images nobody wants are never encoded, and the work
-    # is proportional to the output, which carries the encoded text anyway
-    got = (wanted.join(images.select("url", "content"), "url", "inner")
-           .select(key, "kind", "pos", data_uri(F.col("content")).alias("uri"))
-           .filter(F.col("uri") != ""))
-    imgs = F.array_sort(F.collect_list(F.struct("kind", "pos", "uri")))
-    return (got.groupBy(key)
-            .agg(imgs.alias("imgs"))
-            .select(key,
-                    F.transform(F.filter("imgs", lambda x: x["kind"] == 0),
-                                lambda x: x["uri"]).alias("plan_uris"),
-                    F.transform(F.filter("imgs", lambda x: x["kind"] == 1),
-                                lambda x: x["uri"]).alias("room_uris")))
+    one = F.explode_outer("wanted") if carry else F.explode("wanted")
+    wanted = (per_kind.select(key, *carry, one.alias("w"))
+              .select(key, *carry, "w.kind", "w.pos", "w.url", F.pmod(F.xxhash64(key), F.lit(SHARES)).cast("int").alias("share")))
+    named = wanted.filter(F.col("url") != "")
+    landed = images.filter(F.col("content").isNotNull()).groupBy("url").agg(F.min("content").alias("content"))
+    shares = named.select("url", "share").distinct().join(landed, "url")
+    got = (wanted.join(shares, ["url", "share"], "left") if carry else named.join(shares, ["url", "share"]))
+    seen = F.when(F.col("content").isNotNull(), F.struct("kind", "pos", "content"))
+    both = got.groupBy(key).agg(F.array_sort(F.collect_list(seen)).alias("imgs"), *[F.first(c).alias(c) for c in carry])
+
+    def uris(k: int) -> Column:
+        return F.transform(F.filter("imgs", lambda x: x["kind"] == k), lambda x: data_uri(x["content"]))
+    return both.select(key, *carry, uris(0).alias("plan_uris"), uris(1).alias("room_uris"))
 
 
 def no_images(c) -> Column:

@@ -21,8 +21,3 @@ def first_n(df: DataFrame, n: int, order="seq") -> DataFrame:
 def first_page_only(df: DataFrame, page: str = "page") -> DataFrame:
     """Rows of the first page of each district (pages are numbered from 1)."""
     return df.filter(F.col(page) == 1)
-
-
-def first_of(arr) -> F.Column:
-    """The first element as a one-element array (empty stays empty)."""
-    return F.slice(arr if not isinstance(arr, str) else F.col(arr), 1, 1)

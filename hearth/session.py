@@ -9,12 +9,13 @@ names in ``spark.checkpoint.dir`` (only tests fall back to a scratch dir).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings a job relies on; applied by local_session and checked by jobs.
+# Settings a job relies on; applied by local_session.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -31,19 +32,13 @@ SESSION_DEFAULTS = {
 
 
 def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Spread heavy per-row work over every core when the input gives too few tasks.
+    """Deal rows round-robin over ``tasks`` partitions before heavy per-row work.
 
-    A scan yields one task per file split (for parquet, per row group), so a
-    few large files feed only a few cores.  Then the rows are dealt round-robin
-    over ``tasks`` partitions (default: the cluster's parallelism).  When the
-    input already has that many splits, as on a large cluster, nothing changes.
+    A scan yields one task per file split, so a few large files feed only a few
+    cores; a caller who knows that asks for more.  Without ``tasks`` the plan is left as
+    it is.  Nothing is looked up, so no job runs while the plan is built.
     """
-    try:
-        target = tasks or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view; leave the plan as it is
-        return df
-    return df.repartition(target) if have < target else df
+    return df if tasks is None else df.repartition(tasks)
 
 
 def cluster_conf(executors: int, cores_per_executor: int = 4) -> dict[str, str]:
@@ -90,7 +85,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="hearth-ckpt-")
     if not spark.sparkContext.getCheckpointDir():

