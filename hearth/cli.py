@@ -54,8 +54,9 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("merge", help="screened x details -> final")
 
     pr = sub.add_parser("prompts", help="requests x wishes -> prompts")
-    pr.add_argument("--requests", required=True, help="parquet of (house_id, wish_id)")
-    pr.add_argument("--wishes", required=True, help="parquet of (wish_id, user_input)")
+    pr.add_argument("--user_input", default=None, help="one wish: every listing is scored for it")
+    pr.add_argument("--requests", help="parquet of (house_id, wish_id)")
+    pr.add_argument("--wishes", help="parquet of (wish_id, user_input)")
     pr.add_argument("--images", default=None, help="folder of landed image files")
     pr.add_argument("--image_url_root", default=None)
 
@@ -88,12 +89,12 @@ def main(argv: list[str] | None = None) -> int:
     root, dt = args.root, args.dt
 
     if args.step == "collect":
-        pages = spark.read.parquet(args.pages)
+        pages = files.read_pages(spark, args.pages)
         site = extract.Site(root=args.site_root, city=args.city_name)
         jobs.collect(spark, pages, root, dt, args.city_name, args.area_name, site,
                      debug=bool(args.debug)).show(truncate=False)
     elif args.step == "screen":
-        jobs.screen_stage(spark, root, dt).orderBy("profile", "rank").show(100, truncate=False)
+        _print_all(jobs.screen_stage(spark, root, dt).drop("dt").orderBy("profile", F.desc("n"), "value"))
     elif args.step == "details":
         jobs.details_stage(spark, root, dt, spark.read.parquet(args.detail_pages),
                            args.debug_num).show(truncate=False)
@@ -101,18 +102,26 @@ def main(argv: list[str] | None = None) -> int:
         jobs.merge_stage(spark, root, dt)
     elif args.step == "prompts":
         imgs = files.read_images(spark, args.images, args.image_url_root) if args.images else None
-        jobs.prompts_stage(spark, root, dt, spark.read.parquet(args.requests),
-                           spark.read.parquet(args.wishes), imgs)
+        if args.user_input is not None:
+            requests, wishes = jobs.score_all_requests(spark, root, dt, args.user_input)
+        elif args.requests and args.wishes:
+            requests, wishes = spark.read.parquet(args.requests), spark.read.parquet(args.wishes)
+        else:
+            p.error("prompts needs --user_input, or --requests and --wishes")
+        jobs.prompts_stage(spark, root, dt, requests, wishes, imgs)
     elif args.step == "score":
         jobs.replies_stage(spark, root, dt, _factory(args.client), args.concurrency,
                            args.in_flight).groupBy(F.col("score").isNotNull().alias("scored")) \
             .count().show()
     elif args.step == "shortlist":
-        groups, _ = jobs.shortlist_stage(spark, root, dt, args.min_score)
+        groups, listings = jobs.shortlist_stage(spark, root, dt, args.min_score)
         if args.out:
-            files.write_csv_table(groups, args.out)
+            files.write_csv_table(groups.drop("dt"), f"{args.out.rstrip('/')}/groups")
+            files.write_csv_table(listings.drop("dt"), f"{args.out.rstrip('/')}/listings")
         else:
-            groups.orderBy(F.desc("max_score")).show(50, truncate=False)
+            _print_all(groups.drop("dt").orderBy(F.desc("max_score"), "wish_id", "community", "house_type"))
+            _print_all(listings.select("wish_id", "house_id", "score", "title", "community", "link")
+                       .orderBy("wish_id", F.desc("score"), "house_id"))
     elif args.step == "ask":
         req = spark.createDataFrame([(args.house_id, 0)], schema.REQUESTS)
         wish = spark.createDataFrame([(0, args.user_input)], schema.WISHES)
@@ -128,11 +137,17 @@ def main(argv: list[str] | None = None) -> int:
             df = gallery_as_text(df)
         files.write_csv_table(df.drop("dt"), args.out)
     elif args.step == "import":
-        files.write_stage(import_csv(spark, args.stage, args.csv).withColumn("dt", F.lit(dt)),
-                          root, args.stage)
+        files.write_stage(import_csv(spark, args.stage, args.csv), root, args.stage, dt)
     return 0
 
 
+def _print_all(df) -> None:
+    """Every row, tab-separated under a header; rows come to the driver one partition at a time."""
+    print("\t".join(df.columns))
+    for r in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in r))
+
+
 def gallery_as_text(df):
     """Replace ``gallery`` by its text form: ``urls`` ('u1;u2') and ``url_dict`` ('u1##d1;...')."""
     from hearth.functions.codec import encode_keys, encode_pairs
@@ -144,7 +159,8 @@ def import_csv(spark: SparkSession, stage: str, path: str):
     """An earlier run's CSV file as a stage table.
 
     Legacy column names are mapped, the index column dropped, text galleries
-    decoded; ``seq`` keeps the file's row order (ids grow with file split and row).
+    decoded; ``seq`` keeps the row order, file by file in the order of their names (each
+    file is read by one task, as fields may hold line breaks).
     """
     from hearth.functions.codec import decode_pairs
     base = schema.LISTINGS if stage == "listings" else schema.SCREENED
@@ -155,7 +171,9 @@ def import_csv(spark: SparkSession, stage: str, path: str):
     if stage == "final":
         fields = fields + [schema.T.StructField("url_dict", schema.T.StringType())]
     df = files.read_csv_table(spark, path, schema.T.StructType(fields))
-    df = df.withColumn("seq", F.monotonically_increasing_id())
+    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
+    rank = F.array_position(F.array(*[F.lit(f) for f in sorted(raw.inputFiles())]), F.input_file_name())
+    df = df.withColumn("seq", F.coalesce(rank, F.lit(0)) * F.lit(1 << 40) + F.monotonically_increasing_id() % F.lit(1 << 33))
     if stage == "final":
         df = df.withColumn("gallery", decode_pairs(F.col("url_dict"))).drop("url_dict")
     return df

@@ -158,8 +158,9 @@ def listing_cards(final: DataFrame, key: str = "house_id", order: str = "seq") -
 
 
 def listing_views(requests: DataFrame, final: DataFrame, key: str = "house_id",
-                  preview: tuple[str, str] | None = ("450x300", "210x140")) -> DataFrame:
-    """Per requested listing: its text, plan image URLs and room image URLs.
+                  preview: tuple[str, str] | None = ("450x300", "210x140"),
+                  max_num: int = 8) -> DataFrame:
+    """Per requested listing: its text, and the URLs of up to ``max_num`` plan and room images.
 
     The batch form of looking up one listing for display; URLs are rewritten
     to the preview size when ``preview`` is given.
@@ -170,7 +171,7 @@ def listing_views(requests: DataFrame, final: DataFrame, key: str = "house_id",
     cards = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
 
     def urls(plans: bool):
-        u = F.transform(kind("gallery", plans), lambda x: x["url"])
+        u = F.transform(kind("gallery", plans, max_num), lambda x: x["url"])
         if preview:
             u = F.transform(u, lambda x: resize_thumb(x, *preview))
         return no_images(u)
@@ -178,6 +179,13 @@ def listing_views(requests: DataFrame, final: DataFrame, key: str = "house_id",
     return cards.select(key, "info", urls(True).alias("plan_urls"), urls(False).alias("room_urls"))
 
 
+def listing_view(final: DataFrame, house_id: int, key: str = "house_id",
+                 preview: tuple[str, str] | None = ("450x300", "210x140"), max_num: int = 8) -> DataFrame:
+    """One listing for display; the id filter is pushed down to the stage's files."""
+    one = final.filter(F.col(key) == F.lit(house_id))
+    return listing_views(one.select(key), one, key, preview, max_num)
+
+
 def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
                   images: DataFrame | None = None, key: str = "house_id") -> DataFrame:
     """requests(house_id, wish_id) -> prompts(house_id, wish_id, messages).
@@ -189,18 +197,21 @@ def build_prompts(requests: DataFrame, wishes: DataFrame, final: DataFrame,
 
     # render only the listings asked for
     asked = listing_cards(final.join(requests.select(key).distinct(), key, "left_semi"), key)
-    # one wish per id, so a repeated wish id cannot multiply the prompts
-    one_wish = wishes.groupBy("wish_id").agg(F.min("user_input").alias("user_input"))
+    if images is not None:
+        asked = attach_images(asked, images, key, carry=("info", "gallery"))
+    else:
+        asked = asked.select("*", F.lit(None).cast("array<string>").alias("plan_uris"),
+                             F.lit(None).cast("array<string>").alias("room_uris"))
     # a request asked twice is answered once (each prompt is a paid call)
     rows = (requests.select(key, "wish_id").distinct()
-            .join(one_wish, "wish_id", "left")
+            .join(one_wish_per_id(wishes), "wish_id", "left")
             .join(asked, key, "left"))
-    if images is not None:
-        rows = rows.join(attach_images(asked.filter(F.col("gallery").isNotNull()), images, key),
-                         key, "left")
-    else:
-        rows = rows.select("*", F.lit(None).cast("array<string>").alias("plan_uris"),
-                           F.lit(None).cast("array<string>").alias("room_uris"))
     msgs = messages(F.col("user_input"), F.col("info"), F.col("gallery").isNotNull(),
                     no_images(F.col("plan_uris")), no_images(F.col("room_uris")))
     return rows.select(key, "wish_id", msgs.alias("messages"))
+
+
+def one_wish_per_id(wishes: DataFrame) -> DataFrame:
+    """``(wish_id, user_input, texts)``: of several texts for one id the least, and how many there are."""
+    return wishes.groupBy("wish_id").agg(F.min("user_input").alias("user_input"),
+                                         F.count(F.lit(1)).alias("texts"))

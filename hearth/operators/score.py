@@ -28,11 +28,11 @@ from hearth.operators.prompt import first_per_key, messages_json
 from hearth.session import ship_package
 
 # How a reply states its score, and the valid range.
-SCORE_RE = r"满意分\s*[:：]\s*([0-9]+)"
+SCORE_RE = r"满意分[\s*]*[:：][\s*]*([0-9]+)"
 MAX_SCORE = 100
 SHORTLIST_MIN_SCORE = 60
 
-REPLY_SCHEMA = "house_id bigint, wish_id bigint, reply string"
+REPLY_SCHEMA = "house_id bigint, wish_id bigint, reply string, outcome string"
 
 
 class ModelClient(Protocol):
@@ -48,29 +48,31 @@ def _call_batches(factory: ClientFactory, in_flight: int):
 
         def one(m):
             try:
-                return client.complete(m) or ""
-            except Exception:  # the reply of a failed call is '' and is retried next run
-                return ""
+                reply = client.complete(m) or ""
+                return reply, "answered" if reply else "empty"
+            except Exception as e:  # any client error: the reply is '' and is asked again next run
+                return "", type(e).__name__
 
         with ThreadPoolExecutor(max_workers=max(1, in_flight)) as pool:
             for pdf in batches:
-                replies = list(pool.map(one, pdf["messages_json"].tolist()))
+                got = list(pool.map(one, pdf["messages_json"].tolist()))
                 yield pd.DataFrame({"house_id": pdf["house_id"], "wish_id": pdf["wish_id"],
-                                    "reply": replies})
+                                    "reply": [r for r, _ in got], "outcome": [o for _, o in got]})
     return run
 
 
 def parse_score(reply) -> Column:
     """Score from '满意分: 85分。...'; null when absent or above 100."""
     p = java_pattern(SCORE_RE)
-    r = col_(reply)
-    n = F.when(r.rlike(p), F.regexp_extract(r, p, 1).try_cast("int"))
+    n = F.regexp_extract(F.regexp_substr(col_(reply), F.lit(p)), p, 1).try_cast("int")
     return F.when(n <= MAX_SCORE, n).cast("int")
 
 
 def reply_batch(prompts: DataFrame, factory: ClientFactory, answered: DataFrame | None = None,
                 concurrency: int | None = None, in_flight: int = 4) -> DataFrame:
-    """prompts(house_id, wish_id, messages) -> replies(house_id, wish_id, reply, score).
+    """prompts(house_id, wish_id, messages) -> replies(house_id, wish_id, reply, outcome, score).
+
+    ``outcome`` is ``answered``, ``empty``, or the name of the error that the client raised.
 
     ``answered``: replies already stored (their keys are skipped; failed calls
     with '' replies should be filtered out of it by the caller so they retry).

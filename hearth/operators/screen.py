@@ -9,7 +9,7 @@ SURVEY IDs: F1-F4, A1-A3, L1.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,8 +98,9 @@ def profiles(flagged: DataFrame, specs: dict[str, tuple[str, str]],
     ``specs`` maps a profile name to (flag column, key column): rows with the
     flag at 1 are counted by key.  Each row emits one (profile, value) pair per
     raised flag, so all tables come from one scan and one partially aggregated
-    group-by.  Values are text (numbers as Python prints them); ``rank`` orders
-    a table by count, then value, and ``top`` keeps the first ranks of a profile.
+    group-by.  Values are text (numbers as Python prints them).  ``top`` keeps the
+    first ranks of a profile, by count, then value; only such profiles carry a
+    ``rank``, as the others may have any number of values.
     """
     def text(c: str):
         dt = flagged.schema[c].dataType
@@ -111,14 +112,13 @@ def profiles(flagged: DataFrame, specs: dict[str, tuple[str, str]],
     counts = (flagged.select(F.explode(pairs).alias("p"))
               .filter(F.col("p").isNotNull() & F.col("p.value").isNotNull())
               .groupBy("p.profile", "p.value").agg(F.count(F.lit(1)).alias("n")))
-    from pyspark.sql import Window
+    if not top:
+        return counts.withColumn("rank", F.lit(None).cast("int"))
+    # only a capped profile is ranked, and of it each task passes on its first rows alone
     w = Window.partitionBy("profile").orderBy(F.col("n").desc(), F.col("value").asc())
-    ranked = counts.withColumn("rank", F.row_number().over(w))
-    if top:
-        keep = None
-        for name, k in top.items():
-            cond = (F.col("profile") == name) & (F.col("rank") <= k)
-            keep = cond if keep is None else keep | cond
-        others = ~F.col("profile").isin(list(top))
-        ranked = ranked.filter(keep | others)
-    return ranked
+    first = None
+    for name, k in top.items():
+        one = counts.filter(F.col("profile") == name).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+        first = one if first is None else first.unionByName(one)
+    rest = counts.filter(~F.col("profile").isin(list(top))).withColumn("rank", F.lit(None).cast("int"))
+    return first.unionByName(rest)

@@ -6,7 +6,7 @@ details   landed detail pages of screened listings not yet done -> details (appe
 merge     screened x details -> final
 prompts   requests x wishes x final (+ images) -> prompts
 replies   prompts not yet answered -> replies (append), via a model client
-shortlist replies x final -> qualifying communities and layouts
+shortlist replies x final -> qualifying communities and layouts, and the listings themselves
 
 Every job reads its inputs from the stage root and writes its output there,
 so each job boundary is a written table (a lineage cut), and re-running a job
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearth.operators import enrich, extract, gallery, metrics, prompt, score, screen
-from hearth.schema import FLAG_COLUMNS
+from hearth.schema import FLAG_COLUMNS, WISHES
 from hearth.session import checkpoint_root
 from hearth.sources import files, regions
 
@@ -81,28 +81,38 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
             debug: bool = False) -> DataFrame:
     """Landed list pages -> ``listings`` and ``rejects`` stages; returns metrics.
 
-    Pages carry their district, or their URL names it (``/<slug>/pg<n>/``); the
-    slug is looked up in the region dimension, a fixed table of a few rows, so
-    it is broadcast.  Pages of districts outside the chosen scope are skipped.
-    ``debug`` keeps only the first page of each district.
+    Pages carry their district (its name or its slug), or their URL names it
+    (``/<slug>/`` or ``/<slug>/pg<n>/``).  It is looked up in the region
+    dimension, a fixed table of a few rows, so it is broadcast.  Pages of
+    districts outside the chosen scope, and pages whose district the
+    dimension does not know, are left out and counted.  ``debug`` keeps only the first
+    page of each district.
     """
     site = site or extract.Site(city=city)
-    if "district" not in pages.columns:
-        dims = F.broadcast(regions.districts(spark, city, area_name)
-                           .select("district_en", F.col("district_cn").alias("district")))
-        pages = (pages.withColumn("district_en", extract.district_from_url(F.col("url")))
-                 .join(dims, "district_en", "inner").drop("district_en"))
+    run = new_run_id()
+    given = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
+    pages = pages.withColumn("_named", F.coalesce(given, extract.district_from_url(F.col("url"))))
+    every, chosen = regions.districts(spark, city, "all"), regions.districts(spark, city, area_name)
+    known = every.unionByName(chosen).select("district_cn", "district_en").distinct()
+    dims = (known.join(chosen.select("district_en").distinct().withColumn("_in", F.lit(True)), "district_en", "left")
+            .select(F.explode(F.array("district_cn", "district_en")).alias("_named"), F.col("district_cn").alias("_district"),
+                    F.coalesce("_in", F.lit(False)).alias("_in")).distinct())
+    placed = pages.drop("district").join(F.broadcast(dims), "_named", "left")
+    in_scope = F.coalesce("_in", F.lit(False))
+    _record(metrics.stage_metrics(placed, "collect", {
+        "pages": None, "unrecognised_pages": F.col("_in").isNull(), "out_of_scope_pages": F.col("_in") == F.lit(False)}), root, dt, run)
+    pages = placed.filter(in_scope).withColumnRenamed("_district", "district").drop("_named", "_in")
     if debug:
-        pages = pages.filter(F.col("url").rlike(r"/pg1/?$"))
+        pages = pages.filter(F.col("url").rlike(r"/pg1/?$") | ~F.col("url").rlike(r"/pg[0-9]+/?$"))
     parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
     # kept rows do not need their card HTML any more: keep it for rejects only
     parsed, cut = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(),
                                                         F.col("card"))))
     try:
-        files.write_stage(extract.kept(parsed), root, "listings")
-        files.write_stage(_with_dt(extract.rejected(parsed), dt), root, "rejects")
-        run = _record(metrics.stage_metrics(parsed, "collect", {
-            "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt)
+        files.write_stage(extract.kept(parsed), root, "listings", dt)
+        files.write_stage(extract.rejected(parsed), root, "rejects", dt)
+        _record(metrics.stage_metrics(parsed, "collect", {
+            "total_num": None, "err_num": F.col("reject_reason").isNotNull()}), root, dt, run)
     finally:
         _drop_cut(spark, cut)
     return _run_metrics(spark, root, dt, run)
@@ -124,11 +134,11 @@ def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10) -> Data
     """
     listings = files.read_stage(spark, root, "listings", dt=dt)
     flagged = screen.add_flags(listings)
-    files.write_stage(screen.keep_unflagged(flagged), root, "screened")
+    files.write_stage(screen.keep_unflagged(flagged), root, "screened", dt)
     stored = files.read_stage(spark, root, "screened", dt=dt)
     _record(metrics.before_after(listings, stored, "screen"), root, dt)
     prof = screen.profiles(flagged, SCREEN_PROFILES, top={"level": top})
-    files.write_stage(_with_dt(prof, dt), root, "profiles")
+    files.write_stage(prof, root, "profiles", dt)
     return files.read_stage(spark, root, "profiles", dt=dt)
 
 
@@ -142,13 +152,8 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
     ``debug_num`` > 0 handles only the first that many listings.
     """
     screened = files.read_stage(spark, root, "screened", dt=dt)
-    try:
-        done = files.read_stage(spark, root, "details", dt=dt).select("house_id")
-    except Exception:  # first run of the day: nothing done yet
-        done = None
-    todo = screened.select("house_id", "seq")
-    if done is not None:
-        todo = enrich.pending(todo, done)
+    done = files.read_stage_if_any(spark, root, "details", dt=dt).select("house_id")
+    todo = enrich.pending(screened.select("house_id", "seq"), done)
     if debug_num > 0:
         todo = todo.orderBy("seq").limit(debug_num)
     pages = detail_pages.join(todo.select("house_id"), "house_id", "left_semi")
@@ -170,51 +175,65 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
 
 
 def merge_stage(spark: SparkSession, root: str, dt: str) -> None:
-    """screened x details -> ``final`` (inner join).
+    """screened x details -> ``final`` (inner join, bag semantics).
 
-    Every screened row with details is kept; the details side holds one row per
-    listing (one with a gallery first), so a listing stored several times among
-    the details does not multiply.  Prompts use a listing's first row and first
-    non-empty gallery only, so they are the same as after a multiplying merge.
+    A listing that stands twice among the screened and twice among the details
+    gives four rows; prompts take a listing's first row and first non-empty gallery.
     """
     screened = files.read_stage(spark, root, "screened", dt=dt)
-    details = enrich.one_detail_per_key(files.read_stage(spark, root, "details", dt=dt))
-    final = enrich.merge_inner(screened.drop("dt"), details, take=("gallery",))
-    files.write_stage(_with_dt(final, dt), root, "final")
+    details = files.read_stage_if_any(spark, root, "details", dt=dt)
+    files.write_stage(enrich.merge_inner(screened.drop("dt"), details, take=("gallery",)), root, "final", dt)
     stored = files.read_stage(spark, root, "final", dt=dt)
     _record(metrics.before_after(screened, stored, "merge"), root, dt)
 
 
+def score_all_requests(spark: SparkSession, root: str, dt: str, user_input: str,
+                       wish_id: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``(requests, wishes)`` that have every listing of ``final`` scored for one buyer's wish."""
+    final = files.read_stage(spark, root, "final", dt=dt)
+    return (prompt.requests_for_wish(final, wish_id),
+            spark.createDataFrame([(wish_id, user_input)], WISHES))
+
+
 def prompts_stage(spark: SparkSession, root: str, dt: str, requests: DataFrame,
                   wishes: DataFrame, images: DataFrame | None = None) -> None:
-    """Render one prompt per request into ``prompts``."""
+    """Render one prompt per request into ``prompts``; requests and repeated wishes are counted."""
     final = files.read_stage(spark, root, "final", dt=dt)
-    prompts = prompt.build_prompts(requests, wishes, final, images)
-    files.write_stage(_with_dt(prompts, dt), root, "prompts")
+    files.write_stage(prompt.build_prompts(requests, wishes, final, images), root, "prompts", dt)
+    run = _record(metrics.before_after(requests, files.read_stage(spark, root, "prompts", dt=dt), "prompts"), root, dt)
+    _record(metrics.stage_metrics(prompt.one_wish_per_id(wishes), "prompts", {
+        "wishes": None, "wishes_with_several_texts": F.col("texts") > 1}), root, dt, run)
 
 
 def replies_stage(spark: SparkSession, root: str, dt: str, factory: score.ClientFactory,
                   concurrency: int | None = None, in_flight: int = 4) -> DataFrame:
     """Ask the model for every prompt without a good reply yet; append to ``replies``.
 
-    Replies are written before anything reads them, so no paid call is ever
+    Replies are written before anything reads them, so no paid call is
     repeated by a recomputation; failed calls ('' replies) are asked again on
-    the next run.
+    the next run.  If the stored replies can't be read, nothing is asked.
+    Asked, answered and failed calls of the run are counted.
     """
     prompts = files.read_stage(spark, root, "prompts", dt=dt)
-    try:
-        answered = (files.read_stage(spark, root, "replies", dt=dt)
-                    .filter(F.col("reply") != "").select("house_id", "wish_id"))
-    except Exception:
-        answered = None
+    answered = (files.read_stage_if_any(spark, root, "replies", dt=dt)
+                .filter(F.col("reply") != "").select("house_id", "wish_id"))
     out = score.reply_batch(prompts, factory, answered, concurrency, in_flight)
-    files.append_stage(_with_dt(out, dt), root, "replies")
+    run = new_run_id()
+    path = f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}"
+    out.write.parquet(path)  # the calls run once; what follows reads their replies
+    asked = spark.read.schema(out.schema).parquet(path)
+    try:
+        files.append_stage(_with_dt(asked, dt), root, "replies")
+        _record(metrics.stage_metrics(asked, "replies", {
+            "asked": None, "answered": F.col("outcome") == "answered", "failed": F.col("outcome") != "answered"}), root, dt, run)
+    finally:
+        _drop_cut(spark, path)
     return latest_replies(spark, root, dt)
 
 
 def latest_replies(spark: SparkSession, root: str, dt: str) -> DataFrame:
     """One reply per (house_id, wish_id): a good reply if there is one."""
-    r = files.read_stage(spark, root, "replies", dt=dt)
+    r = files.read_stage_if_any(spark, root, "replies", dt=dt)
     return (r.groupBy("house_id", "wish_id")
             .agg(F.max_by("reply", F.col("reply") != "").alias("reply"))
             .withColumn("score", score.parse_score(F.col("reply"))))
@@ -222,8 +241,11 @@ def latest_replies(spark: SparkSession, root: str, dt: str) -> DataFrame:
 
 def shortlist_stage(spark: SparkSession, root: str, dt: str,
                     min_score: int = score.SHORTLIST_MIN_SCORE):
-    """(groups, listings) of the shortlist for every wish."""
+    """The shortlist for every wish: ``shortlist_groups`` (communities and layouts) and
+    ``shortlist`` (the qualifying listings); both are written and returned."""
     replies = latest_replies(spark, root, dt)
-    final = files.read_stage(spark, root, "final", dt=dt)
-    return (score.shortlist(replies, final, min_score),
-            score.shortlisted_listings(replies, final, min_score))
+    final = files.read_stage(spark, root, "final", dt=dt).drop("gallery", "dt")
+    files.write_stage(score.shortlist(replies, final, min_score), root, "shortlist_groups", dt)
+    files.write_stage(score.shortlisted_listings(replies, final, min_score), root, "shortlist", dt)
+    return (files.read_stage(spark, root, "shortlist_groups", dt=dt),
+            files.read_stage(spark, root, "shortlist", dt=dt))

@@ -51,6 +51,13 @@ REPLIES = T.StructType([_f("house_id", L), _f("wish_id", L), _f("reply", S), _f(
 
 PAGES = T.StructType([_f("page_id", L), _f("url", S), _f("html", S)])
 REJECTS = T.StructType([_f("page_id", L), _f("pos", I), _f("card", S), _f("reject_reason", S)])
+PROFILES = T.StructType([_f("profile", S), _f("value", S), _f("n", L), _f("rank", I)])
+FINAL = T.StructType([f for f in SCREENED.fields if f.name != "dt"] + [_f("gallery", GALLERY)])
+STORED_REPLIES = T.StructType(REPLIES.fields + [_f("outcome", S)])
+SHORTLIST_GROUPS = T.StructType([_f("wish_id", L), _f("community", S), _f("house_type", S),
+                                 _f("n_listings", L), _f("max_score", I), _f("avg_score", D)])
+SHORTLIST = T.StructType([_f("wish_id", L), _f("reply", S), _f("score", I)]
+                         + [f for f in FINAL.fields if f.name != "gallery"])
 METRICS = T.StructType([_f("stage", S), _f("name", S), _f("value", L), _f("run", S)])
 
 # Column names written by older stage files -> canonical names.
@@ -60,3 +67,15 @@ LEGACY_NAMES = {
 }
 # Index column written by a CSV export that kept its row index.
 INDEX_COLUMNS = ("Unnamed: 0", "_c0", "")
+
+#: What each stage table holds, besides its ``dt``; readers never infer it, so a stage
+#: without rows reads as an empty table.
+STAGES = {
+    "listings": LISTINGS, "rejects": REJECTS, "screened": SCREENED, "profiles": PROFILES,
+    "details": DETAILS, "final": FINAL, "prompts": PROMPTS, "replies": STORED_REPLIES,
+    "shortlist_groups": SHORTLIST_GROUPS, "shortlist": SHORTLIST, "metrics": METRICS,
+}
+
+
+def stage_schema(stage: str) -> T.StructType:
+    return T.StructType([f for f in STAGES[stage].fields if f.name != "dt"] + [_f("dt", S)])

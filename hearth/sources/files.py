@@ -1,8 +1,7 @@
 """Stage tables on shared storage: parquet as the main form, CSV for exchange.
 
-Layout: ``<root>/<stage>/dt=<yyyyMMdd>/part-*.parquet``.  Stages are
-``listings``, ``rejects``, ``screened``, ``details``, ``final``, ``prompts``,
-``replies`` and ``metrics``.
+Layout: ``<root>/<stage>/dt=<yyyyMMdd>/part-*.parquet``; ``schema.STAGES`` names the
+stages and what they hold.
 
 SURVEY IDs: S5-S9.
 """
@@ -15,10 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hearth.schema import IMAGES, INDEX_COLUMNS, LEGACY_NAMES, PAGES
+from pyspark.errors import AnalysisException
 
-STAGES = ("listings", "rejects", "screened", "profiles", "details", "final", "prompts",
-          "replies", "metrics")
+from hearth.schema import IMAGES, INDEX_COLUMNS, LEGACY_NAMES, PAGES, stage_schema
+from hearth.schema import STAGES as STAGE_SCHEMAS
+
+STAGES = tuple(STAGE_SCHEMAS)
 
 
 def snapshot_date(day: _dt.date | None = None) -> str:
@@ -32,55 +33,69 @@ def stage_path(root: str, stage: str) -> str:
     return f"{root.rstrip('/')}/{stage}"
 
 
-def write_stage(df: DataFrame, root: str, stage: str, mode: str = "overwrite",
-                partition_by: tuple[str, ...] = ("dt",)) -> str:
-    """Write a stage table, partitioned by snapshot date.
+def write_stage(df: DataFrame, root: str, stage: str, dt: str | None = None) -> str:
+    """Write a stage table.
 
-    Overwrites replace only the partitions present in ``df`` (dynamic partition
-    overwrite), so re-running a day leaves the other days alone.
+    With ``dt`` that day's partition is replaced by ``df``, also by none of its rows;
+    other days stay.  Without it ``df`` carries a ``dt`` column and the days
+    found in it are replaced (dynamic partition overwrite).
     """
     path = stage_path(root, stage)
-    w = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-    cols = [c for c in partition_by if c in df.columns]
-    if cols:
-        w = w.partitionBy(*cols)
-    w.parquet(path)
+    if dt is not None:
+        df.drop("dt").write.mode("overwrite").parquet(f"{path}/dt={dt}")
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
     return path
 
 
 def read_stage(spark: SparkSession, root: str, stage: str, schema: T.StructType | None = None,
                dt: str | None = None) -> DataFrame:
-    """Read a stage table; ``dt`` prunes to one snapshot (partition pruning).
+    """Read a stage table by its declared schema; ``dt`` prunes to one snapshot.
 
     ``dt`` is read as text whatever the session's partition type inference says
     (inferred, 20250508 would come back as a number).
     """
     path = stage_path(root, stage)
-    if schema is None:
-        schema = spark.read.parquet(path).schema
-    schema = T.StructType([T.StructField(f.name, T.StringType(), True) if f.name == "dt" else f
-                           for f in schema.fields])
-    df = spark.read.schema(schema).parquet(path)
+    df = spark.read.schema(schema or stage_schema(stage)).parquet(path)
     return df.filter(F.col("dt") == dt) if dt is not None else df
 
 
+def read_stage_if_any(spark: SparkSession, root: str, stage: str, dt: str | None = None) -> DataFrame:
+    """As ``read_stage``; a table that was never written is empty.
+
+    Only a missing path counts as that.  Any other failure to read (no permission, a
+    throttled store) is raised: taking it for "nothing done yet" would repeat the work.
+    """
+    try:
+        return read_stage(spark, root, stage, dt=dt)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], stage_schema(stage))
+
+
 def append_stage(df: DataFrame, root: str, stage: str) -> str:
-    """Add rows to a stage table (a missing table is created)."""
-    return write_stage(df, root, stage, mode="append")
+    """Add rows to a stage table by their ``dt`` (a missing table is created)."""
+    path = stage_path(root, stage)
+    df.write.mode("append").partitionBy("dt").parquet(path)
+    return path
 
 
 # --- CSV exchange ------------------------------------------------------------
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, newlines: bool = True) -> DataFrame:
     """CSV with a header -> ``schema``, matching columns by name.
 
+    ``newlines``: fields may hold line breaks, so a file is read by one task.  Without
+    them large files are split over tasks.
+
     Only the header is inspected (every column read as text, no inference
     pass); misspelt legacy names are mapped, a leftover index column is dropped,
     and values are cast with ``try_cast`` so bad text becomes null.  A UTF-8 BOM
     is removed by the reader.
     """
     raw = (spark.read.option("header", True).option("escape", '"')
-           .option("multiLine", True).option("inferSchema", False).csv(path))
+           .option("multiLine", newlines).option("inferSchema", False).csv(path))
     renamed = raw
     for c in raw.columns:
         name = c.lstrip("\ufeff")
@@ -117,8 +132,11 @@ def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite", bom: bool
 # --- landed inputs -------------------------------------------------------------
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages ``(page_id, url, html)`` (fetching is done elsewhere)."""
-    return spark.read.schema(PAGES).parquet(path)
+    """Landed pages ``(page_id, url, html[, district])`` (fetching is done elsewhere).
+
+    Pages that carry no district have a null one.
+    """
+    return spark.read.schema(T.StructType(PAGES.fields + [T.StructField("district", T.StringType())])).parquet(path)
 
 
 def read_images(spark: SparkSession, path: str, url_root: str | None = None) -> DataFrame:
@@ -132,6 +150,6 @@ def read_images(spark: SparkSession, path: str, url_root: str | None = None) ->
           .select(F.col("path").alias("url"), "content"))
     if url_root is not None:
         prefix = path.rstrip("/").split(":", 1)[-1] if path.startswith("file:") else path.rstrip("/")
-        rel = F.expr(f"substring(url, instr(url, '{prefix}') + {len(prefix)})")
-        df = df.withColumn("url", F.concat(F.lit(url_root.rstrip("/")), rel))
+        at = F.locate(prefix, F.col("url")) + len(prefix)
+        df = df.withColumn("url", F.concat(F.lit(url_root.rstrip("/")), F.substring(F.col("url"), at, F.length("url"))))
     return df.select(*[F.col(f.name).cast(f.dataType) for f in IMAGES.fields])

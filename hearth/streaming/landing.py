@@ -3,8 +3,8 @@
 The batch ``details`` job, run continuously: a file stream of landed detail
 pages; each micro-batch extracts galleries and appends those of listings that
 have none yet.  The anti-join against the stored details makes a replayed
-micro-batch (after a failure) add nothing twice, so the sink is effectively
-exactly-once on top of the file commit protocol.  Progress lives in a
+micro-batch (after a failure) add no detail twice; its counters are written
+again, under the same run id.  Progress lives in a
 checkpoint under the shared ``spark.checkpoint.dir``.
 
 SURVEY IDs: J2 + S8 run continuously.
@@ -32,11 +32,8 @@ def _append_new(root: str, dt: str):
                                 F.col("html").isNull().alias("failed")).persist()
         try:
             new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
-            try:
-                done = files.read_stage(spark, root, "details", dt=dt).select("house_id")
-                new = enrich.pending(new, done)
-            except Exception:  # no details stored yet
-                pass
+            done = files.read_stage_if_any(spark, root, "details", dt=dt).select("house_id")
+            new = enrich.pending(new, done)
             files.append_stage(new.withColumn("dt", F.lit(dt)), root, "details")
             found = F.col("gallery").isNotNull()
             m = metrics.stage_metrics(per_page, f"landing/{batch_id}", {

@@ -39,14 +39,14 @@ def detail_pages(spark):
 def test_jobs_end_to_end(spark, scratch):
     root = os.path.join(scratch, "stages")
     m = {r.name: r.value for r in jobs.collect(spark, list_pages(spark), root, DT).collect()}
-    assert m == {"total_num": 5, "err_num": 1}
+    assert m == {"pages": 3, "unrecognised_pages": 1, "out_of_scope_pages": 0, "total_num": 5, "err_num": 1}
     assert files.read_stage(spark, root, "rejects", dt=DT).first().reject_reason == "short_facts"
     listings = files.read_stage(spark, root, "listings", dt=DT)
     assert sorted(r.house_id for r in listings.collect()) == [11, 11, 13, 14]
     assert {r.district for r in listings.collect()} == {"丛台区"}
 
     prof = {(r.profile, r.value, r.n, r.rank) for r in jobs.screen_stage(spark, root, DT).collect()}
-    assert prof == {("level", "高楼层(共18层)", 1, 1), ("total_price", "150.0", 1, 1)}
+    assert prof == {("level", "高楼层(共18层)", 1, 1), ("total_price", "150.0", 1, None)}
     screened = files.read_stage(spark, root, "screened", dt=DT)
     assert sorted(r.house_id for r in screened.collect()) == [11, 14]
 
@@ -74,8 +74,11 @@ def test_jobs_end_to_end(spark, scratch):
 
     groups, shortlisted = jobs.shortlist_stage(spark, root, DT, min_score=0)
     assert groups.count() == 0 and shortlisted.count() == 0
-    stages = {r.stage for r in jobs.read_metrics(spark, root, DT).collect()}
-    assert stages == {"collect", "screen", "details", "merge"}
+    got = [(r.stage, r.name, r.value) for r in jobs.read_metrics(spark, root, DT).collect()]
+    assert {s for s, _, _ in got} == {"collect", "screen", "details", "merge", "prompts", "replies"}
+    # both runs asked: 11 is answered by the first, 14 fails in both
+    assert sorted((n, v) for s, n, v in got if s == "replies") == [
+        ("answered", 0), ("answered", 1), ("asked", 1), ("asked", 2), ("failed", 1), ("failed", 1)]
 
 
 def test_region_scope(spark):
@@ -157,7 +160,7 @@ def test_debug_caps(spark, scratch):
     from hearth.operators import enrich, preview
     root = os.path.join(scratch, "stages")
     m = {r.name: r.value for r in jobs.collect(spark, list_pages(spark), root, DT, debug=True).collect()}
-    assert m == {"total_num": 3, "err_num": 1}       # first page of each district only
+    assert m == {"pages": 3, "unrecognised_pages": 1, "out_of_scope_pages": 0, "total_num": 3, "err_num": 1}  # first page of each district only
     cands = spark.createDataFrame([(5, 50), (4, 40), (6, 60)], "house_id bigint, seq bigint")
     done = spark.createDataFrame([(4,)], "house_id bigint")
     assert [r.house_id for r in enrich.resume_batch(cands, done, limit=1).collect()] == [5]
@@ -192,6 +195,12 @@ def test_cli_steps(spark, scratch, capsys):
         assert cli.main(base + step) == 0
     assert files.read_stage(spark, root, "replies", dt=DT).count() == 1
     capsys.readouterr()
+    cli.main(base + ["prompts", "--user_input", "两居"])
+    assert files.read_stage(spark, root, "prompts", dt=DT).count() == 1
+    shortlist = os.path.join(scratch, "shortlist")
+    cli.main(base + ["shortlist", "--out", shortlist])
+    assert {"groups", "listings"} <= set(os.listdir(shortlist))
+    capsys.readouterr()
     cli.main(base + ["ask", "--house_id", "11", "--user_input", " 两居 "])
     assert "满意分: 127分" in capsys.readouterr().out
     out = os.path.join(scratch, "final_csv")
@@ -257,3 +266,115 @@ def test_rerun_counters_are_told_apart(spark, scratch):
     assert again == {("pages", 1), ("found", 0), ("missing", 1), ("failed", 0)}
     runs = {r.run for r in jobs.read_metrics(spark, root, DT).filter("stage = 'details'").collect()}
     assert len(runs) == 2
+
+
+def stored(spark, root, stage, rows, schema_of=None):
+    files.write_stage(spark.createDataFrame(rows, schema_of or schema.STAGES[stage]), root, stage, DT)
+
+
+def listing(house_id, total=98.0, unit=11000.0, level="低楼层", seq=0):
+    return (house_id, "t", "d", "c", "p", "-", total, unit, "l", "2室1厅", 80.0, "南", "精装", level, "板楼", seq, DT)
+
+
+def test_nothing_flagged_and_nothing_kept(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    stored(spark, root, "listings", [listing(1)])
+    assert jobs.screen_stage(spark, root, DT).count() == 0          # no listing is flagged
+    assert files.read_stage(spark, root, "screened", dt=DT).count() == 1
+    stored(spark, root, "listings", [listing(1, total=500.0)])
+    assert jobs.screen_stage(spark, root, DT).count() == 1          # none passes: the earlier answer goes
+    assert files.read_stage(spark, root, "screened", dt=DT).count() == 0
+    jobs.details_stage(spark, root, DT, detail_pages(spark))
+    jobs.merge_stage(spark, root, DT)
+    assert files.read_stage(spark, root, "final", dt=DT).count() == 0
+
+
+def test_rerun_without_rows_replaces_the_day(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    jobs.collect(spark, list_pages(spark), root, DT)
+    files.write_stage(files.read_stage(spark, root, "listings", dt=DT).limit(1), root, "listings", "20250509")
+    jobs.collect(spark, list_pages(spark).limit(0), root, DT)
+    assert files.read_stage(spark, root, "listings", dt=DT).count() == 0
+    assert files.read_stage(spark, root, "listings", dt="20250509").count() == 1
+
+
+def test_unreadable_replies_make_no_call(spark, scratch, monkeypatch):
+    root = os.path.join(scratch, "stages")
+    stored(spark, root, "final", [listing(11)[:-1] + (0, 0, 0, [])])
+    jobs.prompts_stage(spark, root, DT, spark.createDataFrame([(11, 1)], schema.REQUESTS),
+                       spark.createDataFrame([(1, "w")], schema.WISHES))
+    path = files.stage_path(root, "replies")
+    os.makedirs(f"{path}/dt={DT}")
+    with open(f"{path}/dt={DT}/part-0.parquet", "wb") as fh:
+        fh.write(b"not parquet")
+    called = os.path.join(scratch, "called")
+
+    def factory():
+        open(called, "w").close()
+        return score.offline_stub()
+    try:
+        jobs.replies_stage(spark, root, DT, factory)
+        raise AssertionError("a broken reply table was taken for an empty one")
+    except AssertionError:
+        raise
+    except Exception:
+        assert not os.path.exists(called)
+
+
+def test_read_stage_if_any_hides_only_a_missing_path(spark, scratch):
+    import pytest
+    assert files.read_stage_if_any(spark, os.path.join(scratch, "none"), "details").count() == 0
+    with pytest.raises(Exception, match="nosuchscheme"):
+        files.read_stage_if_any(spark, "nosuchscheme://x", "details").count()
+
+
+def test_merge_keeps_bag_semantics(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    stored(spark, root, "screened", [listing(1, seq=0) + (0, 0, 0), listing(1, seq=1) + (0, 0, 0)])
+    stored(spark, root, "details", [(1, "a", []), (1, "b", [(0, "u", "x")])])
+    jobs.merge_stage(spark, root, DT)
+    assert files.read_stage(spark, root, "final", dt=DT).count() == 4
+
+
+def test_collect_counts_pages_left_out(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    page = fx.page(fx.card(house_id="11", facts="2室1厅 | 60平米 | 南 | 精装 | 低楼层 | 板楼"))
+    urls = ["https://x/ershoufang/congtaiqu/", "https://x/ershoufang/fuxingqu/pg1", "https://x/other/", None]
+    df = spark.createDataFrame([(i, u, page) for i, u in enumerate(urls)], schema.PAGES)
+    m = {r.name: r.value for r in jobs.collect(spark, df, root, DT, area_name="small").collect()}
+    assert m == {"pages": 4, "unrecognised_pages": 2, "out_of_scope_pages": 1, "total_num": 1, "err_num": 0}
+    given = df.withColumn("district", F.lit("复兴区"))
+    m = {r.name: r.value for r in jobs.collect(spark, given, root, DT, area_name="small").collect()}
+    assert (m["out_of_scope_pages"], m["total_num"]) == (4, 0)
+    assert files.read_stage(spark, root, "listings", dt=DT).count() == 0
+    m = {r.name: r.value for r in jobs.collect(spark, given, root, DT).collect()}
+    assert m["total_num"] == 4 and {r.district for r in files.read_stage(spark, root, "listings", dt=DT).collect()} == {"复兴区"}
+
+
+def test_shortlist_is_written(spark, scratch):
+    root = os.path.join(scratch, "stages")
+    stored(spark, root, "final", [listing(1, unit=9001.0)[:-1] + (0, 0, 0, []), listing(2, unit=20.0)[:-1] + (0, 0, 0, [])])
+    jobs.prompts_stage(spark, root, DT, *jobs.score_all_requests(spark, root, DT, "两居"))
+    jobs.replies_stage(spark, root, DT, score.offline_stub)
+    groups, listings = jobs.shortlist_stage(spark, root, DT, min_score=90)
+    assert [(r.house_id, r.score) for r in listings.collect()] == [(1, 9001 % 131)]  # 93
+    assert [(r.n_listings, r.max_score) for r in groups.collect()] == [(1, 93)]
+    jobs.shortlist_stage(spark, root, DT, min_score=95)
+    assert files.read_stage(spark, root, "shortlist", dt=DT).count() == 0
+
+
+def test_csv_without_line_breaks_and_import_order(spark, scratch):
+    from hearth import cli
+    path = os.path.join(scratch, "csv")
+    os.makedirs(path)
+    for k in (2, 0, 1):
+        with open(os.path.join(path, f"part-{k}.csv"), "w", encoding="utf-8") as fh:
+            fh.write("house_id,title\n" + "".join(f"{100 * k + i},t\n" for i in range(20 if k else 3000)))
+    df = cli.import_csv(spark, "listings", path)
+    assert [r.house_id for r in df.orderBy("seq").collect()] == list(range(3000)) + [100 + i for i in range(20)] + [200 + i for i in range(20)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        plain = files.read_csv_table(spark, path, schema.LISTINGS, newlines=False)
+        assert plain.count() == 3040 and plain.rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
