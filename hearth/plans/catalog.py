@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from hearth.functions import codec, images as img, text as tx
 from hearth.operators import enrich, extract, gallery, metrics, preview, prompt, score, screen
-from hearth.session import spread
 from hearth.sources import regions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,7 +64,7 @@ def flagship(spark, sf):
 # --- extraction ---------------------------------------------------------------
 
 def card_explode(spark, sf):
-    pages = spread(load(spark, sf, "pages").select("page_id", "html"))
+    pages = load(spark, sf, "pages").select("page_id", "html")
     cards = extract.explode_cards(pages, marker="<li>", card_end="</li>", keep=("page_id",))
     return cards.select("page_id", F.col("pos").cast("int").alias("pos"),
                         tx.first_match("card", r'href="(.*?)"').alias("href"),
@@ -73,7 +72,7 @@ def card_explode(spark, sf):
 
 
 def first_match_default(spark, sf):
-    pages = spread(load(spark, sf, "pages").select("page_id", "url", "html"))
+    pages = load(spark, sf, "pages").select("page_id", "url", "html")
     return pages.select(
         "page_id",
         tx.first_match("html", r"<title>(.*?)</title>").alias("title"),
@@ -143,13 +142,15 @@ def _card_html(p: DataFrame):
     tax = F.when(F.col("p_size") % 2 == 0, F.lit('<span class="taxfree">满五年</span>')).otherwise(F.lit(""))
     return F.concat(
         F.lit('<li class="clear"><a class="img" href="'), link, F.lit('" target="_blank"><img src="x.jpg"></a>'),
-        F.lit('<div class="info clear"><div class="title"><a class="" href="'), link, F.lit('"'),
+        F.when(F.col("p_size") % 7 == 0, F.lit("<div class='info clear'>")).otherwise(F.lit('<div class="info clear">')),
+        F.lit('<div class="title"><a class="" href="'), link, F.lit('"'),
         id_attr, F.lit(' target="_blank">'), title, F.lit("</a><!-- tag --></div>"),
         F.lit('<div class="flood"><div class="positionInfo"><span class="positionIcon"></span>'),
         F.lit('<a href="https://h.example/xiaoqu/'), k, F.lit('/" target="_blank">'), F.col("p_brand"),
         F.lit('</a>   -  <a href="https://h.example/ershoufang/a/" target="_blank">'), F.col("p_type"),
         F.lit("</a> </div></div>"),
         F.lit('<div class="address"><div class="houseInfo">'), facts_html, F.lit("</div></div>"),
+        F.when(F.col("p_size") % 5 == 0, F.lit('<ul><li>近地铁</li><li>有电梯</li></ul>')).otherwise(F.lit("")),
         F.lit('<div class="tag">'), tax, F.lit("</div>"),
         F.lit('<div class="priceInfo"><div class="totalPrice totalPrice2"><i> </i><span class="">'), total,
         F.lit('</span><i>万</i></div><div class="unitPrice" data-price="'), unit,
@@ -181,25 +182,38 @@ def listing_rejects(spark, sf):
 
 
 def title_clean(spark, sf):
-    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
+    docs = load(spark, sf, "documents").select("doc_id", "text")
     return docs.select("doc_id", tx.title_clean("text").alias("title"))
 
 
-def _orders_per_nation(spark, sf) -> DataFrame:
-    nation = load(spark, sf, "nation")
+def _orders_per_region(spark, sf) -> DataFrame:
+    """Orders per region: the listing counts; some lie above the cap and some below."""
+    nation = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    region = load(spark, sf, "region").select("r_regionkey", "r_name")
     cust = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
     orders = load(spark, sf, "orders").select("o_custkey")
     counts = (orders.join(cust, orders["o_custkey"] == cust["c_custkey"])
-              .groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("cnt")))
-    return (nation.join(counts, nation["n_nationkey"] == counts["c_nationkey"], "left")
-            .select("n_nationkey", F.lower("n_name").alias("district_en"),
+              .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+              .groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("cnt")))
+    return (region.join(counts, region["r_regionkey"] == counts["n_regionkey"], "left")
+            .select("r_regionkey", F.lower(F.replace("r_name", F.lit(" "), F.lit("-"))).alias("district_en"),
                     F.coalesce("cnt", F.lit(0)).cast("bigint").alias("house_num")))
 
 
 def page_frontier(spark, sf):
-    counts = _orders_per_nation(spark, sf)
+    counts = _orders_per_region(spark, sf)
     return extract.page_frontier(counts, site=SITE).select(
-        "n_nationkey", "house_num", F.col("page").cast("int").alias("page"), "url")
+        "r_regionkey", "house_num", "beyond_cap", F.col("page").cast("int").alias("page"), "url")
+
+
+def frontier_status(spark, sf):
+    """Which pages of the frontier have landed: landed addresses are made of the pages' ids."""
+    counts = _orders_per_region(spark, sf).select("r_regionkey", "district_en")
+    pages = load(spark, sf, "pages").select((F.col("page_id") % 5).alias("r"), (F.col("page_id") % 101).alias("n"))
+    landed = (pages.join(counts, F.col("r") == F.col("r_regionkey"))
+              .select(F.format_string(SITE.base + "/%s/pg%d", "district_en", "n").alias("url")))
+    out = extract.frontier_status(extract.page_frontier(_orders_per_region(spark, sf), site=SITE), landed)
+    return out.select("r_regionkey", F.col("page").cast("int").alias("page"), "url", "landed")
 
 
 def frontier_first_page(spark, sf):
@@ -225,6 +239,18 @@ def region_scope(spark, sf):
             .select("r_regionkey", "r_name", "scope", "n_nationkey", "n_name"))
 
 
+def region_districts(spark, sf):
+    """The districts of every city and scope, joined to nations by their place in the list."""
+    nation = load(spark, sf, "nation").select("n_nationkey", "n_name")
+    dims = None
+    for city in regions.REGIONS:
+        for scope in ("all", "small"):
+            d = regions.districts(spark, city, scope)
+            dims = d if dims is None else dims.unionByName(d)
+    return (nation.join(dims, nation["n_nationkey"] % 4 == dims["ord"])
+            .select("n_nationkey", "n_name", "city", "scope", "district_cn", "district_en"))
+
+
 # --- screening ------------------------------------------------------------------
 
 def _lineitem_part(spark, sf) -> DataFrame:
@@ -289,68 +315,45 @@ def append_union(spark, sf):
 
 # --- galleries ------------------------------------------------------------------------
 
-def top_per_key(df: DataFrame, key, order: list, n: int) -> DataFrame:
-    """First ``n`` rows per key (row_number <= n, a WindowGroupLimit before the shuffle)."""
-    from pyspark.sql import Window
-    keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def _words(spark, sf) -> DataFrame:
+    """Every document with all its words: galleries bounded by their own row."""
+    return load(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
 
 
-def _ordered_entries(df: DataFrame, key: str, order: list, url, descr) -> DataFrame:
-    """Per key, ARRAY<STRUCT<url, descr>> in ``order`` (bounded groups only)."""
-    rows = df.select(key, F.struct(*order, url.alias("url"), descr.alias("descr")).alias("e"))
-    return (rows.groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("es"))
-            .select(key, F.transform("es", lambda x: F.struct(x["url"].alias("url"),
-                                                             x["descr"].alias("descr"))).alias("entries")))
+def _word_gallery(words, url):
+    """All words of a text as gallery entries; long ones are floor plans."""
+    return codec.dict_assign(F.transform(words, lambda w: F.struct(
+        url(w).alias("url"), F.when(F.length(w) >= 6, F.lit(gallery.PLAN_DESC)).otherwise(F.lit("客厅")).alias("descr"))))
 
 
 def gallery_encode(spark, sf):
-    orders = load(spark, sf, "orders")
-    first8 = top_per_key(orders, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")], 8)
-    ent = _ordered_entries(first8, "o_custkey", ["o_orderdate", "o_orderkey"],
-                           F.col("o_orderpriority"), F.col("o_orderkey").cast("string"))
+    ent = _words(spark, sf).select("doc_id", F.transform("words", lambda w, i: F.struct(
+        w.alias("url"), i.cast("string").alias("descr"))).alias("entries"))
     # the gallery is used three times: build it in its own projection
-    gal = ent.select("o_custkey", codec.dict_assign(F.col("entries")).alias("g"))
-    return gal.select("o_custkey", codec.encode_keys("g").alias("urls"),
+    gal = ent.select("doc_id", codec.dict_assign(F.col("entries")).alias("g"))
+    return gal.select("doc_id", codec.encode_keys("g").alias("urls"),
                       codec.encode_pairs("g").alias("url_dict"),
                       F.size("g").cast("bigint").alias("n"))
 
 
-def _event_texts(spark, sf) -> DataFrame:
-    ev = load(spark, sf, "events")
-    first8 = top_per_key(ev, "user_id", [F.col("ts"), F.col("event_id")], 8)
-    entry = F.when(F.col("value") < 2, F.col("event_type")).otherwise(
-        F.concat(F.col("event_type"), F.lit("##"), F.col("event_id").cast("string")))
-    rows = first8.select("user_id", F.struct("ts", "event_id", entry.alias("t")).alias("e"))
-    return (rows.groupBy("user_id").agg(F.array_sort(F.collect_list("e")).alias("es"))
-            .select("user_id", F.array_join(F.transform("es", lambda x: x["t"]), ";").alias("text")))
-
-
 def gallery_decode(spark, sf):
-    t = _event_texts(spark, sf)
-    g = t.select("user_id", F.explode(codec.decode_pairs(F.col("text"))).alias("g"),
+    """Words as ``word##place`` entries; every third is malformed (no place)."""
+    t = _words(spark, sf).select("doc_id", F.array_join(F.transform("words", lambda w, i: F.when(i % 3 == 2, w).otherwise(
+        F.concat(w, F.lit("##"), i.cast("string")))), ";").alias("text"))
+    g = t.select("doc_id", F.explode(codec.decode_pairs(F.col("text"))).alias("g"),
                  codec.malformed_pairs(F.col("text")).cast("bigint").alias("malformed"))
-    return g.select("user_id", F.col("g.pos").cast("int").alias("pos"),
+    return g.select("doc_id", F.col("g.pos").cast("int").alias("pos"),
                     F.col("g.url").alias("url"), F.col("g.descr").alias("descr"), "malformed")
 
 
 def image_kind_split(spark, sf):
-    ev = load(spark, sf, "events")
-    ev = ev.withColumn("is_plan", F.coalesce(F.col("event_type") == "purchase", F.lit(False)))
-    w_rows = top_per_key(ev, ["user_id", "is_plan"], [F.col("ts"), F.col("event_id")], 8)
-    ent = _ordered_entries(w_rows, "user_id", ["ts", "event_id"],
-                           F.col("event_id").cast("string"), F.col("event_type"))
-    g = F.transform("entries", lambda x, i: F.struct(i.alias("pos"), x["url"].alias("url"),
-                                                     x["descr"].alias("descr")))
-    kinds = ent.select("user_id", gallery.kind(g, True, plan_desc="purchase").alias("plans"),
-                       gallery.kind(g, False, plan_desc="purchase").alias("rooms"))
-    first = lambda a: F.coalesce(F.get(F.col(a), 0)["url"], F.lit(""))
+    g = _words(spark, sf).select("doc_id", _word_gallery(F.col("words"), lambda w: w).alias("g"))
+    kinds = g.select("doc_id", "g", gallery.kind("g", True).alias("plans"), gallery.kind("g", False).alias("rooms"))
     return kinds.select(
-        "user_id",
+        "doc_id",
         F.array_join(F.transform("plans", lambda x: x["url"]), ";").alias("plan_urls"),
         F.array_join(F.transform("rooms", lambda x: x["url"]), ";").alias("room_urls"),
-        F.concat(F.lit("户型图: "), first("plans"), F.lit("; 房屋图片: "), first("rooms")).alias("preview"))
+        gallery.preview("g").alias("preview"))
 
 
 def thumb_rewrite(spark, sf):
@@ -371,7 +374,7 @@ def _magic(key, options=MAGIC):
 
 
 def data_uri(spark, sf):
-    docs = spread(load(spark, sf, "documents").select("doc_id", "text"))
+    docs = load(spark, sf, "documents").select("doc_id", "text")
     content = F.concat(F.unhex(_magic(F.col("doc_id"))), F.encode(F.col("text"), "UTF-8"))
     uri = img.data_uri(content)
     return docs.select("doc_id",
@@ -389,12 +392,15 @@ def gallery_extract(spark, sf):
         F.lit("<li data-desc='客厅'><img data-src=\"lazy.gif\" SRC='"), base, F.lit("/a.120x80.jpg'></li>"),
         F.lit('<li data-desc="卧室"><span>no image</span></li>'),
         F.lit('<li data-desc="书房"><img class="lazy"><img src="'), base, F.lit('/c.120x80.jpg"></li>'),
+        F.lit('<li data-desc="外"><ul><li data-desc="内"><img src="'), base, F.lit('/n.120x80.jpg"></li></ul><img src="'),
+        base, F.lit('/o.120x80.jpg"></li>'),
         F.lit('<li><img src="'), base, F.lit('/b.120x80.jpg?v=1&amp;s=2"></li>'),
         F.when(F.col("p_size") % 3 == 0,
                F.concat(F.lit('<li data-desc="'), F.col("p_type"), F.lit('"><img src="'), base,
                         F.lit('/a.120x80.jpg"></li>'))).otherwise(F.lit("")))
     block = F.when(F.col("p_size") % 10 == 0, F.lit("")).otherwise(
-        F.concat(F.lit('<ul class="thumbs smallpic">'), items, F.lit("</ul>")))
+        F.concat(F.when(F.col("p_size") % 7 == 0, F.lit("<ul class='thumbs smallpic'>")).otherwise(F.lit('<ul class="thumbs smallpic">')),
+                 items, F.lit('</ul><ul class="smallpic"><li><img src="later.jpg"></li></ul>')))
     html = F.concat(F.lit('<html><body><div class="thumbnail">'), block, F.lit("</div></body></html>"))
     pages = part.select(F.col("p_partkey").alias("house_id"),
                         F.concat(F.lit("https://h.example/ershoufang/"), k, F.lit(".html")).alias("link"),
@@ -406,23 +412,18 @@ def gallery_extract(spark, sf):
 
 
 def image_join(spark, sf):
-    orders = load(spark, sf, "orders")
-    first8 = top_per_key(orders, "o_custkey", [F.col("o_orderdate"), F.col("o_orderkey")], 8)
-    url = F.concat(F.lit("img/"), F.col("o_orderkey").cast("string"))
-    descr = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("户型图")).otherwise(F.col("o_orderpriority"))
-    ent = _ordered_entries(first8, "o_custkey", ["o_orderdate", "o_orderkey"], url, descr)
-    details = ent.select(F.col("o_custkey").alias("house_id"),
-                         codec.dict_assign(F.col("entries")).alias("gallery"))
-    images = orders.filter(F.col("o_orderstatus") != "P").select(
-        url.alias("url"),
-        F.concat(F.unhex(_magic(F.col("o_orderkey"), ["FFD8FF", "89504E470D0A1A0A", ""])),
-                 F.encode(F.col("o_orderpriority"), "UTF-8")).alias("content"))
+    """Documents' words as galleries, benchmark words as landed images: many texts share an image,
+    many images land more than once, and some have no bytes."""
+    details = _words(spark, sf).select(F.col("doc_id").alias("house_id"),
+                                       _word_gallery(F.col("words"), lambda w: F.concat(F.lit("img/"), w)).alias("gallery"))
+    word = load(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
+    images = word.select(
+        F.concat(F.lit("img/"), F.col("w")).alias("url"),
+        F.when(F.length("w") % 5 != 0, F.concat(F.unhex(_magic(F.length("w"), ["FFD8FF", "89504E470D0A1A0A", ""])),
+                                                F.encode("w", "UTF-8"))).alias("content"))
     att = gallery.attach_images(details, images)
-    cust = load(spark, sf, "customer").select("c_custkey", "c_name")
-    return (att.join(cust, att["house_id"] == cust["c_custkey"])
-            .select("c_custkey", "c_name",
-                    F.array_join("plan_uris", " ").alias("plans"),
-                    F.array_join("room_uris", " ").alias("rooms")))
+    return att.select(F.col("house_id").alias("doc_id"), F.array_join("plan_uris", " ").alias("plans"),
+                      F.array_join("room_uris", " ").alias("rooms"))
 
 
 # --- rendering, prompts, scoring -------------------------------------------------------
@@ -446,7 +447,7 @@ def render_text(spark, sf):
 
 
 def lookup(spark, sf):
-    asked = (load(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
+    asked = (load(spark, sf, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 50))
              .select(F.col("l_partkey").alias("house_id")))
     views = prompt.listing_views(asked, _part_final(spark, sf))
     return views.select(F.col("house_id").alias("p_partkey"), "info",
@@ -454,6 +455,14 @@ def lookup(spark, sf):
                         F.array_join("room_urls", ";").alias("room_urls"))
 
 
+def lookup_one(spark, sf):
+    """One listing by its id: the filter reaches the scan."""
+    views = prompt.listing_view(_part_final(spark, sf), 7)
+    return views.select(F.col("house_id").alias("p_partkey"), "info",
+                        F.array_join("plan_urls", ";").alias("plan_urls"),
+                        F.array_join("room_urls", ";").alias("room_urls"))
+
+
 def first_row_per_key(spark, sf):
     conv = load(spark, sf, "conversations")
     return prompt.first_per_key(conv, "conv_id", "turn").select("conv_id", "turn", "role", "text")
@@ -474,17 +483,45 @@ def _wishes(spark, sf) -> DataFrame:
 
 def _part_final(spark, sf) -> DataFrame:
     lst = part_listings(spark, sf)
-    g = F.when(F.col("house_size") % 3 == 0,
-               F.array(F.struct(F.lit(0).alias("pos"),
-                                F.concat(F.lit("u"), F.col("house_id").cast("string")).alias("url"),
-                                F.lit("户型图").alias("descr")))) \
+    pic = lambda name: F.concat(F.lit("img/"), F.col(name), F.lit("/450x300.jpg"))
+
+    def entry(i, url, descr):
+        return F.struct(F.lit(i).alias("pos"), url.alias("url"), F.lit(descr).alias("descr"))
+    g = F.when(F.col("house_size") % 3 == 0, F.array(entry(0, pic("community"), "户型图"), entry(1, pic("house_type"), "客厅"),
+                                                     entry(2, F.lit("img/none"), "卧室"))) \
         .otherwise(F.array().cast("array<struct<pos:int,url:string,descr:string>>"))
     return lst.withColumn("gallery", g)
 
 
+def _part_images(spark, sf) -> DataFrame:
+    """Landed images: one per brand and type, once for every part that has it."""
+    part = load(spark, sf, "part").select(F.explode(F.array("p_brand", "p_type")).alias("w"))
+    return part.select(F.concat(F.lit("img/"), F.col("w"), F.lit("/450x300.jpg")).alias("url"),
+                       F.concat(F.unhex(F.lit("FFD8FF")), F.encode("w", "UTF-8")).alias("content"))
+
+
 def _requests(spark, sf) -> DataFrame:
     p = load(spark, sf, "part")
-    return p.select(F.col("p_partkey").alias("house_id"), (F.col("p_partkey") % 7).alias("wish_id"))
+    return p.select(F.col("p_partkey").alias("house_id"), (F.col("p_partkey") % 100).alias("wish_id"))
+
+
+def prompt_images(spark, sf):
+    prompts = prompt.build_prompts(_requests(spark, sf), _wishes(spark, sf), _part_final(spark, sf), _part_images(spark, sf))
+    return prompts.select("house_id", "wish_id", prompt.messages_json("messages").alias("messages_json"))
+
+
+def score_all(spark, sf):
+    """Every listing scored for one wish."""
+    final = _part_final(spark, sf)
+    requests = prompt.requests_for_wish(final, 3)
+    prompts = prompt.build_prompts(requests, _wishes(spark, sf), final)
+    return score.reply_batch(prompts, score.offline_stub).select("house_id", "wish_id", "reply", "score")
+
+
+def reply_counts(spark, sf):
+    out = score.reply_batch(prompt.build_prompts(_requests(spark, sf), _wishes(spark, sf), _part_final(spark, sf)), score.offline_stub)
+    return metrics.stage_metrics(out, "replies", {
+        "asked": None, "answered": F.col("outcome") == "answered", "failed": F.col("outcome") != "answered"})
 
 
 def prompt_json(spark, sf):
@@ -494,7 +531,7 @@ def prompt_json(spark, sf):
 
 def score_batch(spark, sf):
     prompts = prompt.build_prompts(_requests(spark, sf), _wishes(spark, sf), _part_final(spark, sf))
-    return score.reply_batch(prompts, score.offline_stub)
+    return score.reply_batch(prompts, score.offline_stub).select("house_id", "wish_id", "reply", "score")
 
 
 def shortlist(spark, sf):
@@ -502,6 +539,11 @@ def shortlist(spark, sf):
     return score.shortlist(replies, part_listings(spark, sf))
 
 
+def shortlisted_listings(spark, sf):
+    return (score.shortlisted_listings(score_batch(spark, sf), part_listings(spark, sf))
+            .select("wish_id", "house_id", "score", "title", "community", "total_price"))
+
+
 def kv_parse(spark, sf):
     s = load(spark, sf, "supplier")
     k = F.col("s_suppkey").cast("string")
@@ -532,6 +574,8 @@ QUERIES: dict[str, QueryFn] = {
     "frontier_first_page": frontier_first_page,
     "result_count": result_count,
     "region_scope": region_scope,
+    "region_districts": region_districts,
+    "frontier_status": frontier_status,
     "screen_flags": screen_flags,
     "screen_keep": screen_keep,
     "freq_top10": freq_top10,
@@ -549,11 +593,16 @@ QUERIES: dict[str, QueryFn] = {
     "image_join": image_join,
     "render_text": render_text,
     "lookup": lookup,
+    "lookup_one": lookup_one,
     "first_row_per_key": first_row_per_key,
     "first_nonempty_per_key": first_nonempty_per_key,
     "prompt_json": prompt_json,
     "score_batch": score_batch,
     "shortlist": shortlist,
+    "shortlisted_listings": shortlisted_listings,
+    "prompt_images": prompt_images,
+    "score_all": score_all,
+    "reply_counts": reply_counts,
     "kv_parse": kv_parse,
     "preview_limits": preview_limits,
 }

@@ -1,21 +1,21 @@
 """Oracle SQL (DuckDB dialect) for every catalog query that plain SQL can express.
 
-Written independently of the Spark code: DuckDB's RE2 regexes, list functions
-and window functions over the same parquet views.  A few helpers below spell
-out the shared text semantics (Python strip, first match with a default,
-strict float parsing) as SQL.
+Written apart from the Spark code: it has patterns, grammars and tables of its own, and
+where a query parses markup that it built from table rows, the SQL states the
+expected values of those rows and parses nothing.  Only texts that must be the same to
+the letter (prompt texts, thresholds, the stub's rule) are taken from the code.
 """
 
 from __future__ import annotations
 
-from hearth.functions.images import SNIFF_PREFIXES
-from hearth.functions.text import FULLWIDTH_DIGITS, PY_FLOAT_RE, PY_WHITESPACE
-from hearth.operators import extract as X
-from hearth.operators import gallery as G
 from hearth.operators import prompt as P
 from hearth.operators import score as S
 from hearth.plans import catalog as C
 
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+NUMBER = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+IMAGE_STARTS = {"jpeg": "/9j/", "png": "iVBORw0KGgo", "gif": "R0lGODlh", "bmp": "Qk2", "tiff": "SUkq"}
+
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -23,7 +23,7 @@ def q(s: str) -> str:
 
 
 def strip(e: str) -> str:
-    return f"trim({e}, {q(PY_WHITESPACE)})"
+    return f"trim({e}, {q(BLANKS)})"
 
 
 def first_match(e: str, p: str, default: str | None = "'-'") -> str:
@@ -37,14 +37,8 @@ def required(e: str, p: str, do_strip: bool = False) -> str:
 
 
 def strict_double(e: str) -> str:
-    s = f"translate({strip(e)}, {q(FULLWIDTH_DIGITS)}, '0123456789')"
-    return f"(CASE WHEN regexp_matches({s}, {q(PY_FLOAT_RE)}) THEN TRY_CAST(replace({s}, '_', '') AS DOUBLE) END)"
-
-
-def strict_int(e: str) -> str:
-    s = f"translate({strip(e)}, {q(FULLWIDTH_DIGITS)}, '0123456789')"
-    return (f"(CASE WHEN regexp_matches({s}, '^[+-]?[0-9](?:_?[0-9])*$') "
-            f"THEN TRY_CAST(replace({s}, '_', '') AS BIGINT) END)")
+    s = strip(e)
+    return f"(CASE WHEN regexp_matches({s}, {q(NUMBER)}) THEN TRY_CAST({s} AS DOUBLE) END)"
 
 
 def above(e: str, limit: float) -> str:
@@ -52,7 +46,7 @@ def above(e: str, limit: float) -> str:
 
 
 def sniff(b64: str) -> str:
-    whens = " ".join(f"WHEN starts_with({b64}, {q(p)}) THEN {q(k)}" for p, k in SNIFF_PREFIXES)
+    whens = " ".join(f"WHEN starts_with({b64}, {q(p)}) THEN {q(k)}" for k, p in IMAGE_STARTS.items())
     return f"(CASE {whens} ELSE '' END)"
 
 
@@ -61,71 +55,19 @@ def data_uri(content: str) -> str:
     return f"(CASE WHEN {content} IS NULL THEN '' ELSE 'data:image/' || {sniff(b)} || ';base64,' || {b} END)"
 
 
-def attr(tag: str, pattern: str) -> str:
-    value = " || ".join(f"regexp_extract({tag}, {q(pattern)}, {g})" for g in (1, 2, 3))
-    return f"(CASE WHEN regexp_matches({tag}, {q(pattern)}) THEN {unescape('(' + value + ')')} END)"
-
-
-def unescape(e: str) -> str:
-    for ref, ch in G.HTML_ENTITIES:
-        e = f"replace({e}, {q(ref)}, {q(ch)})"
-    return e
+UNIT = "(CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END)"
+BASE = "'https://hd.example.com/ershoufang'"
 
 
-UNIT = "(CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END)"
-BASE = q(C.SITE.base)
-
-
-def _card_sql() -> str:
-    k = "CAST(p_partkey AS VARCHAR)"
-    link = f"'https://h.example/ershoufang/' || {k} || '.html'"
-    level = "(['高', '中', '低'])[p_partkey % 3 + 1]"
-    facts = (f"CAST(p_size % 4 + 1 AS VARCHAR) || '室1厅 | ' || CAST(p_size + 40 AS VARCHAR) || "
-             f"'.5平米 | 南 北 | 精装 | ' || {level} || '楼层(共' || CAST(p_size % 30 + 2 AS VARCHAR) || '层)' || "
-             f"(CASE WHEN p_size % 13 = 0 THEN '' ELSE ' | 板楼' END) || "
-             f"(CASE WHEN p_size % 11 = 0 THEN ' | 2005年建' ELSE '' END)")
-    total = ("(CASE WHEN p_size % 17 = 0 THEN '暂无' ELSE CAST(p_partkey % 400 + 50 AS VARCHAR) || '.' || "
-             "CAST(p_size % 10 AS VARCHAR) END)")
-    unit = "CAST(p_partkey * 7 % 9000 + 10000 AS VARCHAR)"
-    title = "' ' || p_name || (CASE WHEN p_size % 3 = 0 THEN ',南北，通透' ELSE '' END) || ' '"
-    id_attr = f"(CASE WHEN p_partkey % 101 = 0 THEN '' ELSE ' data-housecode=\"' || {k} || '\"' END)"
-    facts_html = (f"(CASE WHEN p_size % 19 = 0 THEN '<span>' || {facts} || '</span>' "
-                  f"ELSE '<span class=\"houseIcon\"></span>' || {facts} END)")
-    tax = "(CASE WHEN p_size % 2 = 0 THEN '<span class=\"taxfree\">满五年</span>' ELSE '' END)"
-    return (f"'<li class=\"clear\"><a class=\"img\" href=\"' || {link} || '\" target=\"_blank\"><img src=\"x.jpg\"></a>' || "
-            f"'<div class=\"info clear\"><div class=\"title\"><a class=\"\" href=\"' || {link} || '\"' || "
-            f"{id_attr} || ' target=\"_blank\">' || {title} || '</a><!-- tag --></div>' || "
-            f"'<div class=\"flood\"><div class=\"positionInfo\"><span class=\"positionIcon\"></span>' || "
-            f"'<a href=\"https://h.example/xiaoqu/' || {k} || '/\" target=\"_blank\">' || p_brand || "
-            f"'</a>   -  <a href=\"https://h.example/ershoufang/a/\" target=\"_blank\">' || p_type || "
-            f"'</a> </div></div>' || '<div class=\"address\"><div class=\"houseInfo\">' || {facts_html} || "
-            f"'</div></div>' || '<div class=\"tag\">' || {tax} || '</div>' || "
-            f"'<div class=\"priceInfo\"><div class=\"totalPrice totalPrice2\"><i> </i><span class=\"\">' || {total} || "
-            f"'</span><i>万</i></div><div class=\"unitPrice\" data-price=\"' || {unit} || '\"><span>' || {unit} || "
-            f"'元/平</span></div></div></div></li>'")
-
-
-def _parsed_cards_sql() -> str:
-    return f"""
-WITH c AS (SELECT CAST(floor(p_partkey / 30) AS BIGINT) AS page_id, p_partkey, {_card_sql()} AS card FROM part),
-pg AS (SELECT page_id, 'district-' || CAST(page_id % 5 AS VARCHAR) AS district,
-         '<html><body><ul class="sellListContent">' || string_agg(card, '' ORDER BY p_partkey) || '</ul></body></html>' AS html
-       FROM c GROUP BY page_id),
-s AS (SELECT page_id, district, regexp_split_to_array(html, {q(X.CARD_MARKER)}) AS arr FROM pg),
-cards AS (SELECT page_id, district, i - 2 AS pos, split_part(arr[i], {q(X.CARD_END)}, 1) AS card
-          FROM s, range(2, len(arr) + 1) r(i)),
-f AS (SELECT *, {required('card', X.ID_RE)} AS raw_id, {required('card', X.FACTS_RE, True)} AS facts_txt,
-        {strict_double(first_match('card', X.TOTAL_PRICE_RE))} AS total,
-        {strict_double(first_match('card', X.UNIT_PRICE_RE))} AS unit FROM cards),
-g AS (SELECT *, string_split(facts_txt, '|') AS facts, TRY_CAST(raw_id AS BIGINT) AS house_id FROM f),
-h AS (SELECT *, {strict_double("replace(facts[2], '平米', '')")} AS size FROM g),
-o AS (SELECT *, CASE WHEN raw_id IS NULL THEN 'missing_id'
-                     WHEN total IS NULL OR unit IS NULL THEN 'bad_number'
-                     WHEN facts_txt IS NULL THEN 'missing_facts'
-                     WHEN len(facts) < 2 THEN 'short_facts'
-                     WHEN size IS NULL THEN 'bad_number'
-                     WHEN len(facts) < 6 THEN 'short_facts'
-                     WHEN house_id IS NULL THEN 'bad_id' END AS reject_reason FROM h)"""
+# What the list pages' cards must parse to, from the rows they were built of.
+_CARDS = """
+WITH c AS (
+  SELECT *, CAST(floor(p_partkey / 30) AS BIGINT) AS page_id,
+         row_number() OVER (PARTITION BY floor(p_partkey / 30) ORDER BY p_partkey) - 1 AS pos,
+         5 + (p_size % 13 <> 0)::INT + (p_size % 11 = 0)::INT AS n_facts FROM part),
+o AS (
+  SELECT *, CASE WHEN p_partkey % 101 = 0 THEN 'missing_id' WHEN p_size % 17 = 0 THEN 'bad_number'
+                 WHEN p_size % 19 = 0 THEN 'missing_facts' WHEN n_facts < 6 THEN 'short_facts' END AS reject_reason FROM c)"""
 
 
 def _part_info(price: str = "p_retailprice") -> str:
@@ -143,7 +85,7 @@ def _part_info(price: str = "p_retailprice") -> str:
 
 _SCORES = f"""
 WITH l AS (SELECT p_partkey AS house_id, p_retailprice * 10 AS up FROM part),
-rq AS (SELECT p_partkey AS house_id, p_partkey % 7 AS wish_id FROM part),
+rq AS (SELECT p_partkey AS house_id, p_partkey % 100 AS wish_id FROM part),
 s0 AS (SELECT rq.house_id, rq.wish_id, l.up,
           CASE WHEN l.up IS NULL OR isnan(l.up) OR isinf(l.up) THEN NULL
                ELSE CAST(floor(l.up) AS BIGINT) % {S.STUB_MODULUS} END AS n
@@ -164,7 +106,7 @@ PROMPT_SQL = f"""
 WITH w AS (SELECT conv_id AS wish_id, text AS user_input FROM conversations WHERE role = 'user'
            QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) = 1),
 l AS (SELECT p_partkey AS house_id, {_part_info()} AS info, (CAST(p_size AS DOUBLE) % 3 = 0) AS has_gallery FROM part),
-rq AS (SELECT p_partkey AS house_id, p_partkey % 7 AS wish_id FROM part),
+rq AS (SELECT p_partkey AS house_id, p_partkey % 100 AS wish_id FROM part),
 x AS (SELECT rq.house_id, rq.wish_id, {strip('w.user_input')} AS wish, l.info, coalesce(l.has_gallery, false) AS has_gallery
       FROM rq LEFT JOIN w ON rq.wish_id = w.wish_id LEFT JOIN l ON rq.house_id = l.house_id)
 SELECT house_id, wish_id, CAST(json_array(
@@ -176,18 +118,23 @@ SELECT house_id, wish_id, CAST(json_array(
 ) AS VARCHAR) AS messages_json FROM x"""
 
 
-def _gallery_html_sql() -> str:
-    k = "CAST(p_partkey AS VARCHAR)"
-    base = f"'https://img.example/' || {k}"
-    items = (f"'<li data-desc=\"户型图\" data-index=\"0\"><img src=\" `' || {base} || '/plan.120x80.jpg` \" alt=\"\"></li>' || "
-             f"'<li data-desc=''客厅''><img data-src=\"lazy.gif\" SRC=''' || {base} || '/a.120x80.jpg''></li>' || "
-             f"'<li data-desc=\"卧室\"><span>no image</span></li>' || "
-             f"'<li data-desc=\"书房\"><img class=\"lazy\"><img src=\"' || {base} || '/c.120x80.jpg\"></li>' || "
-             f"'<li><img src=\"' || {base} || '/b.120x80.jpg?v=1&amp;s=2\"></li>' || "
-             f"(CASE WHEN p_size % 3 = 0 THEN '<li data-desc=\"' || p_type || '\"><img src=\"' || {base} || "
-             f"'/a.120x80.jpg\"></li>' ELSE '' END)")
-    block = f"(CASE WHEN p_size % 10 = 0 THEN '' ELSE '<ul class=\"thumbs smallpic\">' || {items} || '</ul>' END)"
-    return f"'<html><body><div class=\"thumbnail\">' || {block} || '</div></body></html>'"
+def _image_json(uri: str) -> str:
+    return f"json_object('type', 'image_url', 'image_url', json_object('url', {uri}))"
+
+
+_JPEG = "unhex('FFD8FF') || encode({})"
+PROMPT_IMAGES_SQL = PROMPT_SQL.replace(
+    "has_gallery FROM part)", "has_gallery, p_brand, p_type FROM part)").replace(
+    "coalesce(l.has_gallery, false) AS has_gallery", "coalesce(l.has_gallery, false) AS has_gallery, l.p_brand, l.p_type").replace(
+    f"THEN [{_text_json(q(P.PLANS_MARKER))}, {_text_json(q(P.ROOMS_MARKER))}]",
+    f"THEN [{_text_json(q(P.PLANS_MARKER))}, {_image_json(data_uri('(' + _JPEG.format('p_brand') + ')'))}, "
+    f"{_text_json(q(P.ROOMS_MARKER))}, {_image_json(data_uri('(' + _JPEG.format('p_type') + ')'))}]")
+
+# All words of the documents, each with its first and last place in its text.
+_WORDS = """
+WITH s AS (SELECT doc_id, string_split(text, ' ') AS ws FROM documents),
+e AS (SELECT doc_id, i - 1 AS i, ws[i] AS word FROM s, range(1, len(ws) + 1) r(i)),
+d AS (SELECT doc_id, word, min(i) AS first_i, max(i) AS last_i, length(word) >= 6 AS plan FROM e GROUP BY doc_id, word)"""
 
 
 MAGIC_LIST = "[" + ", ".join(q(m) for m in C.MAGIC) + "]"
@@ -230,35 +177,35 @@ r AS (SELECT CASE WHEN NOT regexp_matches(html, '<h1>(.*?)</h1>') THEN 'missing_
                   WHEN len(parts) < 6 THEN 'short_facts' ELSE 'kept' END AS outcome FROM p)
 SELECT outcome, count(*) AS n FROM r GROUP BY outcome""",
 
-    "listing_roundtrip": _parsed_cards_sql() + f"""
-SELECT house_id, translate({strip(first_match('card', X.TITLE_RE))}, ',， ', '---') AS title, district,
-       {first_match('card', X.COMMUNITY_RE)} AS community, {first_match('card', X.POSITION_RE)} AS position,
-       {first_match('card', X.TAX_RE)} AS tax, total AS total_price, unit AS unit_price,
-       {BASE} || '/' || raw_id || '.html' AS link, {strip('facts[1]')} AS house_type, size AS house_size,
-       {strip('facts[3]')} AS direction, {strip('facts[4]')} AS fitment, {strip('facts[5]')} AS level,
-       {strip('facts[6]')} AS build_type, page_id * {X.SEQ_STRIDE} + pos AS seq
+    "listing_roundtrip": _CARDS + f"""
+SELECT p_partkey AS house_id,
+       replace(replace(replace({strip("p_name || CASE WHEN p_size % 3 = 0 THEN ',南北，通透' ELSE '' END")}, ',', '-'), '，', '-'), ' ', '-') AS title,
+       'district-' || CAST(page_id % 5 AS VARCHAR) AS district, p_brand AS community, p_brand AS position,
+       CASE WHEN p_size % 2 = 0 THEN '满五年' ELSE '-' END AS tax,
+       CAST(CAST(p_partkey % 400 + 50 AS VARCHAR) || '.' || CAST(p_size % 10 AS VARCHAR) AS DOUBLE) AS total_price,
+       CAST(p_partkey * 7 % 9000 + 10000 AS DOUBLE) AS unit_price,
+       {BASE} || '/' || CAST(p_partkey AS VARCHAR) || '.html' AS link,
+       CAST(p_size % 4 + 1 AS VARCHAR) || '室1厅' AS house_type, p_size + 40.5::DOUBLE AS house_size, '南 北' AS direction, '精装' AS fitment,
+       (['高', '中', '低'])[p_partkey % 3 + 1] || '楼层(共' || CAST(p_size % 30 + 2 AS VARCHAR) || '层)' AS level,
+       CASE WHEN p_size % 13 = 0 THEN '2005年建' ELSE '板楼' END AS build_type, page_id * 100000 + pos AS seq
 FROM o WHERE reject_reason IS NULL""",
 
-    "listing_rejects": _parsed_cards_sql() + """
+    "listing_rejects": _CARDS + """
 SELECT page_id, CAST(pos AS INTEGER) AS pos, reject_reason FROM o WHERE reject_reason IS NOT NULL""",
 
     "title_clean": f"SELECT doc_id, translate({strip('text')}, ',， ', '---') AS title FROM documents",
 
     "page_frontier": f"""
-WITH counts AS (SELECT c_nationkey, count(*) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey),
-n AS (SELECT n_nationkey, lower(n_name) AS district_en, CAST(coalesce(cnt, 0) AS BIGINT) AS house_num
-      FROM nation LEFT JOIN counts ON n_nationkey = c_nationkey),
-pc AS (SELECT *, CAST(CASE WHEN least(house_num, {X.LISTING_CAP}) > 0
-                  THEN ceil(least(house_num, {X.LISTING_CAP}) / {float(X.LISTINGS_PER_PAGE)}) ELSE 0 END AS INTEGER) AS pages FROM n)
-SELECT n_nationkey, house_num, CAST(i AS INTEGER) AS page,
-       {BASE} || '/' || district_en || '/pg' || CAST(i AS VARCHAR) || '/' AS url
-FROM pc, range(1, pages + 1) r(i)""",
-
-    "result_count": f"""
-WITH c AS (SELECT c_nationkey, count(*) AS cnt FROM customer GROUP BY c_nationkey),
-h AS (SELECT n_nationkey, '<div class="resultDes">共找到<span> ' || CAST(cnt AS VARCHAR) || ' </span>套' || n_name || '二手房</div>' AS html
-      FROM nation JOIN c ON n_nationkey = c_nationkey)
-SELECT n_nationkey, {strict_int(required('html', X.RESULT_COUNT_RE, True))} AS house_num FROM h""",
+WITH counts AS (
+  SELECT n_regionkey, count(*) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey),
+n AS (SELECT r_regionkey, lower(replace(r_name, ' ', '-')) AS slug, CAST(coalesce(cnt, 0) AS BIGINT) AS house_num
+      FROM region LEFT JOIN counts ON r_regionkey = n_regionkey),
+f AS (SELECT *, CAST(greatest(house_num - 3000, 0) AS BIGINT) AS beyond_cap, CAST(i AS INTEGER) AS page
+      FROM n, range(1, CAST(ceil(least(house_num, 3000) / 30.0) AS INTEGER) + 1) r(i))
+SELECT r_regionkey, house_num, beyond_cap, page, {BASE} || '/' || slug || '/pg' || CAST(page AS VARCHAR) || '/' AS url FROM f""",
+
+    "result_count": """
+SELECT n_nationkey, count(*) AS house_num FROM nation JOIN customer ON n_nationkey = c_nationkey GROUP BY n_nationkey""",
 
     "region_scope": """
 WITH m AS (SELECT n_regionkey, n_nationkey, n_name FROM nation),
@@ -311,43 +258,28 @@ UNION ALL
 SELECT doc_id, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), lang FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
 
-    "gallery_encode": """
-WITH r AS (SELECT o_custkey, o_orderpriority AS url, CAST(o_orderkey AS VARCHAR) AS descr,
-             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS rn
-           FROM orders),
-d AS (SELECT o_custkey, url, min(rn) AS first_rn, arg_max(descr, rn) AS descr FROM r WHERE rn <= 8
-      GROUP BY o_custkey, url)
-SELECT o_custkey, string_agg(url, ';' ORDER BY first_rn) AS urls,
-       string_agg(url || '##' || descr, ';' ORDER BY first_rn) AS url_dict, CAST(count(*) AS BIGINT) AS n
-FROM d GROUP BY o_custkey""",
-
-    "gallery_decode": """
-WITH r AS (SELECT user_id, CASE WHEN value < 2 THEN event_type ELSE event_type || '##' || CAST(event_id AS VARCHAR) END AS t,
-             row_number() OVER (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM events),
-tx AS (SELECT user_id, coalesce(string_agg(t, ';' ORDER BY rn), '') AS text FROM r WHERE rn <= 8 GROUP BY user_id),
-sp AS (SELECT user_id, string_split(text, ';') AS arr FROM tx),
-e AS (SELECT user_id, i AS ord, arr[i] AS entry FROM sp, range(1, len(arr) + 1) q(i)),
-v AS (SELECT user_id, ord, string_split(entry, '##') AS kv FROM e WHERE entry <> ''),
-m AS (SELECT user_id, count(*) FILTER (WHERE len(kv) <> 2) AS malformed FROM v GROUP BY user_id),
-ok AS (SELECT user_id, ord, kv[1] AS url, kv[2] AS descr FROM v WHERE len(kv) = 2),
-d AS (SELECT user_id, url, min(ord) AS first_ord, arg_max(descr, ord) AS descr FROM ok GROUP BY user_id, url)
-SELECT d.user_id, CAST(row_number() OVER (PARTITION BY d.user_id ORDER BY first_ord) - 1 AS INTEGER) AS pos,
+    "gallery_encode": _WORDS + """
+SELECT doc_id, string_agg(word, ';' ORDER BY first_i) AS urls,
+       string_agg(word || '##' || CAST(last_i AS VARCHAR), ';' ORDER BY first_i) AS url_dict, CAST(count(*) AS BIGINT) AS n
+FROM d GROUP BY doc_id""",
+
+    "gallery_decode": _WORDS + """,
+tx AS (SELECT doc_id, string_agg(CASE WHEN i % 3 = 2 THEN word ELSE word || '##' || CAST(i AS VARCHAR) END, ';' ORDER BY i) AS text FROM e GROUP BY doc_id),
+sp AS (SELECT doc_id, string_split(text, ';') AS arr FROM tx),
+x AS (SELECT doc_id, i AS ord, arr[i] AS entry FROM sp, range(1, len(arr) + 1) q(i)),
+v AS (SELECT doc_id, ord, string_split(entry, '##') AS kv FROM x WHERE entry <> ''),
+m AS (SELECT doc_id, count(*) FILTER (WHERE len(kv) <> 2) AS malformed FROM v GROUP BY doc_id),
+ok AS (SELECT doc_id, ord, kv[1] AS url, kv[2] AS descr FROM v WHERE len(kv) = 2),
+g AS (SELECT doc_id, url, min(ord) AS first_ord, arg_max(descr, ord) AS descr FROM ok GROUP BY doc_id, url)
+SELECT g.doc_id, CAST(row_number() OVER (PARTITION BY g.doc_id ORDER BY first_ord) - 1 AS INTEGER) AS pos,
        url, descr, CAST(m.malformed AS BIGINT) AS malformed
-FROM d JOIN m ON d.user_id = m.user_id""",
-
-    "image_kind_split": """
-WITH r AS (SELECT user_id, ts, event_id, coalesce(event_type = 'purchase', false) AS is_plan,
-             row_number() OVER (PARTITION BY user_id, coalesce(event_type = 'purchase', false)
-                                ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS rn FROM events),
-a AS (SELECT user_id,
-        coalesce(string_agg(CAST(event_id AS VARCHAR), ';' ORDER BY ts NULLS FIRST, event_id NULLS FIRST)
-                 FILTER (WHERE is_plan), '') AS plan_urls,
-        coalesce(string_agg(CAST(event_id AS VARCHAR), ';' ORDER BY ts NULLS FIRST, event_id NULLS FIRST)
-                 FILTER (WHERE NOT is_plan), '') AS room_urls
-      FROM r WHERE rn <= 8 GROUP BY user_id)
-SELECT user_id, plan_urls, room_urls,
-       '户型图: ' || split_part(plan_urls, ';', 1) || '; 房屋图片: ' || split_part(room_urls, ';', 1) AS preview
-FROM a""",
+FROM g JOIN m ON g.doc_id = m.doc_id""",
+
+    "image_kind_split": _WORDS + """,
+l AS (SELECT doc_id, coalesce(list(word ORDER BY first_i) FILTER (WHERE plan), []) AS p,
+             coalesce(list(word ORDER BY first_i) FILTER (WHERE NOT plan), []) AS r FROM d GROUP BY doc_id)
+SELECT doc_id, array_to_string(p[1:8], ';') AS plan_urls, array_to_string(r[1:8], ';') AS room_urls,
+       '户型图: ' || coalesce(p[1], '') || '; 房屋图片: ' || coalesce(r[1], '') AS preview FROM l""",
 
     "thumb_rewrite": f"""
 SELECT page_id, replace(replace(trim({strip("' `' || url || '` '")}, '`'), '.example.', '.sample.'),
@@ -359,48 +291,30 @@ u AS (SELECT doc_id, {data_uri('content')} AS uri FROM b)
 SELECT doc_id, regexp_extract(uri, '^data:image/([a-z]*);', 1) AS kind, CAST(length(uri) AS BIGINT) AS uri_len,
        md5(uri) AS uri_md5 FROM u""",
 
-    "gallery_extract": f"""
-WITH p AS (SELECT p_partkey AS house_id, {_gallery_html_sql()} AS html FROM part),
-b AS (SELECT house_id, regexp_extract(html, {q(G.GALLERY_BLOCK_RE)}, 1) AS block FROM p
-      WHERE regexp_matches(html, {q(G.GALLERY_BLOCK_RE)})),
-it AS (SELECT house_id, regexp_extract_all(block, {q(G.ITEM_RE)}) AS items FROM b),
-e AS (SELECT house_id, i AS ord, regexp_extract(items[i], {q(G.ITEM_OPEN_RE)}, 0) AS li_open,
-             {attr('regexp_extract(items[i], ' + q(G.IMG_TAG_RE) + ', 0)', G.SRC_RE)} AS src
-      FROM it, range(1, len(items) + 1) q(i)),
-w AS (SELECT house_id, ord,
-        replace(trim({strip('src')}, '`'), '120x80', '450x300') AS url,
-        coalesce({attr('li_open', G.DESC_RE)}, '') AS descr
-      FROM e WHERE src IS NOT NULL),
-d AS (SELECT house_id, url, min(ord) AS first_ord, arg_max(descr, ord) AS descr FROM w GROUP BY house_id, url)
-SELECT house_id, CAST(row_number() OVER (PARTITION BY house_id ORDER BY first_ord) - 1 AS INTEGER) AS pos, url, descr
-FROM d""",
-
-    "image_join": f"""
-WITH r AS (SELECT o_custkey, o_orderkey, o_orderpriority,
-             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS rn
-           FROM orders),
-g AS (SELECT o_custkey AS house_id, rn, 'img/' || CAST(o_orderkey AS VARCHAR) AS url,
-        CASE WHEN o_orderpriority = '1-URGENT' THEN '户型图' ELSE o_orderpriority END AS descr FROM r WHERE rn <= 8),
-d AS (SELECT house_id, url, min(rn) AS first_rn, arg_max(descr, rn) AS descr FROM g GROUP BY house_id, url),
-k AS (SELECT house_id, url, first_rn, CASE WHEN descr = '户型图' THEN 0 ELSE 1 END AS kind FROM d),
-w AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY house_id, kind ORDER BY first_rn) <= 8),
-im AS (SELECT 'img/' || CAST(o_orderkey AS VARCHAR) AS url,
-         unhex(['FFD8FF', '89504E470D0A1A0A', ''][o_orderkey % 3 + 1]) || encode(o_orderpriority) AS content
-       FROM orders WHERE o_orderstatus <> 'P'),
-u AS (SELECT url, {data_uri('content')} AS uri FROM im),
-j AS (SELECT w.house_id, w.kind, w.first_rn, u.uri FROM w JOIN u ON w.url = u.url WHERE u.uri <> '' AND w.url <> '')
-SELECT c_custkey, c_name,
-       coalesce(string_agg(uri, ' ' ORDER BY first_rn) FILTER (WHERE kind = 0), '') AS plans,
-       coalesce(string_agg(uri, ' ' ORDER BY first_rn) FILTER (WHERE kind = 1), '') AS rooms
-FROM j JOIN customer ON house_id = c_custkey GROUP BY c_custkey, c_name""",
+    "gallery_extract": """
+WITH p AS (SELECT p_partkey AS house_id, 'https://img.example/' || CAST(p_partkey AS VARCHAR) AS base, p_size, p_type FROM part WHERE p_size % 10 <> 0)
+SELECT house_id, 0 AS pos, base || '/plan.450x300.jpg' AS url, '户型图' AS descr FROM p
+UNION ALL SELECT house_id, 1, base || '/a.450x300.jpg', CASE WHEN p_size % 3 = 0 THEN p_type ELSE '客厅' END FROM p
+UNION ALL SELECT house_id, 2, base || '/n.450x300.jpg', '内' FROM p
+UNION ALL SELECT house_id, 3, base || '/b.450x300.jpg?v=1&s=2', '' FROM p""",
+
+    "image_join": _WORDS + f""",
+w AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY doc_id, plan ORDER BY first_i) <= 8),
+b AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark),
+im AS (SELECT word, unhex(['FFD8FF', '89504E470D0A1A0A', ''][length(word) % 3 + 1]) || encode(word) AS content FROM b WHERE length(word) % 5 <> 0),
+u AS (SELECT word, {data_uri('content')} AS uri FROM im),
+j AS (SELECT w.doc_id, w.plan, w.first_i, u.uri FROM w JOIN u ON w.word = u.word)
+SELECT doc_id, coalesce(string_agg(uri, ' ' ORDER BY first_i) FILTER (WHERE plan), '') AS plans,
+       coalesce(string_agg(uri, ' ' ORDER BY first_i) FILTER (WHERE NOT plan), '') AS rooms
+FROM j GROUP BY doc_id""",
 
     "render_text": f"SELECT p_partkey, {_part_info()} AS info FROM part",
 
     "lookup": f"""
 SELECT p_partkey, {_part_info()} AS info,
-       CASE WHEN CAST(p_size AS DOUBLE) % 3 = 0 THEN 'u' || CAST(p_partkey AS VARCHAR) ELSE '' END AS plan_urls,
-       '' AS room_urls
-FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R')""",
+       CASE WHEN p_size % 3 = 0 THEN 'img/' || p_brand || '/210x140.jpg' ELSE '' END AS plan_urls,
+       CASE WHEN p_size % 3 = 0 THEN 'img/' || p_type || '/210x140.jpg;img/none' ELSE '' END AS room_urls
+FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 50)""",
 
     "first_row_per_key": """
 SELECT conv_id, turn, role, text FROM conversations
@@ -431,6 +345,45 @@ SELECT d.s_suppkey, CAST(row_number() OVER (PARTITION BY d.s_suppkey ORDER BY fi
        name, model, string_split(string_split(s.t, ';')[1], '##')[2] AS first_model
 FROM d JOIN s ON d.s_suppkey = s.s_suppkey""",
 
+    "lookup_one": f"""
+SELECT p_partkey, {_part_info()} AS info,
+       CASE WHEN p_size % 3 = 0 THEN 'img/' || p_brand || '/210x140.jpg' ELSE '' END AS plan_urls,
+       CASE WHEN p_size % 3 = 0 THEN 'img/' || p_type || '/210x140.jpg;img/none' ELSE '' END AS room_urls
+FROM part WHERE p_partkey = 7""",
+
+    "region_districts": """
+WITH d(city, scope, ord, district_cn, district_en) AS (VALUES
+  ('bj', 'all', 0, '朝阳区', 'chaoyang'), ('bj', 'all', 1, '海淀区', 'haidian'), ('bj', 'all', 2, '西城区', 'xicheng'),
+  ('bj', 'small', 0, '五道口', 'wudaokou'), ('hz', 'all', 0, '钱塘区', 'qiantangqu'),
+  ('hd', 'all', 0, '丛台区', 'congtaiqu'), ('hd', 'all', 1, '复兴区', 'fuxingqu'), ('hd', 'all', 2, '邯山区', 'hanshanqu'),
+  ('hd', 'all', 3, '经开区', 'jingkaiqu'), ('hd', 'small', 0, '丛台区', 'congtaiqu'))
+SELECT n_nationkey, n_name, city, scope, district_cn, district_en FROM nation JOIN d ON n_nationkey % 4 = ord""",
+
+    "frontier_status": f"""
+WITH counts AS (
+  SELECT n_regionkey, count(*) AS cnt FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey),
+n AS (SELECT r_regionkey, lower(replace(r_name, ' ', '-')) AS slug, CAST(coalesce(cnt, 0) AS BIGINT) AS house_num
+      FROM region LEFT JOIN counts ON r_regionkey = n_regionkey),
+f AS (SELECT *, CAST(greatest(house_num - 3000, 0) AS BIGINT) AS beyond_cap, CAST(i AS INTEGER) AS page
+      FROM n, range(1, CAST(ceil(least(house_num, 3000) / 30.0) AS INTEGER) + 1) r(i)),
+l AS (SELECT DISTINCT page_id % 5 AS r, page_id % 101 AS n FROM pages)
+SELECT r_regionkey, page, {BASE} || '/' || slug || '/pg' || CAST(page AS VARCHAR) || '/' AS url,
+       EXISTS (SELECT 1 FROM l WHERE l.r = r_regionkey AND l.n = page) AS landed FROM f""",
+
+    "shortlisted_listings": _SCORES + f"""
+SELECT s.wish_id, s.house_id, s.score, p_name AS title, p_brand AS community, p_retailprice AS total_price
+FROM s JOIN part ON s.house_id = p_partkey WHERE s.score >= {S.SHORTLIST_MIN_SCORE}""",
+
+    "prompt_images": PROMPT_IMAGES_SQL,
+
+    "score_all": _SCORES + """
+SELECT house_id, CAST(3 AS BIGINT) AS wish_id, reply, score FROM s""",
+
+    "reply_counts": _SCORES + """
+SELECT 'replies' AS stage, 'asked' AS name, CAST(count(*) AS BIGINT) AS value FROM s
+UNION ALL SELECT 'replies', 'answered', CAST(count(*) FILTER (WHERE reply <> '') AS BIGINT) FROM s
+UNION ALL SELECT 'replies', 'failed', CAST(count(*) FILTER (WHERE reply = '') AS BIGINT) FROM s""",
+
     "preview_limits": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20",
 }
 
