@@ -62,7 +62,7 @@ BROADCAST_ROWS = 300_000
 
 def _words_again(docs: DataFrame, first: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The words of the lines in ``first``, read again from the texts; lines are matched by where they stand."""
-    at = first.select(F.col("first.id").alias("i"), F.col("first.row").alias("r"), F.col("first.pos").alias("p"), "h1", "h2", "first")
+    at = first.select(F.col("first.id").alias("i"), F.col("first.row").alias("r"), F.col("first.pos").alias("p"), "h1", "h2", "first", "start", "end")
     own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("body"))
     if first.count() <= BROADCAST_ROWS:
         at = F.broadcast(at)
@@ -71,7 +71,7 @@ def _words_again(docs: DataFrame, first: DataFrame, id_col: str, text_col: str)
         own = own.join(hold, own["doc"].cast("long").eqNullSafe(hold["i"]) & (row_key("body") == hold["r"]), "left_semi")
     line = _lines(own, "doc", "body")
     found = line.join(at, line["id"].eqNullSafe(at["i"]) & (line["row"] == at["r"]) & (line["pos"] == at["p"]))
-    return found.select("h1", "h2", "first", words_of(F.col("line")).alias("words")).dropDuplicates(["h1", "h2"])
+    return found.select("h1", "h2", "first", "start", "end", words_of(F.col("line")).alias("words")).dropDuplicates(["h1", "h2"])
 
 
 def _variants(cand: DataFrame) -> DataFrame:
@@ -79,27 +79,33 @@ def _variants(cand: DataFrame) -> DataFrame:
 
     Leaving out word i leaves the words before it and those after it; a whole line is
     the same pair at each of its places.  Both come from running hashes from the
-    start and from the end, so a line costs as much as it has words.
+    start and from the end, so a line costs as much as it has words.  A line that shares
+    only its first half with others (``start``) can differ from them only after it,
+    and one that shares only its second half (``end``) only before it.
     """
     def running(words: Column, seed: str) -> Column:
         return F.aggregate(words, F.array(F.xxhash64(F.lit(seed))),
                            lambda acc, w: F.concat(acc, F.array(F.xxhash64(F.element_at(acc, -1), w))))
-    c = cand.select("node", F.size("words").alias("n"), running(F.col("words"), "start").alias("p"),
+    n = F.size("words")
+    low = F.when(F.col("end"), F.lit(0)).otherwise(F.floor(n / 2).cast("int"))
+    high = F.when(F.col("start"), n).otherwise(F.ceil(n / 2).cast("int"))
+    c = cand.select("node", n.alias("n"), low.alias("low"), high.alias("high"), running(F.col("words"), "start").alias("p"),
                     F.reverse(running(F.reverse("words"), "end")).alias("s"))  # p[i]: the first i words; s[i]: all from i on
-    out = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i + 1)).alias("v"), F.lit(False).alias("whole")))
-    whole = F.transform(F.sequence(F.lit(0), F.col("n")), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i)).alias("v"), F.lit(True).alias("whole")))
+    out = F.transform(F.sequence("low", F.least("high", F.col("n") - 1)), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i + 1)).alias("v"), F.lit(False).alias("whole")))
+    whole = F.transform(F.sequence("low", "high"), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i)).alias("v"), F.lit(True).alias("whole")))
     return c.select("node", F.explode(F.concat(out, whole)).alias("x")).select("x.v", "x.whole", "node")
 
 
 def _near(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The lines ``(h1, h2)`` that are one word away from an earlier line."""
-    half = lines.filter("halves is not null").select("h1", F.explode("halves").alias("half"))
+    half = lines.filter("halves is not null").select("h1", F.posexplode("halves").alias("side", "half"))
     shared = half.groupBy("half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).filter("a <> b")
-    maybe = half.join(shared.select("half"), "half", "left_semi").select("h1").distinct()
-    first = cut(firsts.join(maybe, "h1", "left_semi").select("h1", "h2", "first"))
+    maybe = (half.join(shared.select("half"), "half", "left_semi").groupBy("h1")
+             .agg(F.max(F.col("side") % 2 == 0).alias("start"), F.max(F.col("side") % 2 == 1).alias("end")))
+    first = cut(firsts.join(maybe, "h1").select("h1", "h2", "first", "start", "end"))
     # numbered in their order, so that the least number is the earliest line
     cand = cut(_words_again(docs, first, id_col, text_col).orderBy("first").withColumn("node", F.monotonically_increasing_id()))
-    variant = _variants(spread(cand.select("node", "words")))
+    variant = cut(_variants(spread(cand.select("node", "words", "start", "end"))))
     part, full = F.when(~F.col("whole"), F.col("node")), F.when(F.col("whole"), F.col("node"))
     group = (variant.groupBy("v").agg(F.min(part).alias("part"), F.max(part).alias("last"), F.min(full).alias("full"))
              .filter("part < last or full is not null and part is not null"))
