@@ -7,10 +7,55 @@ SQL far too long on the whole table).  Those are held against brute force in ``t
 
 from __future__ import annotations
 
+from hearth.llm.licenses import STEMS, TEMPLATES, THRESHOLD
 from hearth.llm.linededup import EDIT_WORDS, MIN_WORDS
 
 _SPACES = r"[\x20\x09-\x0D]+"
 
+
+
+def _q(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _terms(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '[^a-z0-9]+'), lambda x: x <> '')"
+
+
+def _notice(line: str) -> str:
+    return "(" + " OR ".join(f"contains(lower({line}), {_q(s)})" for s in STEMS) + ")"
+
+
+OP1 = f"""
+WITH f AS (
+  SELECT doc_id, text, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS name,
+         CASE WHEN doc_id % 1000 = 0 THEN '/' || source WHEN doc_id % 100 = 0 THEN '/' || source || '/' || lang
+              ELSE '/' || source || '/' || lang || '/' || (doc_id // 100) END AS dir FROM documents),
+tm(template, license, body) AS (VALUES {", ".join(f"({i}, {_q(n)}, {_q(t)})" for i, (n, t) in enumerate(TEMPLATES))}),
+tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest({_terms('body')}) AS term FROM tm) GROUP BY ALL),
+n AS (SELECT count(*) AS n FROM f),
+df AS (SELECT term, count(*) AS df FROM (SELECT unnest(list_distinct({_terms("coalesce(text, '')")})) AS term FROM f) GROUP BY term),
+idf AS (SELECT v.term, ln((n + 1)::DOUBLE / (coalesce(df, 0) + 1)) + 1 AS idf FROM (SELECT DISTINCT term FROM tt) v LEFT JOIN df ON v.term = df.term, n),
+g0 AS (SELECT template, license, tt.term, tf * idf AS v FROM tt JOIN idf ON tt.term = idf.term),
+g1 AS (SELECT template, sqrt(sum(v * v)) AS norm FROM g0 GROUP BY template),
+g AS (SELECT g0.template, license, term, v / norm AS v FROM g0 JOIN g1 ON g0.template = g1.template),
+l AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM f), range(1, len(ls) + 1) r(i)),
+tok AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest({_terms('line')}) AS term FROM l WHERE {_notice('line')}) GROUP BY ALL),
+w AS (SELECT doc_id, pos, tok.term, tf * coalesce(idf, ln((n + 1)::DOUBLE) + 1) AS w FROM tok LEFT JOIN idf ON tok.term = idf.term, n),
+size AS (SELECT doc_id, pos, sqrt(sum(w * w)) AS size FROM w GROUP BY ALL),
+dot AS (SELECT doc_id, pos, template, license, sum(w * v) AS dot FROM w JOIN g ON w.term = g.term GROUP BY ALL),
+sc AS (SELECT d.doc_id, d.pos, license, round(dot / size, 6) AS score FROM dot d JOIN size s ON d.doc_id = s.doc_id AND d.pos = s.pos),
+own AS (SELECT doc_id, license AS own, score FROM sc WHERE score >= {THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+lic AS (SELECT dir, own AS license FROM own JOIN f ON own.doc_id = f.doc_id WHERE name LIKE 'LICENSE%'
+        QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, own) = 1),
+up AS (SELECT dir, i AS depth, array_to_string(parts[1:i], '/') AS above
+       FROM (SELECT DISTINCT dir, string_split(dir, '/') AS parts FROM f), range(1, len(parts) + 1) r(i)),
+near AS (SELECT up.dir, above, license FROM up JOIN lic ON up.above = lic.dir QUALIFY row_number() OVER (PARTITION BY up.dir ORDER BY depth DESC) = 1)
+SELECT f.doc_id, own AS own_license, score, coalesce(own, near.license) AS license, CASE WHEN own IS NULL THEN above END AS inherited_from
+FROM f LEFT JOIN own ON f.doc_id = own.doc_id LEFT JOIN near ON f.dir = near.dir
+"""
+
 OP2 = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, coalesce(length(text), 0) AS n,
@@ -69,4 +114,4 @@ kept AS (
 SELECT doc_id, n_lines, n_removed, sha256(body) AS kept_sha256 FROM kept
 """
 
-SQL: dict[str, str] = {"op2_mix_sources": OP2, "op5_line_dedup": OP5}
+SQL: dict[str, str] = {"op1_license_scan": OP1, "op2_mix_sources": OP2, "op5_line_dedup": OP5}
