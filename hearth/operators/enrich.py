@@ -24,20 +24,6 @@ def merge_inner(listings: DataFrame, details: DataFrame, key: str = "house_id",
     return listings.join(right, key, "inner")
 
 
-def one_detail_per_key(details: DataFrame, key: str = "house_id") -> DataFrame:
-    """One detail row per listing: one with a gallery if there is one.
-
-    Among several rows the choice is deterministic (non-empty gallery first,
-    then link and gallery text).  ``min_by`` aggregates before the shuffle, so a
-    listing stored many times costs one row per task.
-    """
-    from hearth.functions.codec import encode_pairs
-    rank = F.struct((F.coalesce(F.size("gallery"), F.lit(0)) == 0).alias("empty"),
-                    F.col("link"), encode_pairs("gallery").alias("text"))
-    return (details.groupBy(key).agg(F.min_by(F.struct("link", "gallery"), rank).alias("d"))
-            .select(key, "d.link", "d.gallery"))
-
-
 def pending(todo: DataFrame, done: DataFrame, key: str = "house_id") -> DataFrame:
     """Rows of ``todo`` whose key is not in ``done`` (left anti-join).
 

@@ -228,15 +228,6 @@ def test_card_marker_any_tag_any_attribute_order(spark):
     assert got == [5]
 
 
-def test_one_detail_per_key(spark):
-    det = spark.createDataFrame(
-        [(1, "b", []), (1, "a", [(0, "u", "x")]), (1, "c", [(0, "v", "y")]), (2, "z", [])],
-        "house_id bigint, link string, gallery array<struct<pos:int,url:string,descr:string>>")
-    got = {r.house_id: (r.link, [e.url for e in r.gallery])
-           for r in enrich.one_detail_per_key(det).collect()}
-    assert got == {1: ("a", ["u"]), 2: ("z", [])}
-
-
 def test_profiles_one_pass(spark):
     df = spark.createDataFrame(
         [("高", 1, 13000.0, 1), ("高", 1, 13000.0, 0), ("中高", 1, 12500.5, 1), ("低", 0, 9000.0, 0)],
