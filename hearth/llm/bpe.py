@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import row_key, spread, text_or_empty
+from hearth.llm.common import row_key, text_or_empty
 from hearth.session import ship_package
 
 SPACE = "▁"
@@ -190,4 +190,4 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id"
                                              names=["id", "row", "n_bytes", "n_tokens"])
     texts = docs.select(F.col(id_col).cast("long").alias("id"), row_key(text_col).alias("row"),
                         F.octet_length(text_or_empty(text_col)).cast("long").alias("n_bytes"), text_or_empty(text_col).alias("t"))
-    return spread(texts).mapInArrow(run, "id long, row long, n_bytes long, n_tokens long")
+    return texts.mapInArrow(run, "id long, row long, n_bytes long, n_tokens long")

@@ -42,5 +42,5 @@ def row_key(text: str | Column = "text") -> Column:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly before heavy per-row work, whatever the input's files."""
+    """Deal rows of a slim table out evenly before heavy per-row work."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
