@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import spread, text_or_empty
+from hearth.llm.common import text_or_empty
 from hearth.session import ship_package
 
 #: Words of the shortest tile, share of an item's words that tiles must cover, and
@@ -199,7 +199,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     ship_package(spark)
     names = [F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__t"),
              (F.col(carry) if carry else F.lit(None)).cast("long").alias("__carry")]
-    texts, schema = spread(docs.select(*names)), SCHEMA + (f", {carry} long" if carry else "")
+    texts, schema = docs.select(*names), SCHEMA + (f", {carry} long" if carry else "")
     out = None
     for items in _blocks(benchmark, item_col, item_text, block_words):
         shared = spark.sparkContext.broadcast(items)
