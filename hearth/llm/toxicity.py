@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import row_key, spread, text_or_empty
+from hearth.llm.common import row_key, text_or_empty
 from hearth.llm.hashing import shingles
 from hearth.session import ship_package
 
@@ -34,6 +34,8 @@ WORDS = re.compile(r"[^\W\d_]+")
 #: Training rows of each class at most (those of the smallest id hash), and characters they may sum to.
 ROWS_PER_CLASS, TRAIN_CHARS = 1500, 12_000_000
 SLOTS, CHAIN, REMEMBER = 1 << 16, 64, 400_000
+#: Chains that are fitted at most; those with a marked token come first.
+CHAINS = 12_000
 
 
 def features(word: str) -> list[int]:
@@ -142,14 +144,18 @@ def train(rows: list[tuple[str, int]], rounds: int = 60) -> Chain:
         return model
     marked = label_tokens(docs, toxic)
     number: dict[str, int] = {}
-    chains, labels = [], []
+    chains, labels, found = [], [], []
     for k, (words, y) in enumerate(zip(docs, toxic)):
         for at in range(0, len(words), CHAIN):
             part = words[at:at + CHAIN]
             y_part = [int(y and w in marked) for w in part]
-            if any(y_part) or (crc32(str((k, at)).encode()) % 5 == 0 and not y):
-                chains.append([number.setdefault(w, len(number)) for w in part])
-                labels.append(y_part)
+            if any(y_part) or not y:
+                found.append((not any(y_part), crc32(str((k, at)).encode()), part, y_part))
+    # chains with marked tokens first, then a bounded number of clean ones
+    found.sort(key=lambda x: x[:2])
+    for _, _, part, y_part in found[:CHAINS]:
+        chains.append([number.setdefault(w, len(number)) for w in part])
+        labels.append(y_part)
     if not chains:
         return model
     ids, mask = np.zeros((CHAIN, len(chains)), np.int64), np.zeros((CHAIN, len(chains)), bool)
@@ -274,7 +280,7 @@ def score(docs: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str =
                      pa.array([int(b >= 0.5) for b in best], pa.int32()), pa.array(spans, span)],
                     names=["id", "row", "score", "predicted", "spans"])
     texts = docs.select(F.col(id_col).cast("long").alias("id"), row_key(text_col).alias("row"), text_or_empty(text_col).alias("t"))
-    return spread(texts).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Chain:
@@ -282,9 +288,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic."""
-    bad = (score(docs, fit(docs, labels, id_col, text_col), id_col, text_col).filter("predicted = 1")
-           .select(F.col("id").alias("__bad"), F.col("row").alias("__bad_row")).distinct())
-    marked = docs.withColumn("__row", row_key(text_col))
-    hit = marked[id_col].cast("long").eqNullSafe(F.col("__bad")) & (F.col("__row") == F.col("__bad_row"))
-    return marked.join(bad, hit, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are not predicted toxic: one narrow pass, whole rows go through."""
+    ship_package(docs.sparkSession)
+    shared, at = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col)), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        scores = _Scores(model)
+        for whole in batches:
+            for k in range(0, whole.num_rows, 256):
+                batch = whole.slice(k, 256)
+                texts = [t or "" for t in batch.column(at).to_pylist()]
+                yield batch.filter(pa.array([not p.size or float(p.max()) < 0.5 for p in score_texts(model, scores, texts)]))
+    return docs.mapInArrow(run, docs.schema)
