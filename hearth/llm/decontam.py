@@ -27,7 +27,7 @@ from hearth.session import ship_package
 
 #: Words of the shortest tile, share of an item's words that tiles must cover, and
 #: the bound on the words of one block of items (about 12 bytes each in a task).
-MIN_TILE, LEAST_COVER, BLOCK_WORDS = 5, 0.6, 2_000_000
+MIN_TILE, LEAST_COVER, BLOCK_WORDS = 5, 0.5, 2_000_000
 WORDS = re.compile(r"\w+")
 _B = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -186,20 +186,18 @@ SCHEMA = "id long, item_id long, item_words int, covered int, coverage double"
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text: str = "text", least: int = MIN_TILE, cover: float = LEAST_COVER,
-          block_words: int = BLOCK_WORDS, carry: str | None = None) -> DataFrame:
+          block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(id, item_id, item_words, covered, coverage)`` for each document that leaks an item.
 
     Words are runs of letters, digits and underscores, in lower case.  Items
     with fewer than ``least`` words (null and empty ones too) can't be tiled and
     never leak; null and empty documents leak nothing; an empty table on either
     side gives no rows.  Repeated rows or items give repeated results; null ids
-    stay null.  ``carry`` names a long column to pass on.
+    stay null.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    names = [F.col(id_col).cast("long").alias("__id"), text_or_empty(text_col).alias("__t"),
-             (F.col(carry) if carry else F.lit(None)).cast("long").alias("__carry")]
-    texts, schema = docs.select(*names), SCHEMA + (f", {carry} long" if carry else "")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("t"))
     out = None
     for items in _blocks(benchmark, item_col, item_text, block_words):
         shared = spark.sparkContext.broadcast(items)
@@ -208,21 +206,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
             block = Block(shared.value, least)
             for batch in batches:
                 rows = []
-                for d, t, c in zip(batch.column(0), batch.column(1), batch.column(2)):
-                    for x in block.scan(t.as_py(), cover):
-                        rows.append((d.as_py(), *x, *([c.as_py()] if carry else [])))
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int64()][:5 + bool(carry)]
+                for d, t in zip(batch.column(0), batch.column(1)):
+                    rows += [(d.as_py(), *x) for x in block.scan(t.as_py(), cover)]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
                 cols = list(zip(*rows)) or [[]] * len(types)
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, types)],
-                                                 names=[x.split()[0] for x in schema.split(", ")])
-        part = texts.mapInArrow(scan, schema)
+                                                 names=[x.split()[0] for x in SCHEMA.split(", ")])
+        part = texts.mapInArrow(scan, SCHEMA)
         out = part if out is None else out.unionByName(part)
-    return spark.createDataFrame([], schema) if out is None else out
+    return spark.createDataFrame([], SCHEMA) if out is None else out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that leak no item."""
-    marked = docs.withColumn("__row", F.xxhash64(text_or_empty(text_col)))
-    bad = leaks(marked, benchmark, id_col, text_col, carry="__row").select(F.col("id").alias("__bad"), F.col("__row").alias("__bad_row")).distinct()
-    hit = marked[id_col].cast("long").eqNullSafe(F.col("__bad")) & (F.col("__row") == F.col("__bad_row"))
-    return marked.join(bad, hit, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+               least: int = MIN_TILE, cover: float = LEAST_COVER, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that leak no item: a narrow pass for each block of items, whole rows go through."""
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    ship_package(spark)
+    for items in _blocks(benchmark, item_col, item_text, block_words):
+        shared = spark.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            block = Block(shared.value, least)
+            for batch in batches:
+                yield batch.filter(pa.array([not block.scan(t.as_py() or "", cover) for t in batch.column(at)], pa.bool_()))
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
