@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearth.llm import hashing
-from hearth.llm.common import WORD, cut, row_key, spread, text_or_empty
+from hearth.llm.common import WORD, cut, row_key, text_or_empty
 from hearth.llm.graph import components
 from hearth.session import ship_package
 
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship_package(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), row_key(text_col).alias("__key"),
                         text_or_empty(text_col).alias("__t"))
-    signed = cut(spread(texts).mapInArrow(_sign(k), "__id long, __key long, __n long, __c1 long, __c2 long, "
+    signed = cut(texts.mapInArrow(_sign(k), "__id long, __key long, __n long, __c1 long, __c2 long, "
                                                     "__keys array<long>, __sig array<long>"))
     # equal sets are one class; its number is fixed by writing it
     classes = cut(signed.filter("__n > 0").groupBy("__c1", "__c2")
