@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, spread, text_or_empty
+from hearth.llm.common import cut, text_or_empty
 from hearth.session import ship_package
 
 SLOTS = 1 << 16
@@ -125,7 +125,7 @@ def text_evidence(pages: DataFrame, model: Model, id_col: str, url_col: str, htm
             ll = [model.log_likelihood(visible(x.as_py())) for x in batch.column(5)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(5)), pa.array(ll, pa.list_(pa.float64()))],
                                              names=["id", "host", "domain", "suffix", "declared", "ll"])
-    return spread(p).mapInArrow(run, "id long, host string, domain string, suffix string, declared string, ll array<double>")
+    return p.mapInArrow(run, "id long, host string, domain string, suffix string, declared string, ll array<double>")
 
 
 def _softmax(x: Column) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, spread, text_or_empty
+from hearth.llm.common import cut, text_or_empty
 from hearth.session import ship_package
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
@@ -111,7 +111,7 @@ def write_archives(records: DataFrame, archive_bytes: int = ARCHIVE_BYTES) -> Da
                     yield close()
         if index:
             yield close()
-    return (spread(records.select("page_id", "url", "html", "payload_bytes", "payload_digest", "refers_to"))
+    return (records.select("page_id", "url", "html", "payload_bytes", "payload_digest", "refers_to")
             .mapInArrow(run, "archive string, content binary"))
 
 
