@@ -8,8 +8,8 @@ that differ.  Peeling takes cells that hold a single digest, counts it, and
 removes it from its other cells until the table is empty.
 
 If peeling gets stuck, larger tables are made of the digests: one small table for each
-group of about eight digests (grouped by hash), and for a group that gets stuck again one of
-four times the cells, and so on.  Everything is built from array functions on a row, so
+group of about twelve digests (grouped by hash), and for a group that gets stuck again one of
+more cells, and so on.  Everything is built from array functions on a row, so
 memory is bounded by a document, and texts move only to meet their neighbours.
 """
 
@@ -22,7 +22,7 @@ from hearth.functions.text import let
 from hearth.llm.common import cut, row_key, text_or_empty
 
 #: Cells of each of the three sub-tables of a fingerprint, and of the larger ones that are tried in turn.
-WIDTH, LARGER, GROUP = 4, (4, 16, 64, 256), 8
+WIDTH, LARGER, GROUP = 4, (8, 16, 64, 256), 12
 PIECES = r"[.!?\n]"
 
 
