@@ -24,6 +24,8 @@ from hearth.llm.common import SPACES, WORD, cut, row_key, spread, text_or_empty
 MIN_WORDS = 5
 #: Lines of fewer words only count as duplicates when equal; one word of ten is the least similar match.
 EDIT_WORDS = 10
+#: The pipeline's bounds: every line with a word may go if it is equal to an earlier one, and from five words on if one word differs.
+ANY_WORDS, NEAR_WORDS = 1, 5
 
 
 def words_of(line: Column) -> Column:
@@ -173,6 +175,6 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_rest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without duplicate lines; a document that had words and has none left is dropped."""
-    out = dedup_lines(docs, id_col, text_col)
+    """``docs`` without duplicate lines, however short; a document that had words and has none left is dropped."""
+    out = dedup_lines(docs, id_col, text_col, ANY_WORDS, NEAR_WORDS)
     return out.filter((F.col("__gone") == 0) | F.col(text_col).rlike(WORD)).select(*docs.columns)

@@ -79,6 +79,33 @@ def test_repeated_rows_and_null_ids(spark):
     assert kept == sorted([(1, "a b c d e f"), (1, "a b c d e f"), (None, "rest"), (1, "g h i j k")], key=str)
 
 
+def plain_rest(rows):
+    """[(id, text)] with distinct ids -> {id: text} as the pipeline keeps it; every pair of lines is compared."""
+    seen, out = [], {}
+    for d, t in sorted(rows):
+        keep = []
+        for line in t.split("\n"):
+            w = tuple(x for x in re.split(r"[\x20\x09-\x0D]+", line) if x)
+            if not w or not any(w == s or (min(len(w), len(s)) >= 5 and abs(len(w) - len(s)) <= 1 and apart(w, s) <= 1) for s in seen):
+                keep.append(line)
+            seen.append(w)
+        if not t.strip() or "".join(keep).strip():
+            out[d] = "\n".join(keep)
+    return out
+
+
+def test_the_pipeline_compares_short_lines(spark):
+    rnd = random.Random(5)
+    rows = [(1, "All rights reserved.\n\nhome"), (2, "All  rights\treserved.\n\nother"), (3, "home"), (4, " \n\n"), (5, ""),
+            (6, "a b c d\na b c e"), (7, "one two three four five\none two three four six"), (8, "p q r s t u v w x\np q r s t u v w x y"),
+            (9, "k l m n o\nk l m n o p\nk l m n")]
+    rows += [(20 + i, "\n".join(" ".join(rnd.choice("abc") for _ in range(rnd.randint(0, 11))) for _ in range(5))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in linededup.keep_rest(df).collect()}
+    assert got == plain_rest(rows)
+    assert 3 not in got and got[2] == "\nother" and got[7] == "one two three four five" and got[8] == "p q r s t u v w x"
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert linededup.dedup_lines(df).count() == 0
