@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,3 +45,24 @@ def row_key(text: str | Column = "text") -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """Deal rows of a slim table out evenly before heavy per-row work."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def by_turns(rows: list[tuple], chars: int) -> list[tuple]:
+    """Of ``(group, key, size)`` rows those that fit into ``chars`` in all; groups take turns, each in the order of its keys.
+
+    A row that does not fit is left out alone, and the next ones are tried.  Raises
+    ValueError if nothing of a group fits, so that no group goes missing unnoticed.
+    """
+    turn, queue = Counter(), []
+    for group, key, size in sorted(rows):
+        queue.append((turn[group], group, key, size))
+        turn[group] += 1
+    out, left = [], chars
+    for _, group, key, size in sorted(queue):
+        if size <= left:
+            out.append((group, key))
+            left -= size
+    missing = turn.keys() - {g for g, _ in out}
+    if missing:
+        raise ValueError(f"no training text of {sorted(missing)} fits into {chars} characters")
+    return out

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearth.llm.common import cut, text_or_empty
+from hearth.llm.common import by_turns, cut, text_or_empty
 from hearth.session import ship_package
 
 SLOTS = 1 << 16
@@ -81,15 +81,19 @@ def train(rows: list[tuple[str, str]]) -> Model:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         per_language: int = ROWS_PER_LANGUAGE, chars: int = TRAIN_CHARS) -> Model:
-    """The model of a bounded sample of labelled documents; null labels and texts are left out."""
+    """The model of a bounded sample of labelled documents; null labels and texts are left out.
+
+    A text that does not fit into what is left of ``chars`` is left out alone.
+    """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.xxhash64(id_col, F.xxhash64(text_col)).alias("h"), F.col(lang_col).alias("y"), F.col(text_col).alias("t"))
     # the smallest hashes per language: found on slim rows, a bounded number of which go on
     first = Window.partitionBy("y").orderBy("h")
-    keep = rows.select("h", "y").withColumn("n", F.row_number().over(first)).filter(F.col("n") <= per_language).select("h", "y")
-    some = rows.join(F.broadcast(keep), ["h", "y"]).dropDuplicates(["h"])
-    fits = some.withColumn("sum", F.sum(F.length("t")).over(Window.orderBy("h"))).filter(F.col("sum") <= chars)
-    return train([(r.t, r.y) for r in fits.select("t", "y").collect()])
+    keep = rows.select("h", "y", F.length("t").alias("n")).withColumn("k", F.row_number().over(first)).filter(F.col("k") <= per_language)
+    once = {r.h: (r.y, r.h, r.n) for r in sorted(keep.select("h", "y", "n").collect(), reverse=True)}
+    fits = docs.sparkSession.createDataFrame(by_turns(list(once.values()), chars), "y string, h long")
+    some = rows.join(F.broadcast(fits), ["h", "y"]).dropDuplicates(["h"])
+    return train([(r.t, r.y) for r in some.select("t", "y").collect()])
 
 
 def host_of(url: Column) -> Column:

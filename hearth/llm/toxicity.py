@@ -23,10 +23,10 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearth.llm.common import row_key, text_or_empty
+from hearth.llm.common import by_turns, row_key, text_or_empty
 from hearth.llm.hashing import shingles
 from hearth.session import ship_package
 
@@ -232,8 +232,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     """The bounded training sample: per class the rows with the smallest id hash.
 
     Ids with crc32(id as text) divisible by 5 are held out.  Of contradicting labels of
-    one id the toxic one counts, of texts that share an id any one; null labels don't.
+    one id the toxic one counts, of texts that share an id the one of the least hash; null
+    labels don't.  A text that does not fit into what is left of ``chars`` is left out alone;
+    if there are texts to learn from but none of a class that ``labels`` has, ValueError is raised.
     """
+    spark = docs.sparkSession
     ok = labels.filter((F.crc32(F.col(id_col).cast("string")) % 5 != 0) & F.col(label_col).isin(0, 1))
     ok = ok.groupBy(F.col(id_col).cast("long").alias("__l")).agg(F.max(label_col).cast("int").alias("__y"))
     order = [F.xxhash64("__l"), F.col("__l")]
@@ -241,12 +244,17 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     for y in (0, 1):
         some = ok.filter(F.col("__y") == y).orderBy(*order).limit(per_class)
         picked = some if picked is None else picked.unionByName(some)
-    both = (docs.select(F.col(id_col).cast("long").alias("__l"), text_or_empty(text_col).alias("__t"))
-            .join(F.broadcast(picked), "__l").dropDuplicates(["__l"]))
-    # at most 2 * per_class rows: one ordered running sum keeps their characters bounded too
-    order = Window.orderBy(F.xxhash64("__l"), "__l").rowsBetween(Window.unboundedPreceding, 0)
-    fits = both.withColumn("__sum", F.sum(F.length("__t")).over(order)).filter(F.col("__sum") <= chars)
-    return [(r["__t"], r["__y"]) for r in fits.select("__t", "__y").collect()]
+    own = docs.select(F.col(id_col).cast("long").alias("__l"), row_key(text_col).alias("__r"), text_or_empty(text_col).alias("__t"))
+    # at most 2 * per_class slim rows reach the driver, which chooses the texts to fetch
+    slim = (own.select("__l", "__r", F.length("__t").alias("__n")).join(F.broadcast(picked), "__l").groupBy("__l", "__y")
+            .agg(F.min(F.struct("__r", "__n")).alias("__b")).select("__y", F.xxhash64("__l").alias("__h"), "__l", "__b.*").collect())
+    with_text = {r["__y"] for r in slim}
+    if len(with_text) == 1 and len(picked.select("__y").distinct().collect()) == 2:
+        raise ValueError(f"only labels {with_text} have a text to learn from")
+    fits = by_turns([(r["__y"], (r["__h"], r["__l"], r["__r"]), r["__n"]) for r in slim], chars)
+    chosen = spark.createDataFrame([(key[1], key[2], y) for y, key in fits], "__l long, __r long, __y int")
+    rows = own.join(F.broadcast(chosen), ["__l", "__r"]).dropDuplicates(["__l"])
+    return [(r["__t"], r["__y"]) for r in rows.select("__t", "__y").collect()]
 
 
 def score(docs: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -55,6 +55,20 @@ def test_address_parts(spark):
     assert [tuple(r) for r in df.select(h, langid.domain_of(h), langid.suffix_of(h)).collect()] == [("m.host.co", "host.co", "co"), ("a", "a", "a"), ("", "", ""), ("", "", "")]
 
 
+def test_one_long_text_costs_only_itself(spark):
+    rows = [(i, f"{'der hund' if i % 2 else 'the cat'} {i}", "de" if i % 2 else "en") for i in range(40)]
+    order = {r.doc_id: r.h for r in spark.createDataFrame(rows, "doc_id long, text string, lang string")
+             .select("doc_id", F.xxhash64("doc_id", F.xxhash64("text")).alias("h")).collect()}
+    first = min(order, key=order.get)
+    rows[first] = (first, "word " * 1000, rows[first][2])
+    for per in (400, 5):
+        m = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=per, chars=2000)
+        assert m.languages == ["de", "en"] and m.log_likelihood("der hund").argmax() == 0 and m.log_likelihood("the cat").argmax() == 1
+    alone = spark.createDataFrame(rows + [(99, "mot " * 1000, "fr")], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="fr"):
+        langid.fit(alone, chars=2000)
+
+
 def test_no_labels(spark):
     with pytest.raises(ValueError):
         langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))

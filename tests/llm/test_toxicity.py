@@ -5,6 +5,7 @@ from math import exp
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from hearth.llm import toxicity
 from tests.conftest import SF_ORACLE
@@ -71,6 +72,21 @@ def test_edges(spark):
     assert clean.columns == d.columns and {r.doc_id for r in clean.collect()} == {i for i in range(120) if i % 3} | {500, 501, 502, 504}
 
 
+def test_one_long_text_costs_only_itself(spark):
+    d, labels = small(spark)
+    whole = toxicity.sample(d, labels, "doc_id", "text", "toxic")
+    long = spark.createDataFrame([(i, "very long " * 5000, "") for i in range(1000, 1040)], d.schema)
+    more = labels.unionByName(spark.createDataFrame([(i, i % 2) for i in range(1000, 1040)], labels.schema))
+    assert sorted(toxicity.sample(d.unionByName(long), more, "doc_id", "text", "toxic", chars=40_000)) == sorted(whole)
+    few = toxicity.sample(d.unionByName(long), more, "doc_id", "text", "toxic", chars=3000)
+    assert 2000 < sum(len(t) for t, _ in few) <= 3000 and abs(sum(2 * y - 1 for _, y in few)) <= 2
+    with pytest.raises(ValueError, match="1"):
+        toxicity.sample(d.filter("doc_id % 3 > 0").unionByName(long), more.filter("toxic = 0 or doc_id >= 1000"), "doc_id", "text", "toxic", chars=40_000)
+    with pytest.raises(ValueError, match="only labels"):
+        toxicity.sample(d.filter("doc_id % 3 > 0"), labels, "doc_id", "text", "toxic")
+    assert toxicity.sample(d.limit(0), labels, "doc_id", "text", "toxic") == []
+
+
 def test_empty_tables(spark):
     d, labels = small(spark)
     assert toxicity.score(d.limit(0), toxicity.fit(d, labels)).count() == 0
