@@ -17,6 +17,7 @@ import base64
 import gzip
 import io
 import json
+import re
 import struct
 import zipfile
 import zlib
@@ -178,72 +179,154 @@ def place(read_at: ReadAt, member: Member) -> int:
     return member.offset + 30 + n + extra
 
 
+def indexed(raw: bytes) -> list[tuple[int, int]] | None:
+    """``(offset, length)`` of each line of an index: bare JSON or CDXJ (key, timestamp, JSON); None if a line names no place."""
+    out = []
+    for line in raw.splitlines():
+        if not line.strip() or line.startswith(b"!"):  # CDXJ header lines start with "!"
+            continue
+        x = json.loads(line[line.index(b"{"):])
+        if "offset" not in x or "length" not in x:
+            return None
+        out.append((int(x["offset"]), int(x["length"])))
+    return out
+
+
+def _packed(read_at: ReadAt, at: int, end: int) -> int:
+    """Where the gzip member at ``at`` ends."""
+    z, pos = zlib.decompressobj(31), at
+    while not z.eof:
+        piece = read_at(pos, min(65536, end - pos))
+        if not piece:
+            raise ValueError("a record is cut off")
+        z.decompress(piece)
+        pos += len(piece)
+    return pos - len(z.unused_data)
+
+
+def _plain(read_at: ReadAt, at: int, end: int) -> int:
+    """Where the record at ``at`` of a WARC file that is not packed ends, with the two line ends after it."""
+    head, pos = b"", at
+    while b"\r\n\r\n" not in head:
+        piece = read_at(pos, min(4096, end - pos))
+        if not piece:
+            raise ValueError("a record is cut off")
+        head, pos = head + piece, pos + len(piece)
+    size = head.index(b"\r\n\r\n") + 4
+    stop = at + size + int(fields(head[:size - 4])["content-length"]) + 4
+    if stop > end:
+        raise ValueError("a record is cut off")
+    return stop
+
+
 def places(read_at: ReadAt, size: int) -> Iterator[tuple[int, int]]:
     """``(offset, length)`` in the file of each record of its WARC members, from the indexes.
 
-    A file without an index is read through, gzip member by gzip member.
+    A file without an index, with one that names no places or with several WARC members is
+    read through, record by record; an index that names places says which records count.
     """
     found = members(read_at, size)
-    data = [m for m in found if m.name.startswith("archive/") and m.name.endswith(".warc.gz")]
+    data = [m for m in found if m.name.startswith("archive/") and m.name.endswith((".warc.gz", ".warc"))]
     index = [m for m in found if m.name.startswith("indexes/") and m.name.endswith(".cdxj")]
     if len(data) == 1 and index:
         start = place(read_at, data[0])
-        for m in index:
-            for line in read_at(place(read_at, m), m.size).splitlines():
-                x = json.loads(line)
-                yield start + x["offset"], x["length"]
-        return
+        lines = [indexed(read_at(place(read_at, m), m.size)) for m in index]
+        if None not in lines:
+            yield from ((start + at, n) for part in lines for at, n in part)
+            return
     for m in data:
         at = start = place(read_at, m)
+        step = _packed if m.name.endswith(".gz") else _plain
         while at < start + m.size:
-            z, pos = zlib.decompressobj(31), at
-            while not z.eof:
-                piece = read_at(pos, min(65536, start + m.size - pos))
-                if not piece:
-                    raise ValueError("a record is cut off")
-                z.decompress(piece)
-                pos += len(piece)
-            end = pos - len(z.unused_data)
+            end = step(read_at, at, start + m.size)
             yield at, end - at
             at = end
 
 
 @dataclass(frozen=True)
 class Record:
-    page_id: int | None
+    page_id: int | None  # of this module's own records
     url: str | None
     kind: str
     payload_bytes: int
-    payload_digest: str
+    payload_digest: str | None  # of SHA-1 the hex digits, of others as it stands
     refers_to: int | None
-    payload: bytes | None
+    payload: bytes | None  # None for a revisit
+    record_id: str | None = None
+    refers_to_id: str | None = None
+
+
+def fields(head: bytes) -> dict[str, str]:
+    """Header fields by their lower-case names, without the first line; folded lines are joined."""
+    lines = head.decode(errors="replace").replace("\r\n ", " ").replace("\r\n\t", " ").split("\r\n")[1:]
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
 
 
 def _page(urn: str | None) -> int | None:
-    return int(urn[len("<urn:page:"):-1]) if urn and urn != "<urn:page:>" else None
+    found = re.fullmatch(r"<urn:page:(-?[0-9]+)>", urn or "")
+    return int(found[1]) if found else None
+
+
+def _digest(text: str | None) -> str | None:
+    """A digest header's value: SHA-1, in base 32 or hex, as hex digits."""
+    name, _, value = (text or "").partition(":")
+    if name.lower() != "sha1":
+        return text
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
+def _joined(body: bytes) -> bytes | None:
+    """The body that chunks make up; None if they are broken."""
+    out, at = [], 0
+    while found := re.compile(rb"([0-9A-Fa-f]+)[^\r\n]*\r\n").match(body, at):
+        n = int(found[1], 16)
+        if not n:
+            return b"".join(out)
+        out.append(body[found.end():found.end() + n])
+        at = found.end() + n + 2
+    return None
 
 
 def parse(raw: bytes) -> Record:
-    """A record from its bytes; a response's payload is held against its digest."""
-    head, rest = raw.split(b"\r\n\r\n", 1)
-    field = dict(line.split(": ", 1) for line in head.decode().split("\r\n")[1:])
-    http, payload = rest[:int(field["Content-Length"])].split(b"\r\n\r\n", 1)
-    n = int(dict(line.split(": ", 1) for line in http.decode().split("\r\n")[1:])["Content-Length"])
-    digest, kind = base64.b32decode(field["WARC-Payload-Digest"][5:]).hex(), field["WARC-Type"]
-    if kind == "response" and (len(payload) != n or sha1(payload).hexdigest() != digest):
-        raise ValueError(f"record {field['WARC-Record-ID']} is damaged")
-    return Record(_page(field["WARC-Record-ID"]), field.get("WARC-Target-URI"), kind, n, digest,
-                  _page(field.get("WARC-Refers-To")), payload if kind == "response" else None)
+    """A record of any type from its bytes, packed or not; a payload is held against its digest.
+
+    The payload is what follows the HTTP header, where the block has one, else the whole
+    block.  A digest of chunked content may be of the chunks or of what they make up.
+    """
+    if raw[:2] == b"\x1f\x8b":
+        raw = gzip.decompress(raw)
+    head, _, rest = raw.partition(b"\r\n\r\n")
+    field = fields(head)
+    kind, size, name = field["warc-type"], int(field["content-length"]), field.get("warc-record-id")
+    payload, http = rest[:size], {}
+    if len(payload) != size:
+        raise ValueError(f"record {name} is cut off")
+    if field.get("content-type", "").lower().replace(" ", "").startswith("application/http"):
+        top, _, payload = payload.partition(b"\r\n\r\n")
+        http = fields(top)
+    n, digest = len(payload), _digest(field.get("warc-payload-digest"))
+    if kind == "revisit":
+        n = int(http["content-length"]) if http.get("content-length", "").isdigit() else n
+    else:
+        bodies = [payload] + ([_joined(payload)] if "chunked" in http.get("transfer-encoding", "").lower() else [])
+        own = [sha1(b).hexdigest() for b in bodies if b is not None]
+        if re.fullmatch("[0-9a-f]{40}", digest or "") and "warc-truncated" not in field and digest not in own:
+            raise ValueError(f"record {name} is damaged")
+        digest = digest or own[0]
+    url = field.get("warc-target-uri")
+    return Record(_page(name), url, kind, n, digest, _page(field.get("warc-refers-to")), None if kind == "revisit" else payload, name, field.get("warc-refers-to"))
 
 
 def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
     """``(archive, content)`` -> one row per record; ``payload`` adds the responses' bytes.
 
-    An empty table of archives gives no rows; a damaged archive raises an error.
+    Records of other writers have their ids in ``record_id`` and ``refers_to_id``; ``page_id``
+    and ``refers_to`` are null there.  Every record type is returned.  An empty table of
+    archives gives no rows; a damaged archive raises an error.
     """
     ship_package(archives.sparkSession)
-    schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long" + ", payload binary" * payload
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()] + [pa.binary()] * payload
+    schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, record_id string, refers_to_id string" + ", payload binary" * payload
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * payload
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,9 +338,9 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                     return bytes(view[at:at + n])
                 rows, held = [], 0
                 for at, n in places(read_at, len(view)):
-                    r = parse(gzip.decompress(read_at(at, n)))
-                    rows.append((r.page_id, r.url, r.kind, r.payload_bytes, r.payload_digest, r.refers_to, r.payload)[:6 + payload])
-                    held += r.payload_bytes if payload else 0
+                    r = parse(read_at(at, n))
+                    rows.append((r.page_id, r.url, r.kind, r.payload_bytes, r.payload_digest, r.refers_to, r.record_id, r.refers_to_id, r.payload)[:8 + payload])
+                    held += len(r.payload or b"") if payload else 0
                     if len(rows) >= 2000 or held > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
                         rows, held = [], 0
@@ -267,7 +350,7 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
 
 
 def read_files(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """The records of the archive files under ``path``."""
+    """The records of the archive files under ``path``; each file is read whole, as a cell of at most 2 GB."""
     return read_archives(spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), "content"), payload)
 
 

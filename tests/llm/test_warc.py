@@ -113,6 +113,39 @@ def test_only_ranges_are_read():
     assert log[start:] == [(at, n)] and n < 300
 
 
+def foreign():
+    """Records as other writers make them: other types, UUID ids, chunks, no digest."""
+    def rec(kind, i, block, *more):
+        head = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{i}>", *more, f"Content-Length: {len(block)}"]
+        return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    chunks = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3\r\nabc\r\n2\r\nde\r\n0\r\n\r\n"
+    digest = f"WARC-Payload-Digest: sha1:{hashlib.sha1(b'abcde').hexdigest()}"
+    http = "content-type: application/http; msgtype=response"
+    return [rec("warcinfo", "a", b"software: x\r\n", "Content-Type: application/warc-fields"),
+            rec("request", "b", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "Content-Type: application/http; msgtype=request"),
+            rec("response", "c", chunks, http, digest), rec("response", "d", b"HTTP/1.1 200 OK\r\n\r\n" + b"z" * 9000, http),
+            rec("revisit", "e", b"HTTP/1.1 200 OK\r\n\r\n", http, "WARC-Refers-To: <urn:uuid:c>"), rec("metadata", "f", b"via: x")]
+
+
+@pytest.mark.parametrize("name", ["archive/a.warc", "archive/a.warc.gz"])
+@pytest.mark.parametrize("index", ["none", "cdxj", "placeless"])
+def test_archives_of_other_writers(spark, scratch, name, index):
+    parts = [warc.gzip.compress(r) if name.endswith(".gz") else r for r in foreign()]
+    lines = ['!meta {"format": "x"}']
+    for i, x in enumerate(parts):
+        more = f', "offset": "{sum(map(len, parts[:i]))}", "length": "{len(x)}", "filename": "a"' if index == "cdxj" else ""
+        lines.append('com,x)/ 20200101000000 {"url": "http://x/"' + more + "}")
+    with zipfile.ZipFile(f"{scratch}/a.wacz", "w") as z:
+        z.writestr(name, b"".join(parts))
+        if index != "none":
+            z.writestr("indexes/index.cdxj", "\n".join(lines) + "\n")
+    rows = warc.read_files(spark, scratch, payload=True).collect()
+    assert [(r.record_type, r.record_id[-2], r.page_id) for r in rows] == [
+        (k, i, None) for k, i in zip(("warcinfo", "request", "response", "response", "revisit", "metadata"), "abcdef")]
+    assert rows[4].refers_to_id == "<urn:uuid:c>" and rows[4].payload is None and bytes(rows[3].payload) == b"z" * 9000
+    assert bytes(rows[5].payload) == b"via: x" and rows[2].payload_digest == hashlib.sha1(b"abcde").hexdigest()
+
+
 def test_damage():
     with pytest.raises(ValueError):
         pages_of(b"not a zip file")
