@@ -5,11 +5,14 @@ Each query is ``(spark, sf_dir) -> DataFrame`` over the whole intended table.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, iblt, langid, licenses, linededup, minhash, mixing, toxicity, warc
-from hearth.llm.common import load
+from hearth.llm import bpe, decontam, exactindex, iblt, langid, licenses, linededup, minhash, mixing, toxicity, warc
+from hearth.llm.common import cut, load
+from hearth.session import checkpoint_root
 
 
 def tokenizer_path(name: str) -> str:
@@ -85,5 +88,16 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, handed to a new index in two deliveries: the second one's texts meet those of the first."""
+    index = exactindex.open_index(spark, f"{checkpoint_root(spark)}/llm/index-{uuid.uuid4().hex}")
+    rows = cut(exactindex.digests(load(spark, sf_dir, "documents")))
+    early = F.xxhash64("id") < 0
+    exactindex.add(index, rows.filter(early), "first")
+    exactindex.add(index, rows.filter(~early), "second")
+    return exactindex.decide(index, rows).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+                                                 F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op3_language_id, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
-                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup)}
+                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup, op12_exact_dedup)}

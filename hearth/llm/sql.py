@@ -114,4 +114,11 @@ kept AS (
 SELECT doc_id, n_lines, n_removed, sha256(body) AS kept_sha256 FROM kept
 """
 
-SQL: dict[str, str] = {"op1_license_scan": OP1, "op2_mix_sources": OP2, "op5_line_dedup": OP5}
+OP12 = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents),
+w AS (SELECT *, row_number() OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS place FROM d),
+g AS (SELECT text_sha256, count(*) AS group_size, max(CASE WHEN place = 1 THEN doc_id END) AS keep_id FROM w GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+"""
+
+SQL: dict[str, str] = {"op1_license_scan": OP1, "op2_mix_sources": OP2, "op5_line_dedup": OP5, "op12_exact_dedup": OP12}
