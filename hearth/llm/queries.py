@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, exactindex, iblt, langid, licenses, linededup, minhash, mixing, toxicity, warc
+from hearth.llm import bpe, decontam, exactindex, iblt, langid, licenses, linededup, minhash, mixing, spelling, toxicity, warc
 from hearth.llm.common import cut, load
 from hearth.session import checkpoint_root
 
@@ -88,6 +88,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, handed to a new index in two deliveries: the second one's texts meet those of the first."""
     index = exactindex.open_index(spark, f"{checkpoint_root(spark)}/llm/index-{uuid.uuid4().hex}")
@@ -100,4 +104,4 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op3_language_id, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
-                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup, op12_exact_dedup)}
+                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup, op11_spelling_variants, op12_exact_dedup)}
