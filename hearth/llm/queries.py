@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.llm import bpe, decontam, exactindex, iblt, langid, licenses, linededup, minhash, mixing, spelling, toxicity, warc
+from hearth.llm import bpe, decontam, exactindex, iblt, langid, licenses, linededup, minhash, mixing, negatives, spelling, toxicity, warc
 from hearth.llm.common import cut, load
 from hearth.session import checkpoint_root
 
@@ -103,5 +103,11 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                  F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.usable(load(spark, sf_dir, "embeddings"), label=label), F.col("id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (op1_license_scan, op2_mix_sources, op3_language_id, op4_toxicity, op5_line_dedup, op6_warc_round_trip, op7_iblt_fingerprints,
-                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup, op11_spelling_variants, op12_exact_dedup)}
+                                 op8_decontaminate, op9_token_counts, op10_minhash_near_dedup, op11_spelling_variants, op12_exact_dedup,
+                                 op13_hard_negatives)}

@@ -2,7 +2,7 @@
 
 Without: op3 and op4 (trained models), op6 (archives written and read back), op7 (peeled
 sketches), op8 (greedy tiling), op9 (byte-pair merging), op10 (all pairs of whole sets take
-SQL far too long on the whole table).  Those are held against brute force in ``tests/llm``.
+SQL far too long on the whole table), op11 (SQL has no CRC-32).  Those are held against brute force in ``tests/llm``.
 """
 
 from __future__ import annotations
@@ -121,4 +121,22 @@ g AS (SELECT text_sha256, count(*) AS group_size, max(CASE WHEN place = 1 THEN d
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
 """
 
-SQL: dict[str, str] = {"op1_license_scan": OP1, "op2_mix_sources": OP2, "op5_line_dedup": OP5, "op12_exact_dedup": OP12}
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_inner_product(a.vec, b.vec)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND s.label <> s.own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+SQL: dict[str, str] = {"op1_license_scan": OP1, "op2_mix_sources": OP2, "op5_line_dedup": OP5, "op12_exact_dedup": OP12,
+                       "op13_hard_negatives": OP13}
