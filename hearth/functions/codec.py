@@ -34,31 +34,20 @@ def dict_assign(arr, key="url", value="descr") -> Column:
     value; positions are renumbered 0..n-1 (``pos``).  O(n log n) per row: the
     entries are sorted by (key, position), each key's first and last entries
     are found by comparing neighbours, and the keys are put back in order of
-    first position.
+    first position.  (``sort_array`` compares structs directly; ``array_sort`` would
+    evaluate a comparator expression per comparison.)
     """
     def by_key(sorted_):
-        n = F.size(sorted_)
-
-        def edge(x, j, step):
-            other = F.get(sorted_, j + step)["k"]
-            end = (j == 0) if step < 0 else (j == n - 1)
-            return end | ~other.eqNullSafe(x["k"])
-
-        firsts = F.filter(F.transform(sorted_, lambda x, j: F.when(edge(x, j, -1), x)),
-                          lambda x: x.isNotNull())
-        lasts = F.filter(F.transform(sorted_, lambda x, j: F.when(edge(x, j, 1), x)),
-                         lambda x: x.isNotNull())
-        merged = F.zip_with(firsts, lasts, lambda f, last: F.struct(
+        def edge(step):
+            return lambda x, j: ~F.coalesce(F.get(sorted_, j + step)["k"].eqNullSafe(x["k"]) & (j + step >= 0)
+                                            & (j + step < F.size(sorted_)), F.lit(False))
+        merged = F.zip_with(F.filter(sorted_, edge(-1)), F.filter(sorted_, edge(1)), lambda f, last: F.struct(
             f["i"].alias("i"), f["k"].alias("k"), last["v"].alias("v")))
-        return F.transform(F.array_sort(merged), lambda x, pos: F.struct(
+        return F.transform(F.sort_array(merged), lambda x, pos: F.struct(
             pos.alias("pos"), x["k"].alias(key), x["v"].alias(value)))
 
-    def build(a):
-        indexed = F.transform(a, lambda x, i: F.struct(x[key].alias("k"), i.alias("i"),
-                                                       x[value].alias("v")))
-        return let(F.array_sort(indexed), by_key)
-
-    return let(arr, build)
+    indexed = F.transform(col_(arr), lambda x, i: F.struct(x[key].alias("k"), i.alias("i"), x[value].alias("v")))
+    return let(F.sort_array(indexed), by_key)
 
 
 def encode_keys(gallery, key="url") -> Column:
@@ -75,28 +64,39 @@ def encode_pairs(gallery, key="url", value="descr") -> Column:
 
 
 def split_entries(text) -> Column:
-    """Entries of ``a##b;c##d`` as arrays of parts; blank entries dropped.
+    """Entries of ``a##b;c##d``; blank entries dropped.  Null or '' text gives none (never an error)."""
+    return F.array_remove(split_parts(F.coalesce(col_(text), F.lit("")), ENTRY_SEP), "")
 
-    Null or '' text gives an empty array (never an error).
-    """
-    raw = F.coalesce(col_(text), F.lit(""))
-    items = F.filter(split_parts(raw, ENTRY_SEP), lambda x: x != "")
-    return F.transform(items, lambda x: split_parts(x, KV_SEP))
+
+def _pair(entry, strip: bool) -> Column:
+    """``(ok, k, v)`` of one entry; ok says that it has exactly one '##'."""
+    def parts(at):
+        tidy = py_strip if strip else (lambda c: c)
+        rest = F.substring(entry, at + len(KV_SEP), F.length(entry))
+        return F.struct(((at > 0) & ~F.contains(rest, F.lit(KV_SEP))).alias("ok"),
+                        tidy(F.substring(entry, F.lit(1), at - 1)).alias("k"), tidy(rest).alias("v"))
+    return let(F.locate(KV_SEP, entry), parts)
+
+
+def decode(text, key="url", value="descr", strip: bool = False) -> Column:
+    """``k##v;k##v`` -> ``(gallery, malformed)``: the ordered dict array, and the number of non-blank
+    entries without exactly one '##', which are left out.  The text is taken apart once."""
+    def build(entries_):
+        good = F.filter(entries_, lambda e: e["ok"])
+        kv = F.transform(good, lambda e: F.struct(e["k"].alias(key), e["v"].alias(value)))
+        return let(kv, lambda a: F.struct(dict_assign(a, key, value).alias("gallery"),
+                                          (F.size(entries_) - F.size(a)).alias("malformed")))
+    return let(F.transform(split_entries(text), lambda e: _pair(e, strip)), build)
 
 
 def decode_pairs(text, key="url", value="descr", strip: bool = False) -> Column:
-    """``k##v;k##v`` -> ordered dict array; entries without exactly one '##' are
-    dropped (``malformed_pairs`` counts them)."""
-    parts = F.filter(split_entries(text), lambda p: F.size(p) == 2)
-    kv = F.transform(parts, lambda p: F.struct(
-        (py_strip(p[0]) if strip else p[0]).alias(key),
-        (py_strip(p[1]) if strip else p[1]).alias(value)))
-    return dict_assign(kv, key, value)
+    """``k##v;k##v`` -> ordered dict array; malformed entries are dropped (``decode`` counts them)."""
+    return decode(text, key, value, strip)["gallery"]
 
 
 def malformed_pairs(text) -> Column:
     """Number of non-blank entries that are not ``k##v``."""
-    return F.size(F.filter(split_entries(text), lambda p: F.size(p) != 2))
+    return F.size(F.filter(split_entries(text), lambda e: ~_pair(e, False)["ok"]))
 
 
 def decode_model_list(text) -> Column:

@@ -91,8 +91,11 @@ def strict_double(c) -> Column:
 
 
 def split_parts(c, sep: str) -> Column:
-    """``s.split(sep)`` with a literal separator (Spark's split takes a regex)."""
-    return F.split(col_(c), r"\Q" + sep + r"\E", -1)
+    """``s.split(sep)`` with a literal separator (Spark's split takes a regex).
+
+    A single escaped sign is split without the regex engine.
+    """
+    return F.split(col_(c), "\\" + sep if len(sep) == 1 and not sep.isalnum() else r"\Q" + sep + r"\E", -1)
 
 
 def part(arr, i: int, strip: bool = True) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from hearth.functions import codec, images as img, text as tx
 from hearth.operators import enrich, extract, gallery, metrics, preview, prompt, score, screen
+from hearth.session import spread
 from hearth.sources import regions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -316,8 +317,13 @@ def append_union(spark, sf):
 # --- galleries ------------------------------------------------------------------------
 
 def _words(spark, sf) -> DataFrame:
-    """Every document with all its words: galleries bounded by their own row."""
-    return load(spark, sf, "documents").select("doc_id", F.split("text", " ").alias("words"))
+    """Every document with all its words: galleries bounded by their own row.
+
+    Building them costs some fifty times what moving a text does, so rows are dealt out first:
+    the long texts of one file split do not wait for one core.
+    """
+    docs = load(spark, sf, "documents").select("doc_id", "text")
+    return spread(docs, int(spark.conf.get("spark.sql.shuffle.partitions"))).select("doc_id", F.split("text", " ").alias("words"))
 
 
 def _word_gallery(words, url):
@@ -340,8 +346,9 @@ def gallery_decode(spark, sf):
     """Words as ``word##place`` entries; every third is malformed (no place)."""
     t = _words(spark, sf).select("doc_id", F.array_join(F.transform("words", lambda w, i: F.when(i % 3 == 2, w).otherwise(
         F.concat(w, F.lit("##"), i.cast("string")))), ";").alias("text"))
-    g = t.select("doc_id", F.explode(codec.decode_pairs(F.col("text"))).alias("g"),
-                 codec.malformed_pairs(F.col("text")).cast("bigint").alias("malformed"))
+    # decoded in its own projection: beside the generator it would be evaluated for each of its rows
+    d = t.select("doc_id", codec.decode("text").alias("d"))
+    g = d.select("doc_id", F.explode("d.gallery").alias("g"), F.col("d.malformed").cast("bigint").alias("malformed"))
     return g.select("doc_id", F.col("g.pos").cast("int").alias("pos"),
                     F.col("g.url").alias("url"), F.col("g.descr").alias("descr"), "malformed")
 
@@ -550,8 +557,8 @@ def kv_parse(spark, sf):
     text = F.concat(F.col("s_name"), F.lit("##m"), k, F.lit("; alt ## "),
                     F.col("s_nationkey").cast("string"), F.lit(" ;bad;a##b##c;"), F.col("s_name"),
                     F.lit(" ## dup"), (F.col("s_suppkey") % 3).cast("string"))
-    return s.select("s_suppkey", F.explode(codec.decode_model_list(text)).alias("m"),
-                    codec.first_model(text).alias("first_model")).select(
+    parsed = s.select("s_suppkey", codec.decode_model_list(text).alias("models"), codec.first_model(text).alias("first_model"))
+    return parsed.select("s_suppkey", F.explode("models").alias("m"), "first_model").select(
         "s_suppkey", F.col("m.pos").cast("int").alias("pos"), F.col("m.name").alias("name"),
         F.col("m.model").alias("model"), "first_model")
 

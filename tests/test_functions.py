@@ -173,3 +173,22 @@ def test_decode_large_text_is_python_dict(spark):
     g = one(spark, codec.decode_pairs("s"), text_value)
     assert [(e.url, e.descr) for e in g] == list(expected.items())
     assert [e.pos for e in g] == list(range(len(expected)))
+
+
+def test_decode_counts_and_keeps_in_one_pass(spark):
+    df = spark.createDataFrame([("a##1;b##2;;bad;a##3;c##d##e;##x;y##;z###q",), ("",), (None,), (";;",)], "s string")
+    got = [(r.d.malformed, [(x.pos, x.url, x.descr) for x in r.d.gallery]) for r in df.select(codec.decode("s").alias("d")).collect()]
+    assert got == [(2, [(0, "a", "3"), (1, "b", "2"), (2, "", "x"), (3, "y", ""), (4, "z", "#q")]), (0, []), (0, []), (0, [])]
+
+
+def test_decode_is_linear_in_the_words(spark):
+    import time
+
+    def seconds(n):
+        text = F.array_join(F.transform(F.sequence(F.lit(1), F.col("id") * 0 + n), lambda i: F.concat((i % 5000).cast("string"), F.lit("##v"))), ";")
+        df = spark.range(0, 4, 1, 4).select(text.alias("s")).select(codec.decode("s").alias("d")).select(F.explode("d.gallery").alias("g"), "d.malformed")
+        t = time.perf_counter()
+        df.write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t
+    seconds(20_000)
+    assert min(seconds(200_000) for _ in range(2)) <= 15 * max(min(seconds(20_000) for _ in range(2)), 0.2)
