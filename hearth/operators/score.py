@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 import re
+import threading
+import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
@@ -42,11 +44,26 @@ class ModelClient(Protocol):
 ClientFactory = Callable[[], ModelClient]
 
 
-def _call_batches(factory: ClientFactory, in_flight: int):
+class _Pace:
+    """Lets calls through at most every ``gap`` seconds."""
+
+    def __init__(self, gap: float):
+        self.gap, self.next, self.lock = gap, 0.0, threading.Lock()
+
+    def wait(self) -> None:
+        with self.lock:
+            at = max(self.next, time.monotonic())
+            self.next = at + self.gap
+        time.sleep(max(0.0, at - time.monotonic()))
+
+
+def _call_batches(factory: ClientFactory, in_flight: int, gap: float = 0.0):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = factory()
+        client, pace = factory(), _Pace(gap)
 
         def one(m):
+            if gap:
+                pace.wait()
             try:
                 reply = client.complete(m) or ""
                 return reply, "answered" if reply else "empty"
@@ -68,8 +85,24 @@ def parse_score(reply) -> Column:
     return F.when(n <= MAX_SCORE, n).cast("int")
 
 
+def unanswered(prompts: DataFrame, answered: DataFrame | None) -> DataFrame:
+    """The prompts whose key is not among ``answered``."""
+    if answered is None:
+        return prompts
+    return prompts.join(answered.select("house_id", "wish_id"), ["house_id", "wish_id"], "left_anti")
+
+
+def waves(prompts: DataFrame, concurrency: int, batch: int) -> DataFrame:
+    """Prompts with ``wave``, dealt evenly so that a wave gives ``concurrency`` tasks about ``batch`` prompts each.
+
+    Write the result before using it: the dealing is not repeatable, the written column is.
+    """
+    tasks = concurrency * max(1, math.ceil(prompts.count() / (concurrency * batch)))
+    return prompts.repartition(tasks).withColumn("wave", F.floor(F.spark_partition_id() / concurrency).cast("int"))
+
+
 def reply_batch(prompts: DataFrame, factory: ClientFactory, answered: DataFrame | None = None,
-                concurrency: int | None = None, in_flight: int = 4) -> DataFrame:
+                concurrency: int | None = None, in_flight: int = 4, per_minute: float | None = None) -> DataFrame:
     """prompts(house_id, wish_id, messages) -> replies(house_id, wish_id, reply, outcome, score).
 
     ``outcome`` is ``answered``, ``empty``, or the name of the error that the client raised.
@@ -77,16 +110,18 @@ def reply_batch(prompts: DataFrame, factory: ClientFactory, answered: DataFrame
     ``answered``: replies already stored (their keys are skipped; failed calls
     with '' replies should be filtered out of it by the caller so they retry).
     ``concurrency``: number of tasks calling the model (a round-robin
-    repartition); ``in_flight``: calls per task at once.
+    repartition); ``in_flight``: calls per task at once.  ``per_minute`` bounds the calls of all
+    tasks together (``concurrency`` must be given): each task takes its equal share.
     """
     ship_package(prompts.sparkSession)
-    todo = prompts
-    if answered is not None:
-        todo = todo.join(answered.select("house_id", "wish_id"), ["house_id", "wish_id"], "left_anti")
+    if per_minute and not concurrency:
+        raise ValueError("a shared rate needs the number of tasks that share it")
+    todo = unanswered(prompts, answered)
     if concurrency:
         todo = todo.repartition(concurrency)
     calls = todo.select("house_id", "wish_id", messages_json(F.col("messages")).alias("messages_json"))
-    out = calls.mapInPandas(_call_batches(factory, in_flight), REPLY_SCHEMA)
+    gap = 60.0 * concurrency / per_minute if per_minute else 0.0
+    out = calls.mapInPandas(_call_batches(factory, in_flight, gap), REPLY_SCHEMA)
     return out.withColumn("score", parse_score(F.col("reply")))
 
 

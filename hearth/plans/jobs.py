@@ -15,7 +15,6 @@ for the same day replaces only that day's partition.
 
 from __future__ import annotations
 
-import datetime as _dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,15 +55,10 @@ def _drop_cut(spark: SparkSession, path: str) -> None:
         pass
 
 
-def new_run_id() -> str:
-    """Tells the counters of one job run from those of a re-run on the same day."""
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
-
-
-def _record(m: DataFrame, root: str, dt: str, run: str | None = None) -> str:
-    """Append counters to the ``metrics`` stage (computed now, while inputs exist)."""
-    run = run or new_run_id()
-    files.append_stage(_with_dt(m.withColumn("run", F.lit(run)), dt), root, "metrics")
+def _record(m: DataFrame, root: str, dt: str, run: str | None = None, part: str = "counts") -> str:
+    """Append counters to the ``metrics`` stage (computed now, while inputs exist), once per run and part."""
+    run = run or files.new_run()
+    files.append_stage(_with_dt(m.withColumn("run", F.lit(run)), dt), root, "metrics", f"{run}.{part}")
     return run
 
 
@@ -89,7 +83,7 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     page of each district.
     """
     site = site or extract.Site(city=city)
-    run = new_run_id()
+    run = files.new_run()
     given = F.col("district") if "district" in pages.columns else F.lit(None).cast("string")
     pages = pages.withColumn("_named", F.coalesce(given, extract.district_from_url(F.col("url"))))
     every, chosen = regions.districts(spark, city, "all"), regions.districts(spark, city, area_name)
@@ -100,7 +94,7 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     placed = pages.drop("district").join(F.broadcast(dims), "_named", "left")
     in_scope = F.coalesce("_in", F.lit(False))
     _record(metrics.stage_metrics(placed, "collect", {
-        "pages": None, "unrecognised_pages": F.col("_in").isNull(), "out_of_scope_pages": F.col("_in") == F.lit(False)}), root, dt, run)
+        "pages": None, "unrecognised_pages": F.col("_in").isNull(), "out_of_scope_pages": F.col("_in") == F.lit(False)}), root, dt, run, "pages")
     pages = placed.filter(in_scope).withColumnRenamed("_district", "district").drop("_named", "_in")
     if debug:
         pages = pages.filter(F.col("url").rlike(r"/pg1/?$") | ~F.col("url").rlike(r"/pg[0-9]+/?$"))
@@ -143,16 +137,19 @@ def screen_stage(spark: SparkSession, root: str, dt: str, top: int = 10) -> Data
 
 
 def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFrame,
-                  debug_num: int = 0) -> DataFrame:
+                  debug_num: int = 0, run: str | None = None) -> DataFrame:
     """Galleries of screened listings that have none yet -> appended to ``details``.
 
     ``detail_pages(house_id, link, html)`` are the landed detail pages.  Listings
     already in ``details`` are skipped (anti-join), so a second run adds
     nothing; pages without a gallery add no row and are tried again next run.
-    ``debug_num`` > 0 handles only the first that many listings.
+    ``debug_num`` > 0 handles only the first that many listings.  ``run`` names the
+    work: started again under the same name after a failure at any point, it adds
+    neither rows nor counters twice.
     """
+    run = run or files.new_run()
     screened = files.read_stage(spark, root, "screened", dt=dt)
-    done = files.read_stage_if_any(spark, root, "details", dt=dt).select("house_id")
+    done = files.read_stage_if_any(spark, root, "details", dt=dt, without_run=run).select("house_id")
     todo = enrich.pending(screened.select("house_id", "seq"), done)
     if debug_num > 0:
         todo = todo.orderBy("seq").limit(debug_num)
@@ -164,11 +161,11 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
                                  F.col("html").isNull().alias("failed")))
     try:
         new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
-        files.append_stage(_with_dt(new, dt), root, "details")
+        files.append_stage(_with_dt(new, dt), root, "details", run)
         found = F.col("gallery").isNotNull()
-        run = _record(metrics.stage_metrics(per_page, "details", {
+        _record(metrics.stage_metrics(per_page, "details", {
             "pages": None, "found": found, "missing": ~found & ~F.col("failed"),
-            "failed": F.col("failed")}), root, dt)
+            "failed": F.col("failed")}), root, dt, run)
     finally:
         _drop_cut(spark, cut)
     return _run_metrics(spark, root, dt, run)
@@ -202,32 +199,39 @@ def prompts_stage(spark: SparkSession, root: str, dt: str, requests: DataFrame,
     files.write_stage(prompt.build_prompts(requests, wishes, final, images), root, "prompts", dt)
     run = _record(metrics.before_after(requests, files.read_stage(spark, root, "prompts", dt=dt), "prompts"), root, dt)
     _record(metrics.stage_metrics(prompt.one_wish_per_id(wishes), "prompts", {
-        "wishes": None, "wishes_with_several_texts": F.col("texts") > 1}), root, dt, run)
+        "wishes": None, "wishes_with_several_texts": F.col("texts") > 1}), root, dt, run, "wishes")
 
 
 def replies_stage(spark: SparkSession, root: str, dt: str, factory: score.ClientFactory,
-                  concurrency: int | None = None, in_flight: int = 4) -> DataFrame:
+                  concurrency: int | None = None, in_flight: int = 4, batch: int = 256,
+                  per_minute: float | None = None) -> DataFrame:
     """Ask the model for every prompt without a good reply yet; append to ``replies``.
 
-    Replies are written before anything reads them, so no paid call is
-    repeated by a recomputation; failed calls ('' replies) are asked again on
-    the next run.  If the stored replies can't be read, nothing is asked.
-    Asked, answered and failed calls of the run are counted.
+    Prompts are asked in waves of ``concurrency`` tasks with ``batch`` prompts each, and a wave's
+    replies are committed before the next one starts.  A task that fails repeats the calls of
+    its open batch, a job that fails those of its open wave, and no more: what
+    was committed is never asked again, except failed calls ('' replies), which the
+    next run repeats.  ``per_minute`` bounds the calls of all tasks together.  If the
+    stored replies can't be read, nothing is asked.  Asked, answered and
+    failed calls of the run are counted.
     """
     prompts = files.read_stage(spark, root, "prompts", dt=dt)
     answered = (files.read_stage_if_any(spark, root, "replies", dt=dt)
                 .filter(F.col("reply") != "").select("house_id", "wish_id"))
-    out = score.reply_batch(prompts, factory, answered, concurrency, in_flight)
-    run = new_run_id()
-    path = f"{checkpoint_root(spark)}/tables/{uuid.uuid4().hex}"
-    out.write.parquet(path)  # the calls run once; what follows reads their replies
-    asked = spark.read.schema(out.schema).parquet(path)
+    concurrency = concurrency or spark.sparkContext.defaultParallelism
+    run, log = files.new_run(), files.stage_log(spark, root, "replies")
+    log.adopt()
+    todo, cut = _cut(score.waves(score.unanswered(prompts, answered), concurrency, batch))
     try:
-        files.append_stage(_with_dt(asked, dt), root, "replies")
-        _record(metrics.stage_metrics(asked, "replies", {
+        names = []
+        for k in range(todo.agg(F.max("wave")).first()[0] + 1 if not todo.isEmpty() else 0):
+            names.append(f"{run}-{k:06d}")
+            wave = score.reply_batch(todo.filter(F.col("wave") == k), factory, None, concurrency, in_flight, per_minute)
+            log.append(_with_dt(wave, dt), names[-1])
+        _record(metrics.stage_metrics(log.read(dt, only=set(names)), "replies", {
             "asked": None, "answered": F.col("outcome") == "answered", "failed": F.col("outcome") != "answered"}), root, dt, run)
     finally:
-        _drop_cut(spark, path)
+        _drop_cut(spark, cut)
     return latest_replies(spark, root, dt)
 
 

@@ -1,7 +1,7 @@
 """Stage tables on shared storage: parquet as the main form, CSV for exchange.
 
-Layout: ``<root>/<stage>/dt=<yyyyMMdd>/part-*.parquet``; ``schema.STAGES`` names the
-stages and what they hold.
+Layout: one committed table (``sources.commits``) per stage under ``<root>/<stage>``, by day;
+``schema.STAGES`` names the stages and what they hold.
 
 SURVEY IDs: S5-S9.
 """
@@ -9,6 +9,7 @@ SURVEY IDs: S5-S9.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.errors import AnalysisException
 
 from hearth.schema import IMAGES, INDEX_COLUMNS, LEGACY_NAMES, PAGES, stage_schema
 from hearth.schema import STAGES as STAGE_SCHEMAS
+from hearth.sources.commits import CommitLog
 
 STAGES = tuple(STAGE_SCHEMAS)
 
@@ -33,52 +35,69 @@ def stage_path(root: str, stage: str) -> str:
     return f"{root.rstrip('/')}/{stage}"
 
 
-def write_stage(df: DataFrame, root: str, stage: str, dt: str | None = None) -> str:
+def stage_log(spark: SparkSession, root: str, stage: str, schema: T.StructType | None = None) -> CommitLog:
+    return CommitLog(spark, stage_path(root, stage), schema or stage_schema(stage))
+
+
+def new_run() -> str:
+    """A name for a run whose caller gave none (so it is never taken for a repeat)."""
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+
+
+def write_stage(df: DataFrame, root: str, stage: str, dt: str | None = None, run: str | None = None) -> str:
     """Write a stage table.
 
-    With ``dt`` that day's partition is replaced by ``df``, also by none of its rows;
+    With ``dt`` that day's rows are replaced by ``df``, also by none of its rows;
     other days stay.  Without it ``df`` carries a ``dt`` column and the days
-    found in it are replaced (dynamic partition overwrite).
+    found in it are replaced.  Readers see the old day or the new one, never a part
+    of either.
     """
-    path = stage_path(root, stage)
-    if dt is not None:
-        df.drop("dt").write.mode("overwrite").parquet(f"{path}/dt={dt}")
-    else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
-    return path
+    log = stage_log(df.sparkSession, root, stage)
+    log.adopt()
+    log.replace(df, run or new_run(), dt)
+    return log.path
 
 
 def read_stage(spark: SparkSession, root: str, stage: str, schema: T.StructType | None = None,
-               dt: str | None = None) -> DataFrame:
+               dt: str | None = None, without_run: str | None = None) -> DataFrame:
     """Read a stage table by its declared schema; ``dt`` prunes to one snapshot.
 
-    ``dt`` is read as text whatever the session's partition type inference says
-    (inferred, 20250508 would come back as a number).
+    Committed runs alone are read (but for ``without_run``).  A folder of plain ``dt=`` partitions without any run (an older
+    stage, or one written elsewhere) is read as it lies.  ``dt`` is text whatever
+    the session's partition type inference says.
     """
-    path = stage_path(root, stage)
-    df = spark.read.schema(schema or stage_schema(stage)).parquet(path)
-    return df.filter(F.col("dt") == dt) if dt is not None else df
+    log = stage_log(spark, root, stage, schema)
+    if not log.exists():
+        old = log.plain(dt)
+        if old is not None:
+            return old
+        spark.read.schema("run string").json(f"{log.path}/_runs")  # raises: there is no such table
+    return log.read(dt, without={without_run} if without_run else frozenset())
 
 
-def read_stage_if_any(spark: SparkSession, root: str, stage: str, dt: str | None = None) -> DataFrame:
+def read_stage_if_any(spark: SparkSession, root: str, stage: str, dt: str | None = None, without_run: str | None = None) -> DataFrame:
     """As ``read_stage``; a table that was never written is empty.
 
     Only a missing path counts as that.  Any other failure to read (no permission, a
     throttled store) is raised: taking it for "nothing done yet" would repeat the work.
     """
     try:
-        return read_stage(spark, root, stage, dt=dt)
+        return read_stage(spark, root, stage, dt=dt, without_run=without_run)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], stage_schema(stage))
 
 
-def append_stage(df: DataFrame, root: str, stage: str) -> str:
-    """Add rows to a stage table by their ``dt`` (a missing table is created)."""
-    path = stage_path(root, stage)
-    df.write.mode("append").partitionBy("dt").parquet(path)
-    return path
+def append_stage(df: DataFrame, root: str, stage: str, run: str | None = None) -> bool:
+    """Add rows to a stage table by their ``dt`` (a missing table is created).
+
+    ``run`` names the work that made them: a run that was committed before adds nothing, so a
+    job can be started again after any failure.  False says that it was there.
+    """
+    log = stage_log(df.sparkSession, root, stage)
+    log.adopt()
+    return log.append(df, run or new_run())
 
 
 # --- CSV exchange ------------------------------------------------------------

@@ -1,0 +1,159 @@
+"""Committed runs: whole or not at all, once per name, days replaced in one step."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from hearth import schema
+from hearth.operators import score
+from hearth.plans import jobs
+from hearth.sources import files
+from hearth.sources.commits import CommitLog
+from tests.test_jobs import DT, detail_pages, list_pages
+
+KV = schema.T.StructType([schema.T.StructField("k", schema.L), schema.T.StructField("dt", schema.S)])
+
+
+def kv(spark, *rows):
+    return spark.createDataFrame([(k, d) for k, d in rows], KV)
+
+
+def rows(df):
+    return sorted((r.k, r.dt) for r in df.select("k", "dt").collect())
+
+
+@pytest.fixture()
+def log(spark, scratch):
+    return CommitLog(spark, f"{scratch}/t", KV)
+
+
+def test_a_run_counts_once(spark, log):
+    assert log.append(kv(spark, (1, "a"), (2, "b")), "r1") and log.append(kv(spark, (1, "a")), "r2")
+    assert not log.append(kv(spark, (9, "a")), "r1")
+    assert rows(log.read()) == [(1, "a"), (1, "a"), (2, "b")]
+    assert rows(log.read("b")) == [(2, "b")] and rows(log.read(only={"r2"})) == [(1, "a")] and rows(log.read("a", without={"r2"})) == [(1, "a")]
+
+
+def test_killed_after_the_write(spark, log):
+    left = log.stage(kv(spark, (1, "a"), (2, "a")), "r1")          # files are there, the job dies
+    assert rows(log.read()) == [] and not log.exists()
+    assert log.append(kv(spark, (1, "a"), (2, "a")), "r1")
+    assert rows(log.read()) == [(1, "a"), (2, "a")]
+    assert not log.commit("r1", left)                              # the first one wakes up again
+    assert rows(log.read()) == [(1, "a"), (2, "a")]
+    assert len(log.vacuum()) == 1 and rows(log.read()) == [(1, "a"), (2, "a")]
+
+
+def test_killed_within_the_write(spark, log):
+    bad = kv(spark, (1, "a"), (2, "a")).withColumn("k", F.when(F.col("k") == 2, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("k")))
+    with pytest.raises(Exception, match="lost"):
+        log.append(bad, "r1")
+    assert rows(log.read()) == [] and log.append(kv(spark, (1, "a")), "r1") and rows(log.read()) == [(1, "a")]
+
+
+def test_a_reader_sees_the_old_day_or_the_new_one(spark, log):
+    log.append(kv(spark, (1, "a"), (2, "b")), "r1")
+    before = log.read()
+    attempt = log.stage(kv(spark, (5, "a")), "r2")
+    assert rows(log.read()) == [(1, "a"), (2, "b")]                # staged, not published
+    log.commit("r2", attempt, [("r1", "a")])
+    assert rows(log.read()) == [(2, "b"), (5, "a")] and rows(before) == [(1, "a"), (2, "b")]
+    assert log.replace(kv(spark), "r3", "a") and rows(log.read()) == [(2, "b")]
+    assert log.replace(kv(spark, (7, "b"), (8, "c")), "r4") and rows(log.read()) == [(7, "b"), (8, "c")]
+    assert rows(log.read("a")) == []
+    assert log.vacuum() and rows(log.read()) == [(7, "b"), (8, "c")]
+
+
+def test_names_and_missing_columns(spark, log):
+    with pytest.raises(ValueError):
+        log.append(kv(spark, (1, "a")), "../x")
+    log.append(spark.createDataFrame([("a",)], "dt string"), "r1")
+    assert log.read().collect() == [(None, "a")]
+
+
+def test_older_plain_days_are_read_and_taken_over(spark, scratch):
+    root = f"{scratch}/stages"
+    old = spark.createDataFrame([(1, "x", [])], schema.T.StructType(schema.DETAILS.fields))
+    old.write.parquet(f"{root}/details/dt=20250101")
+    assert files.read_stage(spark, root, "details").count() == 1
+    new = spark.createDataFrame([(2, "y", [], "20250102")], schema.stage_schema("details"))
+    assert files.append_stage(new, root, "details", "r1") and not files.append_stage(new, root, "details", "r1")
+    assert sorted((r.house_id, r.dt) for r in files.read_stage(spark, root, "details").collect()) == [(1, "20250101"), (2, "20250102")]
+
+
+def test_day_pruning_reads_that_day_alone(spark, log):
+    log.append(kv(spark, (1, "a"), (2, "b")), "r1")
+    assert all("dt=b" in f for f in log.read("b").inputFiles())
+
+
+def test_details_started_again_after_a_late_failure(spark, scratch, monkeypatch):
+    root = os.path.join(scratch, "stages")
+    jobs.collect(spark, list_pages(spark), root, DT)
+    jobs.screen_stage(spark, root, DT)
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_record", lost)
+        with pytest.raises(RuntimeError):
+            jobs.details_stage(spark, root, DT, detail_pages(spark), run="details-1")
+    assert files.read_stage(spark, root, "details", dt=DT).count() == 1
+    for _ in range(2):
+        got = {(r.name, r.value) for r in jobs.details_stage(spark, root, DT, detail_pages(spark), run="details-1").collect()}
+        assert got == {("pages", 2), ("found", 1), ("missing", 1), ("failed", 0)}
+    assert files.read_stage(spark, root, "details", dt=DT).count() == 1
+    assert jobs.read_metrics(spark, root, DT).filter("run = 'details-1'").count() == 4
+
+
+class Counting:
+    """A client that notes each call in a folder and, once, fails its task at a given call."""
+
+    def __init__(self, folder, die_at=None):
+        self.folder, self.die_at = folder, die_at
+
+    def complete(self, m):
+        import uuid
+        with open(f"{self.folder}/{uuid.uuid4().hex}", "w") as fh:
+            fh.write(m)
+        if self.die_at and len(os.listdir(self.folder)) == self.die_at and not os.path.exists(f"{self.folder}-died"):
+            open(f"{self.folder}-died", "w").close()
+            os._exit(1)  # the worker dies in the middle of a batch
+        return "满意分: 70分。"
+
+
+def prompts(spark, root, n):
+    message = [("user", [("text", "t", None)])]
+    df = spark.range(n).select(F.col("id").alias("house_id"), F.lit(1).cast("bigint").alias("wish_id")).join(
+        spark.createDataFrame([(message,)], schema.T.StructType([schema.T.StructField("messages", schema.T.ArrayType(schema.MESSAGE))])))
+    files.write_stage(df, root, "prompts", DT)
+
+
+def test_a_failed_job_repeats_its_open_wave_at_most(spark, scratch):
+    root, calls = os.path.join(scratch, "stages"), os.path.join(scratch, "calls")
+    os.makedirs(calls)
+    prompts(spark, root, 60)
+    # local mode runs a task once: the worker's death ends the job, as a lost driver would
+    with pytest.raises(Exception):
+        jobs.replies_stage(spark, root, DT, lambda: Counting(calls, die_at=33), concurrency=2, in_flight=1, batch=5)
+    stored = files.read_stage(spark, root, "replies", dt=DT).count()
+    assert stored == 30 and 33 <= len(os.listdir(calls)) <= 40
+    out = jobs.replies_stage(spark, root, DT, lambda: Counting(calls), concurrency=2, in_flight=1, batch=5)
+    assert out.filter("score = 70").count() == 60
+    assert len(os.listdir(calls)) <= 60 + 2 * 5                    # the open wave: two tasks, five calls each
+    assert jobs.replies_stage(spark, root, DT, lambda: Counting(calls)).count() == 60 and len(os.listdir(calls)) <= 70
+
+
+def test_shared_rate(spark, scratch):
+    import time
+    calls = os.path.join(scratch, "calls")
+    os.makedirs(calls)
+    root = os.path.join(scratch, "stages")
+    prompts(spark, root, 12)
+    df = files.read_stage(spark, root, "prompts", dt=DT)
+    score.reply_batch(df, lambda: Counting(calls), concurrency=2).count()
+    t = time.perf_counter()
+    score.reply_batch(df, lambda: Counting(calls), concurrency=2, per_minute=240).count()
+    assert time.perf_counter() - t >= 5 * 2 * 60 / 240             # six calls a task, half a second apart
+    with pytest.raises(ValueError):
+        score.reply_batch(df, lambda: Counting(calls), per_minute=10)
