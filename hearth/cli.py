@@ -159,8 +159,7 @@ def import_csv(spark: SparkSession, stage: str, path: str):
     """An earlier run's CSV file as a stage table.
 
     Legacy column names are mapped, the index column dropped, text galleries
-    decoded; ``seq`` keeps the row order, file by file in the order of their names (each
-    file is read by one task, as fields may hold line breaks).
+    decoded; ``seq`` keeps the row order, file by file in the order of their names.
     """
     from hearth.functions.codec import decode_pairs
     base = schema.LISTINGS if stage == "listings" else schema.SCREENED
@@ -170,10 +169,7 @@ def import_csv(spark: SparkSession, stage: str, path: str):
     fields = [f for f in base.fields if f.name not in ("seq", "dt")]
     if stage == "final":
         fields = fields + [schema.T.StructField("url_dict", schema.T.StringType())]
-    df = files.read_csv_table(spark, path, schema.T.StructType(fields))
-    raw = spark.read.option("header", True).option("multiLine", True).csv(path)
-    rank = F.array_position(F.array(*[F.lit(f) for f in sorted(raw.inputFiles())]), F.input_file_name())
-    df = df.withColumn("seq", F.coalesce(rank, F.lit(0)) * F.lit(1 << 40) + F.monotonically_increasing_id() % F.lit(1 << 33))
+    df = files.read_csv_table(spark, path, schema.T.StructType(fields), seq="seq")
     if stage == "final":
         df = df.withColumn("gallery", decode_pairs(F.col("url_dict"))).drop("url_dict")
     return df

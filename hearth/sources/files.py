@@ -9,9 +9,10 @@ SURVEY IDs: S5-S9.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,7 @@ from pyspark.errors import AnalysisException
 
 from hearth.schema import IMAGES, INDEX_COLUMNS, LEGACY_NAMES, PAGES, stage_schema
 from hearth.schema import STAGES as STAGE_SCHEMAS
+from hearth.sources import csvrecords
 from hearth.sources.commits import CommitLog
 
 STAGES = tuple(STAGE_SCHEMAS)
@@ -102,33 +104,40 @@ def append_stage(df: DataFrame, root: str, stage: str, run: str | None = None) -
 
 # --- CSV exchange ------------------------------------------------------------
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, newlines: bool = True) -> DataFrame:
+def snapshot_day(c) -> Column:
+    """``yyyyMMdd`` of a date or time column: the partition value of its day."""
+    return F.date_format(c, "yyyyMMdd")
+
+
+def read_csv_table(spark: SparkSession, path: str, schema: T.StructType, newlines: bool = True,
+                   seq: str | None = None) -> DataFrame:
     """CSV with a header -> ``schema``, matching columns by name.
 
-    ``newlines``: fields may hold line breaks, so a file is read by one task.  Without
-    them large files are split over tasks.
+    ``newlines``: fields may hold line breaks (``csvrecords``: large files are still read by several
+    tasks, at the price of a shuffle).  Without them no shuffle is needed.
+    ``seq`` adds a number that keeps the rows' order, file by file in the order of their names
+    (with ``newlines`` only).
 
     Only the header is inspected (every column read as text, no inference
     pass); misspelt legacy names are mapped, a leftover index column is dropped,
     and values are cast with ``try_cast`` so bad text becomes null.  A UTF-8 BOM
     is removed by the reader.
     """
-    raw = (spark.read.option("header", True).option("escape", '"')
-           .option("multiLine", newlines).option("inferSchema", False).csv(path))
-    renamed = raw
-    for c in raw.columns:
-        name = c.lstrip("\ufeff")
-        if name in INDEX_COLUMNS:
-            renamed = renamed.drop(c)
-        elif LEGACY_NAMES.get(name, name) != c:
-            renamed = renamed.withColumnRenamed(c, LEGACY_NAMES.get(name, name))
-    cols = []
-    for f in schema.fields:
-        if f.name in renamed.columns:
-            cols.append(F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return renamed.select(*cols)
+    plain = (spark.read.option("header", True).option("escape", '"')
+             .option("multiLine", newlines).option("inferSchema", False).csv(path))
+    names = [c.lstrip("\ufeff") for c in plain.columns]
+    renamed = [LEGACY_NAMES.get(n, n) for n in names]
+    raw = plain
+    if newlines:
+        raw = csvrecords.fields(csvrecords.records(spark, path), [f"_{i}" for i in range(len(names))])
+    at = {n: (f"_{i}" if newlines else plain.columns[i]) for i, n in enumerate(renamed) if names[i] not in INDEX_COLUMNS}
+    cols = [(F.col(f"`{at[f.name]}`").try_cast(f.dataType) if f.name in at else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+    if seq:
+        bare = r"^file:/+"  # the two ways to name a local file differ in slashes
+        order = [re.sub(bare, "/", f) for f in sorted(plain.inputFiles())]
+        rank = F.array_position(F.array(*[F.lit(f) for f in order]), F.regexp_replace("_file", bare, "/"))
+        cols.append((F.coalesce(rank, F.lit(0)) * F.lit(1 << 44) + F.col("_place")).cast("bigint").alias(seq))
+    return raw.select(*cols)
 
 
 def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = True) -> str:
@@ -143,8 +152,8 @@ def write_csv_table(df: DataFrame, path: str, mode: str = "overwrite", bom: bool
          if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) else F.col(f"`{f.name}`"))
         .alias(("\ufeff" if bom and i == 0 else "") + f.name)
         for i, f in enumerate(df.schema.fields)])
-    (flat.write.mode(mode).option("header", True).option("escape", '"')
-     .option("encoding", "UTF-8").csv(path))
+    (flat.write.mode(mode).option("header", True).option("escape", '"').option("encoding", "UTF-8")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
