@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.session import spread
+from hearth.functions import markup
 from hearth.functions.html import element_text
 from hearth.functions.text import (
     FULLWIDTH_DIGITS, col_, first_match, part, py_strip, required_match, split_parts, strict_double,
@@ -23,6 +24,7 @@ from hearth.functions.text import (
 
 # Markup patterns of a listing page (regular expressions).
 CARD_MARKER = r"""<[a-zA-Z][a-zA-Z0-9]*\s(?:[^>]*\s)?class\s*=\s*(?:"info clear"|'info clear')[^>]*>"""
+CARD_CLASS = "info clear"
 CARD_TAG = r"^<([a-zA-Z][a-zA-Z0-9]*)"
 ID_RE = r'data-housecode="(.*?)"'
 TITLE_RE = r'target="_blank">(.*?)</a><!--'
@@ -153,10 +155,12 @@ LISTING_OUT = ["house_id", "title", "district", "community", "position", "tax",
 
 def extract_listings(pages: DataFrame, district: Column | None = None,
                      site: Site = Site(), marker: str = CARD_MARKER,
-                     card_end: str | None = None, tasks: int | None = None) -> DataFrame:
+                     card_end: str | None = None, tasks: int | None = None, parsed: bool = False) -> DataFrame:
     """pages(page_id, url, html[, district]) -> parsed cards with ``reject_reason``.
 
     ``tasks`` deals the pages over so many tasks when the input has too few splits.
+    ``parsed`` finds the cards as an HTML parser does (``functions.markup``, an Arrow pass), for landed
+    pages; without it tags are matched natively, which well-formed markup allows.
 
     Split the result with ``kept`` / ``rejected``.  When both halves are
     needed, write it once first (as the collect job does), so the pages are
@@ -167,9 +171,11 @@ def extract_listings(pages: DataFrame, district: Column | None = None,
     keep = [c for c in ("page_id", "url", "dt") if c in pages.columns] + ["district_in"]
     src = spread(pages.select(*[c for c in keep if c != "district_in"], "html",
                               district.alias("district_in")), tasks)
-    cards = explode_cards(src, marker=marker, card_end=card_end, keep=keep)
-    parsed = parse_cards(cards, F.col("district_in"), site)
-    return (parsed.withColumn("seq", F.col("page_id") * SEQ_STRIDE + F.col("pos"))
+    if parsed:
+        cards = markup.explode_cards(src, CARD_CLASS, keep=tuple(keep))
+    else:
+        cards = explode_cards(src, marker=marker, card_end=card_end, keep=keep)
+    return (parse_cards(cards, F.col("district_in"), site).withColumn("seq", F.col("page_id") * SEQ_STRIDE + F.col("pos"))
             .drop("district_in"))
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.codec import decode_pairs, dict_assign, encode_keys, encode_pairs
+from hearth.functions import markup
 from hearth.functions.html import element_text, elements
 from hearth.functions.images import data_uri, resize_thumb, tidy_url
 from hearth.functions.text import col_, java_pattern, let
@@ -80,16 +81,27 @@ def gallery_from_html(html, origin: str = "120x80", dest: str = "450x300") -> Co
 
     def from_block(block):
         found = F.transform(elements(block, "li"), lambda x: F.struct(
-            x["open"].alias("open"), attr_value(F.regexp_extract(x["inside"], img_re, 0), SRC_RE).alias("src")))
-        with_src = F.filter(found, lambda x: x["src"].isNotNull())
-        pairs = F.transform(with_src, lambda x: F.struct(
-            resize_thumb(tidy_url(x["src"]), origin, dest).alias("url"),
-            F.coalesce(attr_value(x["open"], DESC_RE), F.lit("")).alias("descr")))
-        return F.when(block.isNotNull(), dict_assign(pairs))
+            F.coalesce(attr_value(x["open"], DESC_RE), F.lit("")).alias("descr"),
+            attr_value(F.regexp_extract(x["inside"], img_re, 0), SRC_RE).alias("src")))
+        return F.when(block.isNotNull(), gallery_from_items(found, origin, dest))
 
     return let(gallery_block(html), from_block)
 
 
+def gallery_from_items(items, origin: str = "120x80", dest: str = "450x300") -> Column:
+    """``(descr, src)`` items -> gallery array; null for null items.  Items without ``src`` are skipped, a
+    repeated url keeps its first position and last descr."""
+    with_src = F.filter(col_(items), lambda x: x["src"].isNotNull())
+    return dict_assign(F.transform(with_src, lambda x: F.struct(
+        resize_thumb(tidy_url(x["src"]), origin, dest).alias("url"), x["descr"].alias("descr"))))
+
+
+def parse_galleries(detail_pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("house_id", "link")) -> DataFrame:
+    """``keep`` columns and ``gallery`` (null without a gallery list), the markup read as a parser reads it
+    (``functions.markup``): for landed pages, which need not be well-formed."""
+    return markup.read_galleries(detail_pages, html, keep).select(*keep, gallery_from_items("items").alias("gallery"))
+
+
 def extract_details(detail_pages: DataFrame, key: str = "house_id", link: str = "link",
                     html: str = "html", tasks: int | None = None) -> DataFrame:
     """detail pages (house_id, link, html) -> details (house_id, link, gallery).

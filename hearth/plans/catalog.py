@@ -8,15 +8,16 @@ oracle).  Every computed column is aliased so it matches ``oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.functions import codec, images as img, text as tx
+from hearth.functions import codec, images as img, markup, text as tx
 from hearth.operators import enrich, extract, gallery, metrics, preview, prompt, score, screen
-from hearth.session import spread
-from hearth.sources import regions
+from hearth.session import checkpoint_root, spread
+from hearth.sources import buckets, commits, files, regions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -418,6 +419,98 @@ def gallery_extract(spark, sf):
         F.col("g.descr").alias("descr"))
 
 
+def _messy_pages(spark, sf) -> DataFrame:
+    """Pages of 30 parts whose cards are nested, left open, commented out, printed by scripts or carry '>' in attributes."""
+    name, kind = F.col("p_name"), F.col("p_size") % 6
+    div = lambda inner, attrs=' class="info clear"': F.concat(F.lit(f"<div{attrs}>"), inner, F.lit("</div>"))
+    card = (F.when(kind == 0, F.concat(F.lit("<li>"), div(F.concat(name, F.lit("<div>x</div>")), ' title="a > b" class="info clear"'), F.lit("</li>")))
+            .when(kind == 1, F.concat(F.lit("<li>"), div(name, " class='info clear'")))
+            .when(kind == 2, F.concat(F.lit("<!-- <li>"), div(name), F.lit("</li> -->")))
+            .when(kind == 3, F.concat(F.lit("<script>var t = '"), div(name), F.lit("';</script><LI><DIV CLASS=\"clear info clear\"></DIV><DIV CLASS='info  clear'>"), name,
+                                      F.lit("<br>y</DIV>")))
+            .when(kind == 4, F.concat(F.lit("<li>"), div(F.concat(name, F.lit("<p>one<p>two<b>three")))))
+            .otherwise(F.concat(F.lit("<li>"), div(F.concat(name, F.lit("</li></span><i>z")), ' data-x=a/b class="info&#32;clear"'))))
+    cards = load(spark, sf, "part").select((F.col("p_partkey") / 30).cast("bigint").alias("page_id"), "p_partkey", card.alias("card"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda x: x["card"]), "\n")
+    return cards.groupBy("page_id").agg(F.concat(F.lit("<!DOCTYPE html><html><body><ul>"), body, F.lit("</ul></body></html>")).alias("html"))
+
+
+def card_parse(spark, sf):
+    return markup.explode_cards(_messy_pages(spark, sf), extract.CARD_CLASS).select("page_id", "pos", "card")
+
+
+def gallery_parse(spark, sf):
+    """Galleries of pages with omitted end tags, comments, scripts and '>' in attributes."""
+    k = F.col("p_partkey").cast("string")
+    html = F.concat(
+        F.lit('<div><!-- <ul class="smallpic"><li><img src="no"></ul> --><ul class="big smallpic">'
+              '<li data-desc="a > b"><img alt="x > y" src="'), k, F.lit('-1.120x80.jpg"><li data-desc=户型图><p>text<img src='), k,
+        F.lit('-2.120x80.jpg><img src="second"><li data-desc="none"><b>no image</b>'
+              "<li data-desc='later'><script>document.write('<img src=\"no\">')</script><!-- <img src=no> --><IMG SRC=' `"), k,
+        F.lit("-1.120x80.jpg` '></ul><ul class=smallpic><li><img src=no></ul></div>"))
+    pages = load(spark, sf, "part").select(F.col("p_partkey").alias("house_id"), F.when(F.col("p_size") % 10 == 0, F.lit("<ul><li>x</ul>")).otherwise(html).alias("html"))
+    found = gallery.parse_galleries(pages, keep=("house_id",))
+    return found.select("house_id", F.explode("gallery").alias("g")).select(
+        "house_id", F.col("g.pos").cast("int").alias("pos"), F.col("g.url").alias("url"), F.col("g.descr").alias("descr"))
+
+
+def _scratch(spark, name: str) -> str:
+    """A new place for a stored table in the cluster's shared folder."""
+    return f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def snapshot_append(spark, sf):
+    """Orders as a committed table by year: two appended runs (one of them sent again), a year
+    replaced, and files of a run that never got to publish them."""
+    orders = load(spark, sf, "orders").select("o_orderkey", "o_orderstatus", files.snapshot_day("o_orderdate").alias("day"),
+                                              F.date_format("o_orderdate", "yyyy").alias("dt"))
+    log = commits.CommitLog(spark, _scratch(spark, "orders"), orders.schema)
+    log.append(orders.filter(F.col("o_orderstatus") == "F"), "finished")
+    late = enrich.pending(orders, log.read(), "o_orderkey")
+    for _ in range(2):
+        log.append(late, "late")
+    log.replace(orders.filter((F.col("dt") == "1995") & (F.col("o_orderstatus") != "F")), "open-1995", "1995")
+    log.stage(orders, "lost")
+    return log.read().select("o_orderkey", "o_orderstatus", "day", "dt")
+
+
+def merge_bucketed(spark, sf):
+    """``merge_inner`` on tables stored in buckets of the key: nothing is shuffled for the join."""
+    a, b = _scratch(spark, "orders"), _scratch(spark, "lineitem")
+    buckets.append_bucketed(load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), a, "o_orderkey")
+    buckets.append_bucketed(load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity"), b, "o_orderkey")
+    return enrich.merge_inner(buckets.read_bucketed(spark, a), buckets.read_bucketed(spark, b), "o_orderkey", take=("l_linenumber", "l_quantity"))
+
+
+def resume_bucketed(spark, sf):
+    """``resume_anti`` against done rows stored in buckets: only the candidates travel."""
+    done = _scratch(spark, "labels")
+    buckets.append_bucketed(load(spark, sf, "labels"), done, "doc_id")
+    docs = load(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return enrich.pending(docs, buckets.read_bucketed(spark, done), "doc_id")
+
+
+def csv_exchange(spark, sf):
+    """Documents written as CSV and read back: texts with line breaks, quotes and commas."""
+    docs = load(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    path = files.write_csv_table(docs, _scratch(spark, "csv"))
+    back = files.read_csv_table(spark, path, docs.schema)
+    return back.select("doc_id", "lang", "source", "n_chars", F.md5(F.encode("text", "UTF-8")).alias("text_md5"))
+
+
+def image_scan(spark, sf):
+    """One landed image file per supplier (GIF magic, then its name), read back and encoded."""
+    s = load(spark, sf, "supplier").select((F.col("s_suppkey") % 100).alias("k"), "s_suppkey", "s_name")
+    names = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", "s_name"))), lambda x: x["s_name"]), ",")
+    body = s.groupBy("k").agg(F.concat(F.lit("GIF89a"), names).alias("body"))
+    path = _scratch(spark, "images")
+    body.coalesce(1).write.partitionBy("k").text(path)
+    uri = img.data_uri(F.col("content"))
+    return files.read_images(spark, path).select(
+        F.regexp_extract("url", "/k=([0-9]+)/", 1).cast("bigint").alias("k"), F.octet_length("content").cast("bigint").alias("n_bytes"),
+        F.regexp_extract(uri, r"^data:image/([a-z]*);", 1).alias("kind"), F.md5(uri).alias("uri_md5"))
+
+
 def image_join(spark, sf):
     """Documents' words as galleries, benchmark words as landed images: many texts share an image,
     many images land more than once, and some have no bytes."""
@@ -597,6 +690,13 @@ QUERIES: dict[str, QueryFn] = {
     "thumb_rewrite": thumb_rewrite,
     "data_uri": data_uri,
     "gallery_extract": gallery_extract,
+    "card_parse": card_parse,
+    "gallery_parse": gallery_parse,
+    "snapshot_append": snapshot_append,
+    "merge_bucketed": merge_bucketed,
+    "resume_bucketed": resume_bucketed,
+    "csv_exchange": csv_exchange,
+    "image_scan": image_scan,
     "image_join": image_join,
     "render_text": render_text,
     "lookup": lookup,

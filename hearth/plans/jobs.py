@@ -98,7 +98,7 @@ def collect(spark: SparkSession, pages: DataFrame, root: str, dt: str, city: str
     pages = placed.filter(in_scope).withColumnRenamed("_district", "district").drop("_named", "_in")
     if debug:
         pages = pages.filter(F.col("url").rlike(r"/pg1/?$") | ~F.col("url").rlike(r"/pg[0-9]+/?$"))
-    parsed = _with_dt(extract.extract_listings(pages, site=site), dt)
+    parsed = _with_dt(extract.extract_listings(pages, site=site, parsed=True), dt)
     # kept rows do not need their card HTML any more: keep it for rejects only
     parsed, cut = _cut(parsed.withColumn("card", F.when(F.col("reject_reason").isNotNull(),
                                                         F.col("card"))))
@@ -156,9 +156,8 @@ def details_stage(spark: SparkSession, root: str, dt: str, detail_pages: DataFra
     pages = detail_pages.join(todo.select("house_id"), "house_id", "left_semi")
     # one row per page without its HTML: the gallery (null when the page has
     # no gallery list) and whether the page text is missing
-    per_page, cut = _cut(pages.select("house_id", "link",
-                                 gallery.gallery_from_html(F.col("html")).alias("gallery"),
-                                 F.col("html").isNull().alias("failed")))
+    per_page, cut = _cut(gallery.parse_galleries(pages.withColumn("failed", F.col("html").isNull()),
+                                                 keep=("house_id", "link", "failed")))
     try:
         new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
         files.append_stage(_with_dt(new, dt), root, "details", run)

@@ -298,6 +298,29 @@ UNION ALL SELECT house_id, 1, base || '/a.450x300.jpg', CASE WHEN p_size % 3 = 0
 UNION ALL SELECT house_id, 2, base || '/n.450x300.jpg', '内' FROM p
 UNION ALL SELECT house_id, 3, base || '/b.450x300.jpg?v=1&s=2', '' FROM p""",
 
+    "card_parse": """
+SELECT CAST(p_partkey // 30 AS BIGINT) AS page_id,
+       CAST(row_number() OVER (PARTITION BY p_partkey // 30 ORDER BY p_partkey) - 1 AS INTEGER) AS pos,
+       p_name || CASE p_size % 6 WHEN 0 THEN '<div>x</div>' WHEN 1 THEN '' WHEN 3 THEN '<br>y' WHEN 4 THEN '<p>one<p>two<b>three'
+                 ELSE '</li></span><i>z' END AS card
+FROM part WHERE p_size % 6 <> 2""",
+
+    "gallery_parse": """
+WITH p AS (SELECT p_partkey AS house_id FROM part WHERE p_size % 10 <> 0)
+SELECT house_id, 0 AS pos, house_id || '-1.450x300.jpg' AS url, 'later' AS descr FROM p
+UNION ALL SELECT house_id, 1, house_id || '-2.450x300.jpg', '户型图' FROM p""",
+
+    "snapshot_append": """
+SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m%d') AS day, strftime(o_orderdate, '%Y') AS dt
+FROM orders WHERE NOT (year(o_orderdate) = 1995 AND o_orderstatus = 'F')""",
+
+    "csv_exchange": "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents",
+
+    "image_scan": f"""
+WITH b AS (SELECT s_suppkey % 100 AS k, encode('GIF89a' || string_agg(s_name, ',' ORDER BY s_suppkey) || chr(10)) AS content FROM supplier GROUP BY 1),
+u AS (SELECT k, content, {data_uri('content')} AS uri FROM b)
+SELECT k, CAST(octet_length(content) AS BIGINT) AS n_bytes, regexp_extract(uri, '^data:image/([a-z]*);', 1) AS kind, md5(uri) AS uri_md5 FROM u""",
+
     "image_join": _WORDS + f""",
 w AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY doc_id, plan ORDER BY first_i) <= 8),
 b AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark),
@@ -387,4 +410,5 @@ UNION ALL SELECT 'replies', 'failed', CAST(count(*) FILTER (WHERE reply = '') AS
     "preview_limits": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 20",
 }
 
+SQL["merge_bucketed"], SQL["resume_bucketed"] = SQL["merge_inner"], SQL["resume_anti"]
 SQL["frontier_first_page"] = f"SELECT * FROM ({SQL['page_frontier']}) t WHERE page = 1"

@@ -26,9 +26,8 @@ def _append_new(root: str, dt: str, name: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark, run_name = batch.sparkSession, f"{name}-{dt}-{batch_id}"
         # one slim row per page (gallery or null), used for the rows and the counters
-        per_page = batch.select("house_id", "link",
-                                gallery.gallery_from_html(F.col("html")).alias("gallery"),
-                                F.col("html").isNull().alias("failed")).persist()
+        per_page = gallery.parse_galleries(batch.withColumn("failed", F.col("html").isNull()),
+                                           keep=("house_id", "link", "failed")).persist()
         try:
             new = per_page.filter(F.col("gallery").isNotNull()).select("house_id", "link", "gallery")
             done = files.read_stage_if_any(spark, root, "details", dt=dt, without_run=run_name).select("house_id")

@@ -37,12 +37,13 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_scoring_runs_python(spark):
+def test_only_scoring_and_parsing_run_python(spark):
     for name in NAMES:
         plan = plan_of(E.queries()[name](spark, SF_SMALL))
         python = any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
-                                         "PythonMapInArrow", "FlatMapGroupsInPandas"))
-        assert python == (name in ("score_batch", "shortlist", "shortlisted_listings", "score_all", "reply_counts")), name
+                                         "MapInArrow", "FlatMapGroupsInPandas"))
+        assert python == (name in ("score_batch", "shortlist", "shortlisted_listings", "score_all", "reply_counts",
+                                   "card_parse", "gallery_parse")), name
 
 
 def test_lookup_filter_is_pushed_to_parquet(spark):
