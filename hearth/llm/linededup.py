@@ -18,14 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearth.functions.text import let
 from hearth.llm.common import SPACES, WORD, cut, row_key, spread, text_or_empty
 
-#: Lines of fewer words are never removed: bare headings, bullets, blank lines.
-MIN_WORDS = 5
-#: Lines of fewer words only count as duplicates when equal; one word of ten is the least similar match.
-EDIT_WORDS = 10
-#: The pipeline's bounds: every line with a word may go if it is equal to an earlier one, and from five words on if one word differs.
-ANY_WORDS, NEAR_WORDS = 1, 5
+#: Lines of fewer words are never removed: those without any.
+MIN_WORDS = 1
+#: Lines of fewer words only count as duplicates when equal: one word of four or less is another line.
+EDIT_WORDS = 5
+#: Running hashes are made in pieces of so many words, so that a line costs as much as it has words.
+PIECE = 64
 
 
 def words_of(line: Column) -> Column:
@@ -46,10 +47,12 @@ def _hashed(lines: DataFrame, least: int, edit_words: int) -> DataFrame:
     words = lines.select("id", "row", "pos", words_of(F.col("line")).alias("words")).withColumn("n", F.size("words"))
     words = words.filter(F.col("n") >= least)
     short, long = F.floor(F.col("n") / 2).cast("int"), F.ceil(F.col("n") / 2).cast("int")
-    parts = words.select("id", "row", "pos", "n", F.xxhash64(short, F.slice("words", F.lit(1), short)).alias("s0"),
-                         F.xxhash64(long, F.slice("words", F.lit(1), long)).alias("s1"),
-                         F.xxhash64(F.lit("end"), short, F.slice("words", long + 1, short)).alias("e0"),
-                         F.xxhash64(F.lit("end"), long, F.slice("words", short + 1, long)).alias("e1"))
+    odd = F.col("n") % 2 == 1  # else both halves are as long
+    half = words.select("id", "row", "pos", "n", "words", F.xxhash64(short, F.slice("words", F.lit(1), short)).alias("s0"),
+                        F.xxhash64(F.lit("end"), short, F.slice("words", long + 1, short)).alias("e0"))
+    parts = half.select("id", "row", "pos", "n", "s0", "e0",
+                        F.when(odd, F.xxhash64(long, F.slice("words", F.lit(1), long))).otherwise(F.col("s0")).alias("s1"),
+                        F.when(odd, F.xxhash64(F.lit("end"), long, F.slice("words", short + 1, long))).otherwise(F.col("e0")).alias("e1"))
     keys = F.when(F.col("n") < edit_words, None).when(F.col("n") % 2 == 0, F.array("s0", "e0")).otherwise(F.array("s0", "e0", "s1", "e1"))
     return parts.select("id", "row", "pos", F.xxhash64("s0", "e1", "n").alias("h1"), F.xxhash64("e1", "s0", "n").alias("h2"), keys.alias("halves"))
 
@@ -86,19 +89,40 @@ def _variants(cand: DataFrame) -> DataFrame:
     only its first half with others (``start``) can differ from them only after it,
     and one that shares only its second half (``end``) only before it.
     """
-    def running(words: Column, seed: str) -> Column:
-        return F.aggregate(words, F.array(F.xxhash64(F.lit(seed))),
-                           lambda acc, w: F.concat(acc, F.array(F.xxhash64(F.element_at(acc, -1), w))))
-    n = F.size("words")
-    low = F.when(F.col("end"), F.lit(0)).otherwise(F.floor(n / 2).cast("int"))
-    high = F.when(F.col("start"), n).otherwise(F.ceil(n / 2).cast("int"))
-    c = cand.select("node", n.alias("n"), low.alias("low"), high.alias("high"), running(F.col("words"), "start").alias("p"),
-                    F.reverse(running(F.reverse("words"), "end")).alias("s"))  # p[i]: the first i words; s[i]: all from i on
-    out = F.transform(F.sequence("low", F.least("high", F.col("n") - 1)), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i + 1)).alias("v"), F.lit(False).alias("whole")))
-    whole = F.transform(F.sequence("low", "high"), lambda i: F.struct(F.xxhash64(F.get("p", i), F.get("s", i)).alias("v"), F.lit(True).alias("whole")))
+    n = F.col("n")
+    low = F.when(F.col("end"), F.lit(0)).otherwise(F.floor(F.size("words") / 2).cast("int"))
+    high = F.when(F.col("start"), F.size("words")).otherwise(F.ceil(F.size("words") / 2).cast("int"))
+    c = cand.select("node", F.size("words").alias("n"), low.alias("low"), high.alias("high"),
+                    _running(F.transform("words", lambda w, i: F.xxhash64(w, i))).alias("p"),
+                    _running(F.transform(F.reverse("words"), lambda w, i: F.xxhash64(i, w))).alias("s"))
+    before, after = (lambda i: _upto("p", i)), (lambda i: _upto("s", n - i))  # the first i words; all from i on
+    out = F.transform(F.sequence("low", F.least("high", n - 1)), lambda i: F.struct(F.xxhash64(before(i), after(i + 1)).alias("v"), F.lit(False).alias("whole")))
+    whole = F.transform(F.sequence("low", "high"), lambda i: F.struct(F.xxhash64(before(i), after(i)).alias("v"), F.lit(True).alias("whole")))
     return c.select("node", F.explode(F.concat(out, whole)).alias("x")).select("x.v", "x.whole", "node")
 
 
+def _running(hashes: Column) -> Column:
+    """Running xor of hashes, in two steps: within pieces of ``PIECE``, and over the pieces.
+
+    (Appending to one growing array would copy it for every word.)
+    """
+    def add(acc: Column, h: Column) -> Column:
+        return F.concat(acc, F.array(F.element_at(acc, -1).bitwiseXOR(h)))
+    zero = F.array(F.lit(0).cast("long"))
+
+    def pieces(all_h: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(all_h) - 1) / PIECE).cast("int"))
+        return F.transform(starts, lambda k: F.aggregate(F.slice(all_h, k * PIECE + 1, F.lit(PIECE)), zero, add))
+    return let(hashes, lambda h: let(pieces(h), lambda own: F.struct(
+        own.alias("own"), F.aggregate(own, zero, lambda acc, x: add(acc, F.element_at(x, -1))).alias("above"))))
+
+
+def _upto(running: str, i: Column) -> Column:
+    """Of a ``_running``, what the first ``i`` hashes make."""
+    k = F.floor(i / PIECE).cast("int")
+    return F.get(F.col(running)["above"], k).bitwiseXOR(F.coalesce(F.get(F.get(F.col(running)["own"], k), i % PIECE), F.lit(0).cast("long")))
+
+
 def _near(lines: DataFrame, firsts: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The lines ``(h1, h2)`` that are one word away from an earlier line."""
     half = lines.filter("halves is not null").select("h1", F.posexplode("halves").alias("side", "half"))
@@ -176,5 +200,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_rest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without duplicate lines, however short; a document that had words and has none left is dropped."""
-    out = dedup_lines(docs, id_col, text_col, ANY_WORDS, NEAR_WORDS)
+    out = dedup_lines(docs, id_col, text_col)
     return out.filter((F.col("__gone") == 0) | F.col(text_col).rlike(WORD)).select(*docs.columns)

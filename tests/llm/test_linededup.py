@@ -30,8 +30,8 @@ def brute(rows):
         keep = []
         for line in t.split("\n"):
             w = tuple(x for x in re.split(r"[\x20\x09-\x0D]+", line) if x)
-            dup = len(w) >= 5 and any(
-                w == s or (len(w) >= 10 and len(s) >= 10 and abs(len(w) - len(s)) <= 1 and (set(w[:2]) & set(s[:2]) or set(w[-2:]) & set(s[-2:])) and apart(w, s) <= 1)
+            dup = len(w) >= 1 and any(
+                w == s or (len(w) >= 5 and len(s) >= 5 and abs(len(w) - len(s)) <= 1 and (set(w[:2]) & set(s[:2]) or set(w[-2:]) & set(s[-2:])) and apart(w, s) <= 1)
                 for s in seen)
             seen.append(w)
             if not dup:
@@ -106,6 +106,39 @@ def test_the_pipeline_compares_short_lines(spark):
     assert 3 not in got and got[2] == "\nother" and got[7] == "one two three four five" and got[8] == "p q r s t u v w x"
 
 
+def test_texts_found_again_by_a_shuffle(spark, monkeypatch):
+    """Beyond the broadcast bound the texts of candidate lines are found by a semi-join; the answer is the same."""
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", 0)
+    rows = rows_with_edits()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()} == brute(rows)
+
+
+def test_a_very_long_line_costs_as_much_as_it_has_words(spark):
+    import time
+
+    def seconds(n):
+        words = [f"t{i}" for i in range(n)]
+        rows = [(1, " ".join(words)), (2, " ".join(words[:n // 2] + words[n // 2 + 1:])), (3, " ".join(words[:n // 3] + ["x"] + words[n // 3 + 1:])), (4, "other line\n" + " ".join(words))]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        t = time.perf_counter()
+        got = {r.doc_id: r.text for r in linededup.dedup_lines(df).collect()}
+        assert got == {1: rows[0][1], 2: "", 3: "", 4: "other line"}
+        return time.perf_counter() - t
+    small = seconds(10_000)
+    assert seconds(100_000) <= 10 * small + 10
+
+
+def test_running_hashes_at_piece_borders(spark):
+    df = spark.createDataFrame([(list(range(100, 100 + n)),) for n in (1, 63, 64, 65, 128, 129, 200)], "h array<long>")
+    r = df.select("h", linededup._running(F.col("h")).alias("r")).select("h", F.transform(F.sequence(F.lit(0), F.size("h")), lambda i: linededup._upto("r", i)).alias("got"))
+    for row in r.collect():
+        want = [0]
+        for x in row.h:
+            want.append(want[-1] ^ x)
+        assert row.got == want
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert linededup.dedup_lines(df).count() == 0
