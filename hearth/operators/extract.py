@@ -234,6 +234,37 @@ def page_frontier(counts: DataFrame, n: str = "house_num", slug: str = "district
             .withColumn("url", F.format_string(tmpl, F.col(slug), F.col("page"))))
 
 
+def price_bands(listings: DataFrame, group: str, price: str, cap: int = LISTING_CAP, bits: int = 32) -> DataFrame:
+    """``(group, lo, hi, n, beyond_cap)``: each district's listings in price bands that the site shows whole.
+
+    A band of more than ``cap`` listings is halved, again and again, until each part lies under the cap;
+    prices are whole numbers from 0 to 2^``bits`` - 1 (fractions are cut off, others count at the
+    nearest end).  Halving only ever cuts at powers of two, so all bands that can arise are known: listings are counted
+    by price first, prices are counted at each of their ``bits`` + 1 levels, and a band is
+    taken where it is small enough and the one around it is not.  One price of more than
+    ``cap`` listings can't be cut any further: ``beyond_cap`` says by how many.
+    Listings without a price or a group are in no band.
+    """
+    p = F.least(F.greatest(F.floor(F.col(price)), F.lit(0)), F.lit((1 << bits) - 1)).cast("bigint")
+    counts = (listings.filter(F.col(price).isNotNull() & F.col(group).isNotNull() & ~F.isnan(F.col(price).cast("double")))
+              .groupBy(F.col(group).alias("g"), p.alias("p")).agg(F.count(F.lit(1)).alias("n")))
+    level = counts.select("g", "p", "n", F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("level"))
+    band = level.groupBy("g", "level", F.expr(f"shiftright(p, {bits} - level)").alias("at")).agg(F.sum("n").alias("n"))
+    large = band.filter(F.col("n") > cap).select("g", (F.col("level") + 1).alias("level"), F.col("at").alias("around"))
+    small = band.filter((F.col("n") <= cap) | (F.col("level") == bits)).withColumn("around", F.shiftright("at", 1))
+    cut = small.join(large, ["g", "level", "around"], "left_semi")
+    lo = F.expr(f"shiftleft(at, {bits} - level)")
+    return small.filter("level = 0").unionByName(cut).select(
+        F.col("g").alias(group), lo.alias("lo"), (lo + F.expr(f"shiftleft(1L, {bits} - level)") - 1).alias("hi"), "n",
+        F.greatest(F.col("n") - cap, F.lit(0)).alias("beyond_cap"))
+
+
+def banded_frontier(bands: DataFrame, slug: str = "district_en", site: Site = Site(), cap: int = LISTING_CAP) -> DataFrame:
+    """One row per page to fetch of each price band; its address names the band."""
+    at = F.format_string("%s/p%d-%d", F.col(slug), F.col("lo"), F.col("hi"))
+    return page_frontier(bands.withColumn("_slug", at), "n", "_slug", site=site, cap=cap).drop("_slug")
+
+
 def frontier_status(frontier: DataFrame, landed: DataFrame, url: str = "url") -> DataFrame:
     """The frontier with ``landed``: whether a page of that address has landed.
 

@@ -56,8 +56,6 @@ def unescape_attr(c) -> Column:
         out = F.replace(out, F.lit(ref), F.lit(ch))
     return out
 MAX_PER_KIND = 8
-#: Join keys that one image url is spread over.
-SHARES = 64
 
 
 def gallery_block(html) -> Column:
@@ -167,9 +165,10 @@ def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
     only once.  Each key contributes at most 2 x ``max_num`` rows, so the re-collect
     per key is bounded.
 
-    A url that very many listings share (a placeholder) is spread over ``SHARES`` join
-    keys: the image is handed out once per share in use, and the listings of a share meet it
-    there.  Bytes travel as they are and are encoded once, after the collect.
+    Every url is joined as it is, so an image travels once.  The partitions of urls that very many
+    listings share (a placeholder) are measured as they are shuffled, and adaptive
+    execution splits those alone and hands out their image to each part.
+    Bytes travel as they are and are encoded once, after the collect.
     """
     per_kind = details.select(
         key, *carry,
@@ -181,13 +180,13 @@ def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
                         lambda x: F.struct(F.lit(1).alias("kind"), x["pos"].alias("pos"),
                                            x["url"].alias("url"))),
         ).alias("wanted"))
-    one = F.explode_outer("wanted") if carry else F.explode("wanted")
-    wanted = (per_kind.select(key, *carry, one.alias("w"))
-              .select(key, *carry, "w.kind", "w.pos", "w.url", F.pmod(F.xxhash64(key), F.lit(SHARES)).cast("int").alias("share")))
-    named = wanted.filter(F.col("url") != "")
-    landed = images.filter(F.col("content").isNotNull()).groupBy("url").agg(F.min("content").alias("content"))
-    shares = named.select("url", "share").distinct().join(landed, "url")
-    got = (wanted.join(shares, ["url", "share"], "left") if carry else named.join(shares, ["url", "share"]))
+    # (explode would have a filter on the array's size inferred, which works the array out a second time)
+    wanted = per_kind.select(key, *carry, F.explode_outer("wanted").alias("w")).select(key, *carry, "w.kind", "w.pos", "w.url")
+    # made unique by more than the join's key, so that the join has a shuffle of its own on this side: only
+    # partitions that come straight from a shuffle are split
+    landed = (images.filter(F.col("content").isNotNull() & (F.col("url") != "")).groupBy("url", F.length("url"))
+              .agg(F.min("content").alias("content")).select("url", "content"))
+    got = wanted.join(landed, "url", "left") if carry else wanted.filter(F.col("url") != "").join(landed, "url")
     seen = F.when(F.col("content").isNotNull(), F.struct("kind", "pos", "content"))
     both = got.groupBy(key).agg(F.array_sort(F.collect_list(seen)).alias("imgs"), *[F.first(c).alias(c) for c in carry])
 

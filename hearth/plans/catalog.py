@@ -218,6 +218,18 @@ def frontier_status(spark, sf):
     return out.select("r_regionkey", F.col("page").cast("int").alias("page"), "url", "landed")
 
 
+def price_bands(spark, sf):
+    """Pages of every region's orders by price band, so that none lies beyond the cap."""
+    nation = load(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    cust = load(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    orders = load(spark, sf, "orders").select("o_custkey", "o_totalprice")
+    placed = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+              .select(F.col("n_regionkey").alias("r_regionkey"), "o_totalprice"))
+    bands = extract.price_bands(placed, "r_regionkey", "o_totalprice")
+    return extract.banded_frontier(bands.withColumn("district_en", F.col("r_regionkey").cast("string")), site=SITE).select(
+        "r_regionkey", "lo", "hi", "n", "beyond_cap", F.col("page").cast("int").alias("page"), "url")
+
+
 def frontier_first_page(spark, sf):
     return preview.first_page_only(page_frontier(spark, sf))
 
@@ -282,6 +294,12 @@ def freq_top10(spark, sf):
     return screen.value_counts(flagged, "p_brand", where=F.col("flag") == 1, top=10)
 
 
+def freq_top10_days(spark, sf):
+    """The most frequent suppliers over all months, from one sketch per month."""
+    li = load(spark, sf, "lineitem").select("l_suppkey", F.date_format("l_shipdate", "yyyyMM").alias("dt"))
+    return screen.combined_top(screen.daily_sketches(li, "l_suppkey"), "l_suppkey")
+
+
 def freq_price(spark, sf):
     part = load(spark, sf, "part")
     flagged = part.select("p_retailprice",
@@ -349,8 +367,9 @@ def gallery_decode(spark, sf):
         F.concat(w, F.lit("##"), i.cast("string")))), ";").alias("text"))
     # decoded in its own projection: beside the generator it would be evaluated for each of its rows
     d = t.select("doc_id", codec.decode("text").alias("d"))
-    g = d.select("doc_id", F.explode("d.gallery").alias("g"), F.col("d.malformed").cast("bigint").alias("malformed"))
-    return g.select("doc_id", F.col("g.pos").cast("int").alias("pos"),
+    # (explode would have a filter on the gallery's size inferred, which decodes a second time)
+    g = d.select("doc_id", F.explode_outer("d.gallery").alias("g"), F.col("d.malformed").cast("bigint").alias("malformed"))
+    return g.filter("g is not null").select("doc_id", F.col("g.pos").cast("int").alias("pos"),
                     F.col("g.url").alias("url"), F.col("g.descr").alias("descr"), "malformed")
 
 
@@ -672,6 +691,7 @@ QUERIES: dict[str, QueryFn] = {
     "title_clean": title_clean,
     "page_frontier": page_frontier,
     "frontier_first_page": frontier_first_page,
+    "price_bands": price_bands,
     "result_count": result_count,
     "region_scope": region_scope,
     "region_districts": region_districts,
@@ -679,6 +699,7 @@ QUERIES: dict[str, QueryFn] = {
     "screen_flags": screen_flags,
     "screen_keep": screen_keep,
     "freq_top10": freq_top10,
+    "freq_top10_days": freq_top10_days,
     "freq_price": freq_price,
     "stage_counts": stage_counts,
     "merge_inner": merge_inner,

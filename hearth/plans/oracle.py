@@ -314,6 +314,22 @@ UNION ALL SELECT house_id, 1, house_id || '-2.450x300.jpg', '户型图' FROM p""
 SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y%m%d') AS day, strftime(o_orderdate, '%Y') AS dt
 FROM orders WHERE NOT (year(o_orderdate) = 1995 AND o_orderstatus = 'F')""",
 
+    "price_bands": """
+WITH RECURSIVE p AS (
+  SELECT n_regionkey AS r, CAST(floor(o_totalprice) AS BIGINT) AS p
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+b(r, lo, hi, n) AS (
+  SELECT r, CAST(0 AS BIGINT), CAST(4294967295 AS BIGINT), count(*) FROM p GROUP BY r
+  UNION ALL
+  SELECT b.r, CASE WHEN p.p > (lo + hi) // 2 THEN (lo + hi) // 2 + 1 ELSE lo END AS l, CASE WHEN p.p > (lo + hi) // 2 THEN hi ELSE (lo + hi) // 2 END AS h, count(*)
+  FROM b JOIN p ON p.r = b.r AND p.p BETWEEN b.lo AND b.hi WHERE b.n > 3000 AND b.lo < b.hi GROUP BY b.r, l, h),
+f AS (SELECT * FROM b WHERE n <= 3000 OR lo = hi)
+SELECT r AS r_regionkey, lo, hi, n, CAST(greatest(n - 3000, 0) AS BIGINT) AS beyond_cap, CAST(page AS INTEGER) AS page,
+       'https://hd.example.com/ershoufang/' || r || '/p' || lo || '-' || hi || '/pg' || page || '/' AS url
+FROM f, unnest(range(1, CAST(ceil(least(n, 3000) / 30.0) AS BIGINT) + 1)) t(page)""",
+
+    "freq_top10_days": "SELECT l_suppkey, count(*) AS n FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 10",
+
     "csv_exchange": "SELECT doc_id, lang, source, n_chars, md5(text) AS text_md5 FROM documents",
 
     "image_scan": f"""

@@ -51,6 +51,10 @@ def test_lookup_filter_is_pushed_to_parquet(spark):
     assert plan.count("PushedFilters: [IsNotNull(p_partkey), EqualTo(p_partkey,7)]") == plan.count("FileScan parquet")
 
 
+#: Queries that write a table first and read it then.
+STORED = {"snapshot_append", "merge_bucketed", "resume_bucketed", "csv_exchange", "image_scan"}
+
+
 def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch):
     """With the tables at hand (reading their footers is a job), building starts no job."""
     tables = {}
@@ -60,9 +64,10 @@ def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch):
             tables[name] = session.read.parquet(f"{sf}/{name}.parquet")
         return tables[name]
     monkeypatch.setattr(catalog, "load", load)
-    for name in NAMES:
+    names = [n for n in NAMES if n not in STORED]
+    for name in names:
         catalog.QUERIES[name](spark, SF_SMALL)
-    for name in NAMES:
+    for name in names:
         spark.sparkContext.setJobGroup(f"build-{name}", "")
         catalog.QUERIES[name](spark, SF_SMALL)
         assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")) == 0, name

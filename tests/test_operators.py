@@ -305,3 +305,56 @@ def test_listing_views_limit(spark):
     assert len(prompt.listing_view(final, 7).first().plan_urls) == 8
     assert len(prompt.listing_view(final, 7, max_num=3).first().plan_urls) == 3
     assert prompt.listing_view(final, 8).count() == 0
+
+
+def test_hot_images_are_split_and_cold_ones_travel_once(spark):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        row = F.array(*[F.struct(F.lit(i).alias("pos"), u.alias("url"), F.lit("客厅").alias("descr"))
+                        for i, u in enumerate([F.lit("hot"), F.concat(F.lit("u"), (F.col("id") % 997).cast("string"))])])
+        det = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("house_id"), row.alias("gallery"))
+        imgs = spark.range(997).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.unhex(F.lit("FFD8FF")).alias("content")).unionByName(
+            spark.createDataFrame([("hot", b"h")], "url string, content binary"))
+        out = gallery.attach_images(det, imgs)
+        got = out.selectExpr("count(1) n", "sum(size(room_uris)) m").first()
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert (got.n, got.m) == (20_000, 40_000)
+    final = plan.split("Initial Plan")[0]
+    assert "skew=true" in final, final           # the hot partition is split
+    assert final.count("Generate explode") == 1  # galleries are opened once, each image meets them as it is
+
+
+def test_price_bands(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [("a", float(rnd.randint(0, 5000)) + 0.5) for _ in range(3000)] + [("b", 10.0)] * 250 + [("c", 1.0), ("c", -5.0), ("c", 1e15), ("c", None), (None, 3.0), ("c", float("nan"))]
+    out = extract.price_bands(spark.createDataFrame(rows, "d string, p double"), "d", "p", cap=100).collect()
+    a = sorted((r.lo, r.hi, r.n) for r in out if r.d == "a")
+    assert all(n <= 100 for *_, n in a) and sum(n for *_, n in a) == 3000
+    assert all(x[1] < y[0] for x, y in zip(a, a[1:]))
+    assert all(sum(lo <= p < hi + 1 for d, p in rows if d == "a") == n for lo, hi, n in a)
+    assert [(r.lo, r.hi, r.n, r.beyond_cap) for r in out if r.d == "b"] == [(10, 10, 250, 150)]
+    assert [(r.lo, r.hi, r.n) for r in out if r.d == "c"] == [(0, 2 ** 32 - 1, 3)]
+    pages = extract.banded_frontier(spark.createDataFrame([("x", 0, 7, 61, 0)], "district_en string, lo long, hi long, n long, beyond_cap long"))
+    assert [r.url for r in pages.orderBy("page").collect()] == [f"https://hd.example.com/ershoufang/x/p0-7/pg{i}/" for i in (1, 2, 3)]
+
+
+def test_sketches_of_days_combine(spark, scratch):
+    df = spark.range(30_000).select((F.pmod(F.xxhash64("id"), F.lit(60)) * F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4))).alias("v"), (F.col("id") % 7).cast("string").alias("dt"))
+    df = df.withColumn("v", F.when(F.col("v") > 0, F.col("v")))
+    screen.daily_sketches(df, "v").write.parquet(f"{scratch}/sketches")        # kept per day
+    kept = spark.read.parquet(f"{scratch}/sketches")
+    for days in (["0"], ["1", "4"], [str(d) for d in range(7)]):
+        exact = screen.value_counts(df.filter(F.col("dt").isin(days)), "v", top=10).collect()
+        got = screen.combined_top(kept.filter(F.col("dt").isin(days)), "v").collect()
+        assert [tuple(r) for r in got] == [tuple(r) for r in exact]
+    many = spark.range(200_000).select(F.when(F.col("id") % 4 == 0, F.col("id") % 5).otherwise(F.col("id")).alias("v"), F.lit("d").alias("dt"))
+    off = screen.combined_top(screen.daily_sketches(many, "v", capacity=1000), "v", top=5, capacity=1000).collect()
+    assert {r.v for r in off} == {0, 1, 2, 3, 4} and all(0 <= r.n - 10_000 <= 3.5 * 200_000 / 2048 for r in off)
