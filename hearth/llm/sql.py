@@ -26,7 +26,7 @@ def _notice(line: str) -> str:
     return "(" + " OR ".join(f"contains(lower({line}), {_q(s)})" for s in STEMS) + ")"
 
 
-OP1 = f"""
+OP1 = rf"""
 WITH f AS (
   SELECT doc_id, text, CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS name,
          CASE WHEN doc_id % 1000 = 0 THEN '/' || source WHEN doc_id % 100 = 0 THEN '/' || source || '/' || lang
@@ -39,8 +39,16 @@ idf AS (SELECT v.term, ln((n + 1)::DOUBLE / (coalesce(df, 0) + 1)) + 1 AS idf FR
 g0 AS (SELECT template, license, tt.term, tf * idf AS v FROM tt JOIN idf ON tt.term = idf.term),
 g1 AS (SELECT template, sqrt(sum(v * v)) AS norm FROM g0 GROUP BY template),
 g AS (SELECT g0.template, license, term, v / norm AS v FROM g0 JOIN g1 ON g0.template = g1.template),
-l AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM f), range(1, len(ls) + 1) r(i)),
-tok AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest({_terms('line')}) AS term FROM l WHERE {_notice('line')}) GROUP BY ALL),
+l AS (SELECT doc_id, name, text, string_split(text, chr(10)) AS ls FROM f WHERE text IS NOT NULL),
+pa AS (SELECT doc_id, list_filter(string_split(array_to_string(list_transform(ls, lambda x: CASE WHEN regexp_matches(x, '[\p{{L}}\p{{N}}]') THEN x ELSE chr(1) END), chr(10)), chr(1)),
+                                  lambda x: trim(x, chr(10)) <> '') AS ps FROM l),
+wi AS (SELECT doc_id, i, w, trim(array_to_string(ps[i:i + w - 1], chr(10)), chr(10)) AS body
+       FROM pa, range(1, len(ps) + 1) r(i), range(1, 6) z(w) WHERE i + w - 1 <= len(ps) AND {_notice('ps[i]')}),
+un AS (
+  SELECT doc_id, 'line' || i AS pos, ls[i] AS body FROM l, range(1, len(ls) + 1) r(i) WHERE {_notice('ls[i]')}
+  UNION ALL SELECT doc_id, 'window' || i || '-' || w, body FROM wi WHERE contains(body, chr(10))
+  UNION ALL SELECT doc_id, 'file', text FROM l WHERE name LIKE 'LICENSE%' AND {_notice('text')}),
+tok AS (SELECT doc_id, pos, term, count(*) AS tf FROM (SELECT doc_id, pos, unnest({_terms('body')}) AS term FROM un) GROUP BY ALL),
 w AS (SELECT doc_id, pos, tok.term, tf * coalesce(idf, ln((n + 1)::DOUBLE) + 1) AS w FROM tok LEFT JOIN idf ON tok.term = idf.term, n),
 size AS (SELECT doc_id, pos, sqrt(sum(w * w)) AS size FROM w GROUP BY ALL),
 dot AS (SELECT doc_id, pos, template, license, sum(w * v) AS dot FROM w JOIN g ON w.term = g.term GROUP BY ALL),

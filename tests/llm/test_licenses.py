@@ -21,14 +21,35 @@ def plain(files):
     def vec(t):
         v = {w: c * (math.log((n + 1) / (df[w] + 1)) + 1 if w in vocabulary else math.log(n + 1) + 1) for w, c in Counter(terms(t)).items()}
         size = math.sqrt(sum(x * x for x in v.values()))
-        return {w: x / size for w, x in v.items()}
+        return {w: x / size for w, x in v.items()}  # nothing for a text without terms
     goal = [(name, vec(t)) for name, t in licenses.TEMPLATES]
+    stem = lambda t: any(s in t.lower() for s in licenses.STEMS)
+
+    def units(p, t):
+        lines = t.split("\n")
+        yield from filter(stem, lines)
+        paras = [[]]
+        for x in lines:
+            if any(c.isalnum() for c in x):
+                paras[-1].append(x)
+            elif paras[-1]:
+                paras.append([])
+        paras = [x for x in paras if x]
+        for i, x in enumerate(paras):
+            if any(map(stem, x)):
+                for w in range(1, min(5, len(paras) - i) + 1):
+                    if sum(map(len, paras[i:i + w])) > 1:
+                        yield "\n".join(y for z in paras[i:i + w] for y in z)
+        if p is not None and re.match(licenses.FILE_NAMES, p.rsplit("/", 1)[-1]):
+            yield t
     own = []
-    for _, t in files:
+    for p, t in files:
         best = None
-        for line in (t or "").split("\n"):
-            if any(s in line.lower() for s in licenses.STEMS):
-                v = vec(line)
+        if stem(t or ""):
+            for unit in units(p, t):
+                v = vec(unit)
+                if not v:
+                    continue
                 b = min((-round(sum(x * v.get(w, 0) for w, x in g.items()), 6), name) for name, g in goal)
                 if -b[0] >= licenses.THRESHOLD:
                     best = min(best or b, b)
@@ -85,3 +106,37 @@ def test_documents(spark):
 def test_templates_name_themselves(spark):
     df = spark.createDataFrame([(f"/{i}/x", t) for i, (_, t) in enumerate(licenses.TEMPLATES)], "path string, text string")
     assert {r.path: r.own for r in licenses.scan(df).collect()} == {f"/{i}/x": n for i, (n, _) in enumerate(licenses.TEMPLATES)}
+
+
+def wrapped(text, width=62, mark=" * "):
+    import textwrap
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+def test_wrapped_headers_and_licence_files(spark):
+    gnu = lambda what, kind, v: (f"This {what} is free software: you can redistribute it and/or modify it under the terms of the GNU {kind} as published by "
+                                 f"the Free Software Foundation, either version {v} of the License, or (at your option) any later version.")
+    tail = lambda what, kind: (f"This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+                               f"MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU {kind} for more details.")
+    code = "\n\nint main(void)\n{\n    return 0;\n}\n"
+    header = lambda *ps: "/*\n * Copyright (C) 2020 A Writer\n *\n" + "\n *\n".join(wrapped(p) for p in ps) + "\n */" + code
+    g, m = "General Public License", "Affero General Public License"
+    ls = "Lesser General Public License"
+    clauses = licenses._BSD_GRANT.split(": ")
+    grant, rest = clauses[0] + ":", clauses[1]
+    one, two = rest.split("disclaimer. ", 1)
+    bsd = [grant, "1. " + one + "disclaimer.", "2. " + two.strip()]
+    names = "3. " + licenses._BSD_NAMES
+    files = {"GPL-2.0": header(gnu("program", g, 2), tail("program", g)), "GPL-3.0": header(gnu("program", g, 3), tail("program", g)),
+             "LGPL-2.1": header(gnu("library", ls, 2.1), tail("library", ls)), "LGPL-3.0": header(gnu("library", ls, 3), tail("library", ls)),
+             "AGPL-3.0": header(gnu("program", m, 3), tail("program", m)),
+             "BSD-2-Clause": header(*bsd, licenses._BSD_WARRANTY), "BSD-3-Clause": header(*bsd, names, licenses._BSD_WARRANTY),
+             "MIT": header(max((t for n, t in licenses.TEMPLATES if n == "MIT"), key=len))}
+    rows = [(f"/{i}/x.c", t) for i, t in enumerate(files.values())]
+    plain_files = [(f"/f{i}/LICENSE", "Copyright (c) 2020, A Writer\nAll rights reserved.\n\n" + "\n\n".join(wrapped(p, 70, "") for p in ps))
+                   for i, ps in enumerate([[*bsd, names, licenses._BSD_WARRANTY], [*bsd, licenses._BSD_WARRANTY]])]
+    df = spark.createDataFrame(rows + plain_files, "path string, text string")
+    out = {r.path: r.own for r in licenses.scan(df).collect()}
+    assert {n: out[f"/{i}/x.c"] for i, n in enumerate(files)} == {n: n for n in files}
+    assert [out["/f0/LICENSE"], out["/f1/LICENSE"]] == ["BSD-3-Clause", "BSD-2-Clause"]
+    assert got(licenses.scan(df)) == plain(rows + plain_files)
