@@ -34,13 +34,33 @@ EVIDENCE = 200.0
 #: Weight of the wider prior at each level, and of a uniform count for declarations and suffixes.
 SMOOTH, EVEN = 5.0, 1.0
 
-_HIDDEN = re.compile(r"<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", re.DOTALL | re.IGNORECASE)
+_HIDDEN = re.compile(r"<(?:(script|style|noscript)\b|!--)", re.IGNORECASE)
+_HIDDEN_END = {"script": re.compile(r"</script\s*>", re.IGNORECASE), "style": re.compile(r"</style\s*>", re.IGNORECASE),
+               "noscript": re.compile(r"</noscript\s*>", re.IGNORECASE), None: re.compile("-->")}
 _TAG = re.compile(r"<[^>]*>")
 
 
 def visible(page: str) -> str:
-    """The text a reader sees: without scripts, styles, comments and tags, entities decoded."""
-    return entities.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
+    """The text a reader sees: without scripts, styles, comments and tags, entities decoded.
+
+    Hidden parts and tags that never end stay as they are.  Each end is looked for from where
+    the last one was found, and not again once there is none, so the time is in
+    proportion to the page.
+    """
+    parts, at, open_ended = [], 0, set()
+    for m in _HIDDEN.finditer(page):
+        name = m.group(1) and m.group(1).lower()
+        if m.start() < at or name in open_ended:
+            continue
+        end = _HIDDEN_END[name].search(page, m.end())
+        if end is None:
+            open_ended.add(name)
+            continue
+        parts += [page[at:m.start()], " "]
+        at = end.end()
+    shown = "".join(parts) + page[at:]
+    last = shown.rfind(">") + 1
+    return entities.unescape(_TAG.sub(" ", shown[:last]) + shown[last:])
 
 
 def slots(text: str) -> np.ndarray:

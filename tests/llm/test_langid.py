@@ -72,3 +72,25 @@ def test_one_long_text_costs_only_itself(spark):
 def test_no_labels(spark):
     with pytest.raises(ValueError):
         langid.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
+
+
+def test_visible_text_equals_the_plain_rule():
+    import html
+    import random
+    import re
+    rnd = random.Random(9)
+    bits = ["<script", ">", "</script >", "<STYLE a=b>", "</style>", "<!--", "-->", "<noscript>", "</noscript", "text ", "<b>", "<", "&amp;", "</p>", "<scripty>", "x\n"]
+    for _ in range(3000):
+        page = "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 14)))
+        hidden = re.sub(r"<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->", " ", page, flags=re.DOTALL | re.IGNORECASE)
+        assert langid.visible(page) == html.unescape(re.sub("<[^>]*>", " ", hidden)), page
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    for unit in ("<script ", "<style>", "<!--", "<", "<script></script", "a<b "):
+        def seconds(n):
+            t = time.perf_counter()
+            langid.visible(unit * n)
+            return time.perf_counter() - t
+        assert min(seconds(200_000) for _ in range(2)) <= 15 * max(min(seconds(20_000) for _ in range(2)), 0.02), unit
