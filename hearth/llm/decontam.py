@@ -15,6 +15,7 @@ count in full.  An item leaks where the tiles cover ``LEAST_COVER`` of its words
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,14 +79,22 @@ def greedy_tiles(item: list[int], doc: list[int], least: int = MIN_TILE) -> list
     free_a, free_b = [True] * len(item), [True] * len(doc)
     s = _longest(item, doc, free_a, free_b, least)
     while s >= least:
-        table: dict[int, list[int]] = {}
-        for h, i in _roll_runs(item, free_a, s):
-            table.setdefault(h, []).append(i)
-        hits = sorted((i, j) for h, j in _roll_runs(doc, free_b, s) for i in table.get(h, ()) if item[i:i + s] == doc[j:j + s])
-        for i, j in hits:
-            if all(free_a[i:i + s]) and all(free_b[j:j + s]):
-                free_a[i:i + s] = free_b[j:j + s] = [False] * s
-                tiles.append((i, j, s))
+        runs = list(_roll_runs(item, free_a, s))
+        table: dict[int, deque[int]] = {h: deque() for h, _ in runs}
+        for h, j in _roll_runs(doc, free_b, s):
+            if h in table:
+                table[h].append(j)
+        for h, i in runs:  # each run of the item takes the first place of its kind that is still free
+            if not (free_a[i] and free_a[i + s - 1]):
+                continue  # only longer marks or as long ones were made, so a mark in a run covers one of its ends
+            places = table[h]
+            while places and not (free_b[places[0]] and free_b[places[0] + s - 1]):
+                places.popleft()
+            for j in places:
+                if free_b[j] and free_b[j + s - 1] and item[i:i + s] == doc[j:j + s]:
+                    free_a[i:i + s] = free_b[j:j + s] = [False] * s
+                    tiles.append((i, j, s))
+                    break
         s = _longest(item, doc, free_a, free_b, least, s - 1)
     return tiles
 

@@ -50,6 +50,15 @@ def test_tiles_match_the_definition():
         assert decontam.greedy_tiles(a, b, 3) == plain_tiles(a, b, 3)
 
 
+def test_runs_of_one_word_take_linear_memory():
+    import time
+    t = time.perf_counter()
+    tiles = decontam.greedy_tiles([7] * 3000 + [1, 2], [7] * 1000 + [9] + [7] * 30_000, 5)
+    assert tiles == [(0, 1001, 3000)]
+    assert decontam.greedy_tiles([7] * 3000, ([7] * 50 + [9]) * 300, 5) == [(50 * i, 51 * i, 50) for i in range(60)]
+    assert time.perf_counter() - t < 60
+
+
 def planted():
     rnd = random.Random(8)
     word = lambda: "".join(rnd.choice("abcde") for _ in range(3))
