@@ -59,6 +59,7 @@ def main(argv: list[str] | None = None) -> int:
     pr.add_argument("--wishes", help="parquet of (wish_id, user_input)")
     pr.add_argument("--images", default=None, help="folder of landed image files")
     pr.add_argument("--image_url_root", default=None)
+    pr.add_argument("--check_images", action="store_true", help="leave out images that are cut off or damaged")
 
     s = sub.add_parser("score", help="prompts -> replies through a model client")
     s.add_argument("--client", default="offline", help="module:function returning a client")
@@ -108,7 +109,7 @@ def main(argv: list[str] | None = None) -> int:
             requests, wishes = spark.read.parquet(args.requests), spark.read.parquet(args.wishes)
         else:
             p.error("prompts needs --user_input, or --requests and --wishes")
-        jobs.prompts_stage(spark, root, dt, requests, wishes, imgs)
+        jobs.prompts_stage(spark, root, dt, requests, wishes, imgs, args.check_images)
     elif args.step == "score":
         jobs.replies_stage(spark, root, dt, _factory(args.client), args.concurrency,
                            args.in_flight).groupBy(F.col("score").isNotNull().alias("scored")) \

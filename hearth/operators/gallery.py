@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearth.functions.codec import decode_pairs, dict_assign, encode_keys, encode_pairs
-from hearth.functions import markup
+from hearth.functions import imagemeta, markup
 from hearth.functions.html import element_text, elements
 from hearth.functions.images import data_uri, resize_thumb, tidy_url
 from hearth.functions.text import col_, java_pattern, let
+from hearth.operators import metrics
 from hearth.session import spread
 
 # Gallery markup and the description that marks a floor plan.
@@ -195,6 +196,22 @@ def attach_images(details: DataFrame, images: DataFrame, key: str = "house_id",
     return both.select(key, *carry, uris(0).alias("plan_uris"), uris(1).alias("room_uris"))
 
 
+#: States of image files that a prompt can do without: they hold no picture, or not all of it.
+BROKEN = ("empty", "cut", "damaged")
+
+
+def sound_images(images: DataFrame) -> DataFrame:
+    """Landed images without the broken ones (``functions.imagemeta``); formats it does not know stay."""
+    return imagemeta.with_meta(images, name="_meta").filter(~F.col("_meta.state").isin(*BROKEN)).drop("_meta")
+
+
+def image_counts(images: DataFrame) -> DataFrame:
+    """``landed`` and one counter for each state an image can be in, as ``metrics(stage, name, value)``."""
+    state = F.col("_meta.state")
+    return metrics.stage_metrics(imagemeta.with_meta(images, name="_meta"), "images", {
+        "landed": None, **{s: state == s for s in ("whole", *BROKEN, "unknown")}})
+
+
 def no_images(c) -> Column:
     """An absent image list as an empty one."""
     return F.coalesce(col_(c), F.array().cast("array<string>"))

@@ -11,11 +11,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.functions import codec, images as img, markup, text as tx
-from hearth.operators import enrich, extract, gallery, metrics, preview, prompt, score, screen
+from hearth.functions import codec, imagemeta, images as img, markup, text as tx
+from hearth.operators import cards, enrich, extract, gallery, metrics, preview, prompt, score, screen
 from hearth.session import checkpoint_root, spread
 from hearth.sources import buckets, commits, files, regions
 
@@ -530,6 +530,65 @@ def image_scan(spark, sf):
         F.regexp_extract(uri, r"^data:image/([a-z]*);", 1).alias("kind"), F.md5(uri).alias("uri_md5"))
 
 
+def _u32(n: Column) -> Column:
+    return F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0"))
+
+
+def _u16(n: Column, little: bool = False) -> Column:
+    h = F.lpad(F.hex(n.cast("bigint")), 4, "0")
+    return F.unhex(F.concat(F.substring(h, 3, 2), F.substring(h, 1, 2)) if little else h)
+
+
+def _hex(text: str) -> Column:
+    return F.unhex(F.lit(text))
+
+
+def _chunk(name: str, body: Column, right: Column | None = None) -> Column:
+    """A PNG chunk; its checksum is 0 where ``right`` does not hold."""
+    named = F.concat(F.encode(F.lit(name), "UTF-8"), body)
+    checksum = _u32(F.crc32(named))
+    return F.concat(_u32(F.octet_length(body)), named, checksum if right is None else F.when(right, checksum).otherwise(_hex("00000000")))
+
+
+def image_headers(spark, sf):
+    """One image per part (PNG, GIF or JPEG by its key) around its name: what their bytes tell.
+
+    Of every seven sizes one is cut off, and the PNGs of another have a wrong checksum.
+    """
+    body = F.encode(F.concat_ws(" ", "p_name", "p_brand", "p_type"), "UTF-8")
+    wide, high, nth = F.col("p_partkey") % 4000 + 1, F.col("p_size"), F.col("p_partkey") % 3
+    png = F.concat(_hex("89504E470D0A1A0A"), _chunk("IHDR", F.concat(_u32(wide), _u32(high), _hex("0802000000"))),
+                   _chunk("IDAT", body, F.col("p_size") % 7 != 1), _chunk("IEND", _hex("")))
+    block = F.concat(F.unhex(F.lpad(F.hex(F.octet_length(body).cast("bigint")), 2, "0")), body, _hex("00"))
+    gif = F.concat(F.encode(F.lit("GIF89a"), "UTF-8"), _u16(wide, True), _u16(high, True), _hex("800000" + "000000FFFFFF" + "21FE"), block,
+                   _hex("2C00000000"), _u16(wide, True), _u16(high, True), _hex("0002"), block, _hex("3B"))
+    jpeg = F.concat(_hex("FFD8FFE1"), _u16(F.octet_length(body) + 4), _hex("FFD9"), body, _hex("FFFFC0000B08"), _u16(high), _u16(wide), _hex("01011100"),
+                    _hex("FFDA00080101003F0000"), body, _hex("FF00FFD3"), body, _hex("FFD9"))
+    content = F.when(nth == 0, png).when(nth == 1, gif).otherwise(jpeg)
+    images = load(spark, sf, "part").select("p_partkey", "p_size", content.alias("content"))
+    kept = F.octet_length("content") - F.when(F.col("p_size") % 7 == 0, F.col("p_size") % 12 + 1).otherwise(0)
+    images = images.withColumn("content", F.substring("content", F.lit(1), kept))
+    return imagemeta.with_meta(images).select("p_partkey", F.octet_length("content").cast("bigint").alias("n_bytes"), "meta.*")
+
+
+def cards_upkeep(spark, sf):
+    """Customers' cards from orders stored by year: three runs, of which one is sent again and one
+    replaces a year; the states of each year are written from that year's rows alone."""
+    year = F.date_format("o_orderdate", "yyyy")
+    entry = F.struct(F.lit(0).alias("pos"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".jpg")).alias("url"), F.lit("").alias("descr"))
+    rows = load(spark, sf, "orders").select(
+        F.col("o_custkey").alias("house_id"), F.col("o_orderkey").alias("seq"), year.alias("dt"), F.col("o_orderpriority").alias("title"),
+        F.col("o_orderstatus").alias("district"), F.col("o_totalprice").alias("total_price"),
+        F.filter(F.array(entry), lambda _: F.col("o_orderkey") % 3 == 0).alias("gallery"))
+    log = commits.CommitLog(spark, _scratch(spark, "cards"), cards.state_schema(rows.schema))
+    log.append(cards.day_states(rows.filter(F.col("dt") < "1996")), "early")
+    for _ in range(2):
+        log.append(cards.day_states(rows.filter(F.col("dt") >= "1996")), "late")
+    log.replace(cards.day_states(rows.filter((F.col("dt") == "1994") & (F.col("district") != "F"))), "open-1994", "1994")
+    got = cards.cards(log.read())
+    return got.select("house_id", "info", F.array_join(F.transform("gallery", lambda x: x["url"]), ";").alias("urls"))
+
+
 def image_join(spark, sf):
     """Documents' words as galleries, benchmark words as landed images: many texts share an image,
     many images land more than once, and some have no bytes."""
@@ -718,6 +777,8 @@ QUERIES: dict[str, QueryFn] = {
     "resume_bucketed": resume_bucketed,
     "csv_exchange": csv_exchange,
     "image_scan": image_scan,
+    "image_headers": image_headers,
+    "cards_upkeep": cards_upkeep,
     "image_join": image_join,
     "render_text": render_text,
     "lookup": lookup,

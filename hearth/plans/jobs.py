@@ -4,6 +4,7 @@ collect   landed list pages -> listings + rejects (+ metrics)
 screen    listings -> screened + profiles (frequency tables of what was flagged)
 details   landed detail pages of screened listings not yet done -> details (append)
 merge     screened x details -> final
+cards     final of a day -> its card states (first row and gallery per listing, over all days)
 prompts   requests x wishes x final (+ images) -> prompts
 replies   prompts not yet answered -> replies (append), via a model client
 shortlist replies x final -> qualifying communities and layouts, and the listings themselves
@@ -20,10 +21,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearth.operators import enrich, extract, gallery, metrics, prompt, score, screen
+from hearth.operators import cards, enrich, extract, gallery, metrics, prompt, score, screen
 from hearth.schema import FLAG_COLUMNS, WISHES
 from hearth.session import checkpoint_root
 from hearth.sources import files, regions
+from hearth.sources.commits import CommitLog
 
 
 def _with_dt(df: DataFrame, dt: str) -> DataFrame:
@@ -183,6 +185,26 @@ def merge_stage(spark: SparkSession, root: str, dt: str) -> None:
     _record(metrics.before_after(screened, stored, "merge"), root, dt)
 
 
+def cards_log(spark: SparkSession, root: str) -> CommitLog:
+    """The day states that listing cards are read from (``operators.cards``), beside the stages."""
+    return CommitLog(spark, f"{root.rstrip('/')}/cards", cards.state_schema(files.stage_schema("final")))
+
+
+def cards_stage(spark: SparkSession, root: str, dt: str, run: str | None = None) -> DataFrame:
+    """``final`` of one day -> that day's card states, in place of what it had; gives the cards of all days.
+
+    Only that day is read and written.
+    """
+    day = files.read_stage(spark, root, "final", dt=dt)
+    cards_log(spark, root).replace(cards.day_states(day), run or files.new_run(), dt)
+    return current_cards(spark, root)
+
+
+def current_cards(spark: SparkSession, root: str, requests: DataFrame | None = None) -> DataFrame:
+    """``(house_id, info, gallery)`` of every listing of any day (or of those asked for)."""
+    return cards.cards(cards_log(spark, root).read(), requests=requests)
+
+
 def score_all_requests(spark: SparkSession, root: str, dt: str, user_input: str,
                        wish_id: int = 0) -> tuple[DataFrame, DataFrame]:
     """``(requests, wishes)`` that have every listing of ``final`` scored for one buyer's wish."""
@@ -192,9 +214,15 @@ def score_all_requests(spark: SparkSession, root: str, dt: str, user_input: str,
 
 
 def prompts_stage(spark: SparkSession, root: str, dt: str, requests: DataFrame,
-                  wishes: DataFrame, images: DataFrame | None = None) -> None:
-    """Render one prompt per request into ``prompts``; requests and repeated wishes are counted."""
+                  wishes: DataFrame, images: DataFrame | None = None, check_images: bool = False) -> None:
+    """Render one prompt per request into ``prompts``; requests and repeated wishes are counted.
+
+    ``check_images`` leaves landed images out that are empty, cut off or damaged, and counts them.
+    """
     final = files.read_stage(spark, root, "final", dt=dt)
+    if images is not None and check_images:
+        _record(gallery.image_counts(images), root, dt, part="images")
+        images = gallery.sound_images(images)
     files.write_stage(prompt.build_prompts(requests, wishes, final, images), root, "prompts", dt)
     run = _record(metrics.before_after(requests, files.read_stage(spark, root, "prompts", dt=dt), "prompts"), root, dt)
     _record(metrics.stage_metrics(prompt.one_wish_per_id(wishes), "prompts", {

@@ -337,6 +337,26 @@ WITH b AS (SELECT s_suppkey % 100 AS k, encode('GIF89a' || string_agg(s_name, ',
 u AS (SELECT k, content, {data_uri('content')} AS uri FROM b)
 SELECT k, CAST(octet_length(content) AS BIGINT) AS n_bytes, regexp_extract(uri, '^data:image/([a-z]*);', 1) AS kind, md5(uri) AS uri_md5 FROM u""",
 
+    "image_headers": """
+WITH p AS (SELECT p_partkey, p_size, p_partkey % 3 AS nth, strlen(concat_ws(' ', p_name, p_brand, p_type)) AS n,
+                  CASE WHEN p_size % 7 = 0 THEN p_size % 12 + 1 ELSE 0 END AS lost FROM part),
+-- what a format needs around the words that it holds
+s AS (SELECT *, CASE nth WHEN 0 THEN 57 + n WHEN 1 THEN 37 + 2 * n ELSE 38 + 3 * n END - lost AS n_bytes FROM p)
+SELECT p_partkey, CAST(n_bytes AS BIGINT) AS n_bytes, ['png', 'gif', 'jpeg'][nth + 1] AS kind,
+       CAST(p_partkey % 4000 + 1 AS INTEGER) AS width, CAST(p_size AS INTEGER) AS height,
+       CASE WHEN nth = 0 AND p_size % 7 = 1 THEN 'damaged' WHEN lost > 0 THEN 'cut' ELSE 'whole' END AS state
+FROM s""",
+
+    "cards_upkeep": """
+WITH o AS (SELECT *, (strftime(o_orderdate, '%Y'), o_orderkey) AS place FROM orders
+           WHERE NOT (strftime(o_orderdate, '%Y') = '1994' AND o_orderstatus = 'F')),
+f AS (SELECT o_custkey, arg_min({'p': o_orderpriority, 's': o_orderstatus, 't': o_totalprice}, place) AS r FROM o GROUP BY 1),
+g AS (SELECT o_custkey, arg_min(o_orderkey || '.jpg', place) AS urls FROM o WHERE o_orderkey % 3 = 0 GROUP BY 1)
+SELECT f.o_custkey AS house_id, g.urls,
+       '标题: ' || coalesce(r.p, '-') || '，区县: ' || coalesce(r.s, '-') || '，小区: -，位置: -，总价: ' || coalesce(CAST(r.t AS VARCHAR), '-')
+       || '万，单价: -元/平，户型: -，面积: -，朝向: -，装修: -，楼层: -，建筑类型: -' AS info
+FROM f LEFT JOIN g ON g.o_custkey = f.o_custkey""",
+
     "image_join": _WORDS + f""",
 w AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY doc_id, plan ORDER BY first_i) <= 8),
 b AS (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark),

@@ -1,0 +1,90 @@
+"""Cards kept by day states equal those made from all rows."""
+
+import os
+
+from hearth import schema
+from hearth.operators import cards, prompt
+from hearth.plans import jobs
+from hearth.sources import files
+
+COLUMNS = "house_id bigint, seq bigint, dt string, title string, total_price double, gallery array<struct<pos:int,url:string,descr:string>>"
+G = lambda u: [(0, u, "")]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, COLUMNS)
+
+
+def plainly(rows):
+    """First row and first non-empty gallery of each key, in Python."""
+    out = {}
+    order = sorted(rows, key=lambda r: (r[2] is None or r[1] is None, r[2] is not None, r[2] or "", r[1] is not None, r[1] or 0, r[3] is not None, r[3] or ""))
+    for house, _, _, title, _, pictures in order:
+        if house is not None:
+            first = out.setdefault(house, [title, None])
+            if first[1] is None and pictures:
+                first[1] = pictures[0][1]
+    return out
+
+
+def shown(df):
+    return {r.house_id: [None if (t := r.info.split("，")[0][4:]) == "-" else t, r.gallery[0].url if r.gallery else None] for r in df.collect()}
+
+
+ROWS = [(1, 5, "d1", "b", 1.0, []), (1, 5, "d1", "a", 1.0, None), (1, 9, "d2", "c", 2.0, G("x")), (1, 10, "d2", "c", 2.0, G("w")),
+        (2, None, "d1", "n", 1.0, G("late")), (2, 3, "d2", "m", 1.0, G("soon")), (3, 1, "d1", None, None, None),
+        (None, 0, "d1", "nobody", 1.0, G("y")), (4, 1, "d2", "only", 1.0, []), (4, 1, "d2", "only", 1.0, [])]
+
+
+def test_states_of_any_days_merge_to_the_rebuild(spark):
+    want = plainly(ROWS)
+    whole = cards.cards(cards.day_states(frame(spark, ROWS)))
+    assert shown(whole) == want
+    parts = [cards.day_states(frame(spark, [r])) for r in ROWS]  # cut in any way, in any order
+    apart = parts[-1]
+    for p in reversed(parts[:-1]):
+        apart = apart.unionByName(p)
+    assert sorted(cards.cards(apart).collect()) == sorted(whole.collect())
+    asked = cards.cards(apart, requests=spark.createDataFrame([(2,), (2,), (9,)], "house_id bigint"))
+    assert shown(asked) == {2: want[2]}
+    assert cards.cards(cards.day_states(frame(spark, []))).collect() == []
+
+
+def test_same_text_as_listing_cards(spark):
+    rows = frame(spark, [r for r in ROWS if r[1] is not None and r[2] == "d2" and r[0] is not None])
+    want = {(r.house_id, r.info) for r in prompt.listing_cards(rows).select("house_id", "info").collect()}
+    assert {(r.house_id, r.info) for r in cards.cards(cards.day_states(rows)).collect()} == want
+
+
+def final_rows(spark, rows):
+    """Rows in the shape of the ``final`` stage."""
+    whole = {f.name: None for f in schema.FINAL.fields} | {"total_price": 1.0, "unit_price": 1.0, "house_size": 1.0}
+    return spark.createDataFrame([tuple((whole | r)[f.name] for f in schema.FINAL.fields) for r in rows], schema.FINAL)
+
+
+def test_a_day_touches_its_own_states_alone(spark, scratch):
+    root = f"{scratch}/stages"
+
+    def day(dt, rows):
+        files.write_stage(final_rows(spark, rows), root, "final", dt)
+        return shown(jobs.cards_stage(spark, root, dt))
+
+    def stored():
+        return {os.path.join(p, f) for p, _, names in os.walk(f"{root}/cards/data") for f in names if f.endswith(".parquet")}
+    row = lambda i, seq, title, pictures=None: {"house_id": i, "seq": seq, "title": title, "gallery": pictures}
+    assert day("20240101", [row(1, 0, "one"), row(2, 1, "two", G("p"))]) == {1: ["one", None], 2: ["two", "p"]}
+    before = stored()
+    assert day("20240102", [row(1, 0, "later", G("q")), row(3, 1, "three")]) == {1: ["one", "q"], 2: ["two", "p"], 3: ["three", None]}
+    assert before < stored() and all("dt=20240102" in f for f in stored() - before)
+    states = jobs.cards_log(spark, root).read("20240102")
+    assert {r.house_id for r in states.collect()} == {1, 3}
+    # the first day made again without listing 1: its card comes from the second day
+    assert day("20240101", [row(2, 0, "two again")]) == {1: ["later", "q"], 2: ["two again", None], 3: ["three", None]}
+    assert day("20240101", []) == {1: ["later", "q"], 3: ["three", None]}
+    # started again under the name of a run that was committed: nothing changes
+    files.write_stage(final_rows(spark, [row(5, 0, "five")]), root, "final", "20240103")
+    for _ in range(2):
+        jobs.cards_stage(spark, root, "20240103", run="third")
+    assert jobs.cards_log(spark, root).read("20240103").count() == 1
+    asked = jobs.current_cards(spark, root, spark.createDataFrame([(5,)], "house_id bigint"))
+    assert shown(asked) == {5: ["five", None]}

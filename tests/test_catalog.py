@@ -43,7 +43,7 @@ def test_only_scoring_and_parsing_run_python(spark):
         python = any(k in plan for k in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas",
                                          "MapInArrow", "FlatMapGroupsInPandas"))
         assert python == (name in ("score_batch", "shortlist", "shortlisted_listings", "score_all", "reply_counts",
-                                   "card_parse", "gallery_parse")), name
+                                   "card_parse", "gallery_parse", "image_headers")), name
 
 
 def test_lookup_filter_is_pushed_to_parquet(spark):
@@ -52,7 +52,7 @@ def test_lookup_filter_is_pushed_to_parquet(spark):
 
 
 #: Queries that write a table first and read it then.
-STORED = {"snapshot_append", "merge_bucketed", "resume_bucketed", "csv_exchange", "image_scan"}
+STORED = {"snapshot_append", "merge_bucketed", "resume_bucketed", "csv_exchange", "image_scan", "cards_upkeep"}
 
 
 def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch):
