@@ -6,8 +6,12 @@ documents apart from clean ones.  A two-state chain is then fitted by gradient s
 on the exact likelihood (forward-backward), over hashed features of each token: the
 word, its first and its last characters.
 
-Scoring is one narrow pass over whole texts.  A word's emission score is worked out
-once per task and remembered; forward-backward runs over many chains at once.
+Scoring is one narrow pass over whole texts, each of them one chain.  A word's emission score is
+worked out once per task and remembered.  Forward-backward runs over pieces of ``CHAIN`` tokens of
+many texts at once: what a piece does to the odds that enter it is a 2 x 2 matrix, so the odds
+at all borders are found piece by piece first (to the right and to the left), and then
+every piece is worked out with the odds that its neighbours give it.  Training takes
+pieces as chains of their own, since its sample of them is bounded.
 A document's score is its largest token marginal, which does not drift with
 length; tokens with a marginal of at least 0.5 give the offending offsets.
 """
@@ -62,15 +66,18 @@ class Chain:
         """Odds that the word itself gives."""
         return exp(min(40.0, max(-40.0, sum(map(self._weights, features(word))) + self.bias)))
 
-    def odds(self, e: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def odds(self, e: np.ndarray, mask: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Forward and backward odds of state 1 against 0; their product is the marginal's.
 
         ``e`` holds the odds that the words themselves give, places x chains, and
-        ``mask`` the real tokens, which start each chain.
+        ``mask`` the real tokens, which start each chain.  ``first`` and ``last`` are the forward odds at
+        the first place and the backward odds at the last one, of chains that go on (``borders``).
         """
         a, t = np.exp(self.move), e.shape[0]
         fwd, bwd = np.empty(e.shape), np.ones(e.shape)
-        fwd[0] = np.exp(self.start) * e[0]
+        fwd[0] = np.exp(self.start) * e[0] if first is None else first
+        if last is not None:
+            bwd[-1] = last
         for i in range(1, t):
             r = fwd[i - 1]
             fwd[i] = np.clip(e[i] * (a[0, 1] + r * a[1, 1]) / (a[0, 0] + r * a[1, 0]), 1e-40, 1e40)
@@ -79,12 +86,41 @@ class Chain:
             bwd[i] = np.where(mask[i + 1], (a[1, 0] + a[1, 1] * x) / (a[0, 0] + a[0, 1] * x), 1.0)
         return fwd, bwd
 
-    def marginals(self, e: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    def marginals(self, e: np.ndarray, mask: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
         """P(state 1) at each place."""
-        fwd, bwd = self.odds(e, mask)
+        fwd, bwd = self.odds(e, mask, first, last)
         o = fwd * bwd
         return o / (1 + o)
 
+    def borders(self, e: np.ndarray, mask: np.ndarray, nth: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward odds at the first place and backward odds at the last place of each piece.
+
+        A text's pieces stand side by side, all but its last one full; ``nth`` numbers them within
+        the text, ``left`` says how many follow.  Odds ``n / d`` pass a token as the vector ``(n, d)``
+        times ``[[e a11, e a01], [a10, a00]]``, and to the left times the transpose.
+        """
+        a = np.exp(self.move)
+        pieces = e.shape[1]
+        first, last = np.exp(self.start) * e[0], np.ones(pieces)
+        if not nth.any():
+            return first, last
+        p, q, r, s = np.ones(pieces), np.zeros(pieces), np.zeros(pieces), np.ones(pieces)  # [[p, q], [r, s]], of all places but the first
+        for i in range(1, e.shape[0]):
+            p2, q2 = e[i] * (a[1, 1] * p + a[0, 1] * r), e[i] * (a[1, 1] * q + a[0, 1] * s)
+            r2, s2 = a[1, 0] * p + a[0, 0] * r, a[1, 0] * q + a[0, 0] * s
+            scale = np.where(mask[i], np.maximum(np.maximum(p2, q2), np.maximum(r2, s2)), 1.0)
+            p, q, r, s = (np.where(mask[i], x, y) / scale for x, y in ((p2, p), (q2, q), (r2, r), (s2, s)))
+        by_nth, by_left = np.argsort(nth, kind="stable"), np.argsort(left, kind="stable")
+        for at in np.split(by_nth, np.cumsum(np.bincount(nth))[:-1])[1:]:
+            f, k = first[at - 1], at - 1
+            out = np.clip((p[k] * f + q[k]) / np.maximum(r[k] * f + s[k], 1e-80), 1e-40, 1e40)
+            first[at] = np.clip(e[0, at] * (a[0, 1] + out * a[1, 1]) / (a[0, 0] + out * a[1, 0]), 1e-40, 1e40)
+        for at in np.split(by_left, np.cumsum(np.bincount(left))[:-1])[1:]:
+            b, k = last[at + 1], at + 1
+            x = np.clip((p[k] * b + r[k]) / np.maximum(q[k] * b + s[k], 1e-80), 1e-40, 1e40) * e[0, k]
+            last[at] = (a[1, 0] + a[1, 1] * x) / (a[0, 0] + a[0, 1] * x)
+        return first, last
+
     def pairs(self, fwd, bwd, e, mask) -> np.ndarray:
         """Expected moves (2 x 2), summed over all chains."""
         a, b = fwd[:-1], np.clip(bwd[1:] * e[1:], 1e-40, 1e40)
@@ -135,7 +171,7 @@ def label_tokens(docs: list[list[str]], toxic: list[bool]) -> set[str]:
 def train(rows: list[tuple[str, int]], rounds: int = 60) -> Chain:
     """A chain fitted to ``(text, toxic)`` rows; without both classes it marks nothing."""
     rows = sorted(rows, key=lambda r: crc32(r[0].encode()))
-    docs = [WORDS.findall(t.lower()) for t, _ in rows]
+    docs = [[w.lower() for w in WORDS.findall(t)] for t, _ in rows]
     new = unlike(docs)
     toxic = [bool(y) for (_, y), n in zip(rows, new) if n]
     docs = [d for d, n in zip(docs, new) if n]
@@ -198,13 +234,13 @@ class _Scores(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= REMEMBER:
             self.clear()
-        self[word] = s = self.model.emission(word)
+        self[word] = s = self.model.emission(word.lower())
         return s
 
 
 def score_texts(model: Chain, scores: dict, texts: list[str]) -> list[np.ndarray]:
-    """The toxic marginal of each token of each text."""
-    rows = [np.fromiter(map(scores.__getitem__, WORDS.findall(t.lower())), np.float64) for t in texts]
+    """The toxic marginal of each token of each text, a whole text being one chain."""
+    rows = [np.fromiter(map(scores.__getitem__, WORDS.findall(t)), np.float64) for t in texts]
     out, at = [], 0
     while at < len(rows):  # texts in runs of about 200,000 tokens
         end, n = at, 0
@@ -218,7 +254,13 @@ def score_texts(model: Chain, scores: dict, texts: list[str]) -> list[np.ndarray
             e[top:top + c].reshape(-1)[:r.size] = r
             mask[top:top + c].reshape(-1)[:r.size] = True
             top += c
-        p = np.ascontiguousarray(model.marginals(np.ascontiguousarray(e.T), np.ascontiguousarray(mask.T)).T) if top else e
+        if top:
+            nth = np.concatenate([np.arange(c) for c in count])
+            left = np.concatenate([np.arange(c)[::-1] for c in count])
+            odds, real = np.ascontiguousarray(e.T), np.ascontiguousarray(mask.T)
+            p = np.ascontiguousarray(model.marginals(odds, real, *model.borders(odds, real, nth, left)).T)
+        else:
+            p = e
         top = 0
         for r, c in zip(rows[at:end], count):
             out.append(p[top:top + c].reshape(-1)[:r.size])
@@ -261,7 +303,7 @@ def score(docs: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str =
     """``(id, row, score, predicted, spans)`` for every row of ``docs``.
 
     ``spans`` lists the ``(begin, end)`` character offsets of offending tokens in the
-    lower-cased text; ``row`` is the text's hash.  Texts without a word (null and
+    text; ``row`` is the text's hash.  Texts without a word (null and
     empty ones too) score 0.  Repeated rows give repeated results, null ids
     stay null, other columns are ignored, and an empty table gives no rows.
     """
@@ -282,7 +324,7 @@ def score(docs: DataFrame, model: Chain, id_col: str = "doc_id", text_col: str =
                 for t, p in zip(texts, score_texts(model, scores, texts)):
                     best.append(float(p.max()) if p.size else 0.0)
                     hit = set(np.flatnonzero(p >= 0.5).tolist())
-                    spans.append([{"begin": m.start(), "end": m.end()} for i, m in enumerate(WORDS.finditer(t.lower())) if i in hit] if hit else [])
+                    spans.append([{"begin": m.start(), "end": m.end()} for i, m in enumerate(WORDS.finditer(t)) if i in hit] if hit else [])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), batch.column(1), pa.array(best, pa.float64()),
                      pa.array([int(b >= 0.5) for b in best], pa.int32()), pa.array(spans, span)],

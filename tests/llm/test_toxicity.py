@@ -33,13 +33,45 @@ def test_marginals_match_enumeration():
         assert abs(m.pairs(fwd, bwd, odds, mask).sum() - (n - 1)) < 1e-9
 
 
-def test_long_texts_score_as_their_chains():
-    m = random_chain(1)
-    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(1000)]
-    text = " ".join(words)
-    whole = toxicity.score_texts(m, toxicity._Scores(m), [text, "", text])
-    parts = [toxicity.score_texts(m, toxicity._Scores(m), [" ".join(words[i:i + toxicity.CHAIN])])[0] for i in range(0, 1000, toxicity.CHAIN)]
-    assert whole[1].size == 0 and np.allclose(whole[0], np.concatenate(parts)) and np.allclose(whole[0], whole[2])
+def plain_marginals(m, words):
+    """Forward-backward over one whole chain, place by place, in logarithms."""
+    n, e = len(words), [m.emission(w) for w in words]
+    own = np.array([[0.0, np.log(x)] for x in e])
+    fwd, bwd = np.zeros((n, 2)), np.zeros((n, 2))
+    fwd[0] = own[0] + [0, m.start]
+    for i in range(1, n):
+        fwd[i] = own[i] + np.logaddexp.reduce(fwd[i - 1][:, None] + m.move, axis=0)
+    for i in range(n - 2, -1, -1):
+        bwd[i] = np.logaddexp.reduce(m.move + (own[i + 1] + bwd[i + 1])[None, :], axis=1)
+    both = fwd + bwd
+    return np.exp(both[:, 1] - np.logaddexp(both[:, 0], both[:, 1]))
+
+
+def test_long_texts_score_as_one_chain():
+    """Whatever the length, also where a piece ends, and whichever texts stand beside."""
+    for seed in range(4):
+        m = random_chain(seed)
+        m.move *= 3  # sticky enough for a cut to show
+        words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(1000)]
+        lengths = [1000, 0, 1, toxicity.CHAIN - 1, toxicity.CHAIN, toxicity.CHAIN + 1, 2 * toxicity.CHAIN, 333]
+        got = toxicity.score_texts(m, toxicity._Scores(m), [" ".join(words[:n]) for n in lengths])
+        for n, p in zip(lengths, got):
+            assert p.size == n and (n == 0 or np.allclose(p, plain_marginals(m, words[:n]), atol=1e-9))
+
+
+def test_words_far_apart_from_any_doubt_stay_finite():
+    m = random_chain(3)
+    m.weight *= 30
+    m.__post_init__()
+    p = toxicity.score_texts(m, toxicity._Scores(m), [" ".join(f"x{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(3000))])[0]
+    assert p.size == 3000 and np.isfinite(p).all() and ((0 <= p) & (p <= 1)).all()
+
+
+def test_offsets_are_those_of_the_text(spark):
+    d, labels = small(spark)
+    text = "\u0130\u0130 Zzgrot here"  # lower-casing makes this text longer
+    got = toxicity.score(spark.createDataFrame([(1, text, "")], d.schema), toxicity.fit(d, labels)).first()
+    assert [text[s.begin:s.end] for s in got.spans] == ["Zzgrot"]
 
 
 def test_held_out_accuracy(spark):
