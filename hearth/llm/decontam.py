@@ -10,6 +10,12 @@ is tiled: the longest match between unmarked words is marked, again and
 again, found by Karp-Rabin hashes rolled over both sides at a falling match
 length.  Matches may stand in any order in the document, so reordered passages
 count in full.  An item leaks where the tiles cover ``LEAST_COVER`` of its words.
+
+An item with fewer than ``MIN_TILE`` words has itself as its only seed and shortest tile: it leaks
+where all of it stands in a document, word after word.
+
+A word is a run of letters, digits and underscores; of scripts written without
+spaces each character is one.
 """
 
 from __future__ import annotations
@@ -29,7 +35,9 @@ from hearth.session import ship_package
 #: Words of the shortest tile, share of an item's words that tiles must cover, and
 #: the bound on the words of one block of items (about 12 bytes each in a task).
 MIN_TILE, LEAST_COVER, BLOCK_WORDS = 5, 0.5, 2_000_000
-WORDS = re.compile(r"\w+")
+#: Code points of scripts without spaces between words (South East Asian ones, kana, Han).
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORDS = re.compile(rf"[{UNSPACED}]|[^\W{UNSPACED}]+")
 _B = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -115,44 +123,67 @@ def _longest(item, doc, free_a, free_b, least, most=None) -> int:
 
 
 class Block:
-    """The items of one block: word numbers, seeds and where they stand."""
+    """The items of one block: word numbers, seeds and where they stand.
+
+    ``seeds`` has one sorted table for each length of seeds: ``least``, or all of a shorter item.
+    """
 
     def __init__(self, items: list[tuple[int, str]], least: int):
         self.least, self.number, self.items = least, {}, []
-        hashes, owner = [], []
+        found: dict[int, tuple[list, list]] = {}
         for item_id, text in items:
             ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)], np.int64)
-            at = np.unique(_rolled(ids, least))
-            hashes.append(at)
-            owner.append(np.full(at.size, len(self.items), np.int64))
+            if ids.size:
+                hashes, owner = found.setdefault(min(least, ids.size), ([], []))
+                at = np.unique(_rolled(ids, min(least, ids.size)))
+                hashes.append(at)
+                owner.append(np.full(at.size, len(self.items), np.int64))
             self.items.append((item_id, ids.tolist()))
-        h, o = np.concatenate(hashes or [np.empty(0, np.uint64)]), np.concatenate(owner or [np.empty(0, np.int64)])
-        order = np.argsort(h, kind="stable")
-        self.hashes, self.owner = h[order], o[order]
+        self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for k, (hashes, owner) in found.items():
+            h, o = np.concatenate(hashes), np.concatenate(owner)
+            order = np.argsort(h, kind="stable")
+            self.seeds[k] = h[order], o[order]
 
     def scan(self, text: str, cover: float) -> list[tuple[int, int, int, float]]:
         """``(item id, item words, covered words, coverage)`` of the items that ``text`` leaks."""
-        words, number, k = words_of(text), self.number, self.least
-        if len(words) < k or not self.hashes.size:
-            return []
+        words, number = words_of(text), self.number
         ids = np.fromiter((number.get(w, 0) for w in words), np.int64, len(words))
+        return [x for k in self.seeds for x in (self._tiled(ids, cover) if k == self.least else self._standing(ids, k))]
+
+    def _hits(self, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(seed's place, item) of every seed of ``k`` words in a document, by item."""
+        none = np.empty(0, np.int64)
+        if ids.size < k:
+            return none, none
         known = np.concatenate(([0], np.cumsum(ids == 0)))
         spots = np.flatnonzero(known[k:] == known[:-k])  # runs of k words that all occur in the block
         if not spots.size:
-            return []
+            return none, none
+        hashes, owner = self.seeds[k]
         h = _rolled(ids, k)[spots]
-        left, right = np.searchsorted(self.hashes, h, "left"), np.searchsorted(self.hashes, h, "right")
-        hit = right > left
-        spots, left, right = spots[hit], left[hit], right[hit]
+        left, right = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
         many = right - left
-        if not spots.size:
-            return []
-        # (seed's place, item) pairs, by item
         place = np.repeat(spots, many)
         step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        item = self.owner[np.repeat(left, many) + step]
+        item = owner[np.repeat(left, many) + step]
         order = np.lexsort((place, item))
-        place, item = place[order], item[order]
+        return place[order], item[order]
+
+    def _standing(self, ids: np.ndarray, k: int) -> list[tuple[int, int, int, float]]:
+        """The items of ``k`` words, too short for tiles of their own, that stand in a document whole."""
+        found = {}
+        for place, item in zip(*map(np.ndarray.tolist, self._hits(ids, k))):
+            if item not in found and ids[place:place + k].tolist() == self.items[item][1]:
+                found[item] = (self.items[item][0], k, k, 1.0)
+        return list(found.values())
+
+    def _tiled(self, ids: np.ndarray, cover: float) -> list[tuple[int, int, int, float]]:
+        """The items that tiles cover."""
+        k = self.least
+        place, item = self._hits(ids, k)
+        if not item.size:
+            return []
         out = []
         edges = np.concatenate(([0], np.flatnonzero(np.diff(item)) + 1, [item.size]))
         for a, b in zip(edges[:-1], edges[1:]):
@@ -198,10 +229,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(id, item_id, item_words, covered, coverage)`` for each document that leaks an item.
 
-    Words are runs of letters, digits and underscores, in lower case.  Items
-    with fewer than ``least`` words (null and empty ones too) can't be tiled and
-    never leak; null and empty documents leak nothing; an empty table on either
-    side gives no rows.  Repeated rows or items give repeated results; null ids
+    Words are runs of letters, digits and underscores, in lower case, and single characters of
+    scripts without spaces.  Items with fewer than ``least`` words leak where they stand whole; items without
+    a word (null and empty ones) never leak; null and empty documents leak nothing; an
+    empty table on either side gives no rows.  Repeated rows or items give repeated results; null ids
     stay null.
     """
     spark = docs.sparkSession

@@ -33,8 +33,8 @@ def plain_leaks(docs, items, least=5, cover=decontam.LEAST_COVER):
     for d, t in docs:
         for i, u in items:
             a, b = decontam.words_of(u), decontam.words_of(t)
-            c = sum(x[2] for x in plain_tiles(a, b, least))
-            if len(a) >= least and c >= cover * len(a):
+            c = sum(x[2] for x in plain_tiles(a, b, min(least, len(a)))) if a else 0
+            if a and c >= (cover if len(a) >= least else 1) * len(a):
                 out.append((d, i, len(a), c))
     return sorted(out, key=str)
 
@@ -76,11 +76,22 @@ def test_planted_and_reordered(spark):
     d = spark.createDataFrame([(*x, 1) for x in docs], "doc_id long, text string, item_id int")
     b = spark.createDataFrame([(*x, 1) for x in items], "item_id long, text string, doc_id int")
     want = plain_leaks(docs, items)
-    assert {x[0] for x in want} == {1, 2, 3, 4, 7, None, 10, 12, 13}
+    assert {x[0] for x in want} == {1, 2, 3, 4, 6, 7, None, 10, 12, 13}
     assert got(decontam.leaks(d, b)) == want
     assert got(decontam.leaks(d, b, block_words=20)) == want  # many blocks
     clean = decontam.keep_clean(d, b)
-    assert clean.columns == d.columns and sorted(r.doc_id for r in clean.collect()) == [5, 6, 8, 9, 11, 14]
+    assert clean.columns == d.columns and sorted(r.doc_id for r in clean.collect()) == [5, 8, 9, 11, 14]
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    items = [(1, "What is it?"), (2, "Forty-two"), (3, "這個故事發生在很久以前的一個小鎮上"), (4, "法國的首都"), (5, "!?"), (6, "what is it"), (7, "ราคาเท่าไร")]
+    docs = [(1, "so, WHAT IS IT then"), (2, "what it is"), (3, "forty, and two; forty two"), (4, "從前，這個故事發生在很久以前的地方。在很久"), (5, "法國的首都是巴黎"),
+            (6, "首都的法國"), (7, "what is"), (8, "it"), (9, "ถามว่าราคาเท่าไรครับ"), (10, "what is it " * 50)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = plain_leaks(docs, items)
+    assert {x[:2] for x in want} == {(1, 1), (1, 6), (3, 2), (4, 3), (5, 4), (9, 7), (10, 1), (10, 6)}
+    assert got(decontam.leaks(d, b)) == want and got(decontam.leaks(d, b, block_words=4)) == want
+    assert sorted(r.doc_id for r in decontam.keep_clean(d, b).collect()) == [2, 6, 7, 8]
 
 
 def test_whole_documents(spark):
