@@ -7,9 +7,9 @@ key, scaled by its quality weight; in the order of the keys documents are
 taken until their words fill the rest.  The document that crosses it is
 taken if that comes nearer.
 
-The order within a source is cut into buckets of equal key ranges.  Running sums go
-over the buckets' totals first and then over the documents of a bucket, so no task
-ever sorts a whole source.
+The order within a source is cut into buckets of key ranges that hold about equal shares of its
+documents, whatever their weights.  Running sums go over the buckets' totals first and then
+over the documents of a bucket, so no task ever sorts a whole source.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from hearth.llm.common import WORD, cut, row_key, text_or_empty
 
 #: Key ranges per source; a bucket's documents are sorted in one task.
 BUCKETS = 4096
+#: Quality weights of documents.
+WEIGHTS = (1.0, 0.25)
 
 
 def word_count(text: Column) -> Column:
@@ -32,7 +34,7 @@ def word_count(text: Column) -> Column:
 def plausible_words(text: Column, size: Column) -> Column:
     """A quality weight: 1 where words have 3 to 10 characters on average, else 0.25."""
     n = F.length(text_or_empty(text))
-    return F.when((n >= size * 4) & (n <= size * 11), F.lit(1.0)).otherwise(F.lit(0.25))
+    return F.when((n >= size * 4) & (n <= size * 11), F.lit(WEIGHTS[0])).otherwise(F.lit(WEIGHTS[1]))
 
 
 def uniform(id_col: Column, seed: str) -> Column:
@@ -41,6 +43,17 @@ def uniform(id_col: Column, seed: str) -> Column:
     return (bits.cast("double") + 0.5) / float(1 << 48)
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The key's bucket, in the order of the keys.
+
+    Keys of weight w are below k with probability 1 - e^-wk.  The mean of that over all weights
+    spreads keys over (0, 1) so that a bucket takes at most ``len(WEIGHTS) / buckets`` of the
+    documents of any one weight, to be expected, the last bucket too.
+    """
+    below = sum(((1 - F.exp(-w * key)) for w in WEIGHTS), F.lit(0.0)) / len(WEIGHTS)
+    return F.floor(below * buckets).cast("int")
+
+
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """``(source, source_size)`` -> also ``target``.
 
@@ -79,8 +92,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
                        word_count(F.col(text_col)).alias("size"), F.col(text_col).alias("t"))
     keyed = base.select("id", "row", "source", "size",
                         (-F.log(uniform(F.col("id"), seed)) / plausible_words(F.col("t"), F.col("size"))).alias("key"))
-    # keys grow without end; 1 - e^-key spreads them over (0, 1) in the same order
-    keyed = cut(keyed.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * buckets).cast("int")))
+    keyed = cut(keyed.withColumn("bucket", bucket_of(F.col("key"), buckets)))
     totals = keyed.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     sizes = totals.groupBy("source").agg(F.sum("words").alias("source_size"))
     goal = targets(sizes, weights, share, most)

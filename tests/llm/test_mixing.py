@@ -3,9 +3,10 @@
 import hashlib
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hearth.llm import mixing
 from tests.conftest import SF_SMALL
@@ -90,3 +91,12 @@ def test_targets(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(df).count() == 0 and mixing.take(df).count() == 0
+
+
+def test_buckets_keep_the_order_and_hold_like_shares(spark):
+    keys = spark.range(40_000).select(F.col("id"), (-F.log(mixing.uniform(F.col("id"), "mix")) / F.when(F.col("id") % 2 == 0, 0.25).otherwise(1.0)).alias("key"))
+    rows = [(r.key, r.bucket, r.id % 2) for r in keys.withColumn("bucket", mixing.bucket_of(F.col("key"), 64)).collect()]
+    assert [b for _, b, _ in sorted(rows)] == sorted(b for _, b, _ in rows)
+    for kind in (0, 1):
+        held = Counter(b for _, b, k in rows if k == kind)
+        assert max(held.values()) < 1.3 * len(mixing.WEIGHTS) / 64 * 20_000
