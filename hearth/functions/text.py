@@ -104,6 +104,10 @@ def part(arr, i: int, strip: bool = True) -> Column:
     return py_strip(v) if strip else v
 
 
+#: Writes doubles as JSON; part of Spark itself.
+_WRITER = "com.fasterxml.jackson.core.io.NumberOutput"
+
+
 def py_float_str(c) -> Column:
     """``str(float)`` as Python prints it: shortest round-trip digits, decimal
     notation for 1e-4 <= |x| < 1e16, otherwise 'd.ddde+XX'.
@@ -111,32 +115,32 @@ def py_float_str(c) -> Column:
     Common case, compiled: Java's Double.toString text without an exponent
     (1e-3 <= |x| < 1e7) and with at most 15 digits is Python's text once
     trailing fraction zeros are trimmed - a decimal that short maps to one
-    double only, so it is the shortest form.  Other values take the general
-    path: the smallest ``%.{p}e`` precision that parses back to the same double
-    (JDK 17's Double.toString is not always shortest: 2e23 prints as
-    1.9999999999999998E23).  Java rounds that text from its own 17-digit form,
-    so a value needing 16-17 significant digits can end one unit off Python in
-    its last digit (both forms parse to the same double).
+    double only, so it is the shortest form.  JDK 17's Double.toString is not
+    always shortest (2e23 prints as 1.9999999999999998E23), so other values take
+    their digits from the JSON writer on Spark's class path, whose integer
+    algorithm gives the shortest digits, and of several the closest.  It writes
+    two digits at least: where one is enough, as for 5e-324, that one is taken.
     """
     x = col_(c).cast("double")
     js = x.cast("string")
     plain = ~F.contains(js, F.lit("E")) & (F.length(F.translate(js, "-.", "")) <= 15)
     plain_text = F.regexp_replace(js, r"(\.[0-9]*[1-9])0+$", "$1")
 
-    def fmt(p):
-        return F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), x)
-
     def general(_):
-        # shortest %.{p}e text that parses back to x; coalesce stops early
-        sci = F.aggregate(
-            F.sequence(F.lit(0), F.lit(16)), F.lit(None).cast("string"),
-            lambda acc, p: F.coalesce(acc, let(fmt(p), lambda s: F.when(s.try_cast("double") == x, s))))
-        sci_re = r"^-?([0-9])(?:\.([0-9]*))?e([-+][0-9]+)$"
-        parts = let(sci, lambda v: F.struct(
-            F.concat(F.regexp_extract(v, sci_re, 1),
-                     F.regexp_replace(F.regexp_extract(v, sci_re, 2), "0+$", "")).alias("d"),
-            F.regexp_extract(v, sci_re, 3).cast("int").alias("e")))
-        return let(parts, render)
+        # 1000.5 or 1.25E30: digits without outer zeros, and the exponent of the first one
+        short = F.java_method(F.lit(_WRITER), F.lit("toString"), F.abs(x), F.lit(True))
+        return let(F.struct(short.alias("s"), F.printf(F.lit("%.0e"), F.abs(x)).alias("one")), digits)
+
+    def digits(p):
+        head, whole = F.split_part(p["s"], F.lit("E"), F.lit(1)), F.split_part(p["s"], F.lit("."), F.lit(1))
+        d = F.rtrim(F.ltrim(F.translate(head, ".", ""), F.lit("0")), F.lit("0"))
+        e = (F.when(F.contains(p["s"], F.lit("E")), F.split_part(p["s"], F.lit("E"), F.lit(2)).cast("int"))
+             .when(whole != "0", F.length(whole) - 1)
+             .otherwise(F.length(F.ltrim(F.split_part(head, F.lit("."), F.lit(2)), F.lit("0"))) - F.length(head) + 1))
+        one = (F.length(d) == 2) & (p["one"].cast("double") == F.abs(x))
+        return let(F.when(one, F.struct(F.split_part(p["one"], F.lit("e"), F.lit(1)).alias("d"),
+                                        F.split_part(p["one"], F.lit("e"), F.lit(2)).cast("int").alias("e")))
+                   .otherwise(F.struct(d.alias("d"), e.alias("e"))), render)
 
     def render(p):
         digits, e = p["d"], p["e"]

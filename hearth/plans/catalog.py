@@ -624,6 +624,14 @@ def render_text(spark, sf):
     return lst.select(F.col("house_id").alias("p_partkey"), prompt.base_info(lst).alias("info"))
 
 
+def number_text(spark, sf):
+    """Prices of 16 and 17 digits, large ones and shares, each as a listing's text prints it."""
+    price, qty = F.col("l_extendedprice").cast("double"), F.col("l_quantity").cast("double")
+    made = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", (price / qty).alias("unit"), (price * 1e15 / qty).alias("big"),
+                                              (qty / (price * 1000)).alias("share"))
+    return made.select("l_orderkey", "l_linenumber", *[tx.py_float_str(c).alias(c) for c in ("unit", "big", "share")])
+
+
 def lookup(spark, sf):
     asked = (load(spark, sf, "lineitem").filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 50))
              .select(F.col("l_partkey").alias("house_id")))
@@ -781,6 +789,7 @@ QUERIES: dict[str, QueryFn] = {
     "cards_upkeep": cards_upkeep,
     "image_join": image_join,
     "render_text": render_text,
+    "number_text": number_text,
     "lookup": lookup,
     "lookup_one": lookup_one,
     "first_row_per_key": first_row_per_key,

@@ -369,6 +369,12 @@ FROM j GROUP BY doc_id""",
 
     "render_text": f"SELECT p_partkey, {_part_info()} AS info FROM part",
 
+    "number_text": """
+WITH m AS (SELECT l_orderkey, l_linenumber, l_extendedprice::DOUBLE AS price, l_quantity::DOUBLE AS qty FROM lineitem)
+SELECT l_orderkey, l_linenumber, (price / qty)::VARCHAR AS unit, (price * 1e15::DOUBLE / qty)::VARCHAR AS big,
+       (qty / (price * 1000::DOUBLE))::VARCHAR AS share
+FROM m""",
+
     "lookup": f"""
 SELECT p_partkey, {_part_info()} AS info,
        CASE WHEN p_size % 3 = 0 THEN 'img/' || p_brand || '/210x140.jpg' ELSE '' END AS plan_urls,

@@ -2,6 +2,9 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -86,6 +89,17 @@ def test_py_float_str_prices(spark, values):
     assert got == [repr(v) for v in values]
 
 
+def test_py_float_str_is_repr(spark, scratch):
+    """Doubles of all bit patterns, the least subnormals and numbers of 16 to 17 digits."""
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 2**64, 100_000, dtype=np.uint64).view(np.float64)
+    x = np.concatenate([x[np.isfinite(x)], np.arange(1, 300, dtype=np.uint64).view(np.float64), rng.random(50_000) * 1e8,
+                        rng.random(20_000) * 1e-4, -np.round(rng.random(20_000) * 1e9, 2), 10.0 ** np.arange(-30, 31)])
+    pq.write_table(pa.table({"x": x}), f"{scratch}/x.parquet")
+    rows = spark.read.parquet(f"{scratch}/x.parquet").select("x", text.py_float_str("x").alias("s")).collect()
+    assert len(rows) == x.size and [r for r in rows if r.s != repr(r.x)] == []
+
+
 def test_dict_assign_last_value_first_position(spark):
     df = spark.createDataFrame([(["u", "v", "u"], ["a", "b", "c"])], "k array<string>, v array<string>")
     g = df.select(codec.dict_assign(codec.entries("k", "v")).alias("g")).first()["g"]
