@@ -6,14 +6,15 @@ a gzip member of its own), ``indexes/index.cdxj`` (one line per record with its
 is there the ZIP64 one, the central directory, the index, and then only the
 bytes of the records asked for.  Nothing is unpacked as a whole.
 
-Spark holds archives as rows ``(archive, content)`` of a table, or reads them as
-``binaryFile``.  Of equal payloads one record is the response; the others
+Spark holds archives as rows ``(archive, content)`` of a table, or lists archive files
+and reads ranges of them where they lie.  Of equal payloads one record is the response; the others
 revisit it and carry no payload.
 """
 
 from __future__ import annotations
 
 import base64
+import binascii
 import gzip
 import io
 import json
@@ -24,6 +25,8 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha1
+from itertools import islice
+from typing import BinaryIO
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -272,7 +275,10 @@ def _digest(text: str | None) -> str | None:
     name, _, value = (text or "").partition(":")
     if name.lower() != "sha1":
         return text
-    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+    try:
+        return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+    except binascii.Error as e:
+        raise ValueError(f"digest {text} is damaged") from e
 
 
 def _joined(body: bytes) -> bytes | None:
@@ -297,7 +303,10 @@ def parse(raw: bytes) -> Record:
         raw = gzip.decompress(raw)
     head, _, rest = raw.partition(b"\r\n\r\n")
     field = fields(head)
-    kind, size, name = field["warc-type"], int(field["content-length"]), field.get("warc-record-id")
+    name = field.get("warc-record-id")
+    if "warc-type" not in field or not field.get("content-length", "").isdigit():
+        raise ValueError(f"record {name} is damaged")
+    kind, size = field["warc-type"], int(field["content-length"])
     payload, http = rest[:size], {}
     if len(payload) != size:
         raise ValueError(f"record {name} is cut off")
@@ -317,6 +326,28 @@ def parse(raw: bytes) -> Record:
     return Record(_page(name), url, kind, n, digest, _page(field.get("warc-refers-to")), None if kind == "revisit" else payload, name, field.get("warc-refers-to"))
 
 
+def _schema(payload: bool) -> str:
+    return ("page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, record_id string, refers_to_id string"
+            + ", payload binary" * payload)
+
+
+def _batches(records: Iterator[Record], payload: bool) -> Iterator[pa.RecordBatch]:
+    """Batches of at most 2000 records or, with payloads, about 8 MB."""
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * payload
+    names, rows, held = [x.split()[0] for x in _schema(payload).split(", ")], [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+    for r in records:
+        rows.append((r.page_id, r.url, r.kind, r.payload_bytes, r.payload_digest, r.refers_to, r.record_id, r.refers_to_id, r.payload)[:8 + payload])
+        held += len(r.payload or b"") if payload else 0
+        if len(rows) >= 2000 or held > 8 << 20:
+            yield batch()
+            rows, held = [], 0
+    if rows:
+        yield batch()
+
+
 def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
     """``(archive, content)`` -> one row per record; ``payload`` adds the responses' bytes.
 
@@ -325,9 +356,6 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
     archives gives no rows; a damaged archive raises an error.
     """
     ship_package(archives.sparkSession)
-    schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, record_id string, refers_to_id string" + ", payload binary" * payload
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()] + [pa.binary()] * payload
-    names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,22 +364,66 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
 
                 def read_at(at: int, n: int) -> bytes:
                     return bytes(view[at:at + n])
-                rows, held = [], 0
-                for at, n in places(read_at, len(view)):
-                    r = parse(read_at(at, n))
-                    rows.append((r.page_id, r.url, r.kind, r.payload_bytes, r.payload_digest, r.refers_to, r.record_id, r.refers_to_id, r.payload)[:8 + payload])
-                    held += len(r.payload or b"") if payload else 0
-                    if len(rows) >= 2000 or held > 8 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-                        rows, held = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
-    return archives.select("content").mapInArrow(run, schema)
-
-
-def read_files(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """The records of the archive files under ``path``; each file is read whole, as a cell of at most 2 GB."""
-    return read_archives(spark.read.format("binaryFile").load(path).select(F.col("path").alias("archive"), "content"), payload)
+                yield from _batches((parse(read_at(at, n)) for at, n in places(read_at, len(view))), payload)
+    return archives.select("content").mapInArrow(run, _schema(payload))
+
+
+def open_file(path: str) -> BinaryIO:
+    """A file by the path Spark gives it, for reading at places: local ones, and those of the stores that Arrow knows."""
+    from pyarrow import fs
+    if re.match("file:/", path):
+        return fs.LocalFileSystem().open_input_file(re.sub("^file:/+", "/", path))
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def read_files(spark: SparkSession, path: str, payload: bool = False, opener: Callable[[str], BinaryIO] = open_file,
+               block: int = 64 << 20) -> DataFrame:
+    """The records of the archive files under ``path``, of any size, read by ranges where the files lie.
+
+    Spark lists the files without their contents.  One pass finds the places of the records
+    from directories and indexes; then the ranges of each ``block`` bytes of a file go to a task,
+    which seeks and reads those alone.  ``opener`` opens a path for reading where Arrow does not
+    know the store; its files have ``seek`` and ``read``.  Results and errors are those of ``read_archives``.
+    """
+    ship_package(spark)
+
+    def reader(f: BinaryIO) -> ReadAt:
+        def read_at(at: int, n: int) -> bytes:
+            f.seek(at)
+            return f.read(n)
+        return read_at
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(name: str, some: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([name] * len(some)), pa.array([x for x, _ in some], pa.int64()), pa.array([x for _, x in some], pa.int64())],
+                                              names=["path", "at", "n"])
+        for batch in batches:
+            for name, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with opener(name) as f:
+                    found = places(reader(f), size)
+                    while some := list(islice(found, 10_000)):
+                        yield rows(name, some)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def records() -> Iterator[Record]:
+            name, f = None, None
+            try:
+                for batch in batches:
+                    for p, at, n in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                        if p != name:
+                            if f is not None:
+                                f.close()
+                            name, f = p, opener(p)
+                        yield parse(reader(f)(at, n))
+            finally:
+                if f is not None:
+                    f.close()
+        yield from _batches(records(), payload)
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    found = files.mapInArrow(find, "path string, at long, n long")
+    return (found.repartition("path", F.floor(F.col("at") / block)).sortWithinPartitions("path", "at")
+            .mapInArrow(read, _schema(payload)))
 
 
 def round_trip(pages: DataFrame, archive_bytes: int = ARCHIVE_BYTES, **names) -> DataFrame:

@@ -146,6 +146,37 @@ def test_archives_of_other_writers(spark, scratch, name, index):
     assert bytes(rows[5].payload) == b"via: x" and rows[2].payload_digest == hashlib.sha1(b"abcde").hexdigest()
 
 
+def test_files_above_four_gigabytes(spark, scratch):
+    """Only places are read: the archive stands behind 4.5 GB of nothing, so its offsets are in ZIP64 fields."""
+    for name, index in (("a", True), ("b", False)):
+        with open(f"{scratch}/{name}.wacz", "wb") as f:
+            f.truncate(4500 << 20)
+        raw = archive(60, index)
+        with zipfile.ZipFile(io.BytesIO(raw)) as a, zipfile.ZipFile(f"{scratch}/{name}.wacz", "a") as b:
+            for m in a.namelist():
+                b.writestr(m, a.read(m))
+    rows = warc.read_files(spark, scratch, payload=True, block=2000).collect()
+    assert sorted((r.page_id, bytes(r.payload)) for r in rows) == sorted(2 * [(i, f"page {i} ".encode() * (i + 1)) for i in range(60)])
+    assert warc.read_files(spark, scratch, block=2000).count() == 120
+
+
+def test_files_are_listed_without_contents_and_read_by_blocks(spark, scratch):
+    for i in range(3):
+        with open(f"{scratch}/{i} %41é.wacz", "wb") as f:
+            f.write(archive(40))
+    df = warc.read_files(spark, scratch, block=1000)
+    assert sorted(r.page_id for r in df.collect()) == sorted(3 * list(range(40)))
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_damaged_records():
+    good = warc.record(1, None, "abc", 3, hashlib.sha1(b"abc").hexdigest(), None)
+    for old, new in ((b"WARC-Type: response\r\n", b""), (b"Payload-Digest: sha1:", b"Payload-Digest: sha1:1!"), (b"response\r\nContent-Length: ", b"response\r\nContent-Length: x")):
+        assert old in good
+        with pytest.raises(ValueError):
+            warc.parse(good.replace(old, new))
+
+
 def test_damage():
     with pytest.raises(ValueError):
         pages_of(b"not a zip file")
